@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
+from .quality_fm import score_quality, train
+from .quality_rules import quality_statistics
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,8 +75,25 @@ FROM parts
 """
 
 
+def op3_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_statistics(_table(spark, sf_dir, "documents"))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return found.select(F.col("doc").alias("doc_id"), *base, "n_bytes", F.round("ratio", 6).alias("ratio"), "n_chunks", "n_chunks_off")
+
+
+def op4_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = train(docs, _table(spark, sf_dir, "labels"))
+    return score_quality(docs, model).select(F.col("doc").alias("doc_id"), "held_out", "score", "predicted")
+
+
 def queries() -> dict:
-    return {"op1_line_dedup": op1_line_dedup, "op2_source_mix": op2_source_mix}
+    return {
+        "op1_line_dedup": op1_line_dedup,
+        "op2_source_mix": op2_source_mix,
+        "op3_compression_bands": op3_compression_bands,
+        "op4_factorisation_machine": op4_factorisation_machine,
+    }
 
 
 def oracle_sql() -> dict:
