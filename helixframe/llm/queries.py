@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
+from .near_dedup import near_duplicates
 from .quality_fm import score_quality, train
 from .quality_rules import quality_statistics
 
@@ -87,14 +88,40 @@ def op4_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, model).select(F.col("doc").alias("doc_id"), "held_out", "score", "predicted")
 
 
+def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
+OP10_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE [array_to_string(w, ' ')] END) AS s
+  FROM words WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (
+  WITH RECURSIVE r(doc_id, root) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, links.b FROM r JOIN links ON links.a = r.root)
+  SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN reach USING (doc_id) LEFT JOIN sizes ON sizes.doc_id = d.doc_id
+"""
+
+
 def queries() -> dict:
     return {
         "op1_line_dedup": op1_line_dedup,
         "op2_source_mix": op2_source_mix,
         "op3_compression_bands": op3_compression_bands,
         "op4_factorisation_machine": op4_factorisation_machine,
+        "op10_superminhash": op10_superminhash,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op1_line_dedup": OP1_SQL, "op2_source_mix": OP2_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op2_source_mix": OP2_SQL, "op10_superminhash": OP10_SQL}
