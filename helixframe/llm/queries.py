@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .near_dedup import near_duplicates
+from .pii import all_spans, find_personal_data, span_digest, span_text
 from .quality_fm import score_quality, train
 from .quality_rules import quality_statistics
 
@@ -88,6 +89,12 @@ def op4_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, model).select(F.col("doc").alias("doc_id"), "held_out", "score", "predicted")
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(_table(spark, sf_dir, "documents"))
+    counts = ["n_email", "n_ip", "n_card", "n_phone"]
+    return found.select(F.col("doc").alias("doc_id"), *counts, span_digest("base").alias("base_sha256"), span_text(all_spans("base", "added")).alias("spans"))
+
+
 def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
@@ -119,6 +126,7 @@ def queries() -> dict:
         "op2_source_mix": op2_source_mix,
         "op3_compression_bands": op3_compression_bands,
         "op4_factorisation_machine": op4_factorisation_machine,
+        "op5_personal_data": op5_personal_data,
         "op10_superminhash": op10_superminhash,
     }
 
