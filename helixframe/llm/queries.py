@@ -11,6 +11,7 @@ from .near_dedup import near_duplicates
 from .pii import all_spans, find_personal_data, span_digest, span_text
 from .quality_fm import score_quality, train
 from .quality_rules import quality_statistics
+from .secret_scan import scan_secrets, spans_by_start
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,6 +96,11 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), *counts, span_digest("base").alias("base_sha256"), span_text(all_spans("base", "added")).alias("spans"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), "n_assign", "n_access", "n_hex", span_digest("base").alias("base_sha256"), span_text(spans_by_start("base", "added")).alias("spans"))
+
+
 def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
@@ -127,6 +133,7 @@ def queries() -> dict:
         "op3_compression_bands": op3_compression_bands,
         "op4_factorisation_machine": op4_factorisation_machine,
         "op5_personal_data": op5_personal_data,
+        "op7_secret_scan": op7_secret_scan,
         "op10_superminhash": op10_superminhash,
     }
 
