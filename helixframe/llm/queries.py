@@ -12,6 +12,7 @@ from .pii import all_spans, find_personal_data, span_digest, span_text
 from .quality_fm import score_quality, train
 from .quality_rules import quality_statistics
 from .secret_scan import scan_secrets, spans_by_start
+from .warc_zip import read_archives, write_archives
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +97,26 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), *counts, span_digest("base").alias("base_sha256"), span_text(all_spans("base", "added")).alias("spans"))
 
 
+def op6_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = read_archives(write_archives(_table(spark, sf_dir, "pages")), with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP6_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+coded AS (
+  SELECT page_id, strlen(html) AS n, h,
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(1 + ((CAST('0x' || substr(h, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) AS BIGINT), 1)), '') AS digest,
+         min(page_id) OVER (PARTITION BY h) AS first
+  FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM coded
+"""
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(_table(spark, sf_dir, "documents"))
     return found.select(F.col("doc").alias("doc_id"), "n_assign", "n_access", "n_hex", span_digest("base").alias("base_sha256"), span_text(spans_by_start("base", "added")).alias("spans"))
@@ -133,10 +154,11 @@ def queries() -> dict:
         "op3_compression_bands": op3_compression_bands,
         "op4_factorisation_machine": op4_factorisation_machine,
         "op5_personal_data": op5_personal_data,
+        "op6_warc_zip": op6_warc_zip,
         "op7_secret_scan": op7_secret_scan,
         "op10_superminhash": op10_superminhash,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op1_line_dedup": OP1_SQL, "op2_source_mix": OP2_SQL, "op10_superminhash": OP10_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op2_source_mix": OP2_SQL, "op6_warc_zip": OP6_SQL, "op10_superminhash": OP10_SQL}
