@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .audio_match import fingerprints, match_recordings, sonified
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .near_dedup import near_duplicates
@@ -12,6 +13,7 @@ from .pii import all_spans, find_personal_data, span_digest, span_text
 from .quality_fm import score_quality, train
 from .quality_rules import quality_statistics
 from .secret_scan import scan_secrets, spans_by_start
+from .sentencepiece_sampling import sample_pieces
 from .warc_zip import read_archives, write_archives
 
 
@@ -122,6 +124,24 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), "n_assign", "n_access", "n_hex", span_digest("base").alias("base_sha256"), span_text(spans_by_start("base", "added")).alias("spans"))
 
 
+def op8_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sample_pieces(_table(spark, sf_dir, "documents"), with_ids=False)
+    return found.select(F.col("doc").alias("doc_id"), "n_pieces", "ids_sha256", "lossless")
+
+
+def op9_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold no audio, so each embedding is made a recording; ids divisible by 50 are the queries.
+
+    A row for each recording (match_id null) and one for each pair of classes that align.
+    """
+    prints = fingerprints(sonified(_table(spark, sf_dir, "embeddings")), "id", "audio")
+    members, matches = match_recordings(prints, F.col("id") % 50 == 0)
+    none = F.lit(None)
+    rows = members.select(F.col("id").alias("vec_id"), "class_id", "n_ints", none.cast("long").alias("match_id"), none.cast("long").alias("offset"), none.cast("double").alias("bit_error"))
+    pairs = matches.select(none.cast("long").alias("vec_id"), "class_id", none.cast("long").alias("n_ints"), "match_id", "offset", "bit_error")
+    return rows.unionByName(pairs)
+
+
 def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
@@ -156,6 +176,8 @@ def queries() -> dict:
         "op5_personal_data": op5_personal_data,
         "op6_warc_zip": op6_warc_zip,
         "op7_secret_scan": op7_secret_scan,
+        "op8_sampled_pieces": op8_sampled_pieces,
+        "op9_chroma_fingerprints": op9_chroma_fingerprints,
         "op10_superminhash": op10_superminhash,
     }
 
