@@ -1,8 +1,57 @@
-"""Corpus pipeline."""
+"""Corpus pipeline: quality rules, line dedup, near-dedup, mixing and piece encoding of ``documents``.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
+of ``documents``. The rows of a stage are written as Parquet and read again by the next one.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from helixframe.llm.common import materialize
+from helixframe.llm.line_dedup import dedup_lines
+from helixframe.llm.mixing import mix_documents
+from helixframe.llm.near_dedup import drop_near_duplicates
+from helixframe.llm.quality_rules import keep_quality
+from helixframe.llm.sentencepiece_sampling import sample_pieces
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the compression bands keep."""
+    return keep_quality(docs)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the lines that a document with a smaller id holds."""
+    found = dedup_lines(docs).withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return found.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near duplicates."""
+    return drop_near_duplicates(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mix_documents(docs)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_pieces, ids_sha256, lossless, ids) of each document."""
+    return sample_pieces(docs).withColumnRenamed("doc", "doc_id")
+
+
+STAGES = [("quality rules", quality), ("line dedup", lines), ("near-dedup", near_duplicates), ("mixing", mixture), ("pieces", pieces)]
+
+#: zstandard ratios, SuperMinHash and piece lattices are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
