@@ -1,14 +1,16 @@
-"""Connected components of a graph given as an edge table, by min-label stars.
+"""Connected components of a graph given as an edge table, by hooking and pointer jumping.
 
-Each round rewires edges to the smallest neighbour (large star, then small star) until nothing
-changes; partitions first contract their own edges with union-find. Every round is written to the
-shared folder, so lineage stays short and no part of the graph is held by the driver.
+Edges point from a node to a smaller one. In each round a node's targets are hooked to the smallest
+of them, and every edge jumps to its target's own smallest target, until all edges are stars.
+Partitions first contract their edges with union-find. Every round is written to the shared folder,
+so lineage stays short and no part of the graph is held by the driver. A node's own edges are few; a
+target that very many point to is met in a join, whose large partitions Spark splits.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -65,22 +67,14 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
     stars = materialize(edges.where("a != b").select("a", "b").mapInArrow(_contract, "a long, b long").distinct())
     for _ in range(most_rounds):
-        both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        # Large star: larger neighbours of a point to the smallest of a's neighbourhood.
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        # Small star: what a points to, all smaller than a, points to the smallest of it.
-        small_least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(small_least, "a")
-        wired = small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").unionByName(small_least.select("a", F.col("m").alias("b"))).distinct()
-        after = materialize(wired)
-        # Done when every node has one edge and no root points on: the edges are stars.
-        roots = after.select(F.col("b").alias("a")).distinct()
-        chained = after.join(roots, "a", "left_semi").limit(1)
-        twice = after.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").limit(1)
-        stars = after
-        if not chained.select("a").unionByName(twice.select("a")).take(1):
+        # In stars a node has one edge, and what has an edge is no node's target.
+        ends = stars.select("a", F.lit(1).alias("out")).unionByName(stars.select(F.col("b").alias("a"), F.lit(0).alias("out")))
+        if ends.groupBy("a").agg(F.sum("out").alias("n"), F.min("out").alias("least")).where("n > 1 or (n = 1 and least = 0)").isEmpty():
             break
+        least = F.min("b").over(Window.partitionBy("a"))
+        hooked = stars.withColumn("m", least).select(F.inline(F.array(F.struct(F.col("a").alias("x"), F.col("m").alias("y")), F.struct(F.col("b").alias("x"), F.col("m").alias("y"))))).where("x != y")
+        parents = stars.groupBy(F.col("a").alias("y")).agg(F.min("b").alias("up"))
+        stars = materialize(hooked.join(parents, "y", "left").select(F.col("x").alias("a"), F.coalesce("up", "y").alias("b")).distinct())
     else:
         raise RuntimeError("the components' stars have not settled")
     own = stars.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
