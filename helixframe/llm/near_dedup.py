@@ -29,6 +29,8 @@ from .superminhash import Shingles, bands, signature
 
 #: Shingles that a block of a component holds, about; two blocks meet in a task.
 BLOCK_SHINGLES = 400_000
+#: A class counts as large with one part in so many of all rows.
+FREQUENT_CLASSES = 1000
 
 
 def _signature_rows():
@@ -129,6 +131,23 @@ def _verify(percent: int):
     return run
 
 
+def _with_class(signed: DataFrame) -> DataFrame:
+    """(doc, n_shingles, node, bands): the class of each document that has one; bands stay with its namesake.
+
+    A class with one part in FREQUENT_CLASSES of all rows or more would meet in one task, so those,
+    at most FREQUENT_CLASSES, are broadcast and their rows spread by id.
+    """
+    members = signed.where("doc is not null and n_shingles > 0")
+    classes = members.groupBy("k1", "k2").agg(F.min("doc").alias("node"), F.count("*").alias("rows"))
+    large = classes.where(F.col("rows") * FREQUENT_CLASSES >= signed.count()).select("k1", "k2", F.col("node").alias("large"))
+    spread = signed.join(F.broadcast(large), ["k1", "k2"], "left")
+    spread = spread.withColumn("j1", F.when(F.col("large").isNull(), F.col("k1")).otherwise(F.xxhash64("doc"))).withColumn("j2", F.when(F.col("large").isNull(), F.col("k2")))
+    small = classes.select(F.col("k1").alias("j1"), F.col("k2").alias("j2"), "node")
+    met = spread.join(small, ["j1", "j2"], "left")
+    node = F.when(F.col("doc").isNotNull(), F.coalesce("large", "node"))
+    return met.select("doc", "n_shingles", node.alias("node"), F.when(F.col("doc") == node, F.col("bands")).alias("bands"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
     """(doc, n_shingles, component, kept) for each row of ``docs``.
 
@@ -141,16 +160,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     signed = materialize(map_texts(rows, "doc", "text", "doc long, n_shingles long, k1 long, k2 long, bands array<long>", _signature_rows))
-    members = signed.where("doc is not null and n_shingles > 0")
-    classes = members.groupBy("k1", "k2").agg(F.min("doc").alias("node"))
-    named = members.join(classes, ["k1", "k2"])
+    named = materialize(_with_class(signed))
 
-    banded = named.where("doc = node").select("node", F.explode("bands").alias("band"))
+    banded = named.select("node", F.explode("bands").alias("band"))
     leaders = banded.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last").drop("last")
     candidates = banded.join(leaders, "band").where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
     parts = connected_components(candidates)
 
-    sizes = named.where("doc = node").groupBy("node").agg(F.sum("n_shingles").alias("n"))
+    sizes = named.where("bands is not null").groupBy("node").agg(F.sum("n_shingles").alias("n"))
     placed = parts.join(sizes, "node")
     counts = placed.groupBy("component").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     placed = placed.join(counts, "component").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
@@ -165,10 +182,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # Texts that share an id are one document, whatever their classes.
     first = F.min("node").over(Window.partitionBy("doc"))
-    shared_ids = named.select("doc", "node").withColumn("first", first).where("node != first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    shared_ids = named.where("node is not null").select("doc", "node").withColumn("first", first).where("node != first").select(F.col("node").alias("a"), F.col("first").alias("b"))
     groups = connected_components(links.unionByName(shared_ids))
 
-    found = signed.join(classes, ["k1", "k2"], "left").join(groups, "node", "left")
+    found = named.join(groups, "node", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "node", "doc")).otherwise(F.col("doc"))
     return found.select("doc", "n_shingles", component.alias("component"), F.coalesce(component == F.col("doc"), F.lit(True)).alias("kept"))
 
