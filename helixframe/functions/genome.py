@@ -79,10 +79,15 @@ def beta_log_density(x: Column, successes: Column, failures: Column) -> Column:
 
 
 def beta_cdf(x: float, successes: Column, failures: Column) -> Column:
-    """P(Beta(successes + 1, failures + 1) <= x) for whole numbers, as a finite binomial sum."""
-    n = (successes + failures + 1).cast("double")
-    terms = F.transform(F.sequence((successes + 1).cast("long"), n.cast("long")), lambda i: F.exp(log_choose(n, i.cast("double")) + i * math.log(x) + (n - i) * math.log(1 - x)))
-    return F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)
+    """P(Beta(successes + 1, failures + 1) <= x) for whole numbers: P(Bin(n, x) > successes), n = successes + failures + 1.
+
+    A finite sum, each term from the one before. By symmetry, 1 - beta_cdf(1 - x, a, b) is beta_cdf(x, b, a).
+    """
+    a, n = successes.cast("double"), (successes + failures + 1).cast("double")
+    first = F.exp(log_choose(n, a + 1) + (a + 1) * math.log(x) + (n - a - 1) * math.log(1 - x))
+    odds = x / (1 - x)
+    start = F.struct(first.alias("t"), F.lit(0.0).alias("s"))
+    return F.aggregate(F.sequence((successes + 1).cast("long"), n.cast("long")), start, lambda acc, i: F.struct((acc["t"] * (n - i) / (i + 1) * odds).alias("t"), (acc["s"] + acc["t"]).alias("s")), lambda acc: acc["s"])
 
 
 #: Cost of what can't be.

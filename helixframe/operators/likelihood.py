@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixframe.functions.genome import beta_cdf, beta_log_density, let, nb_log_pmf, neg_log, normal_two_sided
+from helixframe.functions.genome import beta_cdf, let, nb_log_pmf, neg_log, normal_two_sided
 from helixframe.functions.model import COPIES, GENOTYPES, STATES, false_positive
 
 
@@ -48,25 +48,26 @@ def snp_states(snps: DataFrame, load: float = 1.0) -> DataFrame:
     """``nll``: costs of the states for a SNP with alt_count, ref_count and the heterozygote share pop_het.
 
     Each genotype expects an alternative share; a state is as likely as its likeliest genotype, mixed
-    with the chance that the site is homozygous. A sample all tumour may have lost both copies.
+    with the chance that the site is homozygous. In a sample that is all tumour, the state without
+    copies has no expectation and gets the share 1/K.
     """
     alt, ref = F.col("alt_count").cast("double"), F.col("ref_count").cast("double")
-    density: dict[str, list] = {s: [] for s in STATES}
+    pure = load == 1.0
+    genotypes: dict[str, list] = {s: [] for s in STATES if not (pure and COPIES[s] == 0)}
     for state, copies, variant, weight in GENOTYPES:
-        depth = 2 * (1 - load) + load * copies
-        expected = ((1 - load) + load * variant) / depth if depth else 0.5
-        inner = min(max(expected, 0.01), 0.99)
-        density[state].append(F.exp(beta_log_density(F.lit(inner), alt, ref)) * weight)
-    best = [F.greatest(*d) if len(d) > 1 else d[0] for d in density.values()]
+        if state in genotypes:
+            genotypes[state].append((((1 - load) + load * variant) / (2 * (1 - load) + load * copies), weight))
+    sites = F.array(*[F.array(*[F.struct(F.lit(e).alias("e"), F.lit(w).alias("w")) for e, w in g]) for g in genotypes.values()])
+    # The binomial coefficient is the same for all genotypes and leaves with the normalisation.
+    best = F.transform(sites, lambda g: F.array_max(F.transform(g, lambda x: x["w"] * F.pow(x["e"], alt) * F.pow(1 - x["e"], ref))))
     floor = false_positive()
-    likely = _normalised(F.transform(_normalised(F.array(*best)), lambda x: x + floor))
-    homozygous = F.greatest(beta_cdf(0.1, F.col("alt_count"), F.col("ref_count")), 1 - beta_cdf(0.9, F.col("alt_count"), F.col("ref_count")))
-    k = len(STATES)
-    mixed = F.transform("__likely", lambda x: F.col("pop_het") * x + (1 - F.col("pop_het")) * F.col("__hom") / k)
-    final = _normalised(mixed)
-    if load == 1.0:
-        final = let(final, lambda f: F.concat(F.array(F.lit(1 / k)), F.transform(F.slice(f, 2, k - 1), lambda x: x * (1 - 1 / k))))
-    return snps.withColumn("__likely", likely).withColumn("__hom", homozygous).withColumn("nll", F.transform(final, neg_log)).drop("__likely", "__hom")
+    likely = _normalised(F.transform(_normalised(best), lambda x: x + floor))
+    homozygous = F.greatest(beta_cdf(0.1, F.col("alt_count"), F.col("ref_count")), beta_cdf(0.1, F.col("ref_count"), F.col("alt_count")))
+    final = let(homozygous, lambda h: let(likely, lambda l: _normalised(F.transform(l, lambda x: F.col("pop_het") * x + (1 - F.col("pop_het")) * h))))
+    if pure:
+        k = len(STATES)
+        final = F.concat(F.array(F.lit(1 / k)), F.transform(final, lambda x: x * (1 - 1 / k)))
+    return snps.withColumn("nll", F.transform(final, neg_log))
 
 
 def combine(*parts: DataFrame, by: tuple = ("sample", "chr", "start", "end")) -> DataFrame:

@@ -1 +1,233 @@
-SQL = {}
+"""DuckDB SQL with the rows of the registered queries."""
+
+from __future__ import annotations
+
+from helixframe.functions.genome import ERF
+from helixframe.functions.model import GENOTYPES, PRIOR_WEIGHTS, STATES, false_positive
+from helixframe.plans.views import with_views as V
+
+_SIZES = V("g_reads") + ", sizes AS (SELECT chr, max(pos) + 1 AS chr_size FROM g_reads GROUP BY chr)"
+_BINS = (
+    _SIZES
+    + """, binned AS (
+  SELECT chr, i * 50000 AS start, CAST(least(CASE WHEN chr_size < 50000 THEN chr_size - 1 WHEN i = chr_size // 50000 THEN chr_size ELSE i * 50000 + 49999 END, chr_size) AS BIGINT) AS "end", i AS ordinal
+  FROM sizes, LATERAL (SELECT unnest(range(0, chr_size // 50000 + 1)) AS i))"""
+)
+_GC = (
+    V("g_cov")
+    + """, cov AS (
+  SELECT sample, chr, start, "end", cov_raw / avg(cov_raw) OVER (PARTITION BY sample) * (SELECT avg(cov_raw) FROM g_cov) AS cov, (start // 86400) * 7 % 30 / 60.0::DOUBLE + 0.2::DOUBLE AS gc FROM g_cov),
+fit AS (SELECT sample, regr_slope(cov, gc) AS slope, regr_intercept(cov, gc) AS intercept FROM cov GROUP BY sample),
+normed AS (SELECT cov.*, slope, intercept, cov / (slope * gc + intercept) * (SELECT avg(cov) FROM cov) AS cov_norm FROM cov JOIN fit USING (sample))"""
+)
+_ALLELES = (
+    V("g_pile", "g_snps")
+    + """, wide AS (
+  SELECT sample, site, CAST(coalesce(sum(n) FILTER (base = 'A'), 0) AS BIGINT) AS n_a, CAST(coalesce(sum(n) FILTER (base = 'C'), 0) AS BIGINT) AS n_c,
+         CAST(coalesce(sum(n) FILTER (base = 'G'), 0) AS BIGINT) AS n_g, CAST(coalesce(sum(n) FILTER (base = 'T'), 0) AS BIGINT) AS n_t FROM g_pile GROUP BY ALL),
+alleles AS (
+  SELECT w.*, s.chr, s.pos, s.baf, n_a + n_c + n_g + n_t AS cov, CASE alt WHEN 'A' THEN n_a WHEN 'C' THEN n_c WHEN 'G' THEN n_g ELSE n_t END AS alt_count FROM wide w JOIN g_snps s USING (site)),
+counted AS (SELECT *, cov - alt_count AS ref_count FROM alleles)"""
+)
+_FLOOR = f"{false_positive()!r}::DOUBLE"
+_COPIES = "(VALUES (0, 0.0::DOUBLE), (1, 0.5), (2, 1.0), (3, 1.5), (4, 2.0), (5, 2.5), (6, 1.0)) st(state, half)"
+
+
+def _costs(likelihoods: str, keys: str) -> str:
+    """From a table with keys, state and p: normalise, add the floor, normalise, -log."""
+    return f"""one AS (SELECT {keys}, state, coalesce(p / nullif(sum(p) OVER (PARTITION BY {keys}), 0), 0) + {_FLOOR} AS p FROM {likelihoods}),
+two AS (SELECT {keys}, state, p / sum(p) OVER (PARTITION BY {keys}) AS p FROM one),
+costs AS (SELECT {keys}, state, CASE WHEN p > 0 THEN -ln(p) ELSE 1000.0 END AS nll FROM two)"""
+
+
+_NB = (
+    V("g_cov")
+    + f""", m AS (SELECT sample, chr, start, cov_raw::DOUBLE AS k, avg(cov_raw) OVER (PARTITION BY sample) AS m, var_samp(cov_raw) OVER (PARTITION BY sample) AS v FROM g_cov),
+mv AS (SELECT sample, chr, start, k, state, CASE WHEN half > 0 THEN m * half ELSE 1.0 END AS mu, CASE WHEN half > 0 THEN v * half ELSE 50.0 END AS var FROM m, {_COPIES}),
+ms AS (SELECT *, mu * mu / greatest(var - mu, 1e-6 * mu) AS r FROM mv),
+nb AS (SELECT sample, chr, start, state, exp(lgamma(k + r) - lgamma(r) - lgamma(k + 1) + r * ln(r / (r + mu)) + k * ln(mu / (r + mu))) AS p FROM ms),
+{_costs("nb", "sample, chr, start")}"""
+)
+_P, _A1, _A2, _A3, _A4, _A5 = ERF
+_ERF_T = f"(1 / (1 + {_P} * y))"
+_SNP_STATES = ", ".join(f"({STATES.index(s)}, {variant / copies!r}::DOUBLE, {w!r}::DOUBLE)" for s, copies, variant, w in GENOTYPES if copies)
+
+
+def _beta(a: str, b: str) -> str:
+    """P(Beta(a + 1, b + 1) <= 0.1)."""
+    return f"""list_sum(list_transform(range({a} + 1, {a} + {b} + 2), lambda i: exp(lgamma({a} + {b} + 2) - lgamma(i + 1) - lgamma({a} + {b} + 2 - i) + i * ln(0.1) + ({a} + {b} + 1 - i) * ln(0.9))))"""
+
+
+def _snp(extra: str = "") -> str:
+    keys = "sample, site"
+    return (
+        _ALLELES
+        + f""", best AS (
+  SELECT sample, site, g.state, max(g.w * pow(g.e, alt_count) * pow(1 - g.e, ref_count)) AS p FROM counted, (VALUES {_SNP_STATES}) g(state, e, w) GROUP BY ALL),
+first AS (SELECT {keys}, state, coalesce(p / nullif(sum(p) OVER (PARTITION BY {keys}), 0), 0) + {_FLOOR} AS p FROM best),
+second AS (SELECT {keys}, state, p / sum(p) OVER (PARTITION BY {keys}) AS p FROM first),
+hom AS (SELECT sample, site, chr, pos, 2 * baf * (1 - baf) AS het, greatest({_beta("alt_count", "ref_count")}, {_beta("ref_count", "alt_count")}) AS h FROM counted),
+mixed AS (SELECT {keys}, state, het * p + (1 - het) * h AS p FROM second JOIN hom USING (sample, site)),
+last AS (SELECT {keys}, state, p / sum(p) OVER (PARTITION BY {keys}) * (1 - 1 / 7.0::DOUBLE) AS p FROM mixed UNION ALL SELECT {keys}, 0, 1 / 7.0::DOUBLE FROM counted),
+snp_costs AS (SELECT {keys}, state, CASE WHEN p > 0 THEN -ln(p) ELSE 1000.0 END AS nll FROM last)"""
+        + extra
+    )
+
+
+_RUNS = (
+    V("g_calls")
+    + """, changed AS (
+  SELECT *, CASE WHEN cn_pred = lag(cn_pred) OVER (PARTITION BY sample, chr ORDER BY start) THEN 0 ELSE 1 END AS fresh,
+         (cov - avg(cov) OVER (PARTITION BY sample)) / stddev_samp(cov) OVER (PARTITION BY sample) AS sd_distance FROM g_calls),
+runs AS (SELECT *, CAST(sum(fresh) OVER (PARTITION BY sample, chr ORDER BY start) AS BIGINT) AS cn_id FROM changed),
+rolled AS (
+  SELECT sample, chr, cn_id, arg_min(cn_pred, start) AS cn_pred, min(start) AS start, max("end") AS "end", max("end") - min(start) + 1 AS length,
+         median(cov) AS median_cov, median(sd_distance) AS median_sd_distance, count(*) AS n_regions FROM runs GROUP BY ALL),
+top AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY length DESC, chr, start) AS place FROM rolled WHERE cn_pred <> '2')"""
+)
+
+
+def _svs(name: str, shift: int = 0) -> str:
+    return f"""{name} AS (SELECT p_partkey AS id, p_brand AS chr, p_partkey % 200 * 50 + {shift} AS start, p_partkey % 200 * 50 + {shift} + p_size * 100 AS "end",
+      CASE WHEN p_size % 2 = 0 THEN 'DEL' ELSE 'DUP' END AS svtype, p_size, p_name FROM part)"""
+
+
+_RECIPROCAL = """a.chr = b.chr AND a.svtype = b.svtype AND a.start <= b."end" AND b.start <= a."end"
+  AND least(a."end", b."end") - greatest(a.start, b.start) + 1 >= 0.6::DOUBLE * (a."end" - a.start + 1) AND least(a."end", b."end") - greatest(a.start, b.start) + 1 >= 0.6::DOUBLE * (b."end" - b.start + 1)"""
+
+
+def _segment_cn(raw: str) -> str:
+    return (
+        V("g_seg")
+        + f""", cns AS (SELECT *, round_even({raw}, 2) AS cn FROM (SELECT *, 2 * pow(2.0::DOUBLE, log2) AS raw FROM g_seg)),
+typed AS (SELECT contig, start, "end", log2, cn, CASE WHEN cn < 1.5 THEN 'DEL' WHEN cn > 2.5 THEN 'DUP' ELSE 'COPY_NORMAL' END AS svtype FROM cns),
+seg AS (SELECT *, CASE WHEN cn < 0.5 THEN '1/1' WHEN svtype = 'COPY_NORMAL' THEN '0/0' ELSE '0/1' END AS gt FROM typed)"""
+    )
+
+
+_PURE = _segment_cn("2 + (round_even(raw, 6) - 2) / 0.5")
+_SMALL = """WITH v AS (
+  SELECT *, l_returnflag AS chr, l_orderkey AS pos, l_linenumber * 30 AS span, substr('AAAA', 1, (1 + l_partkey % 3)::INT) AS ref, 'A' AS alt, l_quantity AS dp, l_linenumber AS vd, l_discount AS af, l_tax * 4 AS hiaf, l_linenumber AS hicnt,
+         l_suppkey % 20 AS pmean, l_partkey % 2 AS pstd, l_quantity AS qual, l_partkey % 60 AS mapq, l_linenumber * 0.7::DOUBLE AS sn, l_suppkey % 10 AS nm, l_partkey % 15 AS msi, l_linenumber % 3 AS msilen,
+         CASE WHEN l_linenumber % 2 = 0 THEN '2;1' ELSE '2;2' END AS bias, l_tax / 10 AS sbf, l_quantity / 10 AS odds0 FROM lineitem),
+w AS (SELECT *, CASE WHEN odds0 > 0 AND odds0 < 1 THEN 1 / odds0 ELSE odds0 END AS odds, abs(length(ref) - length(alt)) AS dl FROM v)"""
+_SPEC = "(VALUES ('s0', 's1'), ('s2', 's3')) p(target, compared)"
+_W = ", ".join(f"({i}, '{s}', {w}::DOUBLE)" for i, (s, w) in enumerate(zip(STATES, PRIOR_WEIGHTS)))
+
+SQL = {
+    "genome_binning": _BINS + ' SELECT chr, start, "end", ordinal FROM binned',
+    "small_bin_filter": _BINS + ' SELECT chr, start, "end", ordinal FROM binned WHERE "end" - start > (SELECT max("end" - start) FROM binned) / 2.0::DOUBLE',
+    "depth_per_bin": V("g_cov") + " SELECT * FROM g_cov",
+    "library_size_norm": V("g_cov") + ' SELECT sample, chr, start, "end", cov_raw, round(cov_raw / avg(cov_raw) OVER (PARTITION BY sample) * (SELECT avg(cov_raw) FROM g_cov), 6) AS cov FROM g_cov',
+    "coverage_clip": V("g_cov") + " SELECT sample, chr, start, round(least(cov_raw::DOUBLE, 3 * avg(cov_raw) OVER (PARTITION BY sample)), 6) AS clipped FROM g_cov",
+    "overlap_trim": V("g_panel") + """ SELECT * FROM (SELECT chr, greatest(start, coalesce(lag("end") OVER (PARTITION BY chr ORDER BY start, "end") + 1, start)) AS start, "end", region_name FROM g_panel) WHERE "end" - start > 20""",
+    "interbin_distance": V("g_panel") + """ SELECT chr, start, dist, round(coalesce(1 - 1 / (1 + exp(-(dist - 50000.0::DOUBLE) / 10000.0::DOUBLE)), 0), 6) AS t FROM (SELECT chr, start, start - lag("end") OVER (PARTITION BY chr ORDER BY start, "end") AS dist FROM g_panel)""",
+    "gap_finder": V("g_panel") + """ SELECT *, gap_end - gap_start AS gap FROM (SELECT chr, "end" AS gap_start, lead(start) OVER (PARTITION BY chr ORDER BY start, "end") AS gap_end FROM (SELECT DISTINCT chr, start, "end" FROM g_panel)) WHERE gap_end - gap_start > 60000""",
+    "panel_name_dedup": V("g_panel") + """ SELECT chr, start, "end", CASE WHEN count(*) OVER (PARTITION BY region_name) > 1 THEN region_name || '_' || row_number() OVER (PARTITION BY region_name ORDER BY ordinal) ELSE region_name END AS region_name, row_number() OVER (ORDER BY ordinal) AS region_id FROM g_panel""",
+    "centromere_antijoin": V("g_cov") + """, c AS (SELECT chr, min(start) - 0.1::DOUBLE * (max("end") - min(start)) AS a, max("end") + 0.1::DOUBLE * (max("end") - min(start)) AS b FROM g_bins WHERE start // 86400 IN (12, 13) GROUP BY chr)
+      SELECT sample, chr, start, "end", cov_raw FROM g_cov WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.chr = g_cov.chr AND g_cov.start <= b AND g_cov."end" >= a)""",
+    "gc_content": """SELECT doc_id, round(CASE WHEN usable = 0 THEN -1 ELSE gc END, 6) AS gc, usable FROM (
+      SELECT doc_id, len(regexp_replace(lower(text), '[^gc]', '', 'g')) / nullif(len(text), 0)::DOUBLE AS gc, coalesce(round(len(regexp_replace(lower(text), '[^gcat]', '', 'g')) / nullif(len(text), 0)::DOUBLE, 5), 0) AS usable FROM documents)""",
+    "gc_regression_norm": _GC + " SELECT sample, chr, start, round(gc, 5) AS gc, round(slope, 5) AS slope, round(intercept, 5) AS intercept, round(cov_norm, 5) AS cov_norm FROM normed",
+    "gc_bin_outliers": _GC + """, s AS (SELECT *, avg(cov_norm) OVER (PARTITION BY sample) AS m, stddev_samp(cov_norm) OVER (PARTITION BY sample) AS sd, CASE WHEN gc > 0 AND gc <= 1 THEN ceil(round(gc / 0.005, 9)) END AS gc_bin FROM normed),
+      t AS (SELECT *, count(*) FILTER (cov_norm > m + 2.0 * sd) OVER (PARTITION BY sample, gc_bin) AS n_high FROM s),
+      u AS (SELECT chr, start, "end", count(*) FILTER (abs(cov_norm - m) <= 2.0 * sd AND n_high <= 3) AS n_ok FROM t GROUP BY ALL)
+      SELECT * FROM u WHERE n_ok > 0.8::DOUBLE * (SELECT count(DISTINCT sample) FROM cov)""",
+    "snp_point_in_region": V("g_panel") + """, r AS (SELECT *, row_number() OVER (ORDER BY ordinal) AS region_id FROM g_panel),
+      p AS (SELECT p_partkey AS site, p_brand AS chr, p_partkey * 1000 + p_size * 131 % 3000 AS pos, 2 * (p_size / 51.0::DOUBLE) * (1 - p_size / 51.0::DOUBLE) AS het FROM part),
+      o AS (SELECT site, p.chr, pos, region_id, row_number() OVER (PARTITION BY p.chr, pos ORDER BY region_id, het DESC, site) AS n FROM p JOIN r ON p.chr = r.chr AND pos BETWEEN r.start AND r."end")
+      SELECT site, chr, pos, region_id FROM o WHERE n = 1""",
+    "allele_pivot": _ALLELES + " SELECT sample, site, n_a, n_c, n_g, n_t, alt_count, ref_count FROM counted",
+    "het_prior_and_depth_filter": _ALLELES + " SELECT sample, site, cov, round(2 * baf * (1 - baf), 6) AS pop_het FROM counted QUALIFY max(cov) OVER (PARTITION BY site) > 20",
+    "sample_correlation": V("g_cov") + """, r AS (SELECT x.sample AS a, y.sample AS b, corr(x.cov_raw, y.cov_raw) AS r FROM g_cov x JOIN g_cov y USING (chr, start) GROUP BY ALL)
+      SELECT a, b, round(r, 6) AS r, round(CASE WHEN a = b THEN 1.0 ELSE greatest(0, coalesce(r, 0)) END, 6) AS weight FROM r""",
+    "weighted_mean_sd": V("g_cov") + """, r AS (SELECT x.sample AS a, y.sample AS b, corr(x.cov_raw, y.cov_raw) AS r FROM g_cov x JOIN g_cov y USING (chr, start) GROUP BY ALL),
+      w AS (SELECT a, b, CASE WHEN a = b THEN 1.0 ELSE greatest(0, coalesce(r, 0)) END AS w FROM r),
+      m AS (SELECT a, chr, start, cov_raw, w, sum(cov_raw * w) OVER (PARTITION BY a, chr, start) / sum(w) OVER (PARTITION BY a, chr, start) AS wm FROM w JOIN g_cov ON g_cov.sample = b WHERE w > 0),
+      s AS (SELECT a, chr, start, min(wm) AS wm, sqrt(sum(w * (cov_raw - wm) * (cov_raw - wm)) / nullif((count(*) - 1) / count(*)::DOUBLE * sum(w), 0)) AS sd FROM m GROUP BY ALL)
+      SELECT a AS sample, chr, start, round(wm, 5) AS w_mean, round(CASE WHEN sd IS NULL OR isnan(sd) OR sd = 0 THEN 1.0 ELSE sd END, 5) AS w_sd FROM s""",
+    "nb_likelihood": _NB + " SELECT sample, chr, start, state::INT AS state, round(nll, 6) AS nll FROM costs",
+    "normal_tail_likelihood": V("g_cov") + f""", m AS (SELECT sample, chr, start, cov_raw::DOUBLE AS k, avg(cov_raw) OVER (PARTITION BY sample) AS m, stddev_samp(cov_raw) OVER (PARTITION BY sample) AS sd FROM g_cov),
+      z AS (SELECT sample, chr, start, state, abs((k - m * (0.75::DOUBLE * half + 0.25::DOUBLE)) / sd) / sqrt(2.0::DOUBLE) AS y FROM m, {_COPIES}),
+      nb AS (SELECT sample, chr, start, state, {_ERF_T} * ({_A1} + {_ERF_T} * ({_A2} + {_ERF_T} * ({_A3} + {_ERF_T} * ({_A4} + {_ERF_T} * {_A5})))) * exp(-y * y) AS p FROM z),
+      {_costs("nb", "sample, chr, start")} SELECT sample, chr, start, state::INT AS state, round(nll, 6) AS nll FROM costs""",
+    "snp_state_posterior": _snp() + " SELECT sample, site, state::INT AS state, round(nll, 6) AS nll FROM snp_costs",
+    "probability_profile": _NB + ", profile AS (SELECT chr, start, state, avg(exp(-nll)) AS p FROM costs GROUP BY ALL) SELECT chr, start, state::INT AS state, round(p / sum(p) OVER (PARTITION BY chr, start), 6) AS share FROM profile",
+    "run_length_segments": _RUNS + " SELECT sample, chr, start, cn_pred, cn_id FROM runs",
+    "distance_break_groups": V("g_calls") + """, k AS (SELECT * FROM g_calls WHERE start // 86400 % 7 NOT IN (3, 4, 5)),
+      f AS (SELECT *, CASE WHEN lead(start) OVER w - "end" > 200000 THEN 1 ELSE 0 END AS brk, CASE WHEN cn_pred = lag(cn_pred) OVER w THEN 0 ELSE 1 END AS fresh FROM k WINDOW w AS (PARTITION BY sample, chr ORDER BY start)),
+      g AS (SELECT *, CAST(1 + coalesce(sum(brk) OVER (PARTITION BY sample, chr ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS join_region_id, CAST(sum(fresh) OVER (PARTITION BY sample, chr ORDER BY start) AS BIGINT) AS cn_id FROM f)
+      SELECT sample, chr, start, join_region_id, cn_id, cn_id || '_' || join_region_id AS segment_id FROM g""",
+    "segment_rollup_median": _RUNS + ' SELECT sample, chr, cn_id, cn_pred, start, "end", length, round(median_cov, 6) AS median_cov, round(median_sd_distance, 6) AS median_sd_distance, n_regions FROM rolled',
+    "top3_longest_segments": _RUNS + ' SELECT sample, place, chr, start, "end", cn_pred, length FROM top WHERE place <= 3',
+    "purity_from_segments": _RUNS + """, normal AS (SELECT sample, median(cov) AS norm_cov FROM g_calls WHERE cn_pred = '2' GROUP BY sample),
+      genome AS (SELECT sample, sum(e) AS genome_size FROM (SELECT sample, chr, max("end") AS e FROM g_calls GROUP BY ALL) GROUP BY sample),
+      implied AS (SELECT sample, length, (median_cov / nullif(norm_cov, 0) - 1) / nullif(cn_pred::DOUBLE / 2 - 1, 0) AS x FROM top JOIN normal USING (sample) WHERE place <= 3),
+      mean AS (SELECT sample, sum(x * length) / sum(length) AS m, sum(length) AS total FROM implied WHERE x IS NOT NULL GROUP BY sample)
+      SELECT sample, round(least(0.99, m), 6) AS purity, round(sqrt(sum(length * (x - m) * (x - m)) / sum(length)), 6) AS purity_sd, round(total / 1e6, 6) AS total_mbp, round(round(100 * total / genome_size::DOUBLE, 6), 6) AS genome_percent
+      FROM implied JOIN mean USING (sample) JOIN genome USING (sample) WHERE x IS NOT NULL GROUP BY sample, m, total, genome_size""",
+    "rolling_mean_10": V("g_calls") + """ SELECT sample, chr, start, round(CASE WHEN count(*) OVER w = 10 THEN avg(cov) OVER w ELSE 0 END, 6) AS roll_mean, CASE WHEN count(*) OVER w = 10 THEN sum(cov) OVER w ELSE 0 END AS roll_sum
+      FROM g_calls WINDOW w AS (PARTITION BY sample, chr ORDER BY start ROWS BETWEEN 4 PRECEDING AND 5 FOLLOWING)""",
+    "chromosome_extents": V("g_panel") + """ SELECT chr, min(n) AS first, max(n) AS last, (min(n) + max(n)) / 2.0::DOUBLE AS middle FROM (SELECT chr, row_number() OVER (ORDER BY chr, start, "end") AS n FROM (SELECT DISTINCT chr, start, "end" FROM g_panel)) GROUP BY chr""",
+    "central_window_depth": V("g_reads") + """, p AS (SELECT sample, chr, value, row_number() OVER (PARTITION BY sample, chr ORDER BY event_id) AS i, count(*) OVER (PARTITION BY sample, chr) AS n FROM g_reads)
+      SELECT sample, chr, round(avg(value) FILTER (n <= 10 OR (i >= floor((n - 9) / 2.0) + 1 AND i < floor((n - 9) / 2.0) + 10)), 6) AS depth, max(n) AS n FROM p GROUP BY ALL""",
+    "cohort_recurrence": V("g_calls") + """, c AS (SELECT chr, start, "end", cn_pred, count(DISTINCT sample) AS cnv_in_cohort FROM g_calls GROUP BY ALL)
+      SELECT sample, chr, start, cn_pred, cnv_in_cohort, n AS samples_in_cohort, CASE WHEN cn_pred <> '2' AND cnv_in_cohort / n::DOUBLE > 0.3 THEN '2' ELSE cn_pred END AS final_cn
+      FROM g_calls JOIN c USING (chr, start, "end", cn_pred), (SELECT count(DISTINCT sample) AS n FROM g_calls)""",
+    "cohort_antijoin_union": V("g_cov") + " SELECT sample, chr, start, cov_raw, CASE WHEN sample < 's7' THEN 'call' ELSE 'cohort' END AS type FROM g_cov",
+    "previous_cohort_freq": V("g_calls") + """, e AS (SELECT chr, start, cn_pred, count(DISTINCT sample) AS n FROM g_calls WHERE sample >= 's7' GROUP BY ALL)
+      SELECT sample, chr, start, cn_pred, coalesce(n, 0) AS earlier FROM g_calls LEFT JOIN e USING (chr, start, cn_pred) WHERE sample < 's7'""",
+    "control_sample_diff": V("g_cov") + """, d AS (SELECT t.sample, t.chr, t.start, t."end", (t.cov_raw - c.cov_raw) / nullif(c.cov_raw, 0)::DOUBLE AS diff FROM g_cov t JOIN g_cov c USING (chr, start) WHERE c.sample = 's0' AND t.sample <> 's0'),
+      o AS (SELECT *, count(*) OVER (PARTITION BY chr, start) AS in_samples FROM d WHERE abs(diff) > 0.9),
+      f AS (SELECT *, CASE WHEN start - lag("end") OVER (PARTITION BY sample, chr ORDER BY start) <= 200000 THEN 0 ELSE 1 END AS fresh FROM o),
+      g AS (SELECT *, CAST(sum(fresh) OVER (PARTITION BY sample, chr ORDER BY start) AS BIGINT) AS stretch FROM f)
+      SELECT sample, chr, stretch, min(start) AS start, max("end") AS "end", round(avg(diff), 6) AS mean_diff, round(avg(in_samples), 6) AS mean_in_samples, count(*) AS n_regions FROM g GROUP BY sample, chr, stretch""",
+    "sample_comparison": _RUNS + f""" SELECT target, compared, t.chr, t.cn_id AS target_cn_id, c.cn_id AS compared_cn_id, min(t.start) AS start, max(t."end") AS "end", any_value(t.cn_pred::INT - c.cn_pred::INT) AS cn_difference,
+      round(median(t.cov), 6) AS target_median, round(median(c.cov), 6) AS compared_median, round(median(t.cov) - median(c.cov), 6) AS median_difference
+      FROM {_SPEC} JOIN runs t ON t.sample = target JOIN runs c ON c.sample = compared AND c.chr = t.chr AND c.start = t.start GROUP BY ALL""",
+    "comparison_spec_pairs": """SELECT DISTINCT split_part(p, '::', 1) AS target, split_part(p, '::', 2) AS compared FROM (SELECT unnest(string_split('s' || n_nationkey % 3 || '::s' || n_nationkey % 5 || '|s0::' || n_name, '|')) AS p FROM nation)""",
+    "tumor_normal_pairs": """WITH s AS (SELECT c_name, c_custkey // 2 AS donor, c_custkey % 2 = 0 AS t FROM customer) SELECT x.donor, x.c_name AS tumor, y.c_name AS normal FROM s x JOIN s y ON x.donor = y.donor AND x.t AND NOT y.t""",
+    "grid_completion": V("g_cov") + """, k AS (SELECT * FROM g_cov WHERE cov_raw > 200 AND start // 86400 % 3 <> 0)
+      SELECT s.sample, r.chr, r.start, r."end", coalesce(k.cov_raw, 0)::DOUBLE AS cov FROM (SELECT DISTINCT chr, start, "end" FROM k) r CROSS JOIN (SELECT DISTINCT sample FROM k) s LEFT JOIN k ON k.sample = s.sample AND k.chr = r.chr AND k.start = r.start""",
+    "segment_to_cn": _PURE + ' SELECT contig, start, "end", log2, cn, svtype, gt FROM seg',
+    "cn_without_purity": _segment_cn("raw") + ' SELECT contig, start, "end", log2, cn, svtype, gt FROM seg',
+    "vcf_records": _PURE + """ SELECT contig || chr(9) || start || chr(9) || '.' || chr(9) || 'N' || chr(9) || '<' || svtype || '>' || chr(9) || '.' || chr(9) || 'PASS' || chr(9) || 'END=' || "end" || ';SVTYPE=' || svtype || ';LOG2=' || printf('%.6f', log2) || chr(9) || 'GT:CN' || chr(9) || gt || ':' || printf('%.2f', cn) AS value FROM seg WHERE svtype <> 'COPY_NORMAL'""",
+    "small_variant_filters": _SMALL + """, f AS (SELECT *, list_filter([
+        CASE WHEN dp < 3 AND hicnt * hiaf < 0.5 THEN 'd3' END, CASE WHEN hicnt < 2 AND hicnt * hiaf < 0.5 THEN 'v2' END, CASE WHEN af < 0.05 THEN 'f0.05' END, CASE WHEN pmean < 8 THEN 'p8' END, CASE WHEN pstd = 0 AND af < 0.35 THEN 'pSTD' END,
+        CASE WHEN qual < 22.5 THEN 'q22.5' END, CASE WHEN mapq < 10 AND af < 0.8 THEN 'Q10' END, CASE WHEN sn < 1.5 THEN 'SN1.5' END, CASE WHEN nm > 7 THEN 'NM7' END,
+        CASE WHEN dl = msilen AND ((msi > 12 AND msilen > 1 AND af < 0.2) OR (msi >= 13 AND msilen = 1 AND af <= 0.275)) THEN 'MSI12' END,
+        CASE WHEN hiaf < 0.25 AND bias = '2;1' AND sbf < 0.01 AND (odds > 5 OR odds = 0) AND span < 100 THEN 'Bias' END,
+        CASE WHEN dl = msilen AND ((hiaf <= 0.275 AND msi >= 13) OR (hiaf <= 0.2 AND msi >= 8 AND msilen > 1)) THEN 'LongMSI' END], lambda x: x IS NOT NULL) AS t FROM w)
+      SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice, CASE WHEN len(t) = 0 THEN 'PASS' ELSE array_to_string(t, ';') END AS filter,
+        CASE WHEN 1 - af < 0.2 THEN '1/1' WHEN af >= 0.5 THEN '1/0' WHEN af >= 0.05 THEN '0/1' ELSE '0/0' END AS gt, CASE WHEN vd <= 1 THEN 0 ELSE floor(round(log2(vd) * qual, 9)) END::BIGINT AS qual_vcf FROM f""",
+    "best_variant_per_pos": """SELECT chr, pos, af, l_partkey, l_suppkey, l_linenumber FROM (SELECT l_returnflag AS chr, l_orderkey AS pos, l_discount AS af, l_partkey, l_suppkey, l_linenumber,
+      row_number() OVER (PARTITION BY l_returnflag, l_orderkey ORDER BY l_discount DESC, l_partkey, l_suppkey, l_linenumber, l_extendedprice) AS n FROM lineitem) WHERE n = 1""",
+    "cluster_filter": """SELECT chr, pos, passes, passes AND (coalesce(pos - lag(pos) OVER w < 3, false) OR coalesce(lead(pos) OVER w - pos < 3, false)) AS clustered
+      FROM (SELECT o_orderstatus AS chr, o_orderkey AS pos, o_totalprice > 200000 AS passes FROM orders) WINDOW w AS (PARTITION BY chr, passes ORDER BY pos)""",
+    "annotation_filter": "SELECT l_orderkey, l_partkey, l_suppkey, l_extendedprice FROM lineitem WHERE l_quantity::INT > 40 AND l_discount >= 0.05",
+    "typed_line_filter": """SELECT value FROM (SELECT p_partkey || chr(9) || 'TYPE=' || list_extract(['SNV', 'DUP', 'INV', 'DEL', 'Insertion'], (1 + p_size % 5)::INT) AS value FROM part) WHERE NOT regexp_matches(value, 'TYPE=[DI][UNE][PVL]')""",
+    "reciprocal_overlap_merge": "WITH RECURSIVE " + _svs("s") + f""", e AS (SELECT a.id AS a, b.id AS b FROM s a JOIN s b ON {_RECIPROCAL} AND a.id <> b.id),
+      r(id, root) AS (SELECT id, id FROM s UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.root) SELECT id, min(root) AS "group" FROM r GROUP BY id""",
+    "sv_population_frequency": "WITH " + _svs("s") + ", " + _svs("t", 25) + f""", c AS (SELECT id, chr, start, "end", svtype FROM s WHERE p_size % 3 <> 0), d AS (SELECT * FROM t WHERE p_size % 3 = 0),
+      m AS (SELECT a.id, b.p_size AS ac, row_number() OVER (PARTITION BY a.id ORDER BY least(a."end", b."end") - greatest(a.start, b.start) DESC, b.id) AS n FROM c a JOIN d b ON {_RECIPROCAL})
+      SELECT c.*, ac::BIGINT AS ac, ac / 100.0::DOUBLE AS freq FROM c LEFT JOIN m ON m.id = c.id AND m.n = 1""",
+    "multi_caller_regions": "WITH " + _svs("s") + ", " + _svs("t", 25) + """ SELECT a.id, array_to_string(list_sort(list(DISTINCT b.p_name)), ',') AS region_names, count(*) AS n_regions
+      FROM s a JOIN t b ON a.chr = b.chr AND a.start <= b."end" AND b.start <= a."end" WHERE a.p_size % 3 <> 0 AND b.p_size % 3 = 0 GROUP BY a.id""",
+    "genotype_class_posterior": _ALLELES + """, s AS (SELECT sample, site, c.name, c.i, alt_count * ln(p) + ref_count * ln(1 - p) + ln(w) AS score FROM counted,
+      (VALUES (0, 'HOM_REF', 0.01::DOUBLE, 1.0::DOUBLE), (1, 'HET', 0.5, 1.0), (2, 'HOM_ALT', 0.99, 1.0), (3, 'TRI', 1 / 3.0::DOUBLE, 0.01), (4, 'TRI', 2 / 3.0::DOUBLE, 0.01), (5, 'QUAD', 0.25, 0.005), (6, 'QUAD', 0.75, 0.005)) c(i, name, p, w)),
+      t AS (SELECT *, max(score) OVER (PARTITION BY sample, site) AS top FROM s)
+      SELECT sample, site, arg_min(name, i) FILTER (score = top) AS class, round(1 / sum(exp(score - top)), 6) AS posterior FROM t GROUP BY sample, site""",
+    "transition_cost_table": f"""WITH w(i, s, w) AS (VALUES {_W}), p AS (SELECT i, s, w / (SELECT sum(w) FROM w) AS p FROM w), top AS (SELECT max(p) AS top FROM p),
+      raw AS (SELECT f.s AS source, t.s AS target, t.p AS prior, CASE WHEN f.s = '2' THEN t.p WHEN f.s = t.s THEN top WHEN t.s = '2' THEN 1 / 7.0::DOUBLE ELSE t.p END AS m FROM p f, p t, top),
+      normed AS (SELECT source, target, prior, m / sum(m) OVER (PARTITION BY source) AS p FROM raw), near AS (SELECT 1 - 1 / (1 + exp(-(60000.0::DOUBLE - 50000) / 10000)) AS t)
+      SELECT source, target, round(p, 6) AS p, round(-ln(t * p + (1 - t) * prior), 6) AS cost FROM normed, near""",
+    "axis_percentile": _PURE + " SELECT contig, round(greatest(0.1, list_extract(list_sort(list(abs(cn - 2))), (1 + floor(count(*) * 0.99::DOUBLE))::INT)), 6) AS axis_limit FROM seg GROUP BY contig",
+}
+SQL["evidence_sum"] = (
+    _NB
+    + ", "
+    + _snp().removeprefix("WITH ")
+    + """, placed AS (SELECT c.sample, h.chr, h.pos // 86400 * 86400 AS start, c.state, c.nll FROM snp_costs c JOIN hom h USING (sample, site)),
+  every AS (SELECT sample, chr, start, state, nll FROM costs UNION ALL SELECT p.* FROM placed p SEMI JOIN g_bins USING (chr, start))
+  SELECT sample, chr, start, state::INT AS state, round(sum(nll), 4) AS nll FROM every GROUP BY ALL"""
+)
