@@ -42,6 +42,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """A column name for each of ``names`` that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    mark = "__"
+    while any((mark + n).lower() in taken for n in names):
+        mark += "_"
+    return [mark + n for n in names]
+
+
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z lower-cased and every other character as it is."""
     plain = F.length(text) == F.octet_length(text)

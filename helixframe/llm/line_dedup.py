@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, ascii_lower
+from .common import SPACES, ascii_lower, unused
 
 #: At most so many keys can have one part in so many of the sampled lines.
 FREQUENT_KEYS = 2000
@@ -96,8 +96,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Each row of ``docs`` gives one row. A null or empty text is one empty line, which stays. Added
     columns replace columns of the same names.
     """
-    found = line_bitmaps(docs, id_col, text_col, min_chars).select(F.col("doc").alias("__doc"), F.col("text_key").alias("__key"), F.col("n_dropped").alias("__n"), F.col("keep_bitmap").alias("__keep"))
-    joined = docs.join(found, (docs[id_col] == F.col("__doc")) & (F.xxhash64(docs[text_col]) == F.col("__key")), "left")
+    doc, key, gone, keep = unused(docs, "doc", "key", "gone", "keep")
+    found = line_bitmaps(docs, id_col, text_col, min_chars)
+    found = found.select(F.col("doc").alias(doc), F.col("text_key").alias(key), F.col("n_dropped").alias(gone), F.col("keep_bitmap").alias(keep))
+    joined = docs.join(found, (docs[id_col] == F.col(doc)) & (F.xxhash64(docs[text_col]) == F.col(key)), "left")
     n_lines = F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).cast("long")
-    added = {"n_lines": n_lines, "n_dropped": F.coalesce("__n", F.lit(0).cast("long")), "kept_text": kept_text(F.col(text_col), F.col("__keep"))}
+    added = {"n_lines": n_lines, "n_dropped": F.coalesce(gone, F.lit(0).cast("long")), "kept_text": kept_text(F.col(text_col), F.col(keep))}
     return joined.select(*[c for c in docs.columns if c not in added], *[v.alias(k) for k, v in added.items()])

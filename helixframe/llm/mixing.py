@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, word_count
+from .common import materialize, unused, word_count
 
 #: Hexadecimal digits of the key that number a range within a source.
 RANGE_DIGITS = 3
@@ -94,10 +94,11 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     taken = mix_sources(docs, id_col, text_col, source_col, **options)
     # One row for each distinct (id, text, source): equal rows are taken together.
-    own = [F.col("doc").alias("__doc"), F.col("text_key").alias("__key"), F.col("source").alias("__source")]
-    times = taken.groupBy(*own).agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows")).where("__copies > 0")
-    on = docs[id_col].eqNullSafe(times["__doc"]) & (F.xxhash64(docs[text_col]) == times["__key"]) & docs[source_col].eqNullSafe(times["__source"])
-    rank = F.row_number().over(Window.partitionBy("__doc", "__key", "__source").orderBy(F.lit(0)))
-    share = F.expr("cast(__copies div __rows + if(__rank <= __copies % __rows, 1, 0) as int)")
-    joined = docs.join(times, on).withColumn("__rank", rank)
-    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), share))).select(*docs.columns)
+    doc, key, source, copies, rows, rank, copy = unused(docs, "doc", "key", "source", "copies", "rows", "rank", "copy")
+    own = [F.col("doc").alias(doc), F.col("text_key").alias(key), F.col("source").alias(source)]
+    times = taken.groupBy(*own).agg(F.sum("copies").alias(copies), F.count("*").alias(rows)).where(F.col(copies) > 0)
+    on = docs[id_col].eqNullSafe(times[doc]) & (F.xxhash64(docs[text_col]) == times[key]) & docs[source_col].eqNullSafe(times[source])
+    place = F.row_number().over(Window.partitionBy(doc, key, source).orderBy(F.lit(0)))
+    share = F.expr(f"cast({copies} div {rows} + if({rank} <= {copies} % {rows}, 1, 0) as int)")
+    joined = docs.join(times, on).withColumn(rank, place)
+    return joined.withColumn(copy, F.explode(F.array_repeat(F.lit(1), share))).select(*docs.columns)

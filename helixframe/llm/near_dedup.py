@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_texts, materialize
+from .common import map_texts, materialize, unused
 from .components import UnionFind, connected_components
 from .superminhash import Shingles, bands, signature
 
@@ -192,5 +192,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
     """``docs`` with one document of each group, that of the smallest id. Rows with null ids stay."""
-    gone = near_duplicates(docs, id_col, text_col, percent).where("not kept").select(F.col("doc").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    (name,) = unused(docs, "gone")
+    gone = near_duplicates(docs, id_col, text_col, percent).where("not kept").select(F.col("doc").alias(name)).distinct()
+    return docs.join(gone, docs[id_col] == gone[name], "left_anti")

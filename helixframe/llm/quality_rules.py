@@ -25,7 +25,7 @@ LEVEL = 3
 #: above what labelled good documents of four languages show at each length, with room on both sides.
 DOCUMENT_BANDS = (
     (128, 0.50, 1.40), (256, 0.45, 1.10), (512, 0.50, 0.90), (1024, 0.46, 0.82), (2048, 0.44, 0.72), (4096, 0.425, 0.65),
-    (8192, 0.41, 0.62), (16384, 0.40, 0.60), (65536, 0.385, 0.60), (float("inf"), 0.36, 0.60),
+    (8192, 0.41, 0.62), (16384, 0.40, 0.60), (65536, 0.37, 0.60), (float("inf"), 0.28, 0.60),
 )
 #: The same for chunks; texts of under two whole chunks are judged by the whole ratio alone.
 CHUNK_BAND = (0.43, 0.62)

@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .piece_lattice import Sampler, Vocabulary
 
@@ -94,6 +95,4 @@ def decode_pieces(encoded: DataFrame, ids_col: str = "ids", model_path: str = MO
             texts = [None if x is None else vocabulary.decode(np.array(x, np.int64)) for x in ids]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, text_col])
 
-    from pyspark.sql.types import StringType
-
-    return kept.mapInArrow(run, kept.schema.add(text_col, StringType()))
+    return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField(text_col, StringType())]))
