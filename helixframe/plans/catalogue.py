@@ -311,7 +311,7 @@ def _small(s, d):
     i = views.table(s, d, "lineitem")
     c = F.col
     return i.select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", c("l_returnflag").alias("chr"), c("l_orderkey").alias("pos"), (c("l_orderkey") + c("l_linenumber") * 30).alias("end"),
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", c("l_returnflag").alias("chr"), c("l_orderkey").alias("pos"), c("l_orderkey").alias("start"), (c("l_orderkey") + c("l_linenumber") * 30).alias("end"),
         F.substring(F.lit("AAAA"), F.lit(1), 1 + c("l_partkey") % 3).alias("ref"), F.lit("A").alias("alt"), c("l_quantity").alias("dp"), c("l_linenumber").alias("vd"), c("l_discount").alias("af"), (c("l_tax") * 4).alias("hiaf"), c("l_linenumber").alias("hicnt"),
         (c("l_suppkey") % 20).alias("pmean"), (c("l_partkey") % 2).alias("pstd"), c("l_quantity").alias("qual"), (c("l_partkey") % 60).alias("mapq"), (c("l_linenumber") * F.lit(0.7)).alias("sn"), (c("l_suppkey") % 10).alias("nm"),
         (c("l_partkey") % 15).alias("msi"), (c("l_linenumber") % 3).alias("msilen"), F.when(c("l_linenumber") % 2 == 0, "2;1").otherwise("2;2").alias("bias"), (c("l_tax") / 10).alias("sbf"), (c("l_quantity") / 10).alias("oddratio"),
