@@ -3,8 +3,8 @@
 Edges point from a node to a smaller one. In each round a node's targets are hooked to the smallest
 of them, and every edge jumps to its target's own smallest target, until all edges are stars.
 Partitions first contract their edges with union-find. Every round is written to the shared folder,
-so lineage stays short and no part of the graph is held by the driver. A node's own edges are few; a
-target that very many point to is met in a join, whose large partitions Spark splits.
+so lineage stays short and no part of the graph is held by the driver. A node's own edges are few;
+the few targets that very many edges point to are broadcast.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from .common import materialize
 
 #: Edges that a task contracts at once.
 BATCH_EDGES = 1 << 18
+HUBS = 1000
 
 
 class UnionFind:
@@ -74,7 +75,13 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         least = F.min("b").over(Window.partitionBy("a"))
         hooked = stars.withColumn("m", least).select(F.inline(F.array(F.struct(F.col("a").alias("x"), F.col("m").alias("y")), F.struct(F.col("b").alias("x"), F.col("m").alias("y"))))).where("x != y")
         parents = stars.groupBy(F.col("a").alias("y")).agg(F.min("b").alias("up"))
-        stars = materialize(hooked.join(parents, "y", "left").select(F.col("x").alias("a"), F.coalesce("up", "y").alias("b")).distinct())
+        # Targets of one part in HUBS of all edges or more, at most HUBS, are broadcast, and the rows that
+        # point to them spread by their own end.
+        hubs = stars.groupBy(F.col("b").alias("y")).agg(F.count("*").alias("n")).where(F.col("n") * HUBS >= stars.count()).select("y")
+        hubs = hubs.join(parents, "y", "left").select("y", F.coalesce("up", "y").alias("hub_up"))
+        met = hooked.join(F.broadcast(hubs), "y", "left").withColumn("key", F.when(F.col("hub_up").isNull(), F.col("y")).otherwise(F.xxhash64("x")))
+        jumped = met.join(parents.select(F.col("y").alias("key"), "up"), "key", "left")
+        stars = materialize(jumped.select(F.col("x").alias("a"), F.coalesce("hub_up", "up", "y").alias("b")).distinct())
     else:
         raise RuntimeError("the components' stars have not settled")
     own = stars.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
