@@ -1,8 +1,9 @@
 """Media columns: chroma fingerprints of an audio column, and recordings aligned by them.
 
 Recordings with equal fingerprints are one class. A stated set of queries is matched against all
-classes in blocks of a bounded size, which are broadcast: equal integers of a query and a recording
-vote for their offset, and the offsets with enough votes are verified by the share of differing bits.
+classes in blocks: each block of queries meets each part of the classes in one task, so a task holds
+one block and streams one part. Equal integers of a query and a recording vote for their offset, and
+the offsets with most votes are verified by the share of differing bits.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ from pyspark.sql import functions as F
 from . import chroma
 from .common import materialize
 
-#: Query classes of a block; a fingerprint has four bytes for each hop of audio.
-BLOCK_QUERIES = 2048
-BLOCK_BYTES = 64 << 20
+#: Bytes of the queries' fingerprints that a block holds, about; four for each hop of audio.
+BLOCK_BYTES = 8 << 20
+#: Classes of a part, about.
+PART_CLASSES = 2048
 VOTES = 3
 OFFSETS = 3
 LARGEST_ERROR = 0.20
@@ -92,7 +94,26 @@ class _Block:
         return result
 
 
-def match_recordings(prints: DataFrame, is_query, block_queries: int = BLOCK_QUERIES) -> tuple[DataFrame, DataFrame]:
+def _met(batches):
+    """Rows (block, part, side, class_id, fingerprint), sorted: a block's queries, then a part's classes."""
+    schema = pa.schema([("class_id", pa.int64()), ("match_id", pa.int64()), ("offset", pa.int64()), ("bit_error", pa.float64())])
+    key, ids, prints, index = None, [], [], None
+    for batch in batches:
+        rows = []
+        for block, part, side, class_id, raw in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            if (block, part) != key:
+                key, ids, prints, index = (block, part), [], [], None
+            if side == 0:
+                ids.append(class_id), prints.append(raw)
+                continue
+            if not ids:
+                continue
+            index = index or _Block(ids, prints)
+            rows += [(q, class_id, offset, error) for q, offset, error in index.matches(np.frombuffer(raw, "<u4")) if q != class_id]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+
+def match_recordings(prints: DataFrame, is_query, block_bytes: int = BLOCK_BYTES, part_classes: int = PART_CLASSES) -> tuple[DataFrame, DataFrame]:
     """(members, matches) of a fingerprint table.
 
     members: (id, n_ints, class_id) for each row, class_id the smallest id with the same integers,
@@ -104,37 +125,16 @@ def match_recordings(prints: DataFrame, is_query, block_queries: int = BLOCK_QUE
     known = prints.where("k1 is not null and id is not null")
     classes = known.groupBy("k1", "k2").agg(F.min("id").alias("class_id"), F.max(is_query.cast("int")).alias("asked"))
     members = prints.join(classes, ["k1", "k2"], "left").select("id", "n_ints", F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"))
-    leaders = materialize(known.join(classes, ["k1", "k2"]).where("id = class_id").select("class_id", "fingerprint", "asked"))
-    queries = leaders.where("asked = 1").select("class_id", "fingerprint")
-    found, block, held, context = None, [], 0, prints.sparkSession.sparkContext
-
-    def matched(block):
-        shared = context.broadcast(([r[0] for r in block], [bytes(r[1]) for r in block]))
-
-        def run(batches):
-            index = _Block(*shared.value)
-            schema = pa.schema([("class_id", pa.int64()), ("match_id", pa.int64()), ("offset", pa.int64()), ("bit_error", pa.float64())])
-            for batch in batches:
-                rows = []
-                for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    rows += [(q, key, offset, error) for q, offset, error in index.matches(np.frombuffer(raw, "<u4")) if q != key]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
-
-        made = leaders.select("class_id", "fingerprint").mapInArrow(run, "class_id long, match_id long, offset long, bit_error double")
-        return materialize(made)
-
-    # One partition's queries at a time come to the driver, and leave it in blocks.
-    for row in queries.toLocalIterator():
-        block.append(row)
-        held += len(row[1])
-        if len(block) >= block_queries or held >= BLOCK_BYTES:
-            found, block, held = (matched(block) if found is None else found.unionByName(matched(block))), [], 0
-    if block or found is None:
-        if block:
-            found = matched(block) if found is None else found.unionByName(matched(block))
-        else:
-            found = leaders.select("class_id", F.col("class_id").alias("match_id"), F.lit(0).cast("long").alias("offset"), F.lit(0.0).alias("bit_error")).limit(0)
-    return members, found
+    leaders = known.join(classes, ["k1", "k2"]).where("id = class_id").select("class_id", "fingerprint", "asked")
+    leaders = materialize(leaders.dropDuplicates(["class_id"]))
+    n, held = leaders.agg(F.count("*"), F.coalesce(F.sum(F.when(F.col("asked") == 1, F.octet_length("fingerprint"))), F.lit(0))).first()
+    blocks, parts = max(1, -(-held // block_bytes)), max(1, -(-n // part_classes))
+    number = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), "class_id"), F.lit(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    asked = leaders.where("asked = 1").select(number(1, blocks).alias("block"), every(parts).alias("part"), F.lit(0).alias("side"), "class_id", "fingerprint")
+    all_classes = leaders.select(every(blocks).alias("block"), number(2, parts).alias("part"), F.lit(1).alias("side"), "class_id", "fingerprint")
+    dealt = asked.unionByName(all_classes).repartition("block", "part").sortWithinPartitions("block", "part", "side", "class_id")
+    return members, dealt.mapInArrow(_met, "class_id long, match_id long, offset long, bit_error double")
 
 
 NOTES, NOTE_SAMPLES = 64, 200

@@ -165,7 +165,7 @@ def test_matches_recall_brute_force(spark):
     rows = [(i, None if v is None else [float(x) for x in v]) for i, v in enumerate(vectors)]
     recordings = audio_match.sonified(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
     prints = audio_match.fingerprints(recordings, "id", "audio")
-    members_, matches = audio_match.match_recordings(prints, F.col("id") % 4 == 0, block_queries=2)
+    members_, matches = audio_match.match_recordings(prints, F.col("id") % 4 == 0, block_bytes=400, part_classes=5)
     members_ = {r["id"]: r["class_id"] for r in members_.collect()}
     assert members_[24] == members_[0] == 0 and members_[25] is None and members_[26] is None
     made = {r["id"]: np.frombuffer(r["fingerprint"], "<u4") for r in prints.collect()}
