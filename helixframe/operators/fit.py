@@ -82,6 +82,15 @@ def trimmed_fit(counts: DataFrame, column: str, p: float = 0.1, rounds: int = 6)
     return size, mean, int(n.sum())
 
 
+def outlier_regions(coverage: DataFrame, column: str, p: float) -> DataFrame:
+    """``outlier``: outside the p/2 and 1 - p/2 quantiles of the fitted distribution, ends in; nothing for p of 0."""
+    if p <= 0:
+        return coverage.withColumn("outlier", F.lit(False))
+    size, mean, _ = trimmed_fit(coverage, column, p, 1)
+    low, high = nb_quantile(p / 2, size, mean), nb_quantile(1 - p / 2, size, mean)
+    return coverage.withColumn("outlier", ~((F.col(column) > low) & (F.col(column) < high)))
+
+
 def weighted_nb_fit(rows: DataFrame) -> DataFrame:
     """(chr, start, size, mean) of each region's counts (cov) with weights (weight), one region in a task at a time."""
 

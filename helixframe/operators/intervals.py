@@ -138,3 +138,16 @@ def greedy_groups(regions: DataFrame, most: int) -> DataFrame:
         lambda s: s["out"],
     )
     return regions.groupBy("chr").agg(folded.alias("r")).select("chr", F.inline("r"))
+
+
+def fuse(coverage: DataFrame, group) -> DataFrame:
+    """Neighbouring regions of a sample with an equal ``group`` (a column) as one, depths summed."""
+    fused = coverage.groupBy("sample", "chr", group.alias("group"))
+    return fused.agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("cov_raw").alias("cov_raw"))
+
+
+def at_known_regions(coverage: DataFrame, regions: DataFrame) -> DataFrame:
+    """Coverage rows of regions that the dictionary has, with the name and id of its first such row."""
+    order = Window.partitionBy("chr", "start", "end").orderBy("region_id")
+    first = regions.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    return coverage.join(first, ["chr", "start", "end"])

@@ -89,3 +89,20 @@ def probability_profile(likelihoods: DataFrame) -> DataFrame:
     long = likelihoods.select("chr", "start", F.posexplode("nll").alias("state", "cost"))
     mean = long.groupBy("chr", "start", "state").agg(F.avg(F.exp(-F.col("cost"))).alias("p"))
     return mean.withColumn("share", F.col("p") / F.sum("p").over(Window.partitionBy("chr", "start"))).drop("p")
+
+
+def nb_copy_states(coverage: DataFrame, mean: Column, size: Column, copies: int = 5) -> DataFrame:
+    """``probabilities`` of 0 to copies - 1 copies: mean scaled by c / 2 and size by (c / 2) squared, normalised.
+
+    No copies are taken as a twentieth of one.
+    """
+    halves = F.array(*[F.lit(max(c, 0.05) / 2) for c in range(copies)])
+    return coverage.withColumn("probabilities", _normalised(F.transform(halves, lambda h: F.exp(nb_log_pmf(F.bround("cov").cast("double"), mean * h, size * h * h)))))
+
+
+def path_cost(likelihoods: DataFrame) -> DataFrame:
+    """(sample, cost): the decoder's cost alone, summed over a sample's chromosomes."""
+    from .hmm import decode
+
+    by_chr = decode(likelihoods).groupBy("sample", "chr").agg(F.first("chr_cost").alias("chr_cost"))
+    return by_chr.groupBy("sample").agg(F.sum("chr_cost").alias("cost"))

@@ -415,6 +415,36 @@ def greedy_region_groups(s, d):
     return intervals.greedy_groups(views.panel(s, d), 100_000)
 
 
+@query
+def interval_fusion(s, d):
+    return intervals.fuse(views.coverage(s, d), F.expr("start div 86400 div 3"))
+
+
+@query
+def cohort_region_join(s, d):
+    regions = views.bins(s, d).where("start div 86400 % 4 != 0").withColumn("region_name", F.concat("chr", F.lit("_"), F.col("start").cast("string")))
+    twice = regions.withColumn("region_id", F.col("start") + 1).unionByName(regions.withColumn("region_id", F.col("start") + 2))
+    return intervals.at_known_regions(views.coverage(s, d), twice).select("sample", "chr", "start", "region_name", "region_id", "cov_raw")
+
+
+@query
+def nb_copy_states(s, d):
+    own = Window.partitionBy("sample")
+    rows = _plain(s, d).withColumn("m", F.avg("cov").over(own)).withColumn("v", F.var_samp("cov").over(own))
+    rows = likelihood.nb_copy_states(rows, F.col("m"), F.col("m") * F.col("m") / F.greatest(F.col("v") - F.col("m"), F.lit(1e-6) * F.col("m")))
+    return rounded(rows.select("sample", "chr", "start", F.posexplode("probabilities").alias("copies", "p")), "p")
+
+
+@query
+def sample_path_cost(s, d):
+    return rounded(likelihood.path_cost(_nb(s, d)), "cost", digits=4)
+
+
+@query
+def outlier_regions(s, d):
+    return fit.outlier_regions(views.coverage(s, d), "cov_raw", 0.1).select("sample", "chr", "start", "cov_raw", "outlier")
+
+
 @query
 def cnv_caller_end_to_end(s, d):
     return call_copy_numbers(views.coverage(s, d), CallerConfig())

@@ -231,3 +231,12 @@ SQL["evidence_sum"] = (
   every AS (SELECT sample, chr, start, state, nll FROM costs UNION ALL SELECT p.* FROM placed p SEMI JOIN g_bins USING (chr, start))
   SELECT sample, chr, start, state::INT AS state, round(sum(nll), 4) AS nll FROM every GROUP BY ALL"""
 )
+SQL["interval_fusion"] = V("g_cov") + ' SELECT sample, chr, start // 86400 // 3 AS "group", min(start) AS start, max("end") AS "end", CAST(sum(cov_raw) AS BIGINT) AS cov_raw FROM g_cov GROUP BY sample, chr, start // 86400 // 3'
+SQL["cohort_region_join"] = V("g_cov") + " SELECT sample, chr, start, chr || '_' || start AS region_name, start + 1 AS region_id, cov_raw FROM g_cov WHERE start // 86400 % 4 <> 0"
+SQL["nb_copy_states"] = (
+    V("g_cov")
+    + """, m AS (SELECT sample, chr, start, cov_raw::DOUBLE AS k, avg(cov_raw) OVER (PARTITION BY sample) AS m, var_samp(cov_raw) OVER (PARTITION BY sample) AS v FROM g_cov),
+  h AS (SELECT sample, chr, start, k, c, m * h AS mu, m * m / greatest(v - m, 1e-6 * m) * h * h AS r FROM m, (VALUES (0, 0.025::DOUBLE), (1, 0.5), (2, 1.0), (3, 1.5), (4, 2.0)) x(c, h)),
+  p AS (SELECT sample, chr, start, c, exp(lgamma(k + r) - lgamma(r) - lgamma(k + 1) + r * ln(r / (r + mu)) + k * ln(mu / (r + mu))) AS p FROM h)
+  SELECT sample, chr, start, c::INT AS copies, round(coalesce(p / nullif(sum(p) OVER (PARTITION BY sample, chr, start), 0), 0), 6) AS p FROM p"""
+)

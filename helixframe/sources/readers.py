@@ -121,3 +121,9 @@ def insert_size(spark: SparkSession, path: str) -> DataFrame:
 
 def freec_calls(spark: SparkSession, path, pattern: str) -> DataFrame:
     return tagged_tsv(spark, path, "chr string, start long, end long, copy_number int, kind string", pattern)
+
+
+def event_kind(path: Column) -> Column:
+    """The kind of event that a caller's per-kind output file holds, from its suffix; null for other files."""
+    found = F.regexp_extract(path, r"_(BP|CloseEndMapped|D|INT_final|INV|LI|RP|SI|TD)$", 1)
+    return F.when(found != "", found)

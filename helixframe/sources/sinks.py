@@ -38,3 +38,8 @@ def append_cohort(coverage: DataFrame, path: str) -> None:
 def drop_typed(lines: DataFrame) -> DataFrame:
     """VCF lines that are of no type DUP, INV or DEL."""
     return lines.where(~F.col("value").rlike("TYPE=[DI][UNE][PVL]"))
+
+
+def caller_config(bams: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(value) one line of BAM path, insert size and sample for each BAM (sample, bam) with a size (sample, mean_insert_size)."""
+    return bams.join(sizes, "sample").select(F.concat_ws("\t", "bam", "mean_insert_size", "sample").alias("value"))

@@ -80,3 +80,14 @@ def test_sinks(spark, tmp_path):
     sinks.write_vcf(lines, "s1", str(tmp_path / "vcf"))
     assert spark.read.text(str(tmp_path / "vcf" / "header")).first()["value"].startswith("##fileformat=VCFv4.2")
     assert spark.read.text(str(tmp_path / "vcf" / "data")).count() == 2
+
+
+def test_caller_config(spark):
+    bams = spark.createDataFrame([("test", "test.bam"), ("other", "o.bam")], "sample string, bam string")
+    sizes = spark.createDataFrame([("test", "200")], "sample string, mean_insert_size string")
+    assert [r["value"] for r in sinks.caller_config(bams, sizes).collect()] == ["test.bam\t200\ttest"]
+
+
+def test_event_kind(spark):
+    paths = spark.createDataFrame([("a/x_INV",), ("a/x_TD",), ("a/x.vcf",)], "p string")
+    assert [r[0] for r in paths.select(readers.event_kind(paths["p"])).collect()] == ["INV", "TD", None]
