@@ -135,13 +135,13 @@ def _with_class(signed: DataFrame) -> DataFrame:
     """(doc, n_shingles, node, bands): the class of each document that has one; bands stay with its namesake.
 
     A class with one part in FREQUENT_CLASSES of all rows or more would meet in one task, so those,
-    at most FREQUENT_CLASSES, are broadcast and their rows spread by id.
+    at most FREQUENT_CLASSES, are broadcast and their rows spread by id, like rows without a class.
     """
     members = signed.where("doc is not null and n_shingles > 0")
     classes = members.groupBy("k1", "k2").agg(F.min("doc").alias("node"), F.count("*").alias("rows"))
     large = classes.where(F.col("rows") * FREQUENT_CLASSES >= signed.count()).select("k1", "k2", F.col("node").alias("large"))
     spread = signed.join(F.broadcast(large), ["k1", "k2"], "left")
-    spread = spread.withColumn("j1", F.when(F.col("large").isNull(), F.col("k1")).otherwise(F.xxhash64("doc"))).withColumn("j2", F.when(F.col("large").isNull(), F.col("k2")))
+    spread = spread.withColumn("j1", F.when(F.col("large").isNull() & F.col("k1").isNotNull(), F.col("k1")).otherwise(F.xxhash64("doc"))).withColumn("j2", F.when(F.col("large").isNull(), F.col("k2")))
     small = classes.select(F.col("k1").alias("j1"), F.col("k2").alias("j2"), "node")
     met = spread.join(small, ["j1", "j2"], "left")
     node = F.when(F.col("doc").isNotNull(), F.coalesce("large", "node"))
@@ -185,7 +185,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared_ids = named.where("node is not null").select("doc", "node").withColumn("first", first).where("node != first").select(F.col("node").alias("a"), F.col("first").alias("b"))
     groups = connected_components(links.unionByName(shared_ids))
 
-    found = named.join(groups, "node", "left")
+    # Rows without a class have nothing to meet; their ids spread them.
+    keyed = named.withColumn("key", F.coalesce("node", "doc"))
+    found = keyed.join(groups.select(F.col("node").alias("key"), "component"), "key", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "node", "doc")).otherwise(F.col("doc"))
     return found.select("doc", "n_shingles", component.alias("component"), F.coalesce(component == F.col("doc"), F.lit(True)).alias("kept"))
 
