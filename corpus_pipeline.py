@@ -16,6 +16,9 @@ from helixframe.llm.near_dedup import drop_near_duplicates
 from helixframe.llm.quality_rules import keep_quality
 from helixframe.llm.sentencepiece_sampling import sample_pieces
 
+#: Documents of this similarity or more of their five-word shingles, in percent, are near duplicates.
+NEAR_PERCENT = 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the compression bands keep."""
@@ -29,8 +32,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near duplicates."""
-    return drop_near_duplicates(docs)
+    """One document, that of the smallest id, of each group linked by a similarity of 0.8 or more."""
+    return drop_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,3 +29,16 @@ def test_stages_take_effect(spark, tmp_path):
     run = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(map(str, run.drop("ids").collect())) == sorted(map(str, now.drop("ids").collect()))
     assert run.where("not lossless").count() == 0
+
+
+def test_near_stage_links_from_four_fifths(spark):
+    rows = []
+    for pair in range(12):
+        words = [f"p{pair}w{i}" for i in range(100)]
+        # Two words off: 86 of 106 shingles are common (0.81); three off: 81 of 111 (0.73).
+        other = [f"z{w}" if i in ((20, 60) if pair < 9 else (20, 50, 80)) else w for i, w in enumerate(words)]
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
+    assert kept == {2 * pair for pair in range(12)} | {2 * pair + 1 for pair in range(9, 12)}
+    assert near_dedup.drop_near_duplicates(docs).count() == 24  # op10_ keeps its 0.85
