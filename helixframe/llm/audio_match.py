@@ -2,8 +2,9 @@
 
 Recordings with equal fingerprints are one class. A stated set of queries is matched against all
 classes in blocks: each block of queries meets each part of the classes in one task, so a task holds
-one block and streams one part. Equal integers of a query and a recording vote for their offset, and
-the offsets with most votes are verified by the share of differing bits.
+one block and streams one part. Every offset of a recording over a query is bounded from below, and
+those within the bound are verified by the share of differing bits: the matches are those of a search
+over all offsets.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from .common import materialize
 BLOCK_BYTES = 8 << 20
 #: Classes of a part, about.
 PART_CLASSES = 2048
-VOTES = 3
-OFFSETS = 3
+#: Integers that are summed for the bound.
+STEP = 4
 LARGEST_ERROR = 0.20
 LEAST_OVERLAP = 0.5
 
@@ -61,47 +62,137 @@ def align(a: np.ndarray, b: np.ndarray, offsets, largest_error: float = LARGEST_
     return None if best is None else (best[2], best[0])
 
 
+def _padded(prints: list) -> tuple[np.ndarray, np.ndarray]:
+    """The integers of each print in a row, zeros after its end, and the prints' lengths."""
+    lengths = np.array([len(p) for p in prints])
+    words = np.zeros((len(prints), lengths.max(initial=0)), "<u4")
+    for row, p in zip(words, prints):
+        row[: len(p)] = p
+    return words, lengths
+
+
+def _signs(words: np.ndarray) -> np.ndarray:
+    """The bits of each integer as -1 and 1."""
+    bits = np.unpackbits(words.view(np.uint8).reshape(*words.shape, 4), axis=2)
+    return bits.astype(np.float32) * 2 - 1
+
+
+def _chunks(prints: list, rows: int, places: int):
+    """Places of prints of similar length, at most ``rows`` and about ``places`` integers at once."""
+    order, at = np.argsort([len(p) for p in prints], kind="stable"), 0
+    while at < len(order):
+        n = max(1, min(rows, places // max(1, len(prints[order[min(at + rows, len(order)) - 1]]))))
+        yield order[at : at + n]
+        at += n
+
+
+def _differing(a: np.ndarray, b: np.ndarray, m: np.ndarray, n: np.ndarray, offset: int) -> np.ndarray:
+    """Differing bits of each row of b, of length n, laid over that of a, of length m, from ``offset``."""
+    low, high = max(0, offset), min(a.shape[1], offset + b.shape[1])
+    place = np.arange(low, high)
+    valid = (place < m[:, None]) & (place < offset + n[:, None])
+    return np.where(valid, np.bitwise_count(a[:, low:high] ^ b[:, low - offset : high - offset]), 0).sum(1, dtype=np.int64)
+
+
 class _Block:
-    """Queries with an index from integer to (query, place)."""
+    """Queries that are laid over recordings at every offset.
+
+    Differing bits are bounded from below: with bits as -1 and 1, the squared distance of the sums of
+    STEP integers is at most STEP times that of the integers, which is four for each differing bit. One
+    product of matrices bounds all pairs at an offset; those within the bound are counted in full, so
+    no alignment is lost.
+    """
 
     def __init__(self, ids: list, prints: list):
         self.ids, self.prints = ids, [np.frombuffer(p, "<u4") for p in prints]
-        flat = np.concatenate(self.prints)
-        owner = np.repeat(np.arange(len(ids)), [len(p) for p in self.prints])
-        place = np.concatenate([np.arange(len(p)) for p in self.prints])
-        order = np.argsort(flat, kind="stable")
-        self.value, self.owner, self.place = flat[order], owner[order], place[order]
 
     def matches(self, found: np.ndarray) -> list:
         """(query id, offset, error) of the queries that the recording's integers align with."""
-        low, high = np.searchsorted(self.value, found, "left"), np.searchsorted(self.value, found, "right")
-        n = high - low
-        total = int(n.sum())
-        if not total:
-            return []
-        at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(total)
-        offset = self.place[at] - np.repeat(np.arange(len(found)), n)
-        votes, counts = np.unique(self.owner[at].astype(np.int64) << 32 | (offset + (1 << 31)), return_counts=True)
-        keep = counts >= VOTES
-        votes, counts = votes[keep], counts[keep]
-        owner, offset = votes >> 32, (votes & 0xFFFFFFFF) - (1 << 31)
-        order = np.lexsort((offset, -counts, owner))
-        owner, offset = owner[order], offset[order]
+        return [hit[1:] for hit in self.all_matches([found])]
+
+    def all_matches(self, found: list) -> list:
+        """(place in ``found``, query id, offset, error) of each recording and query that align."""
         result = []
-        for q, part in zip(*(np.split(x, np.flatnonzero(np.diff(owner)) + 1) for x in (owner, offset))):
-            if len(q) and (hit := align(self.prints[q[0]], found, part[:OFFSETS])):
-                result.append((self.ids[q[0]], *hit))
+        recordings = [(at, *_padded([found[i] for i in at])) for at in _chunks(found, 2048, 1 << 18)]
+        recordings = [(*r, self._sums(r[1], r[2])) for r in recordings]
+        for mine in _chunks(self.prints, 256, 1 << 15):
+            a, m = _padded([self.prints[i] for i in mine])
+            running = self._running(a, m)
+            for at, b, n, sums in recordings:
+                result += [(int(at[r]), self.ids[mine[q]], offset, error) for q, r, offset, error in self._best(a, m, running, b, n, sums)]
         return result
 
+    @staticmethod
+    def _sums(words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Rows (sums, squared length, 1) of each whole STEP integers, one column for each recording."""
+        k = words.shape[1] // STEP
+        s = _signs(np.ascontiguousarray(words[:, : k * STEP])).reshape(len(words), k, STEP, 32).sum(2)
+        made = np.concatenate([s, (s * s).sum(2, keepdims=True), np.ones((*s.shape[:2], 1), np.float32)], axis=2)
+        made[np.arange(1, k + 1) * STEP > lengths[:, None]] = 0
+        return np.ascontiguousarray(made.reshape(len(words), -1).T)
+
+    @staticmethod
+    def _running(words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """(-2 sums, 1, squared length) of the STEP integers from each place."""
+        n = max(0, words.shape[1] - STEP + 1)
+        signs = _signs(words)
+        s = sum(signs[:, i : i + n] for i in range(STEP))
+        made = np.concatenate([-2 * s, np.ones((*s.shape[:2], 1), np.float32), (s * s).sum(2, keepdims=True)], axis=2)
+        made[np.arange(n) + STEP > lengths[:, None]] = 0
+        return made
+
+    @staticmethod
+    def _best(a, m, running, b, n, sums):
+        """(query, recording, offset, error) of the best offset of each pair that has a good one."""
+        long_a, long_b, width = a.shape[1], b.shape[1], 34
+        # Equal lengths need one bound for all pairs.
+        each_m = m[:1, None] if (m == m[0]).all() else m[:, None]
+        each_n = n[None, :1] if (n == n[0]).all() else n[None, :]
+        shorter = np.minimum(each_m, each_n)
+        best = np.full((len(a), len(b)), np.inf)
+        where = np.zeros((len(a), len(b)), np.int64)
+        # The nearer offset wins among equal errors, the negative one among equally near ones.
+        for offset in sorted(range(1 - long_b, long_a), key=lambda d: (abs(d), d)):
+            places = np.minimum(each_m, offset + each_n) - max(0, offset)
+            ok = (places > 0) & (places >= LEAST_OVERLAP * shorter)
+            if not ok.any():
+                continue
+            limit = np.where(ok, places * (32 * LARGEST_ERROR * 4 * STEP * 1.001) + 1, -1).astype(np.float32)
+            first, last = max(0, -(offset // STEP)), min(long_b // STEP, (long_a - offset) // STEP)
+            if last > first:
+                left = running[:, offset + STEP * first : offset + STEP * (last - 1) + 1 : STEP].reshape(len(a), -1)
+                near = np.flatnonzero(left @ sums[width * first : width * last] <= limit)
+            else:
+                near = np.flatnonzero(np.broadcast_to(ok, best.shape))
+            slice_rows = max(1, (1 << 20) // min(long_a, long_b))
+            for start in range(0, len(near), slice_rows):
+                q, r = np.divmod(near[start : start + slice_rows], len(b))
+                over = np.minimum(m[q], offset + n[r]) - max(0, offset)
+                keep = (over > 0) & (over >= LEAST_OVERLAP * np.minimum(m[q], n[r]))
+                q, r, over = q[keep], r[keep], over[keep]
+                error = _differing(a[q], b[r], m[q], n[r], offset) / (32 * over)
+                better = (error <= LARGEST_ERROR) & (error < best[q, r])
+                q, r = q[better], r[better]
+                best[q, r], where[q, r] = error[better], offset
+        for q, r in np.argwhere(np.isfinite(best)).tolist():
+            yield q, r, int(where[q, r]), float(best[q, r])
+
 
 def _met(batches):
     """Rows (block, part, side, class_id, fingerprint), sorted: a block's queries, then a part's classes."""
     schema = pa.schema([("class_id", pa.int64()), ("match_id", pa.int64()), ("offset", pa.int64()), ("bit_error", pa.float64())])
     key, ids, prints, index = None, [], [], None
     for batch in batches:
-        rows = []
+        rows, held, classes = [], [], []
+
+        def close():
+            if held:
+                rows.extend((q, classes[i], offset, error) for i, q, offset, error in index.all_matches(held) if q != classes[i])
+            held.clear(), classes.clear()
+
         for block, part, side, class_id, raw in zip(*(batch.column(i).to_pylist() for i in range(5))):
             if (block, part) != key:
+                close()
                 key, ids, prints, index = (block, part), [], [], None
             if side == 0:
                 ids.append(class_id), prints.append(raw)
@@ -109,7 +200,8 @@ def _met(batches):
             if not ids:
                 continue
             index = index or _Block(ids, prints)
-            rows += [(q, class_id, offset, error) for q, offset, error in index.matches(np.frombuffer(raw, "<u4")) if q != class_id]
+            held.append(np.frombuffer(raw, "<u4")), classes.append(class_id)
+        close()
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
@@ -137,12 +229,12 @@ def match_recordings(prints: DataFrame, is_query, block_bytes: int = BLOCK_BYTES
     return members, dealt.mapInArrow(_met, "class_id long, match_id long, offset long, bit_error double")
 
 
-NOTES, NOTE_SAMPLES = 64, 200
+NOTE_SAMPLES = 200
 
 
 def tones(values) -> bytes:
     """A row of numbers as a WAV recording: one tone for each number, higher for larger ones."""
-    v = np.nan_to_num(np.array([0.0 if x is None else x for x in values][:NOTES], np.float64))
+    v = np.nan_to_num(np.array([0.0 if x is None else x for x in values], np.float64))
     if not len(v):
         return b""
     z = v / max(np.sqrt((v * v).mean()), 1e-9)

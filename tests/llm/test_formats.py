@@ -176,3 +176,23 @@ def test_matches_recall_brute_force(spark):
     assert got <= want and len(got) >= 0.9 * len(want) and want
     none = audio_match.match_recordings(prints.limit(0), F.col("id") % 4 == 0)
     assert none[0].count() == none[1].count() == 0
+
+
+def test_matches_are_those_of_all_offsets():
+    rng = np.random.default_rng(10)
+    base = [rng.integers(0, 2**32, n, dtype=np.uint32) for n in (74, 74, 40, 5, 90)]
+    made = []
+    for e in (0.1, 0.15, 0.19, 0.2, 0.21):
+        for b in base:
+            flips = np.packbits(rng.random((len(b), 32)) < e, axis=1).view("<u4")[:, 0]
+            made += [b ^ flips, np.roll(b, 9) ^ flips, (b ^ flips)[: 1 + len(b) // 2]]
+    # A loop of four integers: its first offsets overlap too little or are worse than a later one.
+    loop = np.tile(rng.integers(0, 2**32, 4, dtype=np.uint32), 20)
+    prints = [*base, loop, loop[:50] ^ np.uint32(1), *made]
+    block = audio_match._Block(list(range(7)), [p.astype("<u4").tobytes() for p in prints[:7]])
+    want = {(r, q, *hit) for r, b in enumerate(prints) for q in range(7) if (hit := brute_offsets(prints[q], b))}
+    assert set(block.all_matches(prints)) == want and len(want) > 50
+
+
+def test_every_number_is_heard():
+    assert len(chroma.samples(audio_match.tones(np.ones(100)))) == 100 * audio_match.NOTE_SAMPLES
