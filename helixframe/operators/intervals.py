@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 def genome_bins(sizes: DataFrame, width: int, overlap: int = 0) -> DataFrame:
@@ -124,20 +126,25 @@ def owned_points(points: DataFrame, regions: DataFrame, width: int) -> DataFrame
 def greedy_groups(regions: DataFrame, most: int) -> DataFrame:
     """``group``: regions in order, a group going on while it stays within ``most`` positions of its start.
 
-    The state depends on where each group began, so it is folded over the sorted regions of a chromosome.
+    The state depends on where each group began, so the sorted regions of a chromosome stream through
+    one task, which holds a batch and the group's start and number.
     """
-    item = F.struct("start", "end")
-    folded = F.aggregate(
-        F.array_sort(F.collect_list(item)),
-        F.struct(F.lit(None).cast("long").alias("at"), F.lit(0).alias("n"), F.array().cast("array<struct<start:bigint,end:bigint,group:int>>").alias("out")),
-        lambda s, x: F.struct(
-            F.when(s["at"].isNull() | (x["end"] - s["at"] > most), x["start"]).otherwise(s["at"]).alias("at"),
-            F.when(s["at"].isNull() | (x["end"] - s["at"] > most), s["n"] + 1).otherwise(s["n"]).alias("n"),
-            F.concat(s["out"], F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"), F.when(s["at"].isNull() | (x["end"] - s["at"] > most), s["n"] + 1).otherwise(s["n"]).alias("group")))).alias("out"),
-        ),
-        lambda s: s["out"],
-    )
-    return regions.groupBy("chr").agg(folded.alias("r")).select("chr", F.inline("r"))
+
+    def run(batches):
+        chromosome, at, n, begun = None, None, 0, False
+        for batch in batches:
+            groups = []
+            for name, start, end in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if not begun or name != chromosome:
+                    chromosome, at, n, begun = name, None, 0, True
+                if at is None or (end is not None and end - at > most):
+                    at, n = start, n + 1
+                groups.append(n)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(groups, pa.int32())], names=["chr", "start", "end", "group"])
+
+    rows = regions.select("chr", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+    ordered = rows.repartition("chr").sortWithinPartitions("chr", "start", "end")
+    return ordered.mapInArrow(run, StructType([*rows.schema.fields, StructField("group", IntegerType())]))
 
 
 def fuse(coverage: DataFrame, group) -> DataFrame:

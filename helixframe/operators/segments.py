@@ -88,3 +88,16 @@ def central_depth(rows: DataFrame, by: tuple, order: str, value: str, width: int
     first = F.floor((F.col("n") - width) / 2) + 1
     middle = (F.col("i") >= first) & (F.col("i") < first + width)
     return placed.groupBy(*by).agg(F.avg(F.when((F.col("n") <= more_than) | middle, F.col(value))).alias("depth"), F.max("n").alias("n"))
+
+
+def axis_limits(segments: DataFrame) -> DataFrame:
+    """(contig, axis_limit): the value at rank int(0.99 n) of the deviations from 2 copies, at least 0.1.
+
+    Copy numbers have two decimals, so equal deviations are counted before they meet.
+    """
+    counts = segments.groupBy("contig", F.abs(F.col("cn") - 2).alias("v")).agg(F.count("cn").alias("k"))
+    contig = Window.partitionBy("contig")
+    until, n = F.sum("k").over(contig.orderBy("v")), F.sum("k").over(contig)
+    ranked = counts.select("contig", "v", (until > F.floor(n * 0.99)).alias("reached"))
+    value = F.min(F.when(F.col("reached"), F.col("v")))
+    return ranked.groupBy("contig").agg(F.round(F.greatest(F.lit(0.1), value), 6).alias("axis_limit"))

@@ -383,8 +383,7 @@ def transition_cost_table(s, d):
 @query
 def axis_percentile(s, d):
     """The value at rank int(0.99 n) of the absolute deviations from 2 copies, at least 0.1."""
-    rows = variants.segment_copy_numbers(views.segments(s, d)).groupBy("contig").agg(F.array_sort(F.collect_list(F.abs(F.col("cn") - 2))).alias("v"))
-    return rows.select("contig", F.round(F.greatest(F.lit(0.1), F.get("v", F.floor(F.size("v") * 0.99).cast("int"))), 6).alias("axis_limit"))
+    return segments.axis_limits(variants.segment_copy_numbers(views.segments(s, d)))
 
 
 @query

@@ -228,3 +228,15 @@ def test_vcf_lines_parse_back(spark):
     lines = variants.vcf_lines(variants.segment_copy_numbers(seg))
     info = lines.select(variants.vcf_info(F.col("value")).alias("i")).collect()
     assert [(r["i"]["SVTYPE"], r["i"]["END"]) for r in info] == [("DEL", "20"), ("DUP", "9")]
+
+
+def test_greedy_groups_and_axis_limits_hold_no_group_in_a_row(spark):
+    regions = spark.createDataFrame([(c, s, s + 5) for c in "ab" for s in range(0, 300, 10)], "chr string, start long, end long")
+    cn = [("x", round(2 + (i * 37 % 100) / 100, 2)) for i in range(200)] + [("x", None), ("y", 2.01), ("z", None)]
+    limits = segments.axis_limits(spark.createDataFrame(cn, "contig string, cn double"))
+    groups = intervals.greedy_groups(regions, 100)
+    assert [(r["chr"], r["group"]) for r in groups.orderBy("chr", "start").collect()] == [(c, 1 + s // 100) for c in "ab" for s in range(0, 300, 10)]
+    deviations = sorted(abs(v - 2) for c, v in cn if c == "x" and v is not None)
+    assert {r["contig"]: r["axis_limit"] for r in limits.collect()} == {"x": round(deviations[198], 6), "y": 0.1, "z": 0.1}
+    for made in (groups, limits):
+        assert "collect_list" not in made._jdf.queryExecution().toString()
