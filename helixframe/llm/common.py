@@ -90,6 +90,31 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make, extr
     return df.select(id_col, text_col, *extra).mapInArrow(run, schema)
 
 
+def map_text_groups(df: DataFrame, id_col: str, text_col: str, schema: str, make, chars: int = 1 << 16) -> DataFrame:
+    """As ``map_texts``, but ``make()`` maps a list of (id, text) of about ``chars`` characters at once.
+
+    A longer text is a group of its own, so what a group holds is bounded by the longest text.
+    """
+    arrow = pa.schema([(f.name, _arrow_type(f.dataType)) for f in _struct(schema).fields])
+
+    def run(batches):
+        group = make()
+        rows, held = [], 0
+        for batch in batches:
+            texts = batch.column(1)
+            for i, key in enumerate(batch.column(0).to_pylist()):
+                text = texts[i].as_py() or ""
+                if rows and held + len(text) > chars:
+                    yield _batch(list(group(rows)), arrow)
+                    rows, held = [], 0
+                rows.append((key, text))
+                held += len(text) + 32
+        if rows:
+            yield _batch(list(group(rows)), arrow)
+
+    return df.select(id_col, text_col).mapInArrow(run, schema)
+
+
 def _batch(rows: list, arrow: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [[] for _ in arrow]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
