@@ -59,8 +59,9 @@ def features(text: str, declared) -> tuple[np.ndarray, np.ndarray]:
     raw = text.encode("utf-8", "surrogatepass")
     counts = Counter(raw.lower().split())
     n, length = sum(counts.values()), len(text)
-    index = np.fromiter((zlib.crc32(w) for w in counts), np.int64, len(counts)) % BUCKETS
-    value = np.log1p(np.fromiter(counts.values(), np.float64, len(counts)))
+    # Words that share a bucket are one feature, which has no pair with itself.
+    index, place = np.unique(np.fromiter((zlib.crc32(w) for w in counts), np.int64, len(counts)) % BUCKETS, return_inverse=True)
+    value = np.bincount(place, np.log1p(np.fromiter(counts.values(), np.float64, len(counts))), len(index)).astype(np.float64)
     value /= max(np.sqrt((value * value).sum()), 1e-9)
     lines = [x for x in raw.split(b"\n") if x and not x.isspace()]
     per = 1 / max(n, 1)
@@ -151,7 +152,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
         return row
 
-    found = map_texts(known.select(F.col("doc").cast("long"), "text", "declared", "label"), "doc", "text", "doc long, label int, idx binary, val binary", make, ("declared", "label"))
+    kind = known.schema["doc"].dataType.simpleString()
+    found = map_texts(known.select("doc", "text", "declared", "label"), "doc", "text", f"doc {kind}, label int, idx binary, val binary", make, ("declared", "label"))
     # Ids may repeat, so the bound is held on the rows too.
     got = sorted(found.orderBy(F.xxhash64("doc"), "doc", "idx", "val").limit(max_rows).toLocalIterator(), key=lambda r: (r["doc"], bytes(r["idx"]), bytes(r["val"])))
     rows = [(np.frombuffer(r["idx"], np.int32), np.frombuffer(r["val"], np.float32).astype(np.float64)) for r in got]
@@ -159,15 +161,20 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", label_col: str = "quality", max_rows: int = MAX_ROWS) -> dict:
-    """The fitted model. Without labelled rows it scores every text 0.5."""
+    """The fitted model. Without labelled rows its factors are random and it scores every text about 0.5.
+
+    Null labels and ids are left out; of several labels of an id the smallest counts. At most
+    ``max_rows`` rows are fitted, whatever the table's size; each is read whole.
+    """
     return fit(*training_rows(docs, labels, id_col, text_col, length_col, label_col, max_rows))
 
 
 def score_quality(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", threshold: float = 0.3) -> DataFrame:
     """(doc, held_out, score, predicted) for each row of ``docs``.
 
-    Null and empty texts are scored as texts without words, null lengths as 0. Rows with a null id
-    count as held out. Repeated rows give a row each; an empty table gives an empty table.
+    Null and empty texts are scored as texts without words, null lengths as 0; texts of any length
+    are read whole. Rows with a null id count as held out; ids keep their type. Repeated rows give a
+    row each; other columns are ignored, whatever their names; an empty table gives an empty table.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -179,6 +186,6 @@ def score_quality(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col
 
         return row
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), F.col(length_col).cast("long").alias("declared"))
-    found = map_texts(rows, "doc", "text", "doc long, score double", make, ("declared",))
+    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.col(length_col).cast("long").alias("declared"))
+    found = map_texts(rows, "doc", "text", f"doc {rows.schema['doc'].dataType.simpleString()}, score double", make, ("declared",))
     return found.select("doc", held_out("doc").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

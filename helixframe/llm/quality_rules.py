@@ -1,9 +1,9 @@
 """Quality rules: compression bands.
 
 Repetitive text compresses too well and noise too badly. The whole document and each chunk of a
-fixed size are compressed with zstandard, and the ratio of compressed to raw bytes must lie in a
-band that depends on the number of raw bytes, as short texts compress less. Chunks find a
-repetitive or noisy stretch inside a document whose whole ratio is usual.
+fixed size, the rest at the end included, are compressed with zstandard, and the ratio of compressed
+to raw bytes must lie in a band that depends on the number of raw bytes, as short texts compress
+less. Chunks find a repetitive or noisy stretch inside a document whose whole ratio is usual.
 """
 
 from __future__ import annotations
@@ -27,12 +27,14 @@ DOCUMENT_BANDS = (
     (128, 0.50, 1.40), (256, 0.45, 1.10), (512, 0.50, 0.90), (1024, 0.46, 0.82), (2048, 0.44, 0.72), (4096, 0.425, 0.65),
     (8192, 0.41, 0.62), (16384, 0.40, 0.60), (65536, 0.37, 0.60), (float("inf"), 0.28, 0.60),
 )
-#: The same for chunks; texts of under two whole chunks are judged by the whole ratio alone.
-CHUNK_BAND = (0.43, 0.62)
-#: So many of a document's chunks must be in the band.
-CHUNK_SHARE = 0.5
+#: The same for chunks by their bytes, the last of a text being shorter; a whole text of at most CHUNK_BYTES
+#: is one chunk. Under 64 bytes the frame outweighs the text, so only runs of one character are out.
+CHUNK_BANDS = (
+    (64, 0.50, float("inf")), (128, 0.68, 1.25), (256, 0.47, 1.02), (512, 0.49, 0.85), (1024, 0.47, 0.74), (2048, 0.44, 0.64),
+    (CHUNK_BYTES, 0.425, 0.60), (CHUNK_BYTES + 1, 0.42, 0.58),
+)
 
-SCHEMA = "doc long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_bytes long, ratio double, n_chunks long, n_chunks_off long"
+SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_bytes long, ratio double, n_chunks long, n_chunks_off long"
 
 
 def repeat_words(words: list, width: int = 5) -> int:
@@ -77,16 +79,26 @@ def text_statistics(text: str) -> tuple:
     )
 
 
+def band(n_bytes: int, bands: tuple) -> tuple[float, float]:
+    """(least, largest) ratio of so many bytes."""
+    return next((low, high) for most, low, high in bands if n_bytes < most)
+
+
 def compression(raw: bytes, compressor: zstandard.ZstdCompressor) -> tuple:
-    """(n_bytes, ratio, n_chunks, n_chunks_off): the whole text and its whole chunks, compressed."""
+    """(n_bytes, ratio, n_chunks, n_chunks_off): the whole text and each of its chunks, compressed."""
     if not raw:
         return 0, 1.0, 0, 0
-    ratio = len(compressor.compress(raw)) / len(raw)
-    view, off, n = memoryview(raw), 0, len(raw) // CHUNK_BYTES
-    for i in range(n if n > 1 else 0):
-        x = len(compressor.compress(view[i * CHUNK_BYTES : (i + 1) * CHUNK_BYTES])) / CHUNK_BYTES
-        off += not CHUNK_BAND[0] <= x <= CHUNK_BAND[1]
-    return len(raw), ratio, n if n > 1 else 0, off
+    ratio, view = len(compressor.compress(raw)) / len(raw), memoryview(raw)
+    n = -(-len(raw) // CHUNK_BYTES)
+    ratios = [ratio]
+    if n > 1:
+        chunks = (view[i : i + CHUNK_BYTES] for i in range(0, len(raw), CHUNK_BYTES))
+        ratios = [len(compressor.compress(x)) / len(x) for x in chunks]
+    off = 0
+    for i, x in enumerate(ratios):
+        low, high = band(min(CHUNK_BYTES, len(raw) - i * CHUNK_BYTES), CHUNK_BANDS)
+        off += not low <= x <= high
+    return len(raw), ratio, n, off
 
 
 def _rows():
@@ -102,24 +114,26 @@ def quality_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row for each row of ``docs``: its statistics, and whether the bands keep it.
 
     ``base_failed``: under 10 words, or over 20 % of the words in repeated 5-word windows.
-    ``kept``: not base_failed, the whole ratio in the band of the text's bytes, and CHUNK_SHARE of
-    its chunks in theirs. Null and empty texts have no words and fail. Rows with equal or null ids
-    give a row each. Other columns are ignored; an empty table gives an empty table.
+    ``kept``: not base_failed, the whole ratio in the band of the text's bytes, and the ratio of each
+    chunk in that of its own. Null and empty texts have no words and fail; texts of any length are
+    read whole. Rows with equal or null ids give a row each; ids keep their type. Other columns are
+    ignored; an empty table gives an empty table.
     """
-    found = map_texts(docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")), "doc", "text", SCHEMA, _rows)
+    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    found = map_texts(rows, "doc", "text", f"doc {rows.schema['doc'].dataType.simpleString()}, {SCHEMA}", _rows)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     in_band = F.lit(False)
     for most, low, high in reversed(DOCUMENT_BANDS):
         in_band = F.when(F.col("n_bytes") < most, F.col("ratio").between(low, high)).otherwise(in_band)
-    chunks = F.col("n_chunks_off") <= (1 - CHUNK_SHARE) * F.col("n_chunks")
-    return found.withColumn("base_failed", failed).withColumn("kept", ~failed & in_band & chunks)
+    return found.withColumn("base_failed", failed).withColumn("kept", ~failed & in_band & (F.col("n_chunks_off") == 0))
 
 
 def keep_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the rules keep; a row's verdict depends on its text alone.
 
-    Rows with a null id are judged like others. Texts are judged once in each row's own place, so
-    nothing is shuffled.
+    Null and empty texts go; rows with a null id and repeated rows are judged like others. All
+    columns pass, whatever their names; an empty table stays empty. Texts are judged once in each
+    row's own place, so nothing is shuffled.
     """
     schema = docs.schema
 
@@ -135,8 +149,8 @@ def keep_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def verdict_of(row: tuple) -> bool:
     """``kept`` of a row of statistics, in plain Python."""
-    _, n_words, _, _, _, n_repeat, n_bytes, ratio, n_chunks, n_off = row
+    _, n_words, _, _, _, n_repeat, n_bytes, ratio, _, n_off = row
     if n_words < 10 or 100 * n_repeat > 20 * n_words:
         return False
-    low, high = next((lo, hi) for most, lo, hi in DOCUMENT_BANDS if n_bytes < most)
-    return low <= ratio <= high and n_off <= (1 - CHUNK_SHARE) * n_chunks
+    low, high = band(n_bytes, DOCUMENT_BANDS)
+    return low <= ratio <= high and n_off == 0

@@ -7,7 +7,7 @@ import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from helixframe.llm import quality_fm, quality_rules
+from helixframe.llm import quality_fm, quality_rules, queries
 
 from .fixtures import documents, table
 
@@ -32,18 +32,53 @@ def test_statistics_match_brute_force(text):
     assert quality_rules.text_statistics(text) == brute(text)
 
 
-def test_fixture_statistics(spark):
-    got = sorted(map(tuple, quality_rules.quality_statistics(table(spark)).collect()), key=str)
-    assert len(got) == len(documents())
-    packer = zstandard.ZstdCompressor(level=quality_rules.LEVEL, write_content_size=False)
+def brute_bands(raw):
+    """(ratio, n_chunks, n_chunks_off, in the bands), from the bytes of a text."""
+    size = lambda b: len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(b)) / len(b)
+    inside = lambda n, x, bands: [low <= x <= high for most, low, high in bands if n < most][0]
+    if not raw:
+        return 1.0, 0, 0, False
+    chunks = [raw[i : i + 4096] for i in range(0, len(raw), 4096)]
+    off = sum(not inside(len(c), size(c), quality_rules.CHUNK_BANDS) for c in chunks)
+    return size(raw), len(chunks), off, off == 0 and inside(len(raw), size(raw), quality_rules.DOCUMENT_BANDS)
+
+
+def mixed_texts():
+    """Texts of many lengths: clean, with a repetitive or noisy stretch in the middle or in the last part of a chunk."""
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("etaoinshrdlucmfwyp"), rng.integers(2, 9))) for _ in range(2000)]
+    clean = lambda n: " ".join(rng.choice(words, n))
+    texts = [clean(n) for n in (1, 5, 10, 30, 100, 300, 600, 700, 760, 1500, 9000)]
+    texts += [clean(1500) + " " + "ab " * 1300 + clean(1500), clean(1500)[:8192] + "z" * 600, clean(800)[:4096] + "".join(map(chr, rng.integers(33, 0x2FF, 400)))]
+    return texts + [None, "", "x", "x" * 50_000]
+
+
+def test_statistics_and_verdicts_match_brute_force(spark):
+    rows = [(i, t) for i, t, *_ in documents()] + list(enumerate(mixed_texts(), 100))
+    found = quality_rules.quality_statistics(spark.createDataFrame(rows, "doc_id long, text string"))
     want = []
-    for i, t, *_ in documents():
+    for i, t in rows:
         base, raw = brute(t or ""), (t or "").encode()
-        ratio = len(packer.compress(raw)) / len(raw) if raw else 1.0
+        ratio, n, off, inside = brute_bands(raw)
         failed = base[0] < 10 or 100 * base[4] > 20 * base[0]
-        want.append((i, *base, len(raw), ratio, failed))
-    assert sorted([(*r[:7], r[7], r[10]) for r in got], key=str) == sorted(want, key=str)
-    assert not any(r[11] for r in got if r[10])
+        want.append((i, *base, len(raw), ratio, n, off, failed, inside and not failed))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+    verdict = {i: w[-1] for i, w in zip((r[0] for r in rows), want)}
+    assert [verdict[i] for i in (105, 106, 110)] == [True] * 3 and not any(verdict[i] for i in (111, 112, 113, 117))
+
+
+def test_query_agrees_with_brute_force(spark, tmp_path):
+    rows = list(enumerate(mixed_texts()))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_chunks"], r["n_chunks_off"], r["kept"]) for r in queries.op3_compression_bands(spark, str(tmp_path)).collect()}
+    for i, t in rows:
+        base, (_, n, off, inside) = brute(t or ""), brute_bands((t or "").encode())
+        assert got[i] == (n, off, inside and base[0] >= 10 and 100 * base[4] <= 20 * base[0])
+
+
+def test_ids_keep_their_type(spark):
+    docs = spark.createDataFrame([("a", "one two"), ("b", None)], "doc_id string, text string")
+    assert {r["doc"] for r in quality_rules.quality_statistics(docs).collect()} == {"a", "b"}
 
 
 def test_bands_reject_repetition_and_noise(spark):
@@ -66,6 +101,16 @@ def test_keep_quality_agrees(spark):
     assert quality_rules.quality_statistics(table(spark, [])).count() == 0
 
 
+def test_words_that_share_a_bucket_are_one_feature():
+    by_bucket = {}
+    for w in (f"w{i}" for i in range(60_000)):
+        by_bucket.setdefault(zlib.crc32(w.encode()) % quality_fm.BUCKETS, []).append(w)
+    words = next(ws for ws in by_bucket.values() if len(ws) > 3)[:3]
+    index, value = quality_fm.features(" ".join(words), None)
+    assert len(set(index.tolist())) == len(index) and (index < quality_fm.BUCKETS).sum() == 1
+    assert np.isclose(value[index < quality_fm.BUCKETS], 1.0).all()
+
+
 def test_pairs_in_linear_time_equal_all_pairs():
     rng = np.random.default_rng(2)
     index, value = np.array([3, 8, 20]), rng.normal(size=3)
