@@ -61,12 +61,15 @@ def _contract(batches):
     yield flush(sets)
 
 
-def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, most_rounds: int = 60, contract: bool = True) -> DataFrame:
     """(node, component) for each node of the edges (a, b) of longs; component is the smallest node.
 
-    Loops and repeated edges change nothing; an empty table gives an empty table.
+    Loops and repeated edges change nothing; an empty table gives an empty table. Edges that are
+    few or come as forests need no ``contract`` first, which takes a Python process in each task.
     """
-    stars = materialize(edges.where("a != b").select("a", "b").mapInArrow(_contract, "a long, b long").distinct())
+    real = edges.where("a != b").select("a", "b")
+    real = real.mapInArrow(_contract, "a long, b long") if contract else real.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    stars = materialize(real.distinct())
     for _ in range(most_rounds):
         # In stars a node has one edge, and what has an edge is no node's target.
         ends = stars.select("a", F.lit(1).alias("out")).unionByName(stars.select(F.col("b").alias("a"), F.lit(0).alias("out")))

@@ -77,12 +77,61 @@ def test_groups_match_brute_force(spark, monkeypatch, block):
 
 def test_spanning_links_connect_what_is_similar():
     sets = [np.arange(a, a + 100, dtype=np.uint64) for a in (0, 4, 8, 12, 500, 503)]
-    found = near_dedup.spanning_links(list(range(6)), [0] * 6, sets, 85)
+    found = near_dedup.spanning_links(list(range(6)), range(6), [0] * 6, sets, 85)
     groups = UnionFind()
     for a, b in found:
         groups.union(a, b)
     assert [groups.find(i) for i in range(6)] == [0, 0, 0, 0, 4, 4] and len(found) == 4
-    assert near_dedup.spanning_links([0, 1], [0, 1], sets[:2], 85) == [(0, 1)]
+    assert near_dedup.spanning_links([0, 1], [0, 1], [0, 1], sets[:2], 85) == [(0, 1)]
+    # What is known to be one group is not linked again, but what joins it is.
+    assert near_dedup.spanning_links(list(range(4)), [0, 0, 2, 2], [0] * 4, sets[:4], 85) == [(0, 2)] or len(near_dedup.spanning_links(list(range(4)), [0, 0, 2, 2], [0] * 4, sets[:4], 85)) == 1
+    assert near_dedup.leader_links([0, 1, 2, 4], [sets[i] for i in (0, 1, 2, 4)], 0, 85) == [(1, 0), (2, 0)]
+
+
+def chain(n, seed=9, words=60, fresh=14):
+    """Documents of which each shares most words with the one before: candidates hang together, links are few."""
+    rng = random.Random(seed)
+    now, rows = [f"w{rng.randrange(10**6)}" for _ in range(words)], []
+    for i in range(n):
+        rows.append((i, " ".join(now)))
+        now = now[fresh:] + [f"w{rng.randrange(10**6)}" for _ in range(fresh)]
+    return rows
+
+
+def test_work_grows_with_a_percolating_graph(spark, monkeypatch):
+    dealt = []
+    verified = near_dedup._verified
+
+    def counted(rows, roles, *rest):
+        dealt.append(roles.selectExpr("coalesce(sum(size(roles)), 0) as n").first()["n"])
+        return verified(rows, roles, *rest)
+
+    monkeypatch.setattr(near_dedup, "_verified", counted)
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 300)
+    sent = []
+    for n in (60, 180):
+        rows = chain(n)
+        got = sorted(((r["doc"], r["n_shingles"], r["component"]) for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+        assert got == brute(rows)
+        sent.append(sum(dealt))
+        dealt.clear()
+    assert sent[0] > 60 and sent[1] <= 4 * sent[0]
+
+
+@pytest.mark.parametrize("block", [400_000, 200])
+def test_members_that_miss_the_leader_are_linked(spark, monkeypatch, block):
+    """Near copies drift from the first, so that members of a band link with each other and not with its smallest."""
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", block)
+    rng = random.Random(2)
+    rows = []
+    for g in range(4):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        for k in range(14):
+            words = base[: 100 - 6 * (k % 7)] + [f"g{g}k{k % 7}x{j}" for j in range(6 * (k % 7))]
+            words[rng.randrange(50)] = f"z{rng.randrange(9999)}"
+            rows.append((len(rows), " ".join(words)))
+    got = sorted(((r["doc"], r["n_shingles"], r["component"]) for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute(rows)
 
 
 def test_components(spark):
@@ -94,3 +143,5 @@ def test_components(spark):
         sets.union(a, b)
     assert got == {x: sets.find(x) for e in edges if e[0] != e[1] for x in e}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+    plain = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long"), contract=False).collect()}
+    assert plain == got
