@@ -22,7 +22,7 @@ from .piece_lattice import Sampler, Vocabulary
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THETA = 3e-4
 #: Characters that are segmented at once.
-BATCH_CHARS = 3_000_000
+BATCH_CHARS = 1_000_000
 
 
 def load_pieces(model_path: str = MODEL) -> dict:
