@@ -14,12 +14,23 @@ def let(value: Column, f) -> Column:
 
 
 def chr_rank(name: Column) -> Column:
-    """Natural order of chromosomes: numbers first by value, then X, Y, MT, then the rest by name."""
-    bare = F.regexp_replace(name, "^chr", "")
-    number = F.when(bare.rlike("^[0-9]{1,9}$"), bare.cast("int"))
+    """Natural order of chromosomes: names with a number and no underscore first, by the number, then X, Y, MT, then the rest by name."""
+    bare = F.regexp_replace(name, "(?i)^chr", "")
+    digits = F.regexp_replace(name, "[^0-9]", "")
+    number = F.when(~name.contains("_") & digits.rlike("^[0-9]{1,9}$"), digits.cast("int"))
     return F.coalesce(number, F.when(bare == "X", 1_000_000_001).when(bare == "Y", 1_000_000_002).when(bare.isin("M", "MT"), 1_000_000_003), F.lit(1_000_000_004))
 
 
+def bare_name(chromosome: Column) -> Column:
+    """A chromosome's name without the prefix chr."""
+    return F.regexp_replace(chromosome, "^chr", "")
+
+
+def autosome(chromosome: Column, count: int = 22) -> Column:
+    """Whether a chromosome is numbered from 1 to ``count``, with or without the prefix chr."""
+    return bare_name(chromosome).isin(*[str(i) for i in range(1, count + 1)])
+
+
 def gc_bin(gc: Column, width: float = 0.005) -> Column:
     """Right-closed bin number of a GC share in (0, 1], null outside."""
     return F.when((gc > 0) & (gc <= 1), F.ceil(F.round(gc / width, 9)))
@@ -81,13 +92,25 @@ def beta_log_density(x: Column, successes: Column, failures: Column) -> Column:
 def beta_cdf(x: float, successes: Column, failures: Column) -> Column:
     """P(Beta(successes + 1, failures + 1) <= x) for whole numbers: P(Bin(n, x) > successes), n = successes + failures + 1.
 
-    A finite sum, each term from the one before. By symmetry, 1 - beta_cdf(1 - x, a, b) is beta_cdf(x, b, a).
+    Terms are summed from the one nearest the mean outwards, each from the one before, on the side
+    that holds less than about half; nine standard deviations and 40 terms are enough for any
+    number of reads. By symmetry, 1 - beta_cdf(1 - x, a, b) is beta_cdf(x, b, a).
     """
     a, n = successes.cast("double"), (successes + failures + 1).cast("double")
-    first = F.exp(log_choose(n, a + 1) + (a + 1) * math.log(x) + (n - a - 1) * math.log(1 - x))
     odds = x / (1 - x)
-    start = F.struct(first.alias("t"), F.lit(0.0).alias("s"))
-    return F.aggregate(F.sequence((successes + 1).cast("long"), n.cast("long")), start, lambda acc, i: F.struct((acc["t"] * (n - i) / (i + 1) * odds).alias("t"), (acc["s"] + acc["t"]).alias("s")), lambda acc: acc["s"])
+
+    def total(ends: Column) -> Column:
+        a, n = ends["a"], ends["n"]
+        above = a + 1 > n * x
+        i = F.when(above, a + 1).otherwise(a)
+        first = F.exp(log_choose(n, i) + i * math.log(x) + (n - i) * math.log(1 - x))
+        steps = F.least(F.when(above, n - i).otherwise(i), 40 + 9 * F.sqrt(n * (x * (1 - x)))).cast("int")
+        after = lambda i: F.when(above, (n - i) / (i + 1) * odds).otherwise(i / (n - i + 1) / odds)
+        step = lambda acc, _: F.struct((acc["t"] * after(acc["i"])).alias("t"), (acc["s"] + acc["t"]).alias("s"), (acc["i"] + F.when(above, 1.0).otherwise(-1.0)).alias("i"))
+        begin = F.struct(first.alias("t"), F.lit(0.0).alias("s"), i.alias("i"))
+        return F.aggregate(F.sequence(F.lit(0), steps), begin, step, lambda acc: F.when(above, acc["s"]).otherwise(1 - acc["s"]))
+
+    return let(F.struct(a.alias("a"), n.alias("n")), total)
 
 
 #: Cost of what can't be.

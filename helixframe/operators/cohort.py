@@ -12,15 +12,42 @@ def with_cohort(batch: DataFrame, cohort: DataFrame) -> DataFrame:
     return batch.withColumn("type", F.lit("call")).unionByName(earlier.withColumn("type", F.lit("cohort")), allowMissingColumns=True)
 
 
-def recurrence(calls: DataFrame, most: float) -> DataFrame:
-    """Calls with the number of samples that share region and state, and ``final_cn``: too common states are normal."""
-    n = calls.agg(F.count_distinct("sample").alias("samples_in_cohort"))
-    shared = calls.groupBy("chr", "start", "end", "cn_pred").agg(F.count_distinct("sample").alias("cnv_in_cohort"))
-    met = calls.join(shared, ["chr", "start", "end", "cn_pred"]).join(F.broadcast(n))
+def known_elsewhere(batch: DataFrame, cohort: DataFrame) -> DataFrame:
+    """Rows of the cohort at regions that the batch has, with a coverage, of samples that the batch does not have, as type cohort."""
+    regions = batch.select("chr", "start", "end").distinct()
+    earlier = cohort.where("cov is not null").join(batch.select("sample").distinct(), "sample", "left_anti")
+    return earlier.join(regions, ["chr", "start", "end"]).withColumn("type", F.lit("cohort"))
+
+
+def recurrence(calls: DataFrame, most: float, cohort: DataFrame | None = None) -> DataFrame:
+    """Calls with the number of samples that share region and state, and ``final_cn``: too common states are normal.
+
+    Samples of an earlier ``cohort`` (sample, chr, start, end, cn_pred) count with the batch's.
+    """
+    keys = ["chr", "start", "end", "cn_pred"]
+    every = calls.select("sample", *keys)
+    if cohort is not None:
+        every = every.unionByName(cohort.select("sample", *keys).join(calls.select("sample").distinct(), "sample", "left_anti"))
+    n = every.agg(F.count_distinct("sample").alias("samples_in_cohort"))
+    shared = every.groupBy(*keys).agg(F.count_distinct("sample").alias("cnv_in_cohort"))
+    met = calls.join(shared, keys).join(F.broadcast(n))
     common = (F.col("cn_pred") != "2") & (F.col("cnv_in_cohort") / F.col("samples_in_cohort") > most)
     return met.withColumn("final_cn", F.when(common, "2").otherwise(F.col("cn_pred")))
 
 
+def too_frequent(recurrent: DataFrame) -> DataFrame:
+    """The calls that ``recurrence`` made normal, as they were called."""
+    return recurrent.where("cn_pred != final_cn")
+
+
+def cohort_info(calls: DataFrame, cohort: DataFrame | None = None) -> DataFrame:
+    """What a later run needs of these calls (those of the columns that they have), after the earlier cohort's rows."""
+    kept = calls.select(*[c for c in ("sample", "chr", "start", "end", "cn_pred", "cov_raw", "cov", "pos", "alt_count", "ref_count") if c in calls.columns])
+    if cohort is None:
+        return kept
+    return cohort.join(calls.select("sample").distinct(), "sample", "left_anti").unionByName(kept, allowMissingColumns=True)
+
+
 def earlier_frequency(calls: DataFrame, cohort: DataFrame) -> DataFrame:
     """``earlier``: number of cohort samples with the same region and state, 0 if none."""
     shared = cohort.groupBy("chr", "start", "end", "cn_pred").agg(F.count_distinct("sample").alias("earlier"))
@@ -52,8 +79,12 @@ def comparison_pairs(spec: DataFrame, column: str) -> DataFrame:
     return spec.select(pair.alias("pair")).select(F.split_part("pair", F.lit("::"), F.lit(1)).alias("target"), F.split_part("pair", F.lit("::"), F.lit(2)).alias("compared")).distinct()
 
 
-def control_differences(coverage: DataFrame, control: str, least_difference: float, join_within: int) -> DataFrame:
-    """Stretches of regions whose coverage is off the control sample's by a share; near stretches are one."""
+def control_differences(coverage: DataFrame, control: str, least_difference: float, join_within: int, not_in_samples: int | None = None, longer_than: int = 0) -> DataFrame:
+    """Stretches of regions whose coverage is off the control sample's by a share; near stretches are one.
+
+    Stretches that on average lie in just ``not_in_samples`` samples, and those not ``longer_than``
+    so many positions, are left out.
+    """
     base = coverage.where(F.col("sample") == control).select("chr", "start", "end", F.col("cov").alias("control_cov"))
     met = coverage.where(F.col("sample") != control).join(base, ["chr", "start", "end"])
     diff = F.try_divide(F.col("cov") - F.col("control_cov"), F.col("control_cov"))
@@ -62,7 +93,9 @@ def control_differences(coverage: DataFrame, control: str, least_difference: flo
     along = Window.partitionBy("sample", "chr").orderBy("start")
     fresh = F.coalesce((F.col("start") - F.lag("end").over(along) > join_within).cast("int"), F.lit(1))
     runs = off.join(shared, ["chr", "start", "end"]).withColumn("__new", fresh).withColumn("stretch", F.sum("__new").over(along).cast("long"))
-    return runs.groupBy("sample", "chr", "stretch").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.avg("rel_diff").alias("mean_diff"), F.avg("in_samples").alias("mean_in_samples"), F.count("*").alias("n_regions"))
+    found = runs.groupBy("sample", "chr", "stretch").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.avg("rel_diff").alias("mean_diff"), F.avg("in_samples").alias("mean_in_samples"), F.count("*").alias("n_regions"))
+    found = found.where(F.col("end") - F.col("start") > longer_than)
+    return found if not_in_samples is None else found.where(F.col("mean_in_samples") != not_in_samples)
 
 
 def paired_donors(sheet: DataFrame) -> DataFrame:

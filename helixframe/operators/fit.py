@@ -10,9 +10,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def histogram(counts: DataFrame, column: str) -> DataFrame:
-    """(value, n): how often each whole number occurs; far smaller than the data."""
-    return counts.groupBy(F.col(column).cast("long").alias("value")).agg(F.count("*").alias("n"))
+#: Distinct whole numbers that a histogram has at most; a wider range is counted in equal steps.
+MOST_VALUES = 1 << 17
+
+
+def histogram(counts: DataFrame, column: str, most: int = MOST_VALUES) -> DataFrame:
+    """(value, n): how often each whole number occurs, at most ``most`` of them.
+
+    Where the range is wider, numbers are counted in steps, and a step's value is its mean.
+    """
+    whole = counts.where(F.col(column).isNotNull()).select(F.col(column).cast("long").alias("value"))
+    ends = whole.agg(F.min("value").alias("low"), F.max("value").alias("high")).first()
+    step = 1 if ends["low"] is None else -(-(ends["high"] - ends["low"] + 1) // most)
+    grouped = whole.groupBy(F.floor(F.col("value") / step).alias("at"))
+    return grouped.agg(F.round(F.avg("value")).cast("long").alias("value"), F.count("*").alias("n")).drop("at")
 
 
 def _digamma(x: np.ndarray) -> np.ndarray:
@@ -62,18 +73,24 @@ def nb_quantile(p: float, size: float, mean: float, most: int = 10_000_000) -> i
     return most
 
 
+def _columns(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """A histogram's values and counts; its rows are bounded (MOST_VALUES)."""
+    found = rows.toPandas().sort_values("value")
+    return found["value"].to_numpy(float), found["n"].to_numpy(float)
+
+
 def trimmed_fit(counts: DataFrame, column: str, p: float = 0.1, rounds: int = 6) -> tuple[float, float, int]:
-    """(size, mean, rows used): the fit repeated without values outside the p/2 and 1 - p/2 quantiles, ends out.
+    """(size, mean, rows used): the fit repeated without values outside the p and 1 - p quantiles, ends out.
 
-    One aggregate over the data; the rounds work on its histogram of distinct counts.
+    One aggregate over the data; the rounds work on its histogram of whole numbers. Without counts
+    all is unknown (NaN, NaN, 0).
     """
-    rows = histogram(counts.where(F.col(column).isNotNull()), column).toPandas().sort_values("value")
-    values, n = rows["value"].to_numpy(float), rows["n"].to_numpy(float)
+    values, n = _columns(histogram(counts, column))
     if not len(values):
         return math.nan, math.nan, 0
     for _ in range(rounds):
         size, mean = fit_nb(values, n)
-        low, high = nb_quantile(p / 2, size, mean), nb_quantile(1 - p / 2, size, mean)
+        low, high = nb_quantile(p, size, mean), nb_quantile(1 - p, size, mean)
         keep = (values > low) & (values < high)
         if not keep.any():
             break
@@ -82,13 +99,25 @@ def trimmed_fit(counts: DataFrame, column: str, p: float = 0.1, rounds: int = 6)
     return size, mean, int(n.sum())
 
 
-def outlier_regions(coverage: DataFrame, column: str, p: float) -> DataFrame:
-    """``outlier``: outside the p/2 and 1 - p/2 quantiles of the fitted distribution, ends in; nothing for p of 0."""
+def outlier_regions(coverage: DataFrame, column: str, p: float, rounds: int = 2) -> DataFrame:
+    """``outlier``: regions whose median over samples is outside the p and 1 - p quantiles of a fit, ends in; none for p of 0.
+
+    The fit is repeated without the rows of the regions that are out, so what is in has a median
+    between the closest limits so far.
+    """
     if p <= 0:
         return coverage.withColumn("outlier", F.lit(False))
-    size, mean, _ = trimmed_fit(coverage, column, p, 1)
-    low, high = nb_quantile(p / 2, size, mean), nb_quantile(1 - p / 2, size, mean)
-    return coverage.withColumn("outlier", ~((F.col(column) > low) & (F.col(column) < high)))
+    keys = ["chr", "start", "end"]
+    medians = coverage.groupBy(*keys).agg(F.median(column).alias("__median"))
+    rows = coverage.join(medians, keys)
+    low, high = -math.inf, math.inf
+    for _ in range(rounds):
+        values, n = _columns(histogram(rows.where((F.col("__median") > low) & (F.col("__median") < high)), column))
+        if not len(values):
+            break
+        size, mean = fit_nb(values, n)
+        low, high = max(low, nb_quantile(p, size, mean)), min(high, nb_quantile(1 - p, size, mean))
+    return rows.withColumn("outlier", ~((F.col("__median") > low) & (F.col("__median") < high))).drop("__median")
 
 
 def weighted_nb_fit(rows: DataFrame) -> DataFrame:
@@ -130,7 +159,9 @@ def purity_prior(coverage: DataFrame) -> DataFrame:
     """(sample, purity, score) from the peaks of a sample's coverage.
 
     The mode of a 200-bin histogram between half and twice the mean is the normal level n; purities
-    TL from 0.02 to 1 are scored by each other peak's distance to the levels TL * {1/2, 1, 3/2} * n + (1 - TL) * n.
+    TL from 0.02 to 1 are scored by each peak's distance to the levels TL * {1/2, 1, 3/2} * n + (1 - TL) * n.
+    Peaks count between 1/4 and 7/4 n if their weight is within a deviation of the mean weight; a
+    sample without such peaks has no estimate.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -140,7 +171,9 @@ def purity_prior(coverage: DataFrame) -> DataFrame:
         count, edge = np.histogram(inside if len(inside) else x, 200)
         normal = (edge[count.argmax()] + edge[count.argmax() + 1]) / 2
         weight, peak, _ = mixture(x)
-        peak = peak[(np.abs(peak - normal) > 0.02 * normal) & (peak > 0.25 * normal) & (peak < 1.75 * normal) & (weight > 0.01)]
+        spread = weight.std(ddof=1) if len(weight) > 1 else np.nan
+        usual = np.abs(weight - weight.mean()) < spread
+        peak = peak[(peak > 0.25 * normal) & (peak < 1.75 * normal) & usual]
         grid = np.round(np.arange(0.02, 1.001, 0.01), 2)
         levels = grid[:, None] * np.array([0.5, 1.0, 1.5]) * normal + (1 - grid[:, None]) * normal
         score = np.abs(levels[:, :, None] - peak).min(1).sum(1) if len(peak) else np.zeros(len(grid))
@@ -200,6 +233,14 @@ def sample_clusters(correlation: DataFrame, cut: float = 0.90) -> dict[str, int]
 
 
 def similarity_weights(coverage: DataFrame, correlation: DataFrame, power: int = 8, scale: int = 1000) -> DataFrame:
-    """Coverage of all samples with whole-number weights of their similarity to a target sample."""
-    w = correlation.select(F.col("a").alias("target"), F.col("b").alias("sample"), F.bround(F.pow(F.greatest("r", F.lit(0.0)), F.lit(float(power))) * scale).alias("weight"))
-    return coverage.join(F.broadcast(w), "sample").withColumn("n", F.count("*").over(Window.partitionBy("target", "chr", "start")))
+    """Coverage of all samples with whole-number weights of their similarity to a target sample.
+
+    A weight is (2 (r - 1/2)) to the ``power``, none below r = 1/2, as a share of the target's
+    weights, in ``scale`` parts. Rows of no weight are left out; the join goes by sample, and Spark
+    broadcasts the weights only if their size allows it.
+    """
+    raw = F.pow(F.greatest(2 * (F.col("r") - 0.5), F.lit(0.0)), F.lit(float(power)))
+    raised = correlation.select(F.col("a").alias("target"), F.col("b").alias("sample"), F.when(F.col("a") == F.col("b"), 1.0).otherwise(F.coalesce(raw, F.lit(0.0))).alias("w"))
+    share = F.bround(F.col("w") / F.sum("w").over(Window.partitionBy("target")) * scale)
+    w = raised.withColumn("weight", share).drop("w").where("weight > 0")
+    return coverage.join(w, "sample").withColumn("n", F.count("*").over(Window.partitionBy("target", "chr", "start")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from helixframe.functions.model import STATES, mixing, prior, transitions
 
@@ -31,19 +32,37 @@ def viterbi(costs: np.ndarray, distances: np.ndarray, states: tuple = STATES) ->
     return path, float(total.min())
 
 
-def decode(likelihoods: DataFrame, states: tuple = STATES) -> DataFrame:
+def decode(likelihoods: DataFrame, states: tuple = STATES, isolate: bool = False) -> DataFrame:
     """(sample, chr, start, end, cov, cn_pred, chr_cost) from rows with an array ``nll`` of state costs.
 
     Chromosomes are independent, as nothing is carried over an infinite distance, so each sample's
-    chromosome is decoded in a task of its own.
+    chromosome is decoded in a task of its own. With ``isolate`` a chromosome that can't be decoded
+    gives one row with an ``error`` and no state, where it would end the job otherwise.
     """
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
+    def found(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("start", kind="stable")
         start, end = rows["start"].to_numpy(), rows["end"].to_numpy()
         gap = np.concatenate([[np.inf], (start[1:] - end[:-1]).astype(float)])
-        path, cost = viterbi(np.stack(rows["nll"].to_numpy()), gap, states)
+        costs = np.stack(rows["nll"].to_numpy()).astype(float)
+        if costs.shape[1] != len(states) or np.isnan(costs).any():
+            raise ValueError("costs are missing")
+        path, cost = viterbi(costs, gap, states)
         return rows[["sample", "chr", "start", "end", "cov"]].assign(cn_pred=[states[i] for i in path], chr_cost=cost)
 
-    columns = likelihoods.select("sample", "chr", "start", "end", "cov", "nll")
-    return columns.groupBy("sample", "chr").applyInPandas(run, "sample string, chr string, start long, end long, cov double, cn_pred string, chr_cost double")
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        if not isolate:
+            return found(rows)
+        try:
+            return found(rows).assign(error=None)
+        except Exception as e:  # whatever ails a sample stays with it
+            return rows[["sample", "chr", "start", "end", "cov"]].head(1).assign(cn_pred=None, chr_cost=np.nan, error=f"{type(e).__name__}: {e}")
+
+    schema = "sample string, chr string, start long, end long, cov double, cn_pred string, chr_cost double" + (", error string" if isolate else "")
+    return likelihoods.select("sample", "chr", "start", "end", F.col("cov").cast("double").alias("cov"), "nll").groupBy("sample", "chr").applyInPandas(run, schema)
+
+
+def without_failures(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of the samples of which every chromosome was decoded, (sample, chr, error) of the others)."""
+    errors = decoded.where("error is not null").select("sample", "chr", "error")
+    return decoded.join(errors.select("sample").distinct(), "sample", "left_anti").drop("error"), errors

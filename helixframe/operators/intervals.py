@@ -7,18 +7,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from helixframe.functions.genome import autosome
+
 
 def genome_bins(sizes: DataFrame, width: int, overlap: int = 0) -> DataFrame:
-    """(chr, start, end, ordinal) windows of ``width`` over (chr, chr_size).
+    """(chr, start, end, ordinal) windows of ``width`` over (chr, chr_size), which begin ``overlap`` before the end of the one before.
 
-    The last window of a chromosome ends at its size, so a size that is a multiple of the width
-    gives a window of one position; chromosomes shorter than a window end one before their size.
+    The last window of a chromosome ends at its size, so a larger size that is a multiple of the
+    width gives a window of one position; chromosomes no longer than a window are one that ends
+    before their size. Where the sizes have a place in their dictionary, chr_place keeps it.
     """
-    count = F.expr(f"chr_size div {width}")
-    starts = sizes.withColumn("ordinal", F.explode(F.sequence(F.lit(0).cast("long"), count))).withColumn("start", F.col("ordinal") * width)
-    last = F.col("ordinal") == count
-    end = F.when(F.col("chr_size") < width, F.col("chr_size") - 1).when(last, F.col("chr_size")).otherwise(F.col("start") + width - 1 + overlap)
-    return starts.select("chr", "start", F.least(end, F.col("chr_size")).alias("end"), "ordinal")
+    large = F.col("chr_size") > width
+    count = F.when(large, F.expr(f"chr_size div {width}")).otherwise(0).cast("long")
+    bins = sizes.withColumn("last", count).withColumn("ordinal", F.explode(F.sequence(F.lit(0).cast("long"), count)))
+    start = F.col("ordinal") * width - F.when(F.col("ordinal") > 0, overlap).otherwise(0)
+    end = F.when(~large, F.col("chr_size") - 1).when(F.col("ordinal") == F.col("last"), F.col("chr_size")).otherwise((F.col("ordinal") + 1) * width - 1)
+    place = ["chr_place"] if "chr_place" in sizes.columns else []
+    return bins.select("chr", start.cast("long").alias("start"), end.alias("end"), "ordinal", *place)
+
+
+def dictionary_order(regions: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Regions sorted by their chromosomes' places in the dictionary (chr, chr_place), then by position."""
+    placed = regions.drop("chr_place").join(sizes.select("chr", "chr_place"), "chr", "left")
+    return placed.orderBy(F.col("chr_place").asc_nulls_last(), "chr", "start", "end")
+
+
+def keep_autosomes(rows: DataFrame, column: str = "chr", count: int = 22) -> DataFrame:
+    """Rows on numbered chromosomes."""
+    return rows.where(autosome(F.col(column), count))
 
 
 def keep_wide_bins(bins: DataFrame) -> DataFrame:
@@ -40,6 +56,19 @@ def binned_depth(reads: DataFrame, bins: DataFrame, width: int) -> DataFrame:
     return grid.join(counted, ["sample", "chr", "start"], "left").select("sample", "chr", "start", "end", F.coalesce("n_reads", zero).alias("n_reads"), F.coalesce("cov_raw", zero).alias("cov_raw"))
 
 
+def region_depth(reads: DataFrame, regions: DataFrame, width: int = 100_000) -> DataFrame:
+    """(sample, chr, start, end, n_reads): reads (sample, chr, start, end) that overlap each region of any list, zero where none does.
+
+    A region that occurs twice is counted once; reads are combined by region before the zeros join.
+    """
+    distinct = regions.select("chr", "start", "end").distinct()
+    met = overlaps(reads.select("sample", "chr", "start", "end"), distinct, width)
+    counted = met.groupBy(F.col("a_sample").alias("sample"), F.col("b_chr").alias("chr"), F.col("b_start").alias("start"), F.col("b_end").alias("end")).agg(F.count("*").alias("n_reads"))
+    # Every region for every sample; samples are as few as their files, and AQE broadcasts them by their size.
+    grid = distinct.crossJoin(reads.select("sample").distinct())
+    return grid.join(counted, ["sample", "chr", "start", "end"], "left").select("sample", "chr", "start", "end", F.coalesce("n_reads", F.lit(0).cast("long")).alias("n_reads"))
+
+
 def points_in_regions(points: DataFrame, regions: DataFrame, width: int, pos: str = "pos") -> DataFrame:
     """Inner join of (chr, pos) with the (chr, start, end) that hold it, ends included.
 
@@ -50,17 +79,39 @@ def points_in_regions(points: DataFrame, regions: DataFrame, width: int, pos: st
     return placed.join(cut, ["chr", "__cut"]).where((F.col(pos) >= F.col("start")) & (F.col(pos) <= F.col("end"))).drop("__cut")
 
 
+#: Each level of cuts is so many times as wide as the one below; the widest cut holds a whole chromosome.
+LEVEL_FACTOR, WIDEST = 8, 1 << 32
+
+
+def _cuts(rows: DataFrame, prefix: str, width: int) -> DataFrame:
+    """Rows with __level, of the narrowest cuts that hold their length, and a row for each (__at, __cut) of that and wider levels."""
+    start, end = F.col(f"{prefix}_start"), F.col(f"{prefix}_end")
+    widths = [width]
+    while widths[-1] < WIDEST:
+        widths.append(widths[-1] * LEVEL_FACTOR)
+    level = F.lit(len(widths) - 1)
+    for i in reversed(range(len(widths) - 1)):
+        level = F.when(end - start < widths[i], i).otherwise(level)
+    div = lambda x, w: F.floor(x / w).cast("long")
+    at = [F.when(F.col("__own") <= i, F.array_distinct(F.array(*[F.struct(F.lit(i).alias("__at"), div(x, w).alias("__cut")) for x in (start, end)]))) for i, w in enumerate(widths)]
+    placed = rows.withColumn("__own", level)
+    return placed.select("*", F.inline(F.flatten(F.array_compact(F.array(*at)))))
+
+
 def overlaps(a: DataFrame, b: DataFrame, width: int, chr_a: str = "chr", chr_b: str = "chr") -> DataFrame:
     """Pairs of intervals that share a position: columns of ``a`` with prefix a_, of ``b`` with b_.
 
-    Both sides are cut at multiples of ``width``; a pair is kept only in the first cut that both have.
+    An interval lies in one or two cuts of the narrowest level that holds its length, and meets
+    longer ones at their level, so it has a few rows whatever its length (``width`` is the
+    narrowest cut). The join is an equi-join on chromosome, level and cut; a pair is kept only at
+    the level of the longer interval and in the first cut that both have.
     """
-    left = a.select(*[F.col(c).alias(f"a_{c}") for c in a.columns]).withColumn("__cut", F.explode(F.sequence(F.expr(f"a_start div {width}"), F.expr(f"a_end div {width}"))))
-    right = b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns]).withColumn("__cut", F.explode(F.sequence(F.expr(f"b_start div {width}"), F.expr(f"b_end div {width}"))))
-    left, right = left.withColumn("__chr", F.col(f"a_{chr_a}")), right.withColumn("__chr", F.col(f"b_{chr_b}"))
-    first = F.greatest(F.expr(f"a_start div {width}"), F.expr(f"b_start div {width}"))
-    met = left.join(right, ["__chr", "__cut"])
-    return met.where((F.col("a_start") <= F.col("b_end")) & (F.col("b_start") <= F.col("a_end")) & (F.col("__cut") == first)).drop("__chr", "__cut")
+    left = _cuts(a.select(*[F.col(c).alias(f"a_{c}") for c in a.columns]), "a", width).withColumnRenamed("__own", "__own_a").withColumn("__chr", F.col(f"a_{chr_a}"))
+    right = _cuts(b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns]), "b", width).withColumnRenamed("__own", "__own_b").withColumn("__chr", F.col(f"b_{chr_b}"))
+    met = left.join(right, ["__chr", "__at", "__cut"])
+    wide = F.lit(float(width)) * F.pow(F.lit(float(LEVEL_FACTOR)), F.col("__at"))
+    first = F.floor(F.greatest("a_start", "b_start") / wide) == F.col("__cut")
+    return met.where((F.col("a_start") <= F.col("b_end")) & (F.col("b_start") <= F.col("a_end")) & (F.col("__at") == F.greatest("__own_a", "__own_b")) & first).drop("__chr", "__at", "__cut", "__own_a", "__own_b")
 
 
 def shared_length() -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,15 +18,24 @@ def _normalised(values: Column) -> Column:
     return let(clean, lambda c: let(total(c), lambda t: F.transform(c, lambda x: F.coalesce(F.try_divide(x, t), F.lit(0.0)))))
 
 
-def state_costs(values: Column, floor: float | None = None) -> Column:
-    """Likelihoods of the states to costs: normalise, add the false-positive floor, normalise, -log."""
+def state_costs(values: Column, floor: float | None = None, bonus: Column | None = None) -> Column:
+    """Likelihoods of the states to costs: normalise, add ``bonus`` and the false-positive floor, normalise, -log."""
     floor = false_positive() if floor is None else floor
-    raised = F.transform(_normalised(values), lambda x: x + floor)
-    return F.transform(_normalised(raised), neg_log)
+    shares = _normalised(values)
+    if bonus is not None:
+        shares = F.zip_with(shares, bonus, lambda x, more: x + more)
+    return F.transform(_normalised(F.transform(shares, lambda x: x + floor)), neg_log)
+
+
+#: What the state of most copies gets above the level of its copies, so that it wins where no state explains a depth.
+TOP_STATE = 1e-10
 
 
 def nb_coverage(coverage: DataFrame, mean: Column, variance: Column, load: float | Column = 1.0, states: tuple = STATES) -> DataFrame:
-    """``nll``: costs of the states, coverage being negative binomial with mean and variance scaled by copies."""
+    """``nll``: costs of the states, coverage being negative binomial with mean and variance scaled by copies.
+
+    Above the level of the most copies, their state gets TOP_STATE more.
+    """
     load = load if isinstance(load, Column) else F.lit(float(load))
     copies = F.array(*[F.lit(COPIES[s] / 2) for s in states])
 
@@ -35,39 +46,60 @@ def nb_coverage(coverage: DataFrame, mean: Column, variance: Column, load: float
         size = lambda m: let(var, lambda v: m * m / F.greatest(v - m, 1e-6 * m))
         return let(mu, lambda m: F.exp(nb_log_pmf(F.bround("cov").cast("double"), m, size(m))))
 
-    return coverage.withColumn("nll", state_costs(F.transform(copies, density)))
+    top = max(states, key=COPIES.get)
+    over = F.col("cov") > mean * (COPIES[top] / 2)
+    bonus = F.array(*[F.when(over, F.lit(TOP_STATE)).otherwise(0.0) if s == top else F.lit(0.0) for s in states])
+    return coverage.withColumn("nll", state_costs(F.transform(copies, density), bonus=bonus))
+
+
+def normal_coverage(coverage: DataFrame, mean: Column, sd: Column, load: float | Column = 1.0, states: tuple = STATES) -> DataFrame:
+    """``nll``: the same for a normal distribution, by the two-sided tail; a deviation of 0 tells no state from another."""
+    load = load if isinstance(load, Column) else F.lit(float(load))
+    shares = F.array(*[load * (COPIES[s] / 2) + (1 - load) for s in states])
+    return coverage.withColumn("nll", state_costs(F.transform(shares, lambda share: normal_two_sided(F.try_divide(F.col("cov") - mean * share, sd)))))
+
+
+#: Stands for the logarithm of 0 times a count.
+NEVER = -1e9
 
 
-def normal_coverage(coverage: DataFrame, mean: Column, sd: Column, load: float = 1.0, states: tuple = STATES) -> DataFrame:
-    """``nll``: the same for a normal distribution, by the two-sided tail."""
-    shares = F.array(*[F.lit(load * COPIES[s] / 2 + (1 - load)) for s in states])
-    return coverage.withColumn("nll", state_costs(F.transform(shares, lambda share: normal_two_sided((F.col("cov") - mean * share) / sd))))
+def _log_share(count: Column, share: Column) -> Column:
+    """count * ln(share), with 0 * ln(0) = 0; null without a share."""
+    return F.when(share.isNotNull(), F.when(count == 0, 0.0).when(share > 0, count * F.ln(share)).otherwise(NEVER))
 
 
-def snp_states(snps: DataFrame, load: float = 1.0) -> DataFrame:
+def snp_states(snps: DataFrame, load: float | str = 1.0) -> DataFrame:
     """``nll``: costs of the states for a SNP with alt_count, ref_count and the heterozygote share pop_het.
 
     Each genotype expects an alternative share; a state is as likely as its likeliest genotype, mixed
-    with the chance that the site is homozygous. In a sample that is all tumour, the state without
-    copies has no expectation and gets the share 1/K.
+    with the chance that the site is homozygous. Likelihoods are sums of logarithms less the
+    largest, so deep sites tell states apart. In a sample that is all tumour, the state without
+    copies has no expectation and gets the share 1/K. ``load`` is the tumour's share or a column's
+    name. Counts repeat far more often than not, so each distinct (load, alt_count, ref_count) is
+    scored once.
     """
-    alt, ref = F.col("alt_count").cast("double"), F.col("ref_count").cast("double")
-    pure = load == 1.0
-    genotypes: dict[str, list] = {s: [] for s in STATES if not (pure and COPIES[s] == 0)}
+    given = snps if isinstance(load, str) else snps.withColumn("__load", F.lit(float(load)))
+    keys = [load if isinstance(load, str) else "__load", "alt_count", "ref_count"]
+    tl, alt, ref = F.col(keys[0]), F.col("alt_count").cast("double"), F.col("ref_count").cast("double")
+    genotypes: dict[str, list] = {s: [] for s in STATES}
     for state, copies, variant, weight in GENOTYPES:
-        if state in genotypes:
-            genotypes[state].append((((1 - load) + load * variant) / (2 * (1 - load) + load * copies), weight))
-    sites = F.array(*[F.array(*[F.struct(F.lit(e).alias("e"), F.lit(w).alias("w")) for e, w in g]) for g in genotypes.values()])
+        expected = F.try_divide((1 - tl) + tl * variant, 2 * (1 - tl) + tl * copies)
+        genotypes[state].append(F.struct(expected.alias("e"), F.lit(math.log(weight)).alias("w")))
+    sites = F.array(*[F.array(*g) for g in genotypes.values()])
     # The binomial coefficient is the same for all genotypes and leaves with the normalisation.
-    best = F.transform(sites, lambda g: F.array_max(F.transform(g, lambda x: x["w"] * F.pow(x["e"], alt) * F.pow(1 - x["e"], ref))))
+    scores = F.transform(sites, lambda g: F.array_max(F.transform(g, lambda x: x["w"] + _log_share(alt, x["e"]) + _log_share(ref, 1 - x["e"]))))
+    best = let(scores, lambda s: let(F.array_max(s), lambda top: F.transform(s, lambda x: F.exp(x - top))))
     floor = false_positive()
-    likely = _normalised(F.transform(_normalised(best), lambda x: x + floor))
+    raised = F.zip_with(_normalised(best), scores, lambda x, s: F.when(s.isNotNull(), x + floor))
     homozygous = F.greatest(beta_cdf(0.1, F.col("alt_count"), F.col("ref_count")), beta_cdf(0.1, F.col("ref_count"), F.col("alt_count")))
-    final = let(homozygous, lambda h: let(likely, lambda l: _normalised(F.transform(l, lambda x: F.col("pop_het") * x + (1 - F.col("pop_het")) * h))))
-    if pure:
-        k = len(STATES)
-        final = F.concat(F.array(F.lit(1 / k)), F.transform(final, lambda x: x * (1 - 1 / k)))
-    return snps.withColumn("nll", F.transform(final, neg_log))
+    tables = given.select(*keys).distinct().withColumn("__known", scores).withColumn("__likely", _normalised(raised)).withColumn("__hom", homozygous)
+    tables = tables.withColumn("__likely", F.zip_with("__likely", "__known", lambda x, s: F.when(s.isNotNull(), x))).drop("__known")
+    met = given.join(tables, keys)
+    mixed = _normalised(F.transform("__likely", lambda x: F.col("pop_het") * x + (1 - F.col("pop_het")) * F.col("__hom")))
+    k = len(STATES)
+    pure = let(mixed, lambda p: F.transform(p, lambda x, i: F.when(i == 0, F.lit(1 / k)).otherwise(x * (1 - 1 / k))))
+    final = F.when(tl == 1.0, pure).otherwise(mixed)
+    return met.withColumn("nll", F.transform(final, neg_log)).drop("__load", "__likely", "__hom")
 
 
 def combine(*parts: DataFrame, by: tuple = ("sample", "chr", "start", "end")) -> DataFrame:
@@ -94,10 +126,11 @@ def probability_profile(likelihoods: DataFrame) -> DataFrame:
 def nb_copy_states(coverage: DataFrame, mean: Column, size: Column, copies: int = 5) -> DataFrame:
     """``probabilities`` of 0 to copies - 1 copies: mean scaled by c / 2 and size by (c / 2) squared, normalised.
 
-    No copies are taken as a twentieth of one.
+    No copies have a mean of 1 and a size of 0.1.
     """
-    halves = F.array(*[F.lit(max(c, 0.05) / 2) for c in range(copies)])
-    return coverage.withColumn("probabilities", _normalised(F.transform(halves, lambda h: F.exp(nb_log_pmf(F.bround("cov").cast("double"), mean * h, size * h * h)))))
+    k = F.bround("cov").cast("double")
+    some = F.transform(F.array(*[F.lit(c / 2) for c in range(1, copies)]), lambda h: F.exp(nb_log_pmf(k, mean * h, size * h * h)))
+    return coverage.withColumn("probabilities", _normalised(F.concat(F.array(F.exp(nb_log_pmf(k, F.lit(1.0), F.lit(0.1)))), some)))
 
 
 def path_cost(likelihoods: DataFrame) -> DataFrame:

@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from helixframe.functions.genome import gc_bin
 
 
-def library_size(coverage: DataFrame) -> DataFrame:
-    """``cov``: raw coverage over its sample's mean, times the overall mean."""
-    means = coverage.groupBy("sample").agg(F.avg("cov_raw").alias("sample_mean"))
-    overall = coverage.agg(F.avg("cov_raw").alias("overall_mean"))
+def library_size(coverage: DataFrame, cohort: DataFrame | None = None) -> DataFrame:
+    """``cov``: raw coverage over its sample's mean, times the overall mean, or that of ``cov`` of an earlier ``cohort``.
+
+    Means come from one row for each sample, so the overall mean needs no scan of its own.
+    """
+    sums = coverage.groupBy("sample").agg(F.sum("cov_raw").alias("total"), F.count("cov_raw").alias("n"))
+    overall = (sums.agg((F.sum("total") / F.sum("n")).alias("overall_mean")) if cohort is None else cohort.agg(F.avg("cov").alias("overall_mean")))
+    means = sums.select("sample", F.try_divide("total", "n").alias("sample_mean"))
     scaled = coverage.join(means, "sample").join(F.broadcast(overall))
     return scaled.withColumn("cov", F.try_divide(F.col("cov_raw"), F.col("sample_mean")) * F.col("overall_mean")).drop("sample_mean", "overall_mean")
 
@@ -35,14 +39,14 @@ def gc_regression(coverage: DataFrame) -> DataFrame:
 def gc_outliers(coverage: DataFrame, deviations: float = 4.0, most: int = 15, spread: float = 2.0, complete: float = 0.9, compat: bool = False) -> DataFrame:
     """Regions that are usable in enough samples: (chr, start, end, n_ok).
 
-    In a sample, a GC bin with more than ``most`` values above mean + ``deviations`` sd is bad, and so
-    is a region more than ``spread`` sd off. Regions that are fine in more than ``complete`` of the
-    samples stay; with ``compat`` every row counts as fine.
+    In a sample, a region is fine if its GC bin has under ``most`` values above mean +
+    ``deviations`` sd, or if the region itself is below mean + ``spread`` sd. Regions that are fine
+    in more than ``complete`` of the samples stay; with ``compat`` every row counts as fine.
     """
     own = Window.partitionBy("sample")
     scored = coverage.withColumn("m", F.avg("cov_norm").over(own)).withColumn("s", F.stddev_samp("cov_norm").over(own)).withColumn("gc_bin", gc_bin(F.col("gc")))
     high = F.sum((F.col("cov_norm") > F.col("m") + deviations * F.col("s")).cast("int")).over(Window.partitionBy("sample", "gc_bin"))
-    fine = (F.abs(F.col("cov_norm") - F.col("m")) <= spread * F.col("s")) & (F.col("n_high") <= most)
+    fine = (F.col("n_high") < most) | (F.col("cov_norm") < F.col("m") + spread * F.col("s"))
     marked = scored.withColumn("n_high", high).withColumn("ok", F.lit(True) if compat else fine)
     samples = coverage.agg(F.count_distinct("sample").alias("n_samples"))
     counted = marked.groupBy("chr", "start", "end").agg(F.count_if("ok").alias("n_ok"))
@@ -58,14 +62,21 @@ def sample_correlation(coverage: DataFrame, threshold: float = 0.9) -> DataFrame
     return r.withColumn("weight", weight)
 
 
+def norm_weights(weights: DataFrame) -> DataFrame:
+    """(sample, norm_weight): the sum of a sample's weights over all samples, itself included."""
+    return weights.groupBy(F.col("a").alias("sample")).agg(F.sum("weight").alias("norm_weight"))
+
+
 def weighted_moments(coverage: DataFrame, weights: DataFrame) -> DataFrame:
-    """(sample, chr, start, w_mean, w_sd) over similar samples; an undefined deviation is 1."""
-    rows = coverage.select(F.col("sample").alias("b"), "chr", "start", "cov")
+    """(sample, chr, start, w_mean, w_sd) over similar samples; an undefined deviation, of one sample alone, is 1.
+
+    Rows are dealt by region first, so the sums of each region and sample are made where its rows are.
+    """
+    rows = coverage.select(F.col("sample").alias("b"), "chr", "start", F.col("cov").cast("double").alias("cov")).repartition("chr", "start")
     met = rows.join(weights.where("weight > 0").select("a", "b", "weight"), "b")
-    mean = met.groupBy("a", "chr", "start").agg((F.sum(F.col("cov") * F.col("weight")) / F.sum("weight")).alias("w_mean"))
-    around = met.join(mean, ["a", "chr", "start"])
-    squares = F.sum(F.col("weight") * (F.col("cov") - F.col("w_mean")) ** 2)
+    region = Window.partitionBy("a", "chr", "start")
+    around = met.withColumn("m", F.sum(F.col("cov") * F.col("weight")).over(region) / F.sum("weight").over(region))
     n = F.count("*").cast("double")
-    sd = F.sqrt(F.try_divide(squares, (n - 1) / n * F.sum("weight")))
-    found = around.groupBy("a", "chr", "start").agg(F.first("w_mean").alias("w_mean"), sd.alias("w_sd"))
-    return found.select(F.col("a").alias("sample"), "chr", "start", "w_mean", F.when(F.col("w_sd").isNull() | F.isnan("w_sd") | (F.col("w_sd") == 0), 1.0).otherwise(F.col("w_sd")).alias("w_sd"))
+    sd = F.sqrt(F.try_divide(F.sum(F.col("weight") * (F.col("cov") - F.col("m")) ** 2), (n - 1) / n * F.sum("weight")))
+    found = around.groupBy("a", "chr", "start").agg(F.first("m").alias("w_mean"), sd.alias("sd"))
+    return found.select(F.col("a").alias("sample"), "chr", "start", "w_mean", F.coalesce(F.nanvl("sd", F.lit(1.0)), F.lit(1.0)).alias("w_sd"))

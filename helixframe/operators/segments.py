@@ -30,12 +30,46 @@ def composite_ids(calls: DataFrame, most: int = 200_000, compat: bool = False) -
     return both.withColumn("segment_id", (F.col("cn_id") * F.col("join_region_id")).cast("string") if compat else F.concat_ws("_", "cn_id", "join_region_id"))
 
 
-def rollup(calls: DataFrame) -> DataFrame:
-    """One row for each run: state, extent, length, median coverage and median standardised distance."""
-    return calls.groupBy("sample", "chr", "cn_id").agg(
-        F.min_by("cn_pred", "start").alias("cn_pred"), F.min("start").alias("start"), F.max("end").alias("end"),
-        (F.max("end") - F.min("start") + 1).alias("length"), F.median("cov").alias("median_cov"), F.median("sd_distance").alias("median_sd_distance"), F.count("*").alias("n_regions"),
-    )
+def rollup(calls: DataFrame, by: str = "cn_id") -> DataFrame:
+    """One row for each run: state, extent, length, median coverage and median standardised distance.
+
+    Where the rows have a region_name, region_names lists each once, in order of the regions. Where
+    they have ``site_sums``, snp_baf is the weighted mean of alt over ref, and snp_weight the sum of
+    the weights.
+    """
+    has = set(calls.columns)
+    found = [
+        F.min_by("cn_pred", "start").alias("cn_pred"), F.min("start").alias("start"), F.max("end").alias("end"), (F.max("end") - F.min("start")).alias("length"),
+        F.median("cov").alias("median_cov"), F.median("sd_distance").alias("median_sd_distance"), F.count("*").alias("n_regions"),
+    ]
+    if "region_name" in has:
+        named = F.transform(F.array_sort(F.collect_set(F.struct("start", "region_name"))), lambda x: x["region_name"])
+        found.append(F.array_join(F.array_distinct(named), ",").alias("region_names"))
+    if "snp_weight" in has:
+        found += [F.try_divide(F.sum("snp_sum"), F.sum("snp_known")).alias("snp_baf"), F.sum("snp_weight").alias("snp_weight")]
+    return calls.groupBy("sample", "chr", by).agg(*found)
+
+
+def site_sums(sites: DataFrame) -> DataFrame:
+    """(sample, chr, start, snp_sum, snp_known, snp_weight) of each region's sites, weighted by pop_het; a site without reference reads has no ratio."""
+    ratio = F.try_divide(F.col("alt_count").cast("double"), F.col("ref_count").cast("double"))
+    known = F.when(ratio.isNotNull(), F.col("pop_het"))
+    return sites.groupBy("sample", "chr", "start").agg(F.sum(ratio * F.col("pop_het")).alias("snp_sum"), F.sum(known).alias("snp_known"), F.sum("pop_het").alias("snp_weight"))
+
+
+def named_regions(calls: DataFrame, regions: DataFrame) -> DataFrame:
+    """Calls at regions of the dictionary, with its region_name; calls elsewhere are left out."""
+    return calls.join(regions.select("chr", "start", "end", "region_name"), ["chr", "start", "end"])
+
+
+def normal_levels(calls: DataFrame) -> DataFrame:
+    """(sample, norm_cov): median over all regions of coverage over what the called copies make of the normal level.
+
+    A region without copies that has coverage counts as infinitely high, one without either is left out.
+    """
+    factor = F.when(F.col("cn_pred") == "LOH", 1.0).otherwise(F.col("cn_pred").try_cast("double") / 2)
+    level = F.when(factor > 0, F.col("cov") / factor).when(F.col("cov") > 0, float("inf"))
+    return calls.groupBy("sample").agg(F.median(level).alias("norm_cov"))
 
 
 def longest(segments: DataFrame, n: int = 3) -> DataFrame:
@@ -47,14 +81,15 @@ def longest(segments: DataFrame, n: int = 3) -> DataFrame:
 def purity(segments: DataFrame, normals: DataFrame, genome: DataFrame, n: int = 3, cap: float = 0.99) -> DataFrame:
     """Purity that a sample's longest changed segments imply, weighted by length.
 
-    A segment of c copies with coverage ratio q to the normal median implies (q - 1) / (c / 2 - 1).
+    A segment of c copies with coverage ratio q to the normal level (``normal_levels``) implies
+    (q - 1) / (c / 2 - 1); LOH implies nothing.
     """
-    top = longest(segments, n).join(normals, "sample").withColumn("copies", F.col("cn_pred").cast("double"))
+    top = longest(segments, n).join(normals, "sample").withColumn("copies", F.when(F.col("cn_pred") != "LOH", F.col("cn_pred")).try_cast("double"))
     implied = F.try_divide(F.try_divide(F.col("median_cov"), F.col("norm_cov")) - 1, F.col("copies") / 2 - 1)
     rows = top.withColumn("implied", implied).where("implied is not null")
     mean = rows.groupBy("sample").agg((F.sum(F.col("implied") * F.col("length")) / F.sum("length")).alias("purity_mean"), F.sum("length").alias("total"))
     around = rows.join(mean, "sample").groupBy("sample", "purity_mean", "total").agg(F.sqrt(F.sum(F.col("length") * (F.col("implied") - F.col("purity_mean")) ** 2) / F.sum("length")).alias("purity_sd"))
-    share = F.round(100 * F.col("total") / F.col("genome_size"), 6)
+    share = F.round(100 * F.col("total") / F.col("genome_size"), 2)
     return around.join(genome, "sample").select("sample", F.least(F.lit(cap), "purity_mean").alias("purity"), "purity_sd", (F.col("total") / 1e6).alias("total_mbp"), share.alias("genome_percent"))
 
 
@@ -82,10 +117,10 @@ def chromosome_extents(regions: DataFrame) -> DataFrame:
 
 
 def central_depth(rows: DataFrame, by: tuple, order: str, value: str, width: int = 9, more_than: int = 10) -> DataFrame:
-    """Mean of the ``width`` middle values of a group with more than ``more_than`` rows, else of all."""
+    """Mean of the ``width`` values around the middle one, n / 2 rounded half to even, of a group with more than ``more_than`` rows, else of all."""
     w = Window.partitionBy(*by)
     placed = rows.withColumn("i", F.row_number().over(w.orderBy(order))).withColumn("n", F.count("*").over(w))
-    first = F.floor((F.col("n") - width) / 2) + 1
+    first = F.bround(F.col("n") / 2) - width // 2
     middle = (F.col("i") >= first) & (F.col("i") < first + width)
     return placed.groupBy(*by).agg(F.avg(F.when((F.col("n") <= more_than) | middle, F.col(value))).alias("depth"), F.max("n").alias("n"))
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from helixframe.functions.genome import let
+
 from .intervals import overlaps, reciprocal_overlap, shared_length
 
 
@@ -13,30 +16,82 @@ def kind_of(cn: Column, low: float, high: float) -> Column:
 
 
 def segment_copy_numbers(segments: DataFrame, tumour_content: float | None = 0.5, homozygous: float = 0.5, low: float = 1.5, high: float = 2.5) -> DataFrame:
-    """``cn`` from log2, corrected for tumour content if given; svtype and genotype by limits on the rounded number."""
+    """``cn`` from log2, ``ccn`` corrected for tumour content; svtype and genotype by limits on cn, which is not corrected.
+
+    Without a tumour content ``ccn`` is the number before it is rounded.
+    """
     raw = 2 * F.pow(F.lit(2.0), F.col("log2"))
-    cn = F.bround(raw if tumour_content is None else 2 + (F.bround(raw, 6) - 2) / tumour_content, 2)
+    ccn = F.bround(2 + (raw - 2) * (1 / tumour_content), 2) if tumour_content else raw
     genotype = F.when(F.col("cn") < homozygous, "1/1").when(F.col("svtype") == "COPY_NORMAL", "0/0").otherwise("0/1")
-    return segments.withColumn("cn", cn).withColumn("svtype", kind_of(F.col("cn"), low, high)).withColumn("gt", genotype)
+    return segments.withColumn("cn", F.bround(raw, 2)).withColumn("ccn", ccn).withColumn("svtype", kind_of(F.col("cn"), low, high)).withColumn("gt", genotype)
 
 
-VCF_HEADER = (
-    "##fileformat=VCFv4.2",
-    '##INFO=<ID=END,Number=1,Type=Integer,Description="End of the segment">',
-    '##INFO=<ID=SVTYPE,Number=1,Type=String,Description="DEL, DUP or COPY_NORMAL">',
-    '##INFO=<ID=LOG2,Number=1,Type=Float,Description="log2 ratio of the segment">',
-    '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
-    '##FORMAT=<ID=CN,Number=1,Type=Float,Description="Copy number">',
+#: INFO and FORMAT fields of segment VCFs: id, number, type, what it is. Ids are fixed by the format's readers.
+SEGMENT_INFO = (
+    ("SVTYPE", "1", "String", "DEL, DUP or COPY_NORMAL"),
+    ("END", "1", "Integer", "End of the segment"),
+    ("SVLEN", "1", "Integer", "Length of the segment"),
+    ("LOG_ODDS_RATIO", "1", "Float", "log2 ratio of the segment"),
+    ("COPY_NUMBER", "1", "Float", "Copy number"),
+    ("CORRECTED_COPY_NUMBER", "1", "Float", "Copy number of the tumour cells"),
+    ("PROBES", "1", "Integer", "Probes in the segment"),
+    ("BAF", "1", "Float", "Minor allele frequency"),
+    ("BAF_PROBES", "1", "Integer", "Sites with an allele frequency"),
 )
+SEGMENT_FORMAT = (
+    ("GT", "1", "String", "Genotype"),
+    ("CN", "1", "Float", "Copy number"),
+    ("CCN", "1", "Float", "Copy number of the tumour cells"),
+    ("CNQ", "1", "Integer", "Probes in the segment"),
+    ("DP", "1", "Float", "Depth"),
+    ("BAF", "1", "Float", "Minor allele frequency"),
+    ("BAFQ", "1", "Integer", "Sites with an allele frequency"),
+)
+
+
+def vcf_header(info: tuple = SEGMENT_INFO, fields: tuple = SEGMENT_FORMAT, version: str = "4.2", filters: tuple = (), date: str | None = None) -> list[str]:
+    """Header lines up to the column names; ``date`` is the file's date, today's if none is given."""
+    from datetime import date as calendar
+
+    lines = [f"##fileformat=VCFv{version}", f"##fileDate={date or calendar.today().isoformat()}"]
+    for kind, rows in (("INFO", info), ("FORMAT", fields)):
+        lines += [f'##{kind}=<ID={i},Number={n},Type={t},Description="{d}">' for i, n, t, d in rows]
+    return lines + [f'##FILTER=<ID={i},Description="{d}">' for i, d in filters]
 
 
 def vcf_lines(segments: DataFrame) -> DataFrame:
-    """(value) VCF 4.2 data lines of ``segment_copy_numbers`` rows that are not normal."""
-    info = F.concat_ws(";", F.format_string("END=%d", "end"), F.concat(F.lit("SVTYPE="), "svtype"), F.format_string("LOG2=%.6f", "log2"))
+    """(value) VCF 4.2 data lines of ``segment_copy_numbers`` rows, normal ones included.
+
+    Columns ccn, n_probes, baf, n_baf_probes and depth give their fields where the table has them;
+    the allele frequency of a sample is given where it rests on any site.
+    """
+    has = set(segments.columns)
+    number = lambda c: F.format_string("%.2f", c)
+    whole = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("."))
+    share = lambda c: F.coalesce(F.when(F.col(c).isNotNull(), F.format_string("%.6f", c)), F.lit("."))
+    info = [("SVTYPE", F.col("svtype")), ("END", whole("end")), ("SVLEN", (F.col("end") - F.col("start") + 1).cast("string")), ("LOG_ODDS_RATIO", F.format_string("%.6f", "log2")), ("COPY_NUMBER", number("cn"))]
+    sample = [("GT", F.col("gt")), ("CN", number("cn"))]
+    if "ccn" in has:
+        info.append(("CORRECTED_COPY_NUMBER", number("ccn")))
+        sample.append(("CCN", number("ccn")))
+    if "n_probes" in has:
+        info.append(("PROBES", whole("n_probes")))
+        sample.append(("CNQ", whole("n_probes")))
+    if "depth" in has:
+        sample.append(("DP", number("depth")))
+    form, data = [F.lit(k) for k, _ in sample], [v for _, v in sample]
+    if "baf" in has:
+        info.append(("BAF", share("baf")))
+        known = F.col("n_baf_probes") > 0 if "n_baf_probes" in has else F.col("baf").isNotNull()
+        last = [("BAF", share("baf"))]
+        if "n_baf_probes" in has:
+            info.append(("BAF_PROBES", whole("n_baf_probes")))
+            last.append(("BAFQ", whole("n_baf_probes")))
+        form += [F.when(known, F.lit(k)) for k, _ in last]
+        data += [F.when(known, v) for _, v in last]
+    text = F.concat_ws(";", *[F.concat(F.lit(f"{k}="), v) for k, v in info])
     alt = F.concat(F.lit("<"), "svtype", F.lit(">"))
-    sample = F.concat_ws(":", "gt", F.format_string("%.2f", "cn"))
-    line = F.concat_ws("\t", "contig", F.col("start").cast("string"), F.lit("."), F.lit("N"), alt, F.lit("."), F.lit("PASS"), info, F.lit("GT:CN"), sample)
-    return segments.where("svtype != 'COPY_NORMAL'").select(line.alias("value"))
+    return segments.select(F.concat_ws("\t", "contig", F.col("start").cast("string"), F.lit("."), F.lit("N"), alt, F.lit("."), F.lit("."), text, F.concat_ws(":", *form), F.concat_ws(":", *data)).alias("value"))
 
 
 def vcf_info(line: Column) -> Column:
@@ -45,10 +100,17 @@ def vcf_info(line: Column) -> Column:
 
 
 def hard_filters(v: DataFrame, least_af: float = 0.05, most_nm: float = 7.0) -> DataFrame:
-    """``filter``: tags of the hard filters that a small variant fails, joined by ;, PASS if none; with gt and qual_vcf."""
+    """``filter``: tags of the hard filters that a small variant fails, joined by ;, PASS if none; with gt and qual_vcf.
+
+    Rows with an amplicon flag are judged by their amplicons (gamp, tamp, ncamp) too.
+    """
+    amplicon = F.col("ampflag").isNotNull() if "ampflag" in v.columns else F.lit(False)
+    flagged = F.col("ampflag").isin("", "0") == F.lit(False) if "ampflag" in v.columns else F.lit(False)
+    missed = F.col("gamp") < F.col("tamp") - F.col("ncamp") if "ampflag" in v.columns else F.lit(False)
     weak = F.col("hicnt") * F.col("hiaf") < 0.5
     length = F.abs(F.length("ref") - F.length("alt"))
-    odds = F.when(F.col("oddratio").between(1e-12, 1 - 1e-12), 1 / F.col("oddratio")).otherwise(F.col("oddratio"))
+    ratio = F.col("oddratio")
+    odds = F.when(ratio == float("inf"), 0.0).when((ratio > 0) & (ratio < 1), 1 / ratio).otherwise(ratio)
     msi = (length == F.col("msilen")) & (((F.col("msi") > 12) & (F.col("msilen") > 1) & (F.col("af") < 0.2)) | ((F.col("msi") >= 13) & (F.col("msilen") == 1) & (F.col("af") <= 0.275)))
     long_msi = (length == F.col("msilen")) & (((F.col("hiaf") <= 0.275) & (F.col("msi") >= 13)) | ((F.col("hiaf") <= 0.2) & (F.col("msi") >= 8) & (F.col("msilen") > 1)))
     bias = (F.col("hiaf") < 0.25) & (F.col("bias") == "2;1") & (F.col("sbf") < 0.01) & ((odds > 5) | (odds == 0)) & (F.col("end") - F.col("start") < 100)
@@ -57,7 +119,7 @@ def hard_filters(v: DataFrame, least_af: float = 0.05, most_nm: float = 7.0) ->
         ("v2", (F.col("hicnt") < 2) & weak),
         (f"f{least_af:g}", F.col("af") < least_af),
         ("p8", F.col("pmean") < 8),
-        ("pSTD", (F.col("pstd") == 0) & (F.col("af") < 0.35)),
+        ("pSTD", (F.col("pstd") == 0) & (F.col("af") < 0.35) & ~amplicon),
         ("q22.5", F.col("qual") < 22.5),
         ("Q10", (F.col("mapq") < 10) & (F.col("af") < 0.8)),
         ("SN1.5", F.col("sn") < 1.5),
@@ -65,6 +127,7 @@ def hard_filters(v: DataFrame, least_af: float = 0.05, most_nm: float = 7.0) ->
         ("MSI12", msi),
         ("Bias", bias),
         ("LongMSI", long_msi),
+        ("AMPBIAS", amplicon & (F.coalesce(missed, F.lit(False)) | flagged)),
     )
     failed = F.array_compact(F.array(*[F.when(rule, tag) for tag, rule in rules]))
     gt = F.when(1 - F.col("af") < 0.2, "1/1").when(F.col("af") >= 0.5, "1/0").when(F.col("af") >= least_af, "0/1").otherwise("0/0")
@@ -72,18 +135,89 @@ def hard_filters(v: DataFrame, least_af: float = 0.05, most_nm: float = 7.0) ->
     return v.withColumn("filter", F.when(F.size(failed) == 0, "PASS").otherwise(F.array_join(failed, ";"))).withColumn("gt", gt).withColumn("qual_vcf", quality)
 
 
-def best_per_position(v: DataFrame, ties: tuple) -> DataFrame:
-    """The variant of the highest allele frequency at each position."""
-    order = Window.partitionBy("chr", "pos").orderBy(F.col("af").desc(), *ties)
+def best_per_position(v: DataFrame, ties: tuple, every: bool = False) -> DataFrame:
+    """The variant of the highest allele frequency at each position, or ``every`` one, repeats of (chr, start, end, ref, alt) left out."""
+    same = ("chr", "start", "end", "ref", "alt") if every else ("chr", "pos")
+    order = Window.partitionBy(*same).orderBy(F.col("af").desc(), *ties)
     return v.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
 
 
 def flag_clusters(v: DataFrame, within: int, ties: tuple = ()) -> DataFrame:
-    """``clustered``: a passing variant closer than ``within`` to the passing one before or after it."""
-    order = Window.partitionBy("chr", "passes").orderBy("pos", *ties)
-    near = lambda d: F.coalesce(d < within, F.lit(False))
-    close = near(F.col("pos") - F.lag("pos").over(order)) | near(F.lead("pos").over(order) - F.col("pos"))
-    return v.withColumn("clustered", F.col("passes") & close)
+    """``filter``: Cluster{within}bp for a passing SNV that starts less than ``within`` after the SNV that passed last, and for the record before it.
+
+    A clustered SNV does not count as passed, so what passes depends on the SNVs before. It does so
+    only while they follow each other closely: such stretches are dealt out and streamed in order,
+    and a task holds a batch and the position that passed last.
+    """
+    tag, place = f"Cluster{within}bp", Window.partitionBy("chr").orderBy("pos", *ties)
+    passing = (F.col("filter") == "PASS") & (F.col("type") == "SNV")
+    snvs = v.withColumn("__passes", F.coalesce(passing, F.lit(False))).withColumn("__at", F.when(F.col("__passes"), F.col("pos")))
+    before = F.last("__at", ignorenulls=True).over(place.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(F.col("__passes") & F.coalesce(F.col("pos") - before < within, F.lit(False)), 0).otherwise(F.col("__passes").cast("int"))
+    dealt = snvs.withColumn("__fresh", fresh).withColumn("__stretch", F.sum("__fresh").over(place)).drop("__fresh", "__at").withColumn("__clustered", F.lit(False))
+    keys = ["chr", "__stretch", "pos", *ties]
+
+    def run(batches):
+        key = last = None
+        for batch in batches:
+            found = []
+            for name, stretch, pos, passes in zip(*(batch.column(c).to_pylist() for c in ("chr", "__stretch", "pos", "__passes"))):
+                if (name, stretch) != key:
+                    key, last = (name, stretch), None
+                close = passes and last is not None and pos - last < within
+                last = pos if passes and not close else last
+                found.append(close)
+            yield batch.set_column(batch.schema.get_field_index("__clustered"), "__clustered", pa.array(found, pa.bool_()))
+
+    marked = dealt.repartition("chr", "__stretch").sortWithinPartitions(*keys).mapInArrow(run, dealt.schema)
+    hit = F.col("__clustered") | F.coalesce(F.lead("__clustered").over(place), F.lit(False))
+    return marked.withColumn("filter", F.when(hit, tag).otherwise(F.col("filter"))).drop("__stretch", "__passes", "__clustered")
+
+
+#: INFO fields of small-variant VCFs and the columns that they come from; ids are fixed by the format's readers.
+SMALL_INFO = (
+    ("TYPE", "type"), ("DP", "dp"), ("END", "end"), ("VD", "vd"), ("AF", "af"), ("BIAS", "bias"), ("REFBIAS", "rfwd:rrev"), ("VARBIAS", "vfwd:vrev"), ("PMEAN", "pmean"), ("PSTD", "pstd"),
+    ("QUAL", "qual"), ("QSTD", "qstd"), ("SBF", "sbf"), ("ODDRATIO", "oddratio"), ("MQ", "mapq"), ("SN", "sn"), ("HIAF", "hiaf"), ("ADJAF", "adjaf"), ("SHIFT3", "shift3"), ("MSI", "msi"),
+    ("MSILEN", "msilen"), ("NM", "nm"), ("HICNT", "hicnt"), ("HICOV", "hicov"), ("LSEQ", "lseq"), ("RSEQ", "rseq"),
+)
+AMPLICON_INFO = (("GDAMP", "gamp"), ("TLAMP", "tamp"), ("NCAMP", "ncamp"), ("AMPFLAG", "ampflag"))
+
+
+def small_variant_header(least_af: float = 0.05, most_nm: float = 7.0, within: int = 1) -> list[str]:
+    """Header lines of a VCF 4.1 file of small variants."""
+    fields = [(i, "1", "String", f"from {c}") for i, c in (("SAMPLE", "sample"), *SMALL_INFO, *AMPLICON_INFO)]
+    form = [("GT", "1", "String", "Genotype"), *[(i, n, "Integer", d) for i, n, d in (("DP", "1", "Depth"), ("VD", "1", "Variant depth"), ("AD", ".", "Depth of each allele"))]]
+    form += [("AF", "1", "Float", "Allele frequency"), ("RD", "2", "Integer", "Reference reads by strand"), ("ALD", "2", "Integer", "Variant reads by strand")]
+    tags = ("d3", "v2", f"f{least_af:g}", "p8", "pSTD", "q22.5", "Q10", "SN1.5", f"NM{most_nm:g}", "MSI12", "Bias", "LongMSI", f"Cluster{within}bp", "AMPBIAS")
+    return vcf_header(tuple(fields), tuple(form), "4.1", tuple((t, f"fails {t}") for t in tags))
+
+
+def small_variant_lines(v: DataFrame) -> DataFrame:
+    """(value) VCF 4.1 data lines of small variants with filter, gt and qual_vcf.
+
+    Columns that the table lacks or that are null give no INFO field; blanks in a sample's name become underscores.
+    """
+    has = set(v.columns)
+    text = lambda c: F.col(c).cast("string")
+
+    def value(source: str):
+        parts = source.split(":")
+        if not set(parts) <= has:
+            return None
+        if source == "bias":
+            return F.regexp_replace(text("bias"), ";", ":")
+        return F.concat_ws(":", *[text(c) for c in parts]) if len(parts) > 1 else text(source)
+
+    info = [F.concat(F.lit("SAMPLE="), F.regexp_replace("sample", r"\s", "_"))] if "sample" in has else []
+    for name, source in (*SMALL_INFO, *(AMPLICON_INFO if "ampflag" in has else ())):
+        shown = value(source)
+        if shown is not None:
+            shown = F.when(F.col("ampflag").isNotNull(), shown) if (name, source) in AMPLICON_INFO else shown
+            info.append(F.concat(F.lit(f"{name}="), shown))
+    rd, ald = F.concat_ws(",", text("rfwd"), text("rrev")), F.concat_ws(",", text("vfwd"), text("vrev"))
+    ad = F.concat_ws(",", (F.col("rfwd") + F.col("rrev")).cast("string"), text("vd"))
+    sample = F.concat_ws(":", "gt", text("dp"), text("vd"), ad, text("af"), rd, ald)
+    return v.select(F.concat_ws("\t", "chr", text("start"), F.lit("."), "ref", "alt", text("qual_vcf"), "filter", F.concat_ws(";", *info), F.lit("GT:DP:VD:AD:AF:RD:ALD"), sample).alias("value"))
 
 
 def merge_overlapping(calls: DataFrame, width: int, share: float = 0.6) -> DataFrame:
@@ -104,17 +238,48 @@ def population_frequency(calls: DataFrame, database: DataFrame, width: int, shar
     return calls.join(best, "id", "left").select(*calls.columns, F.col("hit.b_ac").alias("ac"), F.col("hit.b_af").alias("freq"))
 
 
+def called_segments(calls: DataFrame, least_freq: float = 0.0, kinds: tuple = ()) -> DataFrame:
+    """Calls that another caller's table takes part with: passing, of the ``kinds`` if any are named, not rarer than ``least_freq``."""
+    kept = calls.where(F.col("filter").isin("PASS", "."))
+    kept = kept.where(F.col("svtype").isin(*kinds)) if kinds else kept
+    return kept.where(F.coalesce(F.col("freq"), F.lit(1.0)) >= least_freq) if "freq" in calls.columns else kept
+
+
 def callers_by_region(segments: DataFrame, panel: DataFrame, width: int) -> DataFrame:
     """Segments with the names of the panel regions that they overlap, sorted and comma-joined, and their number."""
     met = overlaps(segments, panel, width)
     return met.groupBy(F.col("a_id").alias("id")).agg(F.array_join(F.array_sort(F.collect_set("b_region_name")), ",").alias("region_names"), F.count("*").alias("n_regions"))
 
 
+#: Expected allele frequencies of the genotype classes.
+FREQUENCIES = (0.0, 0.25, 0.33, 0.5, 0.66, 0.75, 1.0)
+
+
 def genotype_classes(v: DataFrame, trisomy: float = 0.01, tetrasomy: float = 0.005) -> DataFrame:
-    """``class``: the likeliest of seven allele-frequency classes given alt and ref counts, with its posterior."""
-    classes = (("HOM_REF", 0.01, 1.0), ("HET", 0.5, 1.0), ("HOM_ALT", 0.99, 1.0), ("TRI", 1 / 3, trisomy), ("TRI", 2 / 3, trisomy), ("QUAD", 0.25, tetrasomy), ("QUAD", 0.75, tetrasomy))
-    score = [F.col("alt_count") * F.ln(F.lit(p)) + F.col("ref_count") * F.ln(F.lit(1 - p)) + F.ln(F.lit(w)) for _, p, w in classes]
-    top = F.greatest(*score)
-    total = sum((F.exp(s - top) for s in score), F.lit(0.0))
-    name = F.coalesce(*[F.when(s == top, F.lit(n)) for s, (n, _, _) in zip(score, classes)])
-    return v.withColumn("class", name).withColumn("posterior", 1 / total)
+    """(…, vaf, hom_prob, het_prob, tri_prob, quad_prob): classes of allele frequencies given alt and ref counts.
+
+    The priors follow from ``pop_het``, the share of heterozygotes: homozygotes of either allele share
+    what is left, trisomies and tetrasomies take their parts of pop_het. Tetrasomies with two alleles
+    each look like heterozygotes, so het_prob is less, and quad_prob all of, the tetrasomies' prior.
+    """
+    het = F.col("pop_het")
+    quad, tri, hom = het * tetrasomy / 3, het * trisomy / 2, (1 - het) / 2
+    priors = (hom, quad, tri, het - 2 * quad - 2 * tri, tri, quad, hom)
+
+    def score(p: float) -> Column:
+        # 0 times the logarithm of 0 is 0 here.
+        part = lambda n, q: F.lit(0.0) if q == 1 else F.when(n == 0, 0.0).otherwise(n * F.ln(F.lit(q)) if q > 0 else F.lit(-1e9))
+        return part(F.col("alt_count"), p) + part(F.col("ref_count"), 1 - p)
+
+    scores = F.array(*[score(p) for p in FREQUENCIES])
+    weighed = let(scores, lambda s: let(F.array_max(s), lambda top: F.zip_with(s, F.array(*priors), lambda x, w: w * F.exp(x - top))))
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
+    shares = let(weighed, lambda a: let(total(a), lambda t: F.transform(a, lambda x: F.try_divide(x, t))))
+    found = v.withColumn("__p", shares)
+    p = lambda i: F.get("__p", F.lit(i))
+    return found.withColumns({"vaf": vaf(), "hom_prob": p(0) + p(6), "het_prob": p(3) - 2 * quad, "tri_prob": p(2) + p(4), "quad_prob": 4 * quad}).drop("__p")
+
+
+def vaf() -> Column:
+    """Share of the alternative allele in a site's depth, null without depth."""
+    return F.try_divide(F.col("alt_count").cast("double"), (F.col("alt_count") + F.col("ref_count")).cast("double"))

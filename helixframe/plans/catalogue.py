@@ -9,7 +9,7 @@ from helixframe.functions.genome import logistic
 from helixframe.functions.model import STATES, transition_costs, transitions
 from helixframe.operators import cohort, fit, hmm, intervals, likelihood, normalize, segments, variants
 from helixframe.plans import oracles, views
-from helixframe.plans.caller import CallerConfig, call_copy_numbers
+from helixframe.plans.caller import CallerConfig, call
 
 QUERIES: dict = {}
 
@@ -80,6 +80,11 @@ def genome_binning(s: SparkSession, d: str) -> DataFrame:
     return intervals.genome_bins(_sizes(s, d), 50_000)
 
 
+@query
+def genome_binning_overlap(s, d):
+    return intervals.genome_bins(_sizes(s, d), 50_000, 5_000)
+
+
 @query
 def small_bin_filter(s, d):
     return intervals.keep_wide_bins(intervals.genome_bins(_sizes(s, d), 50_000))
@@ -90,6 +95,28 @@ def depth_per_bin(s, d):
     return views.coverage(s, d)
 
 
+@query
+def depth_of_any_regions(s, d):
+    """Reads of one hour that overlap the panel's regions, which overlap and have many lengths."""
+    panel = views.panel(s, d).select(F.element_at(F.array(*map(F.lit, views.CHROMOSOMES)), (1 + F.col("ordinal") % 5).cast("int")).alias("chr"), "start", "end")
+    reads = views.reads(s, d).select("sample", "chr", F.col("pos").alias("start"), (F.col("pos") + 3600).alias("end"))
+    return intervals.region_depth(reads, panel, 1_000)
+
+
+@query
+def autosome_filter(s, d):
+    rows = views.table(s, d, "part").select(F.col("p_partkey").alias("id"), F.concat(F.lit("chr"), (F.col("p_size") % 30).cast("string")).alias("chr"))
+    return intervals.keep_autosomes(rows)
+
+
+@query
+def cohort_mean_norm(s, d):
+    """The batch's coverage scaled to the mean of an earlier cohort's."""
+    rows = views.coverage(s, d)
+    cohort = rows.where("sample >= 's7'").withColumn("cov", F.col("cov_raw").cast("double"))
+    return rounded(normalize.library_size(rows.where("sample < 's7'"), cohort).select("sample", "chr", "start", "cov"), "cov")
+
+
 @query
 def library_size_norm(s, d):
     return rounded(normalize.library_size(views.coverage(s, d)).select("sample", "chr", "start", "end", "cov_raw", "cov"), "cov")
@@ -167,6 +194,18 @@ def sample_correlation(s, d):
     return rounded(normalize.sample_correlation(_plain(s, d), 0.0), "r", "weight")
 
 
+@query
+def norm_weights(s, d):
+    return rounded(normalize.norm_weights(normalize.sample_correlation(_plain(s, d), 0.0)), "norm_weight")
+
+
+@query
+def similarity_weights(s, d):
+    rows = _plain(s, d)
+    r = normalize.sample_correlation(rows).withColumn("r", 0.5 + F.col("r") / 2)
+    return fit.similarity_weights(rows, r).select("target", "sample", "chr", "start", F.col("weight").cast("long").alias("weight"), "n")
+
+
 @query
 def weighted_mean_sd(s, d):
     rows = _plain(s, d)
@@ -226,8 +265,17 @@ def top3_longest_segments(s, d):
 @query
 def purity_from_segments(s, d):
     rows = views.calls(s, d)
-    normals = rows.where("cn_pred = '2'").groupBy("sample").agg(F.median("cov").alias("norm_cov"))
-    return rounded(segments.purity(segments.rollup(_runs(s, d)), normals, segments.genome_size(rows)), "purity", "purity_sd", "total_mbp", "genome_percent")
+    return rounded(segments.purity(segments.rollup(_runs(s, d)), segments.normal_levels(rows), segments.genome_size(rows)), "purity", "purity_sd", "total_mbp", "genome_percent")
+
+
+@query
+def named_segments_with_snps(s, d):
+    """Segments with the names of their regions and the allele ratio of the sites in them."""
+    names = views.bins(s, d).select("chr", "start", "end", F.concat(F.lit("r"), F.expr("start div 86400 div 2")).alias("region_name"))
+    sites = _alleles(s, d).select("sample", "chr", (F.expr("pos div 86400") * 86400).alias("start"), "alt_count", "ref_count", (2 * F.col("baf") * (1 - F.col("baf"))).alias("pop_het"))
+    runs = segments.named_regions(_runs(s, d), names).join(segments.site_sums(sites), ["sample", "chr", "start"], "left")
+    found = segments.rollup(runs).select("sample", "chr", "cn_id", "cn_pred", "start", "end", "length", "region_names", "snp_baf", "snp_weight")
+    return rounded(found, "snp_baf", "snp_weight")
 
 
 @query
@@ -250,6 +298,20 @@ def cohort_recurrence(s, d):
     return cohort.recurrence(views.calls(s, d), 0.3).select("sample", "chr", "start", "cn_pred", "cnv_in_cohort", "samples_in_cohort", "final_cn")
 
 
+@query
+def too_frequent_calls(s, d):
+    """Calls of the batch that too many samples of the batch and an earlier cohort share."""
+    rows = views.calls(s, d)
+    found = cohort.too_frequent(cohort.recurrence(rows.where("sample < 's7'"), 0.3, rows.where("sample >= 's5'")))
+    return found.select("sample", "chr", "start", "cn_pred", "cnv_in_cohort", "samples_in_cohort", "final_cn")
+
+
+@query
+def cohort_info(s, d):
+    rows = views.calls(s, d)
+    return cohort.cohort_info(rows.where("sample < 's7'"), rows.where("sample >= 's5'").select("sample", "chr", "start", "end", "cn_pred", "cov_raw", "cov"))
+
+
 @query
 def cohort_antijoin_union(s, d):
     rows = views.coverage(s, d)
@@ -267,6 +329,12 @@ def control_sample_diff(s, d):
     return rounded(cohort.control_differences(_plain(s, d), "s0", 0.9, 200_000), "mean_diff", "mean_in_samples")
 
 
+@query
+def control_sample_stretches(s, d):
+    """The same without short stretches and those that three samples share."""
+    return rounded(cohort.control_differences(_plain(s, d), "s0", 0.9, 200_000, 3, 200_000), "mean_diff", "mean_in_samples")
+
+
 @query
 def sample_comparison(s, d):
     pairs = cohort.comparison_pairs(s.createDataFrame([("s0::s1|s2::s3|s0::s1",)], "spec string"), "spec")
@@ -299,12 +367,24 @@ def segment_to_cn(s, d):
 
 @query
 def cn_without_purity(s, d):
-    return variants.segment_copy_numbers(views.segments(s, d), tumour_content=None)
+    return rounded(variants.segment_copy_numbers(views.segments(s, d), tumour_content=None), "ccn")
+
+
+def _probed(s, d):
+    n = F.expr("start div 1000")
+    return variants.segment_copy_numbers(views.segments(s, d)).withColumns({"n_probes": n % 50, "n_baf_probes": n % 3, "baf": (n % 50) / 100})
 
 
 @query
 def vcf_records(s, d):
-    return variants.vcf_lines(variants.segment_copy_numbers(views.segments(s, d)))
+    return variants.vcf_lines(_probed(s, d))
+
+
+@query
+def vcf_records_of_depths(s, d):
+    """Records of a caller that gives a depth and, for some segments, an allele frequency, but no corrected number."""
+    rows = _probed(s, d).drop("n_baf_probes", "ccn").withColumn("depth", F.col("n_probes") * 1.5)
+    return variants.vcf_lines(rows.withColumn("baf", F.when(F.col("n_probes") % 2 == 0, F.col("baf"))))
 
 
 def _small(s, d):
@@ -315,6 +395,9 @@ def _small(s, d):
         F.substring(F.lit("AAAA"), F.lit(1), 1 + c("l_partkey") % 3).alias("ref"), F.lit("A").alias("alt"), c("l_quantity").alias("dp"), c("l_linenumber").alias("vd"), c("l_discount").alias("af"), (c("l_tax") * 4).alias("hiaf"), c("l_linenumber").alias("hicnt"),
         (c("l_suppkey") % 20).alias("pmean"), (c("l_partkey") % 2).alias("pstd"), c("l_quantity").alias("qual"), (c("l_partkey") % 60).alias("mapq"), (c("l_linenumber") * F.lit(0.7)).alias("sn"), (c("l_suppkey") % 10).alias("nm"),
         (c("l_partkey") % 15).alias("msi"), (c("l_linenumber") % 3).alias("msilen"), F.when(c("l_linenumber") % 2 == 0, "2;1").otherwise("2;2").alias("bias"), (c("l_tax") / 10).alias("sbf"), (c("l_quantity") / 10).alias("oddratio"),
+        F.when(c("l_partkey") % 4 == 0, (c("l_suppkey") % 2).cast("string")).alias("ampflag"), (c("l_suppkey") % 5).alias("gamp"), (c("l_suppkey") % 6).alias("tamp"), (c("l_partkey") % 2).alias("ncamp"),
+        F.when(c("l_linenumber") < 5, "SNV").otherwise("Insertion").alias("type"), F.concat(F.lit("s "), (c("l_suppkey") % 10).cast("string")).alias("sample"),
+        (c("l_partkey") % 9).alias("rfwd"), (c("l_suppkey") % 9).alias("rrev"), (c("l_linenumber") % 3).alias("vfwd"), (c("l_linenumber") % 2).alias("vrev"),
     )
 
 
@@ -323,6 +406,17 @@ def small_variant_filters(s, d):
     return variants.hard_filters(_small(s, d)).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "filter", "gt", "qual_vcf")
 
 
+@query
+def small_variant_vcf(s, d):
+    return variants.small_variant_lines(variants.hard_filters(_small(s, d)))
+
+
+@query
+def every_variant_once(s, d):
+    rows = _small(s, d)
+    return variants.best_per_position(rows, ("l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"), every=True).select("chr", "start", "end", "ref", "alt", "af", "l_partkey", "l_suppkey", "l_linenumber")
+
+
 @query
 def best_variant_per_pos(s, d):
     rows = _small(s, d)
@@ -331,8 +425,10 @@ def best_variant_per_pos(s, d):
 
 @query
 def cluster_filter(s, d):
-    rows = views.table(s, d, "orders").select(F.col("o_orderstatus").alias("chr"), F.col("o_orderkey").alias("pos"), (F.col("o_totalprice") > 200_000).alias("passes"))
-    return variants.flag_clusters(rows, 3)
+    kind = F.when(F.col("o_orderkey") % 7 == 0, "Deletion").otherwise("SNV")
+    filters = F.when(F.col("o_totalprice") > 200_000, "PASS").otherwise("q22.5")
+    rows = views.table(s, d, "orders").select(F.col("o_orderstatus").alias("chr"), F.col("o_orderkey").alias("pos"), kind.alias("type"), filters.alias("filter"))
+    return variants.flag_clusters(rows, 7)
 
 
 @query
@@ -370,7 +466,9 @@ def multi_caller_regions(s, d):
 
 @query
 def genotype_class_posterior(s, d):
-    return rounded(variants.genotype_classes(_alleles(s, d)).select("sample", "site", "class", "posterior"), "posterior")
+    rows = _alleles(s, d).withColumn("pop_het", 2 * F.col("baf") * (1 - F.col("baf")))
+    columns = ("vaf", "hom_prob", "het_prob", "tri_prob", "quad_prob")
+    return rounded(variants.genotype_classes(rows).select("sample", "site", *columns), *columns)
 
 
 @query
@@ -444,9 +542,30 @@ def outlier_regions(s, d):
     return fit.outlier_regions(views.coverage(s, d), "cov_raw", 0.1).select("sample", "chr", "start", "cov_raw", "outlier")
 
 
+def _shown(called):
+    rows = called.segments.select("sample", "chr", "cn_pred", "start", "end", "length", "n_regions", "median_cov", "median_sd_distance")
+    return rounded(rows, "median_cov", "median_sd_distance", digits=4)
+
+
+def _planted(s, d):
+    """Coverage with a level of 2000, twice as high in ten bins of one sample and half as high in ten of another."""
+    bin_, level = F.expr("start div 86400"), F.col("cov_raw") + 2000
+    doubled = (F.col("sample") == "s3") & (F.col("chr") == "view") & bin_.between(10, 19)
+    halved = (F.col("sample") == "s7") & (F.col("chr") == "click") & bin_.between(3, 12)
+    return views.coverage(s, d).select("sample", "chr", "start", "end", F.when(doubled, level * 2).when(halved, F.floor(level / 2)).otherwise(level).cast("long").alias("cov_raw"))
+
+
 @query
 def cnv_caller_end_to_end(s, d):
-    return call_copy_numbers(views.coverage(s, d), CallerConfig())
+    """Germline calls of a panel: similar samples' moments, normal tails, the decoder, recurrence."""
+    return _shown(call(_planted(s, d), CallerConfig(least_correlation=-1.0, most_in_cohort=0.9)))
+
+
+@query
+def cnv_caller_somatic(s, d):
+    """Tumour calls with sites, three rounds of decoding and purity."""
+    sites = _alleles(s, d).select("sample", "chr", "pos", "alt_count", "ref_count", (2 * F.col("baf") * (1 - F.col("baf"))).alias("pop_het"))
+    return _shown(call(_planted(s, d), CallerConfig(calling="tumor_only", least_correlation=-1.0), sites=sites))
 
 
 def queries() -> dict:

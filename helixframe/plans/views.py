@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 BIN = 86400
 BINS_PER_CHR = 30
+CHROMOSOMES = ("click", "error", "purchase", "signup", "view")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +40,7 @@ def pile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chrs = F.array(*[F.lit(c) for c in ("click", "error", "purchase", "signup", "view")])
+    chrs = F.array(*map(F.lit, CHROMOSOMES))
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("site"), F.element_at(chrs, (1 + F.col("p_partkey") % 5).cast("int")).alias("chr"),
         (F.col("p_partkey") * 1297 % 2592000).alias("pos"), F.substring(F.lit("ACGT"), 1 + F.col("p_size") % 4, F.lit(1)).alias("alt"), (F.col("p_size") / F.lit(51.0)).alias("baf"),

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.operators.variants import VCF_HEADER
+from helixframe.functions.genome import bare_name, chr_rank
+from helixframe.operators.variants import vcf_header
 
 
 def write_tsv(df: DataFrame, path: str, header: bool = True) -> None:
@@ -21,18 +22,19 @@ def write_by_sample(df: DataFrame, path: str) -> None:
     df.write.partitionBy("sample").option("sep", "\t").option("header", True).csv(path)
 
 
-def write_vcf(lines: DataFrame, sample: str, path: str, header: tuple = VCF_HEADER) -> None:
-    """Data lines as VCF parts in ``path``/data and the header in ``path``/header, to be read or joined in that order."""
+def write_vcf(lines: DataFrame, sample: str, path: str, header: list | None = None) -> None:
+    """Data lines as VCF parts in ``path``/data, in the chromosomes' natural order, and the header in ``path``/header, to be read or joined in that order."""
     spark = lines.sparkSession
-    head = [*header, "\t".join(("#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", sample))]
+    head = [*(header or vcf_header()), "\t".join(("#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", sample))]
     spark.createDataFrame([("\n".join(head),)], "value string").write.text(f"{path}/header")
-    position = F.split_part("value", F.lit("\t"), F.lit(2)).cast("long")
-    lines.repartitionByRange(F.split_part("value", F.lit("\t"), F.lit(1)), position).sortWithinPartitions(F.split_part("value", F.lit("\t"), F.lit(1)), position).write.text(f"{path}/data")
+    chromosome = F.split_part("value", F.lit("\t"), F.lit(1))
+    order = [chr_rank(chromosome), bare_name(chromosome), F.split_part("value", F.lit("\t"), F.lit(2)).cast("long"), F.col("value")]
+    lines.repartitionByRange(*order).sortWithinPartitions(*order).write.text(f"{path}/data")
 
 
 def append_cohort(coverage: DataFrame, path: str) -> None:
-    """Add a batch's samples to the cohort's store, a folder of Parquet for each sample."""
-    coverage.write.mode("append").partitionBy("sample").parquet(path)
+    """Add a batch's samples to the cohort's store, a folder of Parquet for each sample; samples that it has are replaced."""
+    coverage.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sample").parquet(path)
 
 
 def drop_typed(lines: DataFrame) -> DataFrame:

@@ -43,6 +43,6 @@ def near(a, b):
     return all(x == y or (isinstance(x, float) and isinstance(y, float) and abs(x - y) < 2e-4) for x, y in zip(a, b))
 
 
-@pytest.mark.parametrize("name", ["viterbi_decode", "nb_fit", "fisher_strand_bias", "purity_mixture", "greedy_region_groups", "sample_path_cost", "outlier_regions", "cnv_caller_end_to_end"])
+@pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(SQL)))
 def test_query_without_sql_runs(spark, name):
     assert catalogue.QUERIES[name](spark, DATA).count() > 0

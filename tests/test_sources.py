@@ -27,7 +27,7 @@ def test_tagged_files(spark, write):
 
 def test_dictionary_and_regions(spark, write):
     path = write("g.dict", "@HD\tVN:1.6\n@SQ\tSN:chr1\tLN:248956422\tM5:x\n@SQ\tSN:MT\tLN:16569\n")
-    assert rows(readers.sequence_dictionary(spark, path)) == [("MT", 16569), ("chr1", 248956422)]
+    assert rows(readers.sequence_dictionary(spark, path)) == [("MT", 16569, 2), ("chr1", 248956422, 1)]
     path = write("p.bed", "1\t10\t20\tgene\textra\n1\t30\t40\n")
     assert rows(readers.region_bed(spark, path).drop("ordinal")) == [("1", 10, 20, "gene"), ("1", 30, 40, "reg_1_30_40")]
 
@@ -50,9 +50,9 @@ def test_depth_alleles_bands_gc(spark, write):
 def test_segments_and_variants(spark, write):
     body = "\t".join(["1", "10", "20", "5", "3", "x", "0.25", "x", "x", "0.5"])
     path = write("a.seg", f"@HD\n@RG\tID:x\tSM:tumour1\nCONTIG\tSTART\n{body}\n")
-    assert rows(readers.copy_ratio_segments(spark, path)) == [("1", 10, 20, 5, 0.25, 0.5, "tumour1")]
+    assert rows(readers.copy_ratio_segments(spark, path)) == [("1", 10, 20, 5, 3, 0.25, 0.5, "tumour1")]
     path = write("a.cns", "chromosome\tstart\tend\tgene\tlog2\tbaf\tdepth\tprobes\n1\t1\t2\tg\t0.5\t\t30\t7\n")
-    assert rows(readers.copy_number_segments(spark, path)) == [("1", 1, 2, 0.5, 30.0, 7)]
+    assert rows(readers.copy_number_segments(spark, path)) == [("1", 1, 2, 0.5, None, 30.0, 7)]
     values = [str(i) for i in range(36)]
     path = write("v.tsv", "\t".join(values) + "\nWarning: R_HOME ignored\n")
     got = readers.small_variants(spark, path).collect()
@@ -63,7 +63,10 @@ def test_insert_size(spark, write):
     header = ["MEDIAN_INSERT_SIZE", "MEAN_INSERT_SIZE", *[f"c{i}" for i in range(21)]]
     path = write("m.txt", "## METRICS\n" + "\t".join(header) + "\n" + "\t".join(["199", "200", *["0"] * 21]) + "\n\nhist\t1\n")
     assert [r["mean_insert_size"] for r in readers.insert_size(spark, path).collect()] == ["200"]
-    assert readers.insert_size(spark, write("none.txt", "a\tb\n")).count() == 0
+    none = write("none.txt", "a\tb\n")
+    assert readers.insert_size(spark, none, strict=False).count() == 0
+    with pytest.raises(Exception, match="no MEAN_INSERT_SIZE"):
+        readers.insert_size(spark, none).collect()
 
 
 def test_sinks(spark, tmp_path):
@@ -71,8 +74,9 @@ def test_sinks(spark, tmp_path):
     sinks.write_bed(df.select("chr", "start"), str(tmp_path / "bed"))
     assert {r["value"] for r in spark.read.text(str(tmp_path / "bed")).collect()} == {"1\t100000000", "2\t5"}
     sinks.append_cohort(df, str(tmp_path / "cohort"))
-    sinks.append_cohort(df, str(tmp_path / "cohort"))
-    assert spark.read.parquet(str(tmp_path / "cohort")).where("sample = 's1'").count() == 2
+    # A rerun replaces its samples and leaves the others.
+    sinks.append_cohort(df.where("sample = 's1'"), str(tmp_path / "cohort"))
+    assert rows(readers.cohort_table(spark, str(tmp_path / "cohort")).select("chr", "sample")) == [("1", "s1"), ("2", "s2")]
     sinks.write_by_sample(df, str(tmp_path / "by"))
     assert (tmp_path / "by" / "sample=s1").is_dir()
     lines = spark.createDataFrame([("1\t20\tTYPE=DEL",), ("1\t3\tTYPE=SNV",)], "value string")
@@ -80,6 +84,31 @@ def test_sinks(spark, tmp_path):
     sinks.write_vcf(lines, "s1", str(tmp_path / "vcf"))
     assert spark.read.text(str(tmp_path / "vcf" / "header")).first()["value"].startswith("##fileformat=VCFv4.2")
     assert spark.read.text(str(tmp_path / "vcf" / "data")).count() == 2
+    names = ["chr10", "2", "X", "chr1"]
+    sinks.write_vcf(spark.createDataFrame([(f"{n}\t{p}\tx",) for n in names for p in (30, 4)], "value string"), "s1", str(tmp_path / "sorted"))
+    written = [line for part in sorted((tmp_path / "sorted" / "data").glob("part-*")) for line in part.read_text().splitlines()]
+    assert [tuple(line.split("\t")[:2]) for line in written] == [(n, p) for n in ("chr1", "2", "chr10", "X") for p in ("4", "30")]
+
+
+def test_structural_calls_of_vcf_files(spark, write):
+    head = "##fileformat=VCFv4.1\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tt\tn\n"
+    body = "1\t100\ta\tN\t<DEL>\t.\tPASS\tSVTYPE=DEL;END=250;IMPRECISE;X=a=b\tGT:DP\t0/1:9\t0/0\n1\t300\tb\tN\t<DUP:TANDEM>\t7.5\tlow\tSVLEN=-50\tGT\t0/1\t0/0\n2\t9\tc\tN\tN[3:7[\t.\tPASS\tSVTYPE=BND\n"
+    records = readers.vcf(spark, write("calls.vcf", head + body))
+    first = records.where("id = 'a'").first()
+    assert first["info"] == {"SVTYPE": "DEL", "END": "250", "IMPRECISE": "", "X": "a"} or first["info"]["X"] == "a=b"
+    assert first["sample_values"][0] == {"GT": "0/1", "DP": "9"} and first["sample_values"][1]["GT"] == "0/0" and records.where("id = 'b'").first()["qual"] == 7.5
+    assert rows(readers.structural_calls(records)) == [("a", "1", 100, 250, "DEL", "PASS"), ("b", "1", 300, 350, "DUP", "low"), ("c", "2", 9, 9, "BND", "PASS")]
+
+
+def test_sheets_and_optional_tables(spark, write):
+    path = write("run.json", '{"samples": {"1": {"sample_name": "a", "donor": "d", "tumor_normal": "tumor"}, "2": {"sample_name": "b"}}, "other": 1}')
+    assert rows(readers.sample_sheet(spark, path)) == [("a", "d", "tumor"), ("b", None, None)]
+    paths = spark.createDataFrame([("x/s1/a.region_coverage.tsv",)], "p string")
+    assert paths.select(readers.snp_path(paths["p"])).first()[0] == "x/s1/a.snpAF.tsv"
+    assert readers.tumour_fractions(spark, None).count() == 0 and readers.tumour_fractions(spark, path + ".none").count() == 0
+    assert rows(readers.tumour_fractions(spark, write("tc.tsv", "sample\tpred_TL\ts\nx\t0.4\t1\n"))) == [("x", 0.4)]
+    table = readers.cohort_table(spark, write("cohort.tsv", "sample\tchr\tstart\tcn_pred\n7\t1\t5\t2\n"))
+    assert rows(table) == [("7", "1", 5, "2")]
 
 
 def test_caller_config(spark):
