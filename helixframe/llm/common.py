@@ -2,46 +2,19 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from helixframe.operators.shared import materialize, shared_dir
+
+__all__ = ["ascii_lower", "map_text_groups", "map_texts", "materialize", "shared_dir", "unused", "word_count"]
+
 #: White space everywhere in this subpackage: the space and the code points 9 to 13.
 SPACES = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all machines see, from ``spark.checkpoint.dir``.
-
-    Only where the session names none (tests on one machine) is a temporary folder made and set.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="helixframe-")
-        atexit.register(shutil.rmtree, found, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", found)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
-
-    This cuts the lineage: a lost executor costs a read of that table, not the work before it.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/helixframe-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def unused(df: DataFrame, *names: str) -> list[str]:
     """A column name for each of ``names`` that no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}

@@ -27,12 +27,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from helixframe.operators.graph import UnionFind, connected_components
+
 from .common import map_texts, materialize, unused
-from .components import UnionFind, connected_components
+
 from .superminhash import Shingles, bands, signature
 
 #: Shingles that a block holds, about; two blocks meet in a task.
 BLOCK_SHINGLES = 400_000
+#: The same for those that are held against the smallest set of their band alone.
+LEADER_SHINGLES = 50_000
 #: A class counts as large with one part in so many of all rows.
 FREQUENT_CLASSES = 1000
 
@@ -167,7 +171,7 @@ def _leader_links(rows: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
     A leader of very many nodes is verified in parts of a bounded number of shingles.
     """
-    parts = pairs.groupBy("leader").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("parts"))
+    parts = pairs.groupBy("leader").agg(F.ceil(F.sum("n") / LEADER_SHINGLES).cast("int").alias("parts"))
     role = lambda leader, part: F.struct(leader.alias("leader"), part.alias("part"))
     members = pairs.join(parts, "leader").select("node", role(F.col("leader"), F.pmod(F.xxhash64("node"), "parts").cast("int")).alias("role"))
     own = parts.select(F.col("leader").alias("node"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from helixframe.llm import near_dedup, superminhash
-from helixframe.llm.components import UnionFind, connected_components
+from helixframe.operators.graph import UnionFind, connected_components
 
 from .fixtures import documents, table
 
@@ -61,6 +61,7 @@ def test_fixture_matches_brute_force(spark):
 @pytest.mark.parametrize("block", [400_000, 300])
 def test_groups_match_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(near_dedup, "LEADER_SHINGLES", block)
     rng = random.Random(4)
     rows = []
     for g in range(6):
@@ -108,6 +109,7 @@ def test_work_grows_with_a_percolating_graph(spark, monkeypatch):
 
     monkeypatch.setattr(near_dedup, "_verified", counted)
     monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 300)
+    monkeypatch.setattr(near_dedup, "LEADER_SHINGLES", 300)
     sent = []
     for n in (60, 180):
         rows = chain(n)
@@ -122,6 +124,7 @@ def test_work_grows_with_a_percolating_graph(spark, monkeypatch):
 def test_members_that_miss_the_leader_are_linked(spark, monkeypatch, block):
     """Near copies drift from the first, so that members of a band link with each other and not with its smallest."""
     monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(near_dedup, "LEADER_SHINGLES", block)
     rng = random.Random(2)
     rows = []
     for g in range(4):
