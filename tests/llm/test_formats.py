@@ -1,4 +1,6 @@
+import gzip
 import io
+import json
 import struct
 import zipfile
 from collections import Counter
@@ -57,6 +59,67 @@ def test_pages_sql(spark, tmp_path):
     assert sorted(map(tuple, got)) == sorted(con.execute(queries.OP6_SQL).fetchall())
 
 
+def foreign(kind, url, block, extra="", digest=None, mime="application/http; msgtype=response"):
+    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:x:{url}>\r\nWARC-Target-URI: {url}\r\n{extra}Content-Type: {mime}\r\nContent-Length: {len(block)}\r\n"
+    head += f"WARC-Payload-Digest: sha1:{digest}\r\n" if digest else ""
+    return head.encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+def test_archives_of_other_makers(spark, tmp_path):
+    """Two data files, one of them not indexed and one not compressed, an index that is gzipped, requests, chunked bodies, no private fields."""
+    digest = warc_zip.payload_digest(b"hello world")
+    first = [
+        foreign("warcinfo", "i", b"software: x", mime="application/warc-fields"),
+        foreign("response", "http://a.org/1", b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n5\r\nhello\r\n6;x=y\r\n world\r\n0\r\n\r\n", digest=digest),
+        foreign("request", "http://a.org/1", b"GET / HTTP/1.1\r\n\r\n"),
+    ]
+    second = [foreign("resource", "http://b.org/z", b"raw bytes", mime="text/plain"), foreign("revisit", "http://b.org/1", b"HTTP/1.1 200 OK\r\n\r\n", "WARC-Refers-To: <urn:x:http://a.org/1>\r\n", digest)]
+    third = [foreign("response", f"http://c.org/{i}", b"HTTP/1.1 200 OK\r\n\r\n" + b"p%d" % i * 50) for i in range(40)]
+    packed = [gzip.compress(r) for r in third]
+    at = np.cumsum([0] + [len(r) for r in packed]).tolist()
+    lines = ['!meta {"format": "cdxj"}'] + [f"org,c)/{i} 2024 " + json.dumps({"offset": str(at[i]), "length": str(len(packed[i])), "filename": "c.warc.gz"}) for i in range(40)]
+    with zipfile.ZipFile(tmp_path / "other.wacz", "w") as z:
+        z.writestr("datapackage.json", "{}", zipfile.ZIP_DEFLATED)
+        z.writestr("archive/a.warc.gz", b"".join(gzip.compress(r) for r in first))
+        z.writestr("archive/b.warc", b"".join(second))
+        z.writestr("archive/c.warc.gz", b"".join(packed))
+        z.writestr("indexes/index.cdx.gz", gzip.compress("\n".join(lines).encode()))
+    paths = spark.createDataFrame([(f"file://{tmp_path}/other.wacz", 1), (None, 2)], "path string, n int")
+    got = {r["url"]: r for r in warc_zip.read_archives(paths).collect()}
+    assert len(got) == 43 and all(r["page_id"] is None for r in got.values())
+    one = got["http://a.org/1"]
+    assert (one["record_type"], bytes(one["payload"]), one["payload_digest"], one["record_id"]) == ("response", b"hello world", digest, "<urn:x:http://a.org/1>")
+    assert bytes(got["http://b.org/z"]["payload"]) == b"raw bytes" and got["http://b.org/1"]["refers_to_id"] == one["record_id"] and got["http://b.org/1"]["payload"] is None
+    assert all(bytes(got[f"http://c.org/{i}"]["payload"]) == b"p%d" % i * 50 for i in range(40))
+    with zipfile.ZipFile(tmp_path / "deflated.zip", "w") as z:
+        z.writestr("archive/a.warc.gz", b"x" * 99, zipfile.ZIP_DEFLATED)
+    with pytest.raises(Exception, match="not stored"):
+        warc_zip.read_archives(spark.createDataFrame([(f"file://{tmp_path}/deflated.zip",)], "path string")).count()
+
+
+def test_ranges_are_merged_and_dealt_by_bytes(spark, monkeypatch):
+    pages = spark.range(600).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.sha2(F.col("id").cast("string"), 512).alias("html"))
+    archives = warc_zip.write_archives(pages.coalesce(1))
+    parts = warc_zip.index_parts(archives).collect()
+    assert len(parts) == 1 and len(parts[0]["offsets"]) == 600 and parts[0]["bytes"] == archives.first()["n_bytes"]
+    monkeypatch.setattr(warc_zip, "RANGE_BYTES", 20_000)
+    monkeypatch.setattr(warc_zip, "TASK_BYTES", 30_000)
+    many = warc_zip.index_parts(archives).collect()
+    assert len(many) > 5 and max(r["bytes"] for r in many) <= 20_000 and sum(len(r["offsets"]) for r in many) == 600
+    records = warc_zip.read_archives(archives)
+    assert records.rdd.getNumPartitions() >= archives.first()["n_bytes"] / 30_000 and records.where("payload is not null").count() == 600
+
+
+def test_common_payloads_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(warc_zip, "COMMON", 5)
+    rows = [(i, "u", "same" if i % 2 else f"p{i // 4}") for i in range(60)] + [(None, "u", "same")]
+    got = {r["page_id"]: r["refers_to"] for r in warc_zip.read_archives(warc_zip.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"))).collect()}
+    first = {}
+    for i, _, h in rows[:-1]:
+        first.setdefault(h, i)
+    assert got == {**{i: None if first[h] == i else first[h] for i, _, h in rows[:-1]}, None: None}
+
+
 def test_directory_reads_what_zipfile_writes():
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as z:
