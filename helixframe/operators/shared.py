@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +29,44 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Tables that this process wrote and did not remove, in order.
+_written: list[str] = []
+
+
+def remove(spark: SparkSession, paths: list) -> None:
+    """Delete tables that ``materialize`` wrote; results that still read them can no longer be computed."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        if path in _written:
+            _written.remove(path)
+
+
+@contextmanager
+def temporary(spark: SparkSession):
+    """Remove at the end what is written inside, but for the paths that are taken out of the list that it gives.
+
+    The list holds, when read inside, all that was written so far, the last one last.
+    """
+    before, found = set(_written), _Since(_written, len(_written))
+    try:
+        yield found
+    finally:
+        remove(spark, [p for p in list(_written) if p not in before and p not in found.taken])
+
+
+class _Since:
+    """What was appended to a list since a length; ``pop`` takes the last."""
+
+    def __init__(self, every: list, start: int):
+        self.every, self.start, self.taken = every, start, set()
+
+    def pop(self) -> str:
+        left = [p for p in self.every[self.start :] if p not in self.taken]
+        self.taken.add(left[-1])
+        return left[-1]
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
@@ -35,5 +74,6 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/helixframe-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
