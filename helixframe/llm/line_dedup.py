@@ -1,12 +1,13 @@
 """Line dedup: the first document that holds a line keeps it.
 
-A line's key is the stripped, lower-cased line. The two 64-bit hashes of each key are dealt by
-ranges of the first hash (equal ranges hold equal shares of uniform hashes, so no sampling pass is
-needed), sorted by hash, document and position, and streamed: the first row of each hash is its
-first occurrence, and rows of later documents are dropped. Only (hashes, document, position) are
-shuffled. What comes out is a compressed keep bitmap for each document, no text.
-
-Very frequent keys would fill one range. They are looked for in a sample of the documents (a key is
+A line's key is the stripped, lower-cased line. Texts are split once, and the two 64-bit hashes of
+each key are written with document and position. They are dealt in ranges of the first hash, a range
+to a partition (equal ranges hold equal shares of uniform hashes, so no sampling pass is needed),
+sorted by hash, document and position, and streamed: the first row of each hash is its first
+occurrence, and rows of later documents are dropped. Only (hashes, document, position) are shuffled.
+What comes out is a compressed keep bitmap for each document, no text.
+
+Very frequent keys would fill one range. They are looked for in a sample of the lines (a key is
 frequent with at least 1/2000 of the sampled lines, so there are at most 2000, small enough to
 broadcast); their smallest document is found over all documents by an aggregate with map-side
 combination, and their rows are then spread over all ranges. Which keys count as frequent changes
@@ -18,13 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, ascii_lower, unused
+from .common import SPACES, ascii_lower, materialize, unused
 
 #: At most so many keys can have one part in so many of the sampled lines.
 FREQUENT_KEYS = 2000
 SAMPLE_ONE_IN = 64
-#: Ranges of the first hash: its highest 20 bits.
-RANGE_SHIFT = 44
+#: Highest bits of a hash that tell its range.
+RANGE_BITS = 31
 
 
 def line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -39,7 +40,7 @@ def line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Da
 
 def frequent_firsts(keys: DataFrame) -> DataFrame:
     """(h1, h2, first_doc) of the very frequent keys, at most FREQUENT_KEYS rows."""
-    sample = keys.where(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE_ONE_IN)) == 0).groupBy("h1", "h2").agg(F.count("*").alias("n"))
+    sample = keys.where(F.pmod(F.xxhash64("doc", "pos"), F.lit(SAMPLE_ONE_IN)) == 0).groupBy("h1", "h2").agg(F.count("*").alias("n"))
     total = sample.agg(F.sum("n")).collect()[0][0] or 0
     hot = sample.where(F.col("n") * FREQUENT_KEYS >= total).select("h1", "h2")
     return keys.join(F.broadcast(hot), ["h1", "h2"]).groupBy("h1", "h2").agg(F.min("doc").alias("first_doc"))
@@ -56,14 +57,15 @@ def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Null and empty texts, and rows with a null id (which no other row is compared with), lose
     nothing and are not listed. Rows with equal ids are one document. Other columns are ignored.
-    An empty table gives an empty table.
+    Texts of any length are read whole. An empty table gives an empty table.
     """
-    keys = line_keys(docs, id_col, text_col, min_chars)
+    keys = materialize(line_keys(docs, id_col, text_col, min_chars))
     firsts = frequent_firsts(keys)
-    own_range = F.shiftrightunsigned("h1", RANGE_SHIFT)
-    spread = F.shiftrightunsigned(F.xxhash64("doc", "pos"), RANGE_SHIFT)
-    dealt = keys.join(F.broadcast(firsts), ["h1", "h2"], "left").withColumn("range", F.when(F.col("first_doc").isNull(), own_range).otherwise(spread))
-    ordered = dealt.repartition("range").sortWithinPartitions("range", "h1", "h2", "doc", "pos")
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The hash's highest bits as a share of the ranges: neighbouring hashes are in one range.
+    of = lambda h: (F.shiftrightunsigned(h, 64 - RANGE_BITS) * ranges / (1 << RANGE_BITS)).cast("int")
+    dealt = keys.join(F.broadcast(firsts), ["h1", "h2"], "left").withColumn("range", F.when(F.col("first_doc").isNull(), of(F.col("h1"))).otherwise(of(F.xxhash64("doc", "pos"))))
+    ordered = dealt.repartitionById(ranges, "range").sortWithinPartitions("range", "h1", "h2", "doc", "pos")
     stream = Window.partitionBy("range", "h1", "h2").orderBy("doc", "pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     lost = ordered.withColumn("first_doc", F.coalesce("first_doc", F.first("doc").over(stream))).where(F.col("doc") > F.col("first_doc"))
     words = lost.groupBy("doc", "text_key", F.expr("pos div 64").cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pos % 64 as int))")).alias("gone"))
