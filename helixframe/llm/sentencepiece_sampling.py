@@ -13,8 +13,9 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .piece_lattice import Sampler, Vocabulary
@@ -36,28 +37,35 @@ def load_pieces(model_path: str = MODEL) -> dict:
     return {"pieces": [model.id_to_piece(i) for i in n], "scores": [model.get_score(i) for i in n], "special": special, "bytes_at": [bytes_at[f"<0x{b:02X}>"] for b in range(256)]}
 
 
-def row_seed(key, seed: str) -> int:
-    return xxhash.xxh3_64_intdigest(f"{seed}:{key}".encode())
+def row_seed(key, seed: str, copy: int = 0) -> int:
+    return xxhash.xxh3_64_intdigest((f"{seed}:{key}:{copy}" if copy else f"{seed}:{key}").encode())
 
 
-def sample_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = MODEL, theta: float = THETA, seed: str = "pieces", with_ids: bool = True) -> DataFrame:
+def sample_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = MODEL, theta: float = THETA, seed: str = "pieces", with_ids: bool = True, number_copies: bool = False) -> DataFrame:
     """(doc, n_pieces, ids_sha256, lossless, ids) for each row of ``docs``; ids is null if not asked for.
 
     ``ids_sha256`` is of the ids as little-endian 32-bit integers; ``lossless`` tells whether
     decoding them gave the text back. A null text is an empty one, which has no pieces. The seed of a
-    row is its id (null is a key like others), so rows with equal ids and texts get equal pieces.
-    Other columns are ignored; an empty table gives an empty table.
+    row is its id (null is a key like others), so rows with equal ids and texts get equal pieces,
+    unless ``number_copies`` asks for a draw of its own for each of them: rows with equal ids and
+    texts are numbered, and a row's seed is its id and number. Ids keep their type. Texts of any
+    length are read whole. Other columns are ignored, whatever their names; an empty table gives an
+    empty table.
     """
     shared = docs.sparkSession.sparkContext.broadcast(load_pieces(model_path))
-    schema = pa.schema([("doc", pa.int64()), ("n_pieces", pa.int64()), ("ids_sha256", pa.string()), ("lossless", pa.bool_()), ("ids", pa.list_(pa.int32()))])
+    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    copy = F.row_number().over(Window.partitionBy("doc", F.xxhash64("text")).orderBy(F.lit(0))) - 1 if number_copies else F.lit(0)
+    rows = rows.withColumn("copy", copy)
+    kind = rows.schema["doc"].dataType
+    schema = pa.schema([("doc", to_arrow_type(kind)), ("n_pieces", pa.int64()), ("ids_sha256", pa.string()), ("lossless", pa.bool_()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches):
         vocabulary = Vocabulary(theta=theta, **shared.value)
         sampler = Sampler(vocabulary)
-        keys, texts, held = [], [], 0
+        keys, texts, copies, held = [], [], [], 0
 
         def flush():
-            found = sampler(texts, [row_seed(k, seed) for k in keys])
+            found = sampler(texts, [row_seed(k, seed, n) for k, n in zip(keys, copies)])
             columns = [
                 keys,
                 [len(x) for x in found],
@@ -68,18 +76,17 @@ def sample_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for key, text, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 text = text.as_py() or ""
-                keys.append(key), texts.append(text)
+                keys.append(key), texts.append(text), copies.append(n)
                 held += len(text)
                 if held >= BATCH_CHARS or len(keys) >= 20_000:
                     yield flush()
-                    keys, texts, held = [], [], 0
+                    keys, texts, copies, held = [], [], [], 0
         if keys:
             yield flush()
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc long, n_pieces long, ids_sha256 string, lossless boolean, ids array<int>")
+    return rows.mapInArrow(run, f"doc {kind.simpleString()}, n_pieces long, ids_sha256 string, lossless boolean, ids array<int>")
 
 
 def decode_pieces(encoded: DataFrame, ids_col: str = "ids", model_path: str = MODEL, text_col: str = "text") -> DataFrame:
