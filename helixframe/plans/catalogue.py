@@ -492,14 +492,15 @@ def viterbi_decode(s, d):
 @query
 def nb_fit(s, d):
     size, mean, n = fit.trimmed_fit(views.coverage(s, d), "cov_raw")
-    return s.createDataFrame([(size, mean, n)], "size double, mean double, n_used long")
+    return rounded(s.createDataFrame([(size, mean, n)], "size double, mean double, n_used long"), "size", "mean", digits=4)
 
 
 @query
 def fisher_strand_bias(s, d):
     i = views.table(s, d, "lineitem")
     counts = [(F.col("l_quantity").cast("long") % 13).alias("rfwd"), (F.col("l_partkey") % 11).alias("rrev"), F.col("l_linenumber").cast("long").alias("vfwd"), (F.col("l_suppkey") % 7).alias("vrev")]
-    return fit.strand_bias(i.select("l_orderkey", *counts), "l_orderkey")
+    found = fit.strand_bias(i.select("l_orderkey", *counts), "l_orderkey")
+    return found.withColumn("odds_ratio", F.when(~F.isnan("odds_ratio"), F.col("odds_ratio")))
 
 
 @query

@@ -382,3 +382,111 @@ SQL["cnv_caller_end_to_end"] = _recursive(
   SELECT sample, chr, arg_min(cn_pred, start) AS cn_pred, min(start) AS start, max("end") AS "end", max("end") - min(start) AS length, count(*) AS n_regions, round(median(cov), 4) AS median_cov, round(median(sd_distance), 4) AS median_sd_distance
   FROM runs GROUP BY sample, chr, cn_id, group_id HAVING arg_min(cn_pred, start) <> '2'"""
 )
+
+
+def _digamma(x: str) -> str:
+    z = f"({x} + 8)"
+    shift = " - ".join(f"1 / ({x} + {i})" for i in range(8))
+    return f"(ln({z}) - 0.5 / {z} - (1 / 12.0::DOUBLE - (1 / 120.0::DOUBLE - 1 / (252 * {z} * {z})) / ({z} * {z})) / ({z} * {z}) - {shift})"
+
+
+def _nb_fit(i: int) -> str:
+    """From a histogram h{i} (v, n): f{i} (size, mean), the size where the likelihood's slope is 0 by bisection."""
+    r = "exp((low + high) / 2)"
+    return f"""m{i} AS (SELECT sum(v * n) / sum(n) AS mean FROM h{i}),
+  b{i}(step, low, high) AS (
+    SELECT 0, -12.0::DOUBLE, 20.0::DOUBLE
+    UNION ALL
+    SELECT step + 1, CASE WHEN s > 0 THEN (low + high) / 2 ELSE low END, CASE WHEN s > 0 THEN high ELSE (low + high) / 2 END
+    FROM (SELECT step, low, high, sum(n * ({_digamma(f"(v + {r})")} - {_digamma(r)} + ln({r} / ({r} + mean)))) AS s FROM b{i}, h{i}, m{i} WHERE step < 100 GROUP BY step, low, high)),
+  f{i} AS (SELECT {r} AS size, mean FROM b{i}, m{i} WHERE step = 100)"""
+
+
+def _nb_limits(i: int, p: float, most: int = 100_000) -> str:
+    """q{i} (low, high): the p and 1 - p quantiles of f{i}."""
+    return f"""q{i} AS (SELECT min(k) FILTER (c >= {p}::DOUBLE) AS low, min(k) FILTER (c >= 1 - {p}::DOUBLE) AS high FROM (
+    SELECT k, sum(exp(lgamma(k + size) - lgamma(size) - lgamma(k + 1) + size * ln(size / (size + mean)) + k * ln(mean / (size + mean)))) OVER (ORDER BY k) AS c FROM f{i}, range({most}) t(k)))"""
+
+
+SQL["nb_fit"] = _recursive(
+    V("g_cov")
+    + ", h0 AS (SELECT cov_raw::DOUBLE AS v, count(*)::DOUBLE AS n FROM g_cov GROUP BY 1), "
+    + ", ".join(f"{_nb_fit(i)}, {_nb_limits(i, 0.1)}, h{i + 1} AS (SELECT h{i}.* FROM h{i}, q{i} WHERE v > low AND v < high)" for i in range(6))
+    + f", {_nb_fit(6)} SELECT round(size, 4) AS size, round(mean, 4) AS mean, (SELECT sum(n)::BIGINT FROM h6) AS n_used FROM f6"
+)
+_IN = ["true", "med > (SELECT low FROM q0) AND med < (SELECT high FROM q0)"]
+SQL["outlier_regions"] = _recursive(
+    V("g_cov")
+    + ", k AS (SELECT *, median(cov_raw) OVER (PARTITION BY chr, start) AS med FROM g_cov), "
+    + ", ".join(f"h{i} AS (SELECT cov_raw::DOUBLE AS v, count(*)::DOUBLE AS n FROM k WHERE {_IN[i]} GROUP BY 1), {_nb_fit(i)}, {_nb_limits(i, 0.1)}" for i in range(2))
+    + """, q AS (SELECT greatest(a.low, b.low) AS low, least(a.high, b.high) AS high FROM q0 a, q1 b)
+  SELECT sample, chr, start, cov_raw, NOT (med > low AND med < high) AS outlier FROM k, q"""
+)
+SQL["fisher_strand_bias"] = """WITH RECURSIVE l AS (SELECT l_orderkey, l_quantity::BIGINT % 13 AS rfwd, l_partkey % 11 AS rrev, l_linenumber::BIGINT AS vfwd, l_suppkey % 7 AS vrev FROM lineitem),
+  t AS (SELECT DISTINCT rfwd, rrev, vfwd, vrev, rfwd + rrev AS r, rfwd + vfwd AS c, rfwd + rrev + vfwd + vrev AS total FROM l),
+  u AS (SELECT *, row_number() OVER () AS id, greatest(0, c - (total - r)) AS low, least(r, c) AS high FROM t),
+  x AS (SELECT id, rfwd, low, high, unnest(range(low, high + 1)) AS x, r, c, total FROM u),
+  g AS (SELECT id, rfwd, low, high, x, -lgamma(x + 1) - lgamma(r - x + 1) - lgamma(c - x + 1) - lgamma(total - r - c + x + 1) AS lh FROM x),
+  h AS (SELECT id, rfwd, x, exp(lh - max(lh) OVER (PARTITION BY id)) AS h FROM g),
+  s AS (SELECT id, max(h) FILTER (x = rfwd) AS own FROM h GROUP BY id),
+  p AS (SELECT h.id, least(1.0, sum(h) FILTER (h <= own * (1 + 1e-7::DOUBLE)) / sum(h)) AS p FROM h JOIN s USING (id) GROUP BY h.id),
+  open AS (SELECT id, rfwd, x, lh FROM g WHERE rfwd > low AND rfwd < high),
+  walk(id, step, lo, hi) AS (
+    SELECT DISTINCT id, 0, -60.0::DOUBLE, 60.0::DOUBLE FROM open
+    UNION ALL
+    SELECT id, step + 1, CASE WHEN below THEN mid ELSE lo END, CASE WHEN below THEN hi ELSE mid END
+    FROM (SELECT w.id, w.step, w.lo, w.hi, (w.lo + w.hi) / 2 AS mid,
+            sum(x * exp(lh + x * (w.lo + w.hi) / 2 - peak)) / sum(exp(lh + x * (w.lo + w.hi) / 2 - peak)) < any_value(rfwd) AS below
+          FROM (SELECT v.id, v.step, v.lo, v.hi, o.x, o.rfwd, o.lh, max(o.lh + o.x * (v.lo + v.hi) / 2) OVER (PARTITION BY v.id) AS peak FROM walk v JOIN open o ON o.id = v.id WHERE v.step < 80) w
+          GROUP BY w.id, w.step, w.lo, w.hi)),
+  done AS (SELECT id, exp((lo + hi) / 2) AS odds FROM walk WHERE step = 80)
+  SELECT l_orderkey, l.rfwd, l.rrev, l.vfwd, l.vrev, round(p, 5) AS p, CASE WHEN u.low = u.high THEN NULL WHEN u.rfwd = u.low THEN 0 WHEN u.rfwd = u.high THEN 'infinity'::DOUBLE ELSE round(odds, 5) END AS odds_ratio
+  FROM l JOIN u ON u.rfwd = l.rfwd AND u.rrev = l.rrev AND u.vfwd = l.vfwd AND u.vrev = l.vrev JOIN p USING (id) LEFT JOIN done USING (id)"""
+
+
+def _somatic_round(i: int, last: bool) -> str:
+    """From load{i} (sample, load): the states of the round, and unless it is the last the next loads."""
+    genotypes = ", ".join(f"({STATES.index(s)}, {copies}, {variant}, {w!r}::DOUBLE)" for s, copies, variant, w in GENOTYPES)
+    found = f"""z{i} AS (SELECT s.sample, s.chr, s.start, state, abs((cov - m * (load * half + 1 - load)) / nullif(sd, 0)) / sqrt(2.0::DOUBLE) AS y FROM scaled s JOIN moments USING (sample, chr, start) JOIN load{i} USING (sample), {_COPIES}),
+  nb{i} AS (SELECT sample, chr, start, state, 0 AS bonus, {_ERF_T} * ({_A1} + {_ERF_T} * ({_A2} + {_ERF_T} * ({_A3} + {_ERF_T} * ({_A4} + {_ERF_T} * {_A5})))) * exp(-y * y) AS p FROM z{i}),
+  {_costs(f"nb{i}", "sample, chr, start").replace("one AS", f"one{i} AS").replace("FROM one)", f"FROM one{i})").replace("two AS", f"two{i} AS").replace("FROM two)", f"FROM two{i})").replace("costs AS", f"covered{i} AS")},
+  expected{i} AS (SELECT sample, state, ln(w) AS lw, ((1 - load) + load * variant) / (2 * (1 - load) + load * copies) AS e FROM load{i}, (VALUES {genotypes}) g(state, copies, variant, w)),
+  score{i} AS (SELECT c.sample, c.site, x.state, max(lw + CASE WHEN alt_count = 0 THEN 0 WHEN e > 0 THEN alt_count * ln(e) ELSE -1e9 END + CASE WHEN ref_count = 0 THEN 0 WHEN e < 1 THEN ref_count * ln(1 - e) ELSE -1e9 END) AS score
+    FROM spots c JOIN expected{i} x USING (sample) GROUP BY ALL),
+  best{i} AS (SELECT sample, site, state, exp(score - max(score) OVER (PARTITION BY sample, site)) AS p FROM score{i}),
+  first{i} AS (SELECT sample, site, state, p / sum(p) OVER (PARTITION BY sample, site) + {_FLOOR} AS p FROM best{i}),
+  second{i} AS (SELECT sample, site, state, p / sum(p) OVER (PARTITION BY sample, site) AS p FROM first{i}),
+  mixed{i} AS (SELECT sample, site, chr, start, state, het * p + (1 - het) * h AS p FROM second{i} JOIN spots USING (sample, site)),
+  sited{i} AS (SELECT sample, chr, start, state, -ln(p / sum(p) OVER (PARTITION BY sample, site)) AS nll FROM mixed{i}),
+  costs_{i} AS (SELECT sample, chr, start, state, sum(nll) AS nll FROM (SELECT * FROM covered{i} UNION ALL SELECT * FROM sited{i}) GROUP BY ALL),
+  {_viterbi(tag=f"_{i}")}"""
+    if last:
+        return found
+    return (
+        found
+        + f""",
+  changed{i} AS (SELECT d.*, s."end", s.cov, CASE WHEN d.cn_pred = lag(d.cn_pred) OVER (PARTITION BY d.sample, d.chr ORDER BY d.start) THEN 0 ELSE 1 END AS fresh FROM decoded_{i} d JOIN scaled s USING (sample, chr, start)),
+  runs{i} AS (SELECT *, sum(fresh) OVER (PARTITION BY sample, chr ORDER BY start) AS cn_id FROM changed{i}),
+  rolled{i} AS (SELECT sample, chr, cn_id, arg_min(cn_pred, start) AS cn_pred, min(start) AS start, max("end") - min(start) AS length, median(cov) AS median_cov FROM runs{i} GROUP BY ALL),
+  top{i} AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY length DESC, chr, start) AS place FROM rolled{i} WHERE cn_pred <> '2'),
+  level{i} AS (SELECT sample, median(CASE WHEN cn_pred = 'LOH' THEN cov WHEN cn_pred <> '0' THEN cov / (cn_pred::DOUBLE / 2) WHEN cov > 0 THEN 'infinity'::DOUBLE END) AS norm_cov FROM runs{i} GROUP BY sample),
+  implied{i} AS (SELECT sample, length, CASE WHEN cn_pred <> 'LOH' THEN (median_cov / nullif(norm_cov, 0) - 1) / nullif(try_cast(cn_pred AS DOUBLE) / 2 - 1, 0) END AS x FROM top{i} JOIN level{i} USING (sample) WHERE place <= 3),
+  load{i + 1} AS (SELECT sample, coalesce(greatest(least(0.99, sum(x * length) FILTER (x IS NOT NULL) / sum(length) FILTER (x IS NOT NULL)), 0), 0.1) AS load FROM load{i} LEFT JOIN implied{i} USING (sample) GROUP BY sample)"""
+    )
+
+
+SQL["cnv_caller_somatic"] = _recursive(
+    _PANEL
+    + ", "
+    + _ALLELES.removeprefix("WITH ")
+    + f""", spots AS (
+    SELECT sample, site, chr, pos // 86400 * 86400 AS start, alt_count, ref_count, 2 * baf * (1 - baf) AS het, greatest({_beta("alt_count", "ref_count")}, {_beta("ref_count", "alt_count")}) AS h
+    FROM counted WHERE site IN (SELECT site FROM counted GROUP BY site HAVING max(cov) > 20)),
+  load0 AS (SELECT DISTINCT sample, 0.75::DOUBLE AS load FROM scaled),
+  {", ".join(_somatic_round(i, i == 2) for i in range(3))},
+  final AS (SELECT d.sample, d.chr, d.start, s."end", s.cov, d.cn_pred, (s.cov - m.m) / nullif(m.sd, 0) AS sd_distance FROM decoded_2 d JOIN scaled s USING (sample, chr, start) JOIN moments m USING (sample, chr, start)),
+  flagged AS (SELECT *, CASE WHEN cn_pred = lag(cn_pred) OVER w THEN 0 ELSE 1 END AS fresh FROM final WINDOW w AS (PARTITION BY sample, chr ORDER BY start)),
+  runs AS (SELECT *, sum(fresh) OVER (PARTITION BY sample, chr ORDER BY start) AS cn_id FROM flagged)
+  SELECT sample, chr, arg_min(cn_pred, start) AS cn_pred, min(start) AS start, max("end") AS "end", max("end") - min(start) AS length, count(*) AS n_regions, round(median(cov), 4) AS median_cov, round(median(sd_distance), 4) AS median_sd_distance
+  FROM runs GROUP BY sample, chr, cn_id HAVING arg_min(cn_pred, start) <> '2'"""
+)
