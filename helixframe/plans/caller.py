@@ -145,7 +145,7 @@ def call(
         if i + 1 < config.iterations:
             found = segments.purity(segments.rollup(called.withColumn("sd_distance", F.lit(0.0))), segments.normal_levels(called), segments.genome_size(called), config.longest, config.cap)
             estimated = loads.select("sample").join(found.select("sample", "purity"), "sample", "left")
-            loads = materialize(estimated.select("sample", F.coalesce(F.greatest("purity", F.lit(0.0)), F.lit(config.missing_load)).alias("load")))
+            loads = materialize(estimated.select("sample", F.when(F.col("purity").isNotNull(), F.greatest("purity", F.lit(0.0))).otherwise(config.missing_load).alias("load")))
     spread = F.col("v") if config.library == "panel" else F.sqrt("v")
     extra = [c for c in ("cov_raw", "region_name", "region_id", "m", "v") if c in rows.columns]
     full = called.join(rows.select(*REGION, *extra), list(REGION)).withColumn("sd_distance", F.try_divide(F.col("cov") - F.col("m"), spread))

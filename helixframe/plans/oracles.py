@@ -393,19 +393,19 @@ def _digamma(x: str) -> str:
 def _nb_fit(i: int) -> str:
     """From a histogram h{i} (v, n): f{i} (size, mean), the size where the likelihood's slope is 0 by bisection."""
     r = "exp((low + high) / 2)"
-    return f"""m{i} AS (SELECT sum(v * n) / sum(n) AS mean FROM h{i}),
+    return f"""m{i} AS (SELECT sum(v * n) / sum(n) AS mean, sum(v * v * n) / sum(n) - pow(sum(v * n) / sum(n), 2) AS variance FROM h{i}),
   b{i}(step, low, high) AS (
     SELECT 0, -12.0::DOUBLE, 20.0::DOUBLE
     UNION ALL
     SELECT step + 1, CASE WHEN s > 0 THEN (low + high) / 2 ELSE low END, CASE WHEN s > 0 THEN high ELSE (low + high) / 2 END
     FROM (SELECT step, low, high, sum(n * ({_digamma(f"(v + {r})")} - {_digamma(r)} + ln({r} / ({r} + mean)))) AS s FROM b{i}, h{i}, m{i} WHERE step < 100 GROUP BY step, low, high)),
-  f{i} AS (SELECT {r} AS size, mean FROM b{i}, m{i} WHERE step = 100)"""
+  f{i} AS (SELECT CASE WHEN variance <= mean THEN 'infinity'::DOUBLE ELSE {r} END AS size, mean FROM b{i}, m{i} WHERE step = 100)"""
 
 
 def _nb_limits(i: int, p: float, most: int = 100_000) -> str:
     """q{i} (low, high): the p and 1 - p quantiles of f{i}."""
     return f"""q{i} AS (SELECT min(k) FILTER (c >= {p}::DOUBLE) AS low, min(k) FILTER (c >= 1 - {p}::DOUBLE) AS high FROM (
-    SELECT k, sum(exp(lgamma(k + size) - lgamma(size) - lgamma(k + 1) + size * ln(size / (size + mean)) + k * ln(mean / (size + mean)))) OVER (ORDER BY k) AS c FROM f{i}, range({most}) t(k)))"""
+    SELECT k, sum(exp(CASE WHEN isinf(size) THEN k * ln(mean) - mean - lgamma(k + 1) ELSE lgamma(k + size) - lgamma(size) - lgamma(k + 1) + size * ln(size / (size + mean)) + k * ln(mean / (size + mean)) END)) OVER (ORDER BY k) AS c FROM f{i}, range({most}) t(k)))"""
 
 
 SQL["nb_fit"] = _recursive(
@@ -471,7 +471,7 @@ def _somatic_round(i: int, last: bool) -> str:
   top{i} AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY length DESC, chr, start) AS place FROM rolled{i} WHERE cn_pred <> '2'),
   level{i} AS (SELECT sample, median(CASE WHEN cn_pred = 'LOH' THEN cov WHEN cn_pred <> '0' THEN cov / (cn_pred::DOUBLE / 2) WHEN cov > 0 THEN 'infinity'::DOUBLE END) AS norm_cov FROM runs{i} GROUP BY sample),
   implied{i} AS (SELECT sample, length, CASE WHEN cn_pred <> 'LOH' THEN (median_cov / nullif(norm_cov, 0) - 1) / nullif(try_cast(cn_pred AS DOUBLE) / 2 - 1, 0) END AS x FROM top{i} JOIN level{i} USING (sample) WHERE place <= 3),
-  load{i + 1} AS (SELECT sample, coalesce(greatest(least(0.99, sum(x * length) FILTER (x IS NOT NULL) / sum(length) FILTER (x IS NOT NULL)), 0), 0.1) AS load FROM load{i} LEFT JOIN implied{i} USING (sample) GROUP BY sample)"""
+  load{i + 1} AS (SELECT sample, CASE WHEN count(x) > 0 THEN greatest(least(0.99, sum(x * length) FILTER (x IS NOT NULL) / sum(length) FILTER (x IS NOT NULL)), 0) ELSE 0.1 END AS load FROM load{i} LEFT JOIN implied{i} USING (sample) GROUP BY sample)"""
     )
 
 
