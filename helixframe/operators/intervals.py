@@ -9,6 +9,8 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from helixframe.functions.genome import autosome
 
+from .shared import materialize
+
 
 def genome_bins(sizes: DataFrame, width: int, overlap: int = 0) -> DataFrame:
     """(chr, start, end, ordinal) windows of ``width`` over (chr, chr_size), which begin ``overlap`` before the end of the one before.
@@ -142,6 +144,20 @@ def gaps(regions: DataFrame, longer_than: int) -> DataFrame:
     return found.select("chr", F.col("end").alias("gap_start"), "gap_end", (F.col("gap_end") - F.col("end")).alias("gap")).where(F.col("gap") > longer_than)
 
 
+def numbered(rows: DataFrame, name: str, *order) -> DataFrame:
+    """``name``: 1, 2, ... in an order, without bringing all rows to one task.
+
+    Rows are dealt in ranges of the order, written, and numbered within each; the few counts of the
+    ranges give each its first number.
+    """
+    dealt = materialize(rows.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
+    counts = dealt.groupBy("__range").agg(F.count("*").alias("__n"))
+    # One row for each range.
+    first = counts.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
+    within = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    return dealt.withColumn("__in", within).join(F.broadcast(first), "__range").withColumn(name, (F.col("__before") + F.col("__in")).cast("long")).drop("__range", "__before", "__in")
+
+
 def name_regions(regions: DataFrame) -> DataFrame:
     """Names made unique by a suffix where they repeat, synthesised where null; region_id in file order."""
     name = F.coalesce("region_name", F.concat_ws("_", F.lit("reg"), "chr", "start", "end"))
@@ -150,8 +166,7 @@ def name_regions(regions: DataFrame) -> DataFrame:
     rank = F.row_number().over(same.orderBy("ordinal"))
     many = F.count("*").over(same) > 1
     unique = F.when(many, F.concat_ws("_", "region_name", rank.cast("string"))).otherwise(F.col("region_name"))
-    # File order over the whole dictionary, which is one small file.
-    return named.withColumn("region_name", unique).withColumn("region_id", F.row_number().over(Window.orderBy("ordinal")).cast("long"))
+    return numbered(named.withColumn("region_name", unique), "region_id", "ordinal")
 
 
 def centromeres(bands: DataFrame, pad: float = 0.1) -> DataFrame:

@@ -111,9 +111,11 @@ def chromosome_extents(regions: DataFrame) -> DataFrame:
     """First, last and middle ordinal of each chromosome among all regions in natural order."""
     from helixframe.functions.genome import chr_rank
 
-    distinct = regions.select("chr", "start", "end").distinct()
-    ordered = distinct.withColumn("n", F.row_number().over(Window.orderBy(chr_rank(F.col("chr")), "chr", "start", "end")).cast("long"))
-    return ordered.groupBy("chr").agg(F.min("n").alias("first"), F.max("n").alias("last")).withColumn("middle", (F.col("first") + F.col("last")) / 2)
+    counts = regions.select("chr", "start", "end").distinct().groupBy("chr").agg(F.count("*").alias("n"))
+    # One row for each chromosome.
+    order = Window.orderBy(chr_rank(F.col("chr")), "chr").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = counts.withColumn("last", F.sum("n").over(order))
+    return last.select("chr", (F.col("last") - F.col("n") + 1).alias("first"), "last", (F.col("last") - (F.col("n") - 1) / 2).alias("middle"))
 
 
 def central_depth(rows: DataFrame, by: tuple, order: str, value: str, width: int = 9, more_than: int = 10) -> DataFrame:
