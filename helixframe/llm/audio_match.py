@@ -25,6 +25,8 @@ from .common import materialize
 BLOCK_BYTES = 8 << 20
 #: Classes of a part, about.
 PART_CLASSES = 2048
+#: A class counts as large with one part in so many of all rows.
+LARGE_CLASSES = 1000
 #: Integers that are summed for the bound.
 STEP = 4
 LARGEST_ERROR = 0.20
@@ -34,7 +36,10 @@ LEAST_OVERLAP = 0.5
 def fingerprints(recordings: DataFrame, id_col: str, audio_col: str) -> DataFrame:
     """(id, n_ints, fingerprint, k1, k2): packed integers as bytes and their 128-bit hash.
 
-    Null, damaged and too short audio gives no integers and null hashes.
+    Null, empty, damaged and too short audio gives no integers and null hashes; what is left of a
+    recording that is cut off is heard. Recordings of any length are read whole. Ids are whole
+    numbers; null and repeated ones give a row each. Other columns are ignored, whatever their names;
+    an empty table gives an empty table.
     """
 
     def run(batches):
@@ -211,13 +216,24 @@ def match_recordings(prints: DataFrame, is_query, block_bytes: int = BLOCK_BYTES
     members: (id, n_ints, class_id) for each row, class_id the smallest id with the same integers,
     null where there are none or the id is null. matches: (class_id, match_id, offset, bit_error) for
     each class that holds a query (rows where ``is_query``, a column of id) and each other class it
-    aligns with, ``offset`` the place in the query where the match begins.
+    aligns with, ``offset`` the place in the query where the match begins. Of equal errors the
+    offset nearest 0 wins, and of two as near the negative one. Rows that repeat an id with other
+    integers are members of their own classes. Silent or null recordings match nothing. Every offset
+    is looked at, so no match is lost, and work grows with queries times classes. An empty table
+    gives empty tables.
     """
     prints = materialize(prints)
     known = prints.where("k1 is not null and id is not null")
-    classes = known.groupBy("k1", "k2").agg(F.min("id").alias("class_id"), F.max(is_query.cast("int")).alias("asked"))
-    members = prints.join(classes, ["k1", "k2"], "left").select("id", "n_ints", F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"))
-    leaders = known.join(classes, ["k1", "k2"]).where("id = class_id").select("class_id", "fingerprint", "asked")
+    classes = known.groupBy("k1", "k2").agg(F.min("id").alias("class_id"), F.max(is_query.cast("int")).alias("asked"), F.count("*").alias("rows"))
+    # Classes with one part in LARGE_CLASSES of all rows or more, at most LARGE_CLASSES, are broadcast,
+    # and their rows spread by id, like rows without a class.
+    large = classes.where(F.col("rows") * LARGE_CLASSES >= prints.count()).select("k1", "k2", F.col("class_id").alias("large"))
+    spread = prints.join(F.broadcast(large), ["k1", "k2"], "left")
+    spread = spread.withColumn("j1", F.when(F.col("large").isNull() & F.col("k1").isNotNull(), F.col("k1")).otherwise(F.xxhash64("id"))).withColumn("j2", F.when(F.col("large").isNull(), F.col("k2")))
+    named = spread.join(classes.select(F.col("k1").alias("j1"), F.col("k2").alias("j2"), "class_id"), ["j1", "j2"], "left")
+    named = materialize(named.select("id", "n_ints", F.when(F.col("id").isNotNull(), F.coalesce("large", "class_id")).alias("class_id"), F.when(F.col("id") == F.coalesce("large", "class_id"), F.col("fingerprint")).alias("fingerprint")))
+    members = named.select("id", "n_ints", "class_id")
+    leaders = named.where("fingerprint is not null").select("class_id", "fingerprint").join(classes.select("class_id", "asked"), "class_id")
     leaders = materialize(leaders.dropDuplicates(["class_id"]))
     n, held = leaders.agg(F.count("*"), F.coalesce(F.sum(F.when(F.col("asked") == 1, F.octet_length("fingerprint"))), F.lit(0))).first()
     blocks, parts = max(1, -(-held // block_bytes)), max(1, -(-n // part_classes))
@@ -249,7 +265,12 @@ def tones(values) -> bytes:
 
 
 def sonified(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(id, audio): a recording for each vector; null vectors give null audio."""
+    """(id, audio): a recording for each vector, of one note for each of its numbers, whatever their count.
+
+    Null vectors give null audio, empty ones empty audio, null and not-a-number elements the note of
+    0. Null and repeated ids give a row each. Other columns are ignored; an empty table gives an
+    empty table.
+    """
 
     def run(batches):
         for batch in batches:

@@ -218,7 +218,7 @@ def test_fingerprints_align_shifted_and_noisy_copies():
 
 def test_bad_audio():
     assert len(chroma.samples(None)) == len(chroma.samples(b"no wave")) == len(chroma.fingerprint(np.zeros(10))) == 0
-    assert len(chroma.samples(melody(3)[:60])) == 8 * 2 or len(chroma.samples(melody(3)[:60])) >= 0
+    assert len(chroma.samples(melody(3)[:60])) == 16  # what is left after 44 bytes of header
 
 
 def test_matches_recall_brute_force(spark):
@@ -257,5 +257,14 @@ def test_matches_are_those_of_all_offsets():
     assert set(block.all_matches(prints)) == want and len(want) > 50
 
 
+def test_copies_of_one_recording_are_one_class(spark, monkeypatch):
+    monkeypatch.setattr(audio_match, "LARGE_CLASSES", 4)
+    rows = [(i, melody(1)) for i in range(10)] + [(20 + i, melody(2 + i % 3)) for i in range(6)] + [(30, None), (None, melody(1))]
+    prints = audio_match.fingerprints(spark.createDataFrame(rows, "id long, audio binary"), "id", "audio")
+    members, matches = audio_match.match_recordings(prints, F.col("id") % 50 == 0)
+    assert sorted((r["id"], r["class_id"]) for r in members.collect() if r["id"] is not None) == [(i, 0) for i in range(10)] + [(20 + i, 20 + i % 3) for i in range(6)] + [(30, None)]
+    assert {r["class_id"] for r in matches.collect()} <= {0}
+
+
 def test_every_number_is_heard():
     assert len(chroma.samples(audio_match.tones(np.ones(100)))) == 100 * audio_match.NOTE_SAMPLES
