@@ -190,10 +190,11 @@ def _band_links(rows: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     A band of several blocks is dealt by size first: a set meets those of its own and of the next
     class of sizes, and sets further apart are not similar enough whatever they share.
     """
-    blocks_of = lambda by: F.ceil(F.sum("n").over(Window.partitionBy(*by)) / BLOCK_SHINGLES).cast("int")
+    # Sums are made where the rows lie and joined back, so that the rows of a band need not meet in one task.
+    with_blocks = lambda rows, name, by: rows.join(rows.groupBy(*by).agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias(name)), by)
     size = F.floor(F.ln(F.col("n").cast("double")) / (math.log(100 / percent) * 1.0001 if percent < 100 else 1e-9)).cast("long")
-    sized = members.withColumn("whole", blocks_of(["band"])).withColumn("size", F.explode(F.when(F.col("whole") > 1, F.array(size, size + 1)).otherwise(F.array(F.lit(-1).cast("long")))))
-    placed = sized.withColumn("blocks", blocks_of(["band", "size"])).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    sized = with_blocks(members, "whole", ["band"]).withColumn("size", F.explode(F.when(F.col("whole") > 1, F.array(size, size + 1)).otherwise(F.array(F.lit(-1).cast("long")))))
+    placed = with_blocks(sized, "blocks", ["band", "size"]).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     # Two blocks meet once; within a block, its sets are compared where it meets itself.
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     role = F.struct("band", "size", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block")
