@@ -10,4 +10,4 @@ def test_contract(spark):
 
 def test_entry_runs(spark):
     df = __spark_entry__.entry(spark)
-    assert df.columns[:3] == ["sample", "chr", "cn_id"] and df.count() > 0
+    assert df.columns[:3] == ["sample", "chr", "cn_pred"] and df.count() > 0
