@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,42 +30,73 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-#: Tables that this process wrote and did not remove, in order.
-_written: list[str] = []
+class Written(list):
+    """Paths of the tables that were written in a block, the last one last; ``pop`` takes one out, for the block around it, if any."""
+
+    def __init__(self, outer: Written | None):
+        super().__init__()
+        self.outer = outer
+
+    def pop(self, at: int = -1) -> str:
+        path = super().pop(at)
+        if self.outer is not None:
+            self.outer.append(path)
+        return path
+
+
+#: The block that is open in this thread or task of the driver, if any. Blocks of other threads are not seen.
+_open: ContextVar[Written | None] = ContextVar("helixframe_written", default=None)
+#: Tables that are still there, with their sessions; they are removed when the process ends.
+_left: dict[str, SparkSession] = {}
+
+
+def note(spark: SparkSession, path: str) -> None:
+    """Remember that a folder below the shared one was written, for the block around it or the end of the process."""
+    if not _left:
+        atexit.register(_remove_left)
+    _left.setdefault(path, spark)
+    if (block := _open.get()) is not None:
+        block.append(path)
+
+
+def _remove_left() -> None:
+    """At the end of the process: what no block removed, as far as the session still runs."""
+    for path, spark in list(_left.items()):
+        try:
+            if spark.sparkContext._jsc is not None:
+                remove(spark, [path])
+        except Exception:  # Spark may have ended on its own; the folder is then left
+            return
 
 
 def remove(spark: SparkSession, paths: list) -> None:
-    """Delete tables that ``materialize`` wrote; results that still read them can no longer be computed."""
+    """Delete tables that ``materialize`` or ``write_shared`` wrote; results that still read them can no longer be computed."""
     for path in paths:
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-        if path in _written:
-            _written.remove(path)
+        _left.pop(path, None)
 
 
 @contextmanager
 def temporary(spark: SparkSession):
-    """Remove at the end what is written inside, but for the paths that are taken out of the list that it gives.
+    """Remove at the end what is written inside, but for the paths that are popped from the list that it gives.
 
-    The list holds, when read inside, all that was written so far, the last one last.
+    Blocks nest, and what is popped from an inner one belongs to the outer one. Each thread has blocks
+    of its own, so work in other threads keeps its tables.
     """
-    before, found = set(_written), _Since(_written, len(_written))
+    block = Written(_open.get())
+    token = _open.set(block)
     try:
-        yield found
+        yield block
     finally:
-        remove(spark, [p for p in list(_written) if p not in before and p not in found.taken])
-
-
-class _Since:
-    """What was appended to a list since a length; ``pop`` takes the last."""
+        _open.reset(token)
+        remove(spark, block)
 
-    def __init__(self, every: list, start: int):
-        self.every, self.start, self.taken = every, start, set()
 
-    def pop(self) -> str:
-        left = [p for p in self.every[self.start :] if p not in self.taken]
-        self.taken.add(left[-1])
-        return left[-1]
+def write_shared(df: DataFrame, path: str, *partition_by: str) -> None:
+    """Write ``df`` as Parquet to a new folder below the shared one, in a folder for each value of ``partition_by``."""
+    note(df.sparkSession, path)
+    df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -72,8 +104,6 @@ def materialize(df: DataFrame) -> DataFrame:
 
     This cuts the lineage: a lost executor costs a read of that table, not the work before it.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/helixframe-{uuid.uuid4().hex}"
-    _written.append(path)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = f"{shared_dir(df.sparkSession)}/helixframe-{uuid.uuid4().hex}"
+    write_shared(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
