@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.operators.shared import materialize, shared_dir
+from helixframe.operators.shared import materialize, shared_dir, write_shared
 
-__all__ = ["ascii_lower", "map_text_groups", "map_texts", "materialize", "shared_dir", "unused", "word_count"]
+__all__ = ["ascii_lower", "bitmap", "in_bitmap", "map_text_groups", "map_texts", "materialize", "shared_dir", "unused", "word_count", "write_shared"]
 
 #: White space everywhere in this subpackage: the space and the code points 9 to 13.
 SPACES = " \t\n\x0b\x0c\r"
@@ -35,6 +36,28 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+#: Bits of a bitmap of hashes; a multiple of what one of Spark's bitmaps holds.
+BITMAP_BITS = 1 << 24
+SPARK_BITS = 32_768
+
+
+def bitmap(hashes: DataFrame) -> bytes:
+    """BITMAP_BITS bits, those set that a ``hash`` of the table falls on: a filter of fixed size, which may let others through."""
+    place = hashes.select(F.pmod("hash", F.lit(BITMAP_BITS)).alias("p"))
+    parts = place.groupBy(F.floor(F.col("p") / SPARK_BITS).alias("part")).agg(F.bitmap_construct_agg(F.col("p") % SPARK_BITS).alias("bits"))
+    found = bytearray(BITMAP_BITS // 8)
+    for r in parts.collect():  # at most BITMAP_BITS / SPARK_BITS rows
+        at = r["part"] * (SPARK_BITS // 8)
+        found[at : at + SPARK_BITS // 8] = bytes(r["bits"]).ljust(SPARK_BITS // 8, b"\0")
+    return bytes(found)
+
+
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the hashes (uint64) the bitmap, as bytes, lets through."""
+    at = hashes & np.uint64(BITMAP_BITS - 1)
+    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make, extra: tuple = ()) -> DataFrame:
     """Map each row by ``make()(id, text, *extra)``, an iterable of output tuples, in Arrow batches.
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_text_groups, materialize
+from .common import bitmap, in_bitmap, map_text_groups, materialize
 from .spans import PERSONAL, overlaps, personal
 from .superminhash import mixed
 
@@ -36,9 +36,6 @@ SUPPORT = 4
 #: A pattern takes part if it holds one part in so many of all distinct seeds, and they are this share of its instances, counted by document.
 SEED_PARTS = 500
 SEED_SHARE = 0.2
-#: Bits of the bitmap of patterns; a multiple of what one of Spark's bitmaps holds.
-BITMAP_BITS = 1 << 24
-SPARK_BITS = 32_768
 #: Words whose hashes a task keeps between texts.
 KNOWN_WORDS = 200_000
 
@@ -198,8 +195,7 @@ def _parsed():
 
 
 def _inside(bits: np.ndarray, patterns: np.ndarray) -> np.ndarray:
-    at = patterns & np.uint64(BITMAP_BITS - 1)
-    return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool) & (patterns > 0)
+    return in_bitmap(bits, patterns) & (patterns > 0)
 
 
 def _counted(shared):
@@ -255,17 +251,6 @@ def _occurrences(shared):
     return make
 
 
-def bitmap(patterns: DataFrame) -> bytes:
-    """BITMAP_BITS bits, those set that a ``pattern`` of the table falls on."""
-    place = patterns.select(F.pmod("pattern", F.lit(BITMAP_BITS)).alias("p"))
-    parts = place.groupBy(F.floor(F.col("p") / SPARK_BITS).alias("part")).agg(F.bitmap_construct_agg(F.col("p") % SPARK_BITS).alias("bits"))
-    found = bytearray(BITMAP_BITS // 8)
-    for r in parts.collect():  # at most BITMAP_BITS / SPARK_BITS rows
-        at = r["part"] * (SPARK_BITS // 8)
-        found[at : at + SPARK_BITS // 8] = bytes(r["bits"]).ljust(SPARK_BITS // 8, b"\0")
-    return bytes(found)
-
-
 def pattern_confidence(edges: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: int = SUPPORT) -> DataFrame:
     """(pattern, kind, confidence, mass) of the trusted patterns, from edges (pattern, instance, kind or null).
 
@@ -313,10 +298,10 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     seeds, seeded = seed_counts(parsed.where("size(seeds) > 0"))
     every = seeds.agg(F.count_distinct("instance")).first()[0]
     seeded = materialize(seeded.where((F.col("seeds") >= support) & (F.col("seeds") * SEED_PARTS >= every)))
-    counted = map_text_groups(rows, "doc", "text", "pattern long, n long", _counted(context.broadcast(bitmap(seeded))), chars=1 << 20)
+    counted = map_text_groups(rows, "doc", "text", "pattern long, n long", _counted(context.broadcast(bitmap(seeded.withColumnRenamed("pattern", "hash")))), chars=1 << 20)
     others = counted.groupBy("pattern").agg(F.sum("n").alias("n_other"))
     active = materialize(seeded.join(others, "pattern", "left").where(F.col("n_seed") >= seed_share * (F.col("n_seed") + F.coalesce("n_other", F.lit(0)))).select("pattern"))
-    near = map_text_groups(rows, "doc", "text", f"doc {kind_of_id}, text_key long, near array<{OCCURRENCE}>", _occurrences(context.broadcast(bitmap(active))), chars=1 << 18)
+    near = map_text_groups(rows, "doc", "text", f"doc {kind_of_id}, text_key long, near array<{OCCURRENCE}>", _occurrences(context.broadcast(bitmap(active.withColumnRenamed("pattern", "hash")))), chars=1 << 18)
     seen = materialize(near.select("doc", "text_key", F.inline("near")).join(active, "pattern"))
     edges = seen.select("pattern", "instance", F.lit(None).cast("string").alias("kind")).unionByName(seeds.join(active, "pattern").select("pattern", "instance", "kind"))
     trusted = pattern_confidence(edges, rounds, confidence, support)

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .audio_match import fingerprints, match_recordings, sonified
+from .collocations import collocations
 from .line_dedup import dedup_lines
+from .merkle import manifest
 from .mixing import mix_sources
 from .near_dedup import near_duplicates
 from .pii import all_spans, find_personal_data, span_digest, span_text
@@ -14,6 +16,7 @@ from .quality_fm import score_quality, train
 from .quality_rules import quality_statistics
 from .secret_scan import scan_secrets, spans_by_start
 from .sentencepiece_sampling import sample_pieces
+from .url_filter import judge_urls
 from .warc_zip import read_archives, write_archives
 
 
@@ -167,6 +170,111 @@ FROM documents d JOIN reach USING (doc_id) LEFT JOIN sizes ON sizes.doc_id = d.d
 """
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    touched = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 0
+    found = manifest(_table(spark, sf_dir, "documents"), tampered={"n_chars": F.when(touched, F.col("n_chars") + 1).otherwise(F.col("n_chars"))})
+    return found.select(F.col("doc").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+OP11_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(range(1, CAST(length(CAST(doc_id AS VARCHAR)) AS BIGINT) + 1),
+              lambda i: [CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(i AS BIGINT), 1)) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295) AS crc
+  FROM documents),
+fields AS (
+  SELECT doc_id, lang, CASE WHEN crc % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS tampered, n_chars,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS tail
+  FROM crc),
+hashed AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS grp, sha256(head || coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+         sha256(head || coalesce(length(CAST(tampered AS VARCHAR)) || ':' || tampered, '-') || tail) AS other
+  FROM fields),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n FROM hashed),
+tree(grp, level, pos, digest, n) AS (
+  SELECT grp, 0, pos, leaf, n FROM leaves
+  UNION ALL
+  SELECT grp, level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2 FROM tree WHERE n > 1 GROUP BY grp, level, pos // 2, n),
+subroots AS (SELECT grp, digest AS subroot, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1),
+top(level, pos, digest, n) AS (
+  SELECT 0, pos, subroot, n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2 FROM top WHERE n > 1 GROUP BY level, pos // 2, n),
+low(doc_id, grp, leaf, level, pos, n, digest, siblings) AS (
+  SELECT doc_id, grp, leaf, 0, pos, n, other, '' FROM leaves
+  UNION ALL
+  SELECT f.doc_id, f.grp, f.leaf, f.level + 1, f.pos // 2, (f.n + 1) // 2, sha256(CASE WHEN f.pos % 2 = 0 THEN f.digest || coalesce(s.digest, '') ELSE s.digest || f.digest END), f.siblings || coalesce(s.digest, '')
+  FROM low f LEFT JOIN tree s ON s.grp = f.grp AND s.level = f.level AND s.pos = xor(f.pos, 1) WHERE f.n > 1),
+high(doc_id, leaf, subroot, level, pos, n, digest, siblings) AS (
+  SELECT doc_id, leaf, subroot, 0, r.pos, r.n, digest, siblings FROM low JOIN subroots r USING (grp) WHERE low.n = 1
+  UNION ALL
+  SELECT f.doc_id, f.leaf, f.subroot, f.level + 1, f.pos // 2, (f.n + 1) // 2, sha256(CASE WHEN f.pos % 2 = 0 THEN f.digest || coalesce(s.digest, '') ELSE s.digest || f.digest END), f.siblings || coalesce(s.digest, '')
+  FROM high f LEFT JOIN top s ON s.level = f.level AND s.pos = xor(f.pos, 1) WHERE f.n > 1)
+SELECT doc_id, leaf, subroot, t.digest AS root, sha256(siblings) AS proof_sha256, h.digest AS folded_root, h.digest = t.digest AS verified
+FROM high h JOIN top t ON t.n = 1 WHERE h.n = 1
+"""
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-
+]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM words, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+cuts AS (
+  SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w, k FROM f, (SELECT unnest(range(1, 5)) AS k) WHERE k < m),
+scored AS (
+  SELECT c.lang, c.m, c.phrase, a, k, x.f AS l, y.f AS r, n,
+         CAST(1000::HUGEINT * a::HUGEINT * n::HUGEINT // (x.f::HUGEINT * y.f::HUGEINT) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ') JOIN totals t ON t.lang = c.lang),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, f, unnest(list_transform(range(1, m - j + 2), lambda i: array_to_string(string_split(phrase, ' ')[i:i + j - 1], ' '))) AS phrase
+  FROM f, (SELECT unnest(range(2, 5)) AS j) WHERE j < m),
+kept AS (SELECT * FROM lowest o WHERE NOT EXISTS (SELECT 1 FROM longer g WHERE g.lang = o.lang AND g.phrase = o.phrase AND 100 * g.f >= 100 * o.a))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+"""
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "pattern")
+
+
+OP13_SQL = r"""
+WITH parts AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+rules(action, host, path) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+patterns(action, pattern, regex) AS (
+  VALUES ('block', '||adult-', '(?i)^([^/]*[.])?adult-'), ('block', '||casino-', '(?i)^([^/]*[.])?casino-'), ('block', '-bets.', '(?i)-bets[.]'), ('block', '||bet.', '(?i)^([^/]*[.])?bet[.]'),
+         ('block', '/porn/', '(?i)/porn/'), ('block', '||ads.', '(?i)^([^/]*[.])?ads[.]'), ('block', '/cgi-bin/', '(?i)/cgi-bin/'), ('block', '/wp-login.php|', '(?i)/wp-login[.]php$'), ('block', 'viagra', '(?i)viagra'),
+         ('allow', '||casino-museum.', '(?i)^([^/]*[.])?casino-museum[.]'), ('allow', '/adult-education^', '(?i)/adult-education([^a-z0-9_.%-]|$)')),
+by_rule AS (
+  SELECT page_id, r.host || r.path AS rule, action FROM parts p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(r.host || r.path) DESC) = 1),
+by_pattern AS (
+  SELECT page_id, pattern, action FROM parts p JOIN patterns t ON regexp_matches(p.host || p.path, t.regex)
+  QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(pattern) DESC, action = 'block' DESC, pattern DESC) = 1)
+SELECT p.page_id, host, path, rule, coalesce(r.action, t.action, 'allow') AS verdict, CASE WHEN rule IS NULL THEN pattern END AS pattern
+FROM parts p LEFT JOIN by_rule r USING (page_id) LEFT JOIN by_pattern t USING (page_id)
+"""
+
+
 def queries() -> dict:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -179,8 +287,11 @@ def queries() -> dict:
         "op8_sampled_pieces": op8_sampled_pieces,
         "op9_chroma_fingerprints": op9_chroma_fingerprints,
         "op10_superminhash": op10_superminhash,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_phrase_collocations": op12_phrase_collocations,
+        "op13_url_filter": op13_url_filter,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op1_line_dedup": OP1_SQL, "op2_source_mix": OP2_SQL, "op6_warc_zip": OP6_SQL, "op10_superminhash": OP10_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op2_source_mix": OP2_SQL, "op6_warc_zip": OP6_SQL, "op10_superminhash": OP10_SQL, "op11_merkle_manifest": OP11_SQL, "op12_phrase_collocations": OP12_SQL, "op13_url_filter": OP13_SQL}

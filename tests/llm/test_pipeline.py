@@ -133,9 +133,9 @@ def test_run_removes_what_stages_wrote(spark, tmp_path):
     spark.createDataFrame([r[:5] for r in corpus()][:12], COLUMNS.split(", doc long")[0]).write.parquet(f"{tmp_path}/documents.parquet")
     from helixframe.operators import shared
 
-    before = set(shared._written)
+    before = set(shared._left)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
-    assert len(set(shared._written) - before) == 1
+    assert len(set(shared._left) - before) == 1
 
 
 def test_stages_take_effect(spark, tmp_path):
