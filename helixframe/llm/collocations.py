@@ -4,18 +4,20 @@ Texts are cut into pieces and words, and laid on a line of positions, with an em
 pieces; a shard is a stretch of it. In a shard each word has a compressed bitmap of its positions (the
 64-bit blocks that hold a bit). A phrase's bitmap is where it ends; shifted by one and ANDed with a
 word's it gives the longer phrase, which no piece boundary lets through, and the count of its bits are
-its occurrences. Phrases are extended depth first, a shard at a time, and the counts of all shards are
+its occurrences (a phrase found a few times in a shard goes on from each place). Phrases are extended depth first, a shard at a time, and the counts of all shards are
 summed by Spark.
 
-A phrase is frequent only if its words are, and its pairs of neighbours. So three readings: the first
-counts words; the second counts pairs of frequent words, all words' shifted bitmaps being met at once,
-as a bit stands on one word at most; the third goes depth first through frequent pairs. What tells a
-task of frequent words and pairs is a bitmap of hashes of fixed size, which may let others through;
-they cost time only, as the sums are by the phrases themselves.
+A phrase is frequent only if its parts are. So four readings: the first counts words; the second pairs
+of frequent words, all words' shifted bitmaps being met at once, as a bit stands on one word at most;
+the third triples of frequent pairs in the same way; the fourth goes depth first through frequent
+triples. What tells a task of frequent words, pairs and triples is a bitmap of hashes of fixed size,
+which may let others through; they cost time only, as the sums are by the phrases themselves.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -38,11 +40,13 @@ _ENDS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(bytes(range(65, 91)) + _ENDS, bytes(range(97, 123)) + b"\n" * len(_ENDS))
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 32]] = True
-#: Characters that are parsed at once, words of a task's vocabulary between shards, pairs that a task holds, rows given out at once.
+#: Characters that are parsed at once, words of a task's vocabulary between shards, pairs or triples that a task holds, rows given out at once.
 GROUP = 1 << 20
 KNOWN_WORDS = 300_000
-HELD_PAIRS = 1 << 22
+HELD_KEYS = 1 << 22
 BATCH = 1 << 16
+#: Up to so many places are followed one by one; a bitmap of them saves nothing.
+FEW = 32
 
 
 class Vocabulary(dict):
@@ -148,39 +152,70 @@ def _word_counts(batches):
 
 
 def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Hashes of pairs of words from theirs."""
+    """Hashes of pairs from those of their parts."""
     with np.errstate(over="ignore"):
         return mixed(first + mixed(second))
 
 
-def _pair_counts(words):
-    """(hash, n) of the pairs of neighbours that the bitmap of words lets through, summed over a task's shards while they fit."""
+def key_hash(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
+    """Hashes of two words, or of three where the third is not 0."""
+    pair = pair_hash(first, second)
+    return np.where(third > 0, pair_hash(pair, third), pair)
+
+
+def may_be_frequent(line: np.ndarray, hashes: np.ndarray, bits: np.ndarray | None, width: int, within: np.ndarray | None = None) -> np.ndarray:
+    """At which places ``width`` words begin that the bitmap lets through, all of them if there is none; ``within`` tells so of one word less."""
+    may = np.zeros(len(line), bool)
+    if width == 2:
+        at = np.flatnonzero((line[:-1] > 0) & (line[1:] > 0))
+        found = pair_hash(hashes[line[at]], hashes[line[at + 1]]) if bits is not None else None
+    else:
+        at = np.flatnonzero(within[:-1] & within[1:])
+        found = pair_hash(pair_hash(hashes[line[at]], hashes[line[at + 1]]), hashes[line[at + 2]]) if bits is not None else None
+    may[at] = True if found is None else in_bitmap(bits, found)
+    return may
+
+
+def _short_counts(words, pairs):
+    """(first, second, third, n) of the words' hashes: pairs of frequent words (third is 0) or, given the bitmap of pairs, triples of frequent pairs.
+
+    Counts are summed over a task's shards while they fit.
+    """
 
     def merged(held):
-        hashes, n = (np.concatenate(x) for x in zip(*held))
-        order = np.argsort(hashes, kind="stable")
-        hashes, n = hashes[order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-        return hashes[first], np.add.reduceat(n, first)
+        first, second, third, n = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(key_hash(first, second, third), kind="stable")
+        first, second, third, n = (x[order] for x in (first, second, third, n))
+        fresh = np.ones(len(n), bool)
+        fresh[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1]) | (third[1:] != third[:-1])
+        at = np.flatnonzero(fresh)
+        return first[at], second[at], third[at], np.add.reduceat(n, at)
 
     def given(held):
-        hashes, n = merged(held)
-        for i in range(0, len(hashes), BATCH):
-            yield _counts([pa.array(hashes[i : i + BATCH].view(np.int64)), pa.array(n[i : i + BATCH])], ["hash", "n"])
+        *keys, n = merged(held)
+        for i in range(0, len(n), BATCH):
+            yield _counts([*(pa.array(k[i : i + BATCH].view(np.int64)) for k in keys), pa.array(n[i : i + BATCH])], ["first", "second", "third", "n"])
 
     def run(batches):
+        bits = None if pairs is None else np.frombuffer(pairs.value, np.uint8)
         held, rows = [], 0
         for _, vocabulary, line in shards(batches, SHARD, words.value):
-            at = np.flatnonzero((line[:-1] > 0) & (line[1:] > 0))
-            size = np.int64(len(vocabulary.words))
-            pairs, n = np.unique(line[at] * size + line[at + 1], return_counts=True)
             h = np.array(vocabulary.hashes, np.uint64)
-            held.append((pair_hash(h[pairs // size], h[pairs % size]), n.astype(np.int64)))
-            rows += len(n)
-            if rows > HELD_PAIRS:
+            may = may_be_frequent(line, h, bits, 2)
+            at = np.flatnonzero(may if bits is None else may[:-1] & may[1:])
+            codes, places, n = np.unique(line[at] * np.int64(len(h)) + line[at + 1], return_index=True, return_counts=True)
+            if bits is not None and len(at):
+                pair = np.searchsorted(codes, line[at] * np.int64(len(h)) + line[at + 1])
+                _, places, n = np.unique(pair * np.int64(len(h)) + line[at + 2], return_index=True, return_counts=True)
+            if len(n):
+                begin = at[places]
+                third = np.zeros(len(n), np.uint64) if bits is None else h[line[begin + 2]]
+                held.append((h[line[begin]], h[line[begin + 1]], third, n.astype(np.int64)))
+                rows += len(n)
+            if rows > HELD_KEYS:
                 held = [merged(held)]
                 rows = len(held[0][0])
-                if rows > HELD_PAIRS // 2:
+                if rows > HELD_KEYS // 2:
                     yield from given(held)
                     held, rows = [], 0
         if rows:
@@ -189,6 +224,12 @@ def _pair_counts(words):
     return run
 
 
+def _hashed(batches):
+    for batch in batches:
+        keys = [batch.column(i).to_numpy().view(np.uint64) for i in range(3)]
+        yield pa.RecordBatch.from_arrays([pa.array(key_hash(*keys).view(np.int64))], names=["hash"])
+
+
 class Bitmap:
     """Positions as the 64-bit blocks that hold any: their numbers, ascending, and their bits."""
 
@@ -230,16 +271,20 @@ class Bitmap:
         return self.blocks[block] * 64 + bit
 
 
-def phrases(line: np.ndarray, may: np.ndarray, longest: int):
-    """(words' numbers, count) of the phrases of a shard of 2 to ``longest`` words whose pairs all may be frequent: ``may`` at their first words."""
+def phrases(line: np.ndarray, may: np.ndarray, width: int, longest: int):
+    """(words' numbers, count) of the phrases of a shard of more than ``width`` words and up to ``longest`` of which all parts of ``width`` (2 or 3) words may be frequent: ``may`` at their first words."""
     starts = np.flatnonzero(may)
     if not len(starts):
         return
     size = np.int64(int(line.max()) + 1)
     codes = line[starts] * size + line[starts + 1]
+    if width == 3:
+        codes = np.unique(codes, return_inverse=True)[1] * size + line[starts + 2]
     order = np.argsort(codes, kind="stable")
-    ends, codes = starts[order] + 1, codes[order]
+    ends, codes = starts[order] + width - 1, codes[order]
     cut = np.concatenate([np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])), [len(codes)]])
+    # Whether a phrase that ends at a place may go on.
+    goes_on = np.concatenate([np.zeros(width - 2, bool), may])[: len(may)]
     by_word = np.argsort(line, kind="stable")
     first = np.searchsorted(line[by_word], np.arange(size + 1))
     bitmaps: dict[int, Bitmap] = {}
@@ -249,40 +294,54 @@ def phrases(line: np.ndarray, may: np.ndarray, longest: int):
             bitmaps[w] = Bitmap.of(by_word[first[w] : first[w + 1]])
         return bitmaps[w]
 
-    def once(phrase: list[int], end: int):
-        """A phrase found once has one way on."""
-        while len(phrase) < longest and may[end]:
-            end += 1
-            phrase = [*phrase, int(line[end])]
-            yield phrase, 1
+    on, at_place = goes_on.tobytes(), line.tolist()
+
+    def few(phrase: list[int], ends: list[int]):
+        """A phrase found a few times goes on from each place."""
+        ways: dict[int, list] = {}
+        for end in ends:
+            if on[end]:
+                ways.setdefault(at_place[end + 1], []).append(end + 1)
+        for w, found in ways.items():
+            longer = [*phrase, w]
+            yield longer, len(found)
+            if len(longer) < longest:
+                yield from few(longer, found)
 
     def deeper(phrase: list[int], found: Bitmap):
         moved = found.shifted()
         at = moved.positions()
-        for w in np.unique(line[at[may[at - 1]]]).tolist():
-            longer, met = [*phrase, w], moved & word(w)
-            n = len(met)
-            yield longer, n
-            if len(longer) < longest:
-                yield from once(longer, int(met.positions()[0])) if n == 1 else deeper(longer, met)
+        at = at[goes_on[at - 1]]
+        # Only words that stand there are met.
+        words, counts = np.unique(line[at], return_counts=True)
+        for w, n in zip(words.tolist(), counts.tolist()):
+            longer = [*phrase, w]
+            if n <= FEW:
+                ends = at[line[at] == w].tolist()
+                yield longer, n
+                if len(longer) < longest:
+                    yield from few(longer, ends)
+            else:
+                met = moved & word(w)
+                yield longer, len(met)
+                if len(longer) < longest:
+                    yield from deeper(longer, met)
 
     for i, j in zip(cut[:-1].tolist(), cut[1:].tolist()):
-        pair = [int(codes[i] // size), int(codes[i] % size)]
-        yield pair, j - i
-        if longest > 2 and may[ends[i:j]].any():
-            yield from once(pair, int(ends[i])) if j - i == 1 else deeper(pair, Bitmap.of(ends[i:j]))
+        begun = line[ends[i] - width + 1 : ends[i] + 1].tolist()
+        yield from few(begun, ends[i:j].tolist()) if j - i <= FEW else deeper(begun, Bitmap.of(ends[i:j]))
+
 
+def _long_counts(words, pairs, triples, longest: int):
+    """(lang, phrase, n) of the phrases of four words or more that may be frequent."""
 
-def _phrase_counts(words, pairs, longest: int):
     def run(batches):
-        bits = np.frombuffer(pairs.value, np.uint8)
+        two, three = (np.frombuffer(b.value, np.uint8) for b in (pairs, triples))
         for lang, vocabulary, line in shards(batches, SHARD, words.value):
             h = np.array(vocabulary.hashes, np.uint64)
-            at = np.flatnonzero((line[:-1] > 0) & (line[1:] > 0))
-            may = np.zeros(len(line), bool)
-            may[at] = in_bitmap(bits, pair_hash(h[line[at]], h[line[at + 1]]))
+            may = may_be_frequent(line, h, three, 3, may_be_frequent(line, h, two, 2))
             out = []
-            for phrase, n in phrases(line, may, longest):
+            for phrase, n in phrases(line, may, 3, longest):
                 out.append((b" ".join([vocabulary.words[w] for w in phrase]).decode("utf-8", "surrogatepass"), n))
                 if len(out) == BATCH:
                     yield _named(lang, out)
@@ -298,19 +357,38 @@ def _named(lang: str, rows: list) -> pa.RecordBatch:
     return _counts([pa.array([lang] * len(rows), pa.string()), pa.array(phrase, pa.string()), pa.array(n, pa.int64())], ["lang", "phrase", "n"])
 
 
+def _spelled(keys: DataFrame, words: DataFrame) -> DataFrame:
+    """(lang, phrase, f) of keys (first, second, third, f), third being 0 or a word's hash too."""
+    one = lambda i, more=(): words.select(F.col("hash").alias(("first", "second", "third")[i]), F.col("phrase").alias(f"w{i}"), *more)
+    met = keys.join(one(0, ("lang",)), "first").join(one(1), "second").join(one(2), "third", "left")
+    return met.select("lang", F.concat_ws(" ", "w0", "w1", "w2").alias("phrase"), "f")
+
+
 def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
-    """((lang, phrase, f) of the words and phrases found ``least`` times or more, (lang, n): all words), both written."""
+    """((lang, phrase, f) of the words and phrases found ``least`` times or more, (lang, n): all words), both written.
+
+    Pairs and triples are summed by their words' 64-bit hashes (two of a million frequent words are
+    taken for one with a probability below 1e-7), longer phrases by themselves.
+    """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).alias("text"))
     total = lambda df, *keys: df.groupBy(*keys).agg(F.sum("n").alias("f"))
-    schema = "lang string, phrase string, n long"
-    every = materialize(total(rows.mapInArrow(_word_counts, schema), "lang", "phrase"))
-    words = materialize(every.where(F.col("f") >= least))
-    word_bits = spark.sparkContext.broadcast(bitmap(words.select(F.xxhash64("lang", "phrase").alias("hash"))))
-    pairs = total(rows.mapInArrow(_pair_counts(word_bits), "hash long, n long"), "hash").where(F.col("f") >= least)
-    pair_bits = spark.sparkContext.broadcast(bitmap(pairs.select("hash")))
-    longer = total(rows.mapInArrow(_phrase_counts(word_bits, pair_bits, longest), schema), "lang", "phrase").where(F.col("f") >= least)
-    return materialize(words.unionByName(longer)), materialize(every.groupBy("lang").agg(F.sum("f").alias("n")))
+    shared = lambda hashes: spark.sparkContext.broadcast(bitmap(hashes))
+    phrase, key = "lang string, phrase string, n long", "first long, second long, third long, n long"
+    every = materialize(total(rows.mapInArrow(_word_counts, phrase), "lang", "phrase"))
+    words = materialize(every.where(F.col("f") >= least).withColumn("hash", F.xxhash64("lang", "phrase")))
+    word_bits = shared(words.select("hash"))
+    found, pair_bits = [words.select("lang", "phrase", "f")], None
+    for _ in range(2, min(longest, 3) + 1):
+        keys = total(rows.mapInArrow(_short_counts(word_bits, pair_bits), key), "first", "second", "third")
+        keys = materialize(keys.where(F.col("f") >= least))
+        found.append(_spelled(keys, words))
+        bits = shared(keys.select("first", "second", "third").mapInArrow(_hashed, "hash long"))
+        pair_bits, triple_bits = pair_bits or bits, bits
+    if longest > 3:
+        longer = total(rows.mapInArrow(_long_counts(word_bits, pair_bits, triple_bits, longest), phrase), "lang", "phrase")
+        found.append(longer.where(F.col("f") >= least))
+    return materialize(reduce(DataFrame.unionByName, found)), materialize(every.groupBy("lang").agg(F.sum("f").alias("n")))
 
 
 def scored(counts: DataFrame, totals: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ def prose(seed, n, words=12):
     return ["".join(rng.choice(vocabulary) + rng.choice([" ", " ", " ", "\t", "  ", ", ", ".", "\n", "\r\n", "!", ": "]) for _ in range(rng.randrange(1, 120))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("least, longest, best", [(1, 5, 10_000), (3, 5, 40), (2, 3, 7), (4, 2, 1000)])
+@pytest.mark.parametrize("least, longest, best", [(1, 5, 10_000), (3, 5, 40), (2, 3, 7), (4, 2, 1000), (2, 6, 500)])
 def test_phrases_against_plain_counts(spark, least, longest, best):
     rng = random.Random(1)
     rows = [(t, rng.choice(["en", "fr", "und", None])) for t in prose(2, 150)] + [(None, "en"), ("", None), (" \n.,", "xx"), ("solo", "xx")]
@@ -82,22 +82,25 @@ def test_shards_are_cut_where_no_phrase_stands(spark, monkeypatch):
     assert words is C.shards
 
 
-@pytest.mark.parametrize("size", [16, 64, 1 << 19])
-def test_kernel_in_shards_of_any_size(size):
+@pytest.mark.parametrize("few", [0, 2, 32])
+@pytest.mark.parametrize("size, width", [(16, 2), (64, 3), (1 << 19, 2), (1 << 19, 3)])
+def test_kernel_in_shards_of_any_size(size, width, few, monkeypatch):
+    monkeypatch.setattr(C, "FEW", few)
     text = "\n".join(prose(5, 60))
     stretch = C._Stretch("en", None)
     stretch.add(text)
     stretch.parse()
     counted = Counter()
     for _, vocabulary, line in stretch.cut(size):
-        may = np.zeros(len(line), bool)
-        may[:-1] = (line[:-1] > 0) & (line[1:] > 0)
-        for phrase, n in C.phrases(line, may, 5):
+        hashes = np.array(vocabulary.hashes, np.uint64)
+        may = C.may_be_frequent(line, hashes, None, 2)
+        may = may if width == 2 else C.may_be_frequent(line, hashes, None, 3, may)
+        for phrase, n in C.phrases(line, may, width, 5):
             counted[b" ".join(vocabulary.words[w] for w in phrase).decode()] += n
     want = Counter()
     for piece in re.split(r"[.,;:!?\n\x0b\x0c\r]", text.translate(UPPER)):
         words = re.findall(r"[^ \t]+", piece)
-        for m in range(2, 6):
+        for m in range(width + 1, 6):
             want.update(" ".join(words[i : i + m]) for i in range(len(words) - m + 1))
     assert counted == want
 
