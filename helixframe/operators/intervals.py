@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from helixframe.functions.genome import autosome
 
+from . import ranges
 from .shared import materialize
 
 
@@ -192,25 +191,12 @@ def owned_points(points: DataFrame, regions: DataFrame, width: int) -> DataFrame
 def greedy_groups(regions: DataFrame, most: int) -> DataFrame:
     """``group``: regions in order, a group going on while it stays within ``most`` positions of its start.
 
-    The state depends on where each group began, so the sorted regions of a chromosome stream through
-    one task, which holds a batch and the group's start and number.
+    A chromosome may lie in many ranges (``ranges.greedy_groups``). Regions without a start or an end
+    are of the group before.
     """
-
-    def run(batches):
-        chromosome, at, n, begun = None, None, 0, False
-        for batch in batches:
-            groups = []
-            for name, start, end in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if not begun or name != chromosome:
-                    chromosome, at, n, begun = name, None, 0, True
-                if at is None or (end is not None and end - at > most):
-                    at, n = start, n + 1
-                groups.append(n)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(groups, pa.int32())], names=["chr", "start", "end", "group"])
-
     rows = regions.select("chr", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
-    ordered = rows.repartition("chr").sortWithinPartitions("chr", "start", "end")
-    return ordered.mapInArrow(run, StructType([*rows.schema.fields, StructField("group", IntegerType())]))
+    found = ranges.greedy_groups(rows, ("chr",), ("start", "end"), F.col("start"), F.col("end"), most)
+    return found.select("chr", "start", "end", F.col("__group").cast("int").alias("group"))
 
 
 def fuse(coverage: DataFrame, group) -> DataFrame:

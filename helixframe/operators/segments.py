@@ -50,9 +50,14 @@ def rollup(calls: DataFrame, by: str = "cn_id") -> DataFrame:
     return calls.groupBy("sample", "chr", by).agg(*found)
 
 
-def site_sums(sites: DataFrame) -> DataFrame:
-    """(sample, chr, start, snp_sum, snp_known, snp_weight) of each region's sites, weighted by pop_het; a site without reference reads has no ratio."""
-    ratio = F.try_divide(F.col("alt_count").cast("double"), F.col("ref_count").cast("double"))
+def site_sums(sites: DataFrame, compat: bool = False) -> DataFrame:
+    """(sample, chr, start, snp_sum, snp_known, snp_weight) of each region's sites, weighted by pop_het.
+
+    A site's frequency is alt / (alt + ref), none without depth; with ``compat`` it is alt / ref, none
+    without reference reads.
+    """
+    alt, ref = F.col("alt_count").cast("double"), F.col("ref_count").cast("double")
+    ratio = F.try_divide(alt, ref if compat else alt + ref)
     known = F.when(ratio.isNotNull(), F.col("pop_het"))
     return sites.groupBy("sample", "chr", "start").agg(F.sum(ratio * F.col("pop_het")).alias("snp_sum"), F.sum(known).alias("snp_known"), F.sum("pop_het").alias("snp_weight"))
 
@@ -127,8 +132,8 @@ def central_depth(rows: DataFrame, by: tuple, order: str, value: str, width: int
     return placed.groupBy(*by).agg(F.avg(F.when((F.col("n") <= more_than) | middle, F.col(value))).alias("depth"), F.max("n").alias("n"))
 
 
-def axis_limits(segments: DataFrame) -> DataFrame:
-    """(contig, axis_limit): the value at rank int(0.99 n) of the deviations from 2 copies, at least 0.1.
+def axis_limits(segments: DataFrame, floor: float = 0.1) -> DataFrame:
+    """(contig, axis_limit): the value at rank int(0.99 n) of the deviations from 2 copies, at least ``floor``.
 
     Copy numbers have two decimals, so equal deviations are counted before they meet.
     """
@@ -137,4 +142,4 @@ def axis_limits(segments: DataFrame) -> DataFrame:
     until, n = F.sum("k").over(contig.orderBy("v")), F.sum("k").over(contig)
     ranked = counts.select("contig", "v", (until > F.floor(n * 0.99)).alias("reached"))
     value = F.min(F.when(F.col("reached"), F.col("v")))
-    return ranked.groupBy("contig").agg(F.round(F.greatest(F.lit(0.1), value), 6).alias("axis_limit"))
+    return ranked.groupBy("contig").agg(F.round(F.greatest(F.lit(float(floor)), value), 6).alias("axis_limit"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions.genome import let
 
+from . import ranges
 from .intervals import overlaps, reciprocal_overlap, shared_length
+from .shared import materialize
 
 
 def kind_of(cn: Column, low: float, high: float) -> Column:
@@ -135,43 +136,28 @@ def hard_filters(v: DataFrame, least_af: float = 0.05, most_nm: float = 7.0) ->
     return v.withColumn("filter", F.when(F.size(failed) == 0, "PASS").otherwise(F.array_join(failed, ";"))).withColumn("gt", gt).withColumn("qual_vcf", quality)
 
 
-def best_per_position(v: DataFrame, ties: tuple, every: bool = False) -> DataFrame:
-    """The variant of the highest allele frequency at each position, or ``every`` one, repeats of (chr, start, end, ref, alt) left out."""
+def best_per_position(v: DataFrame, ties: tuple, every: bool = False, by: tuple = ()) -> DataFrame:
+    """The variant of the highest allele frequency at each position, or ``every`` one, repeats of (chr, start, end, ref, alt) left out; of each sample if ``by`` names its column."""
     same = ("chr", "start", "end", "ref", "alt") if every else ("chr", "pos")
-    order = Window.partitionBy(*same).orderBy(F.col("af").desc(), *ties)
+    order = Window.partitionBy(*by, *same).orderBy(F.col("af").desc(), *ties)
     return v.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
 
 
-def flag_clusters(v: DataFrame, within: int, ties: tuple = ()) -> DataFrame:
+def flag_clusters(v: DataFrame, within: int, ties: tuple = (), by: tuple = ()) -> DataFrame:
     """``filter``: Cluster{within}bp for a passing SNV that starts less than ``within`` after the SNV that passed last, and for the record before it.
 
-    A clustered SNV does not count as passed, so what passes depends on the SNVs before. It does so
-    only while they follow each other closely: such stretches are dealt out and streamed in order,
-    and a task holds a batch and the position that passed last.
+    Each chromosome, and each sample if ``by`` names its column, is looked at alone. A clustered SNV
+    does not count as passed, so the SNVs that pass are the starts of greedy groups; chromosomes lie in
+    many ranges (``ranges.greedy_groups``).
     """
-    tag, place = f"Cluster{within}bp", Window.partitionBy("chr").orderBy("pos", *ties)
-    passing = (F.col("filter") == "PASS") & (F.col("type") == "SNV")
-    snvs = v.withColumn("__passes", F.coalesce(passing, F.lit(False))).withColumn("__at", F.when(F.col("__passes"), F.col("pos")))
-    before = F.last("__at", ignorenulls=True).over(place.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.when(F.col("__passes") & F.coalesce(F.col("pos") - before < within, F.lit(False)), 0).otherwise(F.col("__passes").cast("int"))
-    dealt = snvs.withColumn("__fresh", fresh).withColumn("__stretch", F.sum("__fresh").over(place)).drop("__fresh", "__at").withColumn("__clustered", F.lit(False))
-    keys = ["chr", "__stretch", "pos", *ties]
-
-    def run(batches):
-        key = last = None
-        for batch in batches:
-            found = []
-            for name, stretch, pos, passes in zip(*(batch.column(c).to_pylist() for c in ("chr", "__stretch", "pos", "__passes"))):
-                if (name, stretch) != key:
-                    key, last = (name, stretch), None
-                close = passes and last is not None and pos - last < within
-                last = pos if passes and not close else last
-                found.append(close)
-            yield batch.set_column(batch.schema.get_field_index("__clustered"), "__clustered", pa.array(found, pa.bool_()))
-
-    marked = dealt.repartition("chr", "__stretch").sortWithinPartitions(*keys).mapInArrow(run, dealt.schema)
-    hit = F.col("__clustered") | F.coalesce(F.lead("__clustered").over(place), F.lit(False))
-    return marked.withColumn("filter", F.when(hit, tag).otherwise(F.col("filter"))).drop("__stretch", "__passes", "__clustered")
+    keys, order = (*by, "chr"), ("pos", *ties)
+    passing = F.coalesce((F.col("filter") == "PASS") & (F.col("type") == "SNV"), F.lit(False))
+    place = F.when(passing, F.col("pos"))
+    marked = materialize(ranges.greedy_groups(v.withColumn("__passes", passing), keys, order, place, place, within - 1).drop("__group"))
+    clustered = F.col("__passes") & ~F.col("__starts")
+    after = ranges.following(marked, keys, order, "__after", clustered)
+    hit = clustered | F.coalesce("__after", F.lit(False))
+    return after.withColumn("filter", F.when(hit, f"Cluster{within}bp").otherwise(F.col("filter"))).select(*v.columns)
 
 
 #: INFO fields of small-variant VCFs and the columns that they come from; ids are fixed by the format's readers.
@@ -245,6 +231,43 @@ def called_segments(calls: DataFrame, least_freq: float = 0.0, kinds: tuple = ()
     return kept.where(F.coalesce(F.col("freq"), F.lit(1.0)) >= least_freq) if "freq" in calls.columns else kept
 
 
+def unified_calls(calls: DataFrame, most_copies: int = 10, least_probes: int = 25) -> DataFrame:
+    """Calls of any callers that a unified table takes: changed copy numbers from 0 on, those of ``most_copies`` or more only on more than ``least_probes`` probes.
+
+    A call whose normal state costs no more than its own (norm_weight <= weight) is normal. Columns that
+    a caller does not give are null and decide nothing.
+    """
+    cn = F.col("cn").try_cast("double")
+    normal = F.coalesce(F.col("norm_weight") <= F.col("weight"), F.lit(False))
+    many = F.coalesce((cn < most_copies) | F.col("probes").isNull() | (F.col("probes") > least_probes), F.lit(True))
+    return calls.where(~normal & (cn.isNull() | ((cn >= 0) & (cn != 2) & many)))
+
+
+def unified_segments(calls: DataFrame, by: tuple = ("chr", "svtype"), callers: tuple = ()) -> DataFrame:
+    """(``by``, start, end, callers, n_callers): disjoint pieces of the calls (``by``, start, end, caller) of several callers, each with all callers whose calls hold it.
+
+    A sweep over breakpoints: each caller's own calls are fused where they touch or overlap, so that
+    every breakpoint changes the set of callers; sums of openings and closings along the breakpoints
+    give the set, and the next breakpoint ends the piece. Keys lie in many ranges. ``callers`` are the
+    names to look for, by default those that occur (one row each). Calls that end before they start, or
+    lack an end or start, hold nothing.
+    """
+    rows = calls.where(F.col("end") >= F.col("start")).select(*by, "caller", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+    keys = (*by, "caller")
+    own = ranges.running(ranges.deal(rows, *keys, "start", "end"), keys, ("start", "end"), "__before", F.col("end"), F.max, itself=False)
+    own = own.withColumn("__fresh", F.coalesce(F.col("start") > F.col("__before") + 1, F.lit(True)).cast("long")).drop("__before")
+    fused = ranges.running(materialize(own), keys, ("start", "end"), "__island", F.col("__fresh")).groupBy(*keys, "__island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    names = callers or tuple(r["caller"] for r in rows.select("caller").where("caller is not null").distinct().orderBy("caller").collect()) or ("",)
+    edges = materialize(fused.select(*keys, F.inline(F.array(F.struct(F.col("start").alias("pos"), F.lit(1).alias("d")), F.struct((F.col("end") + 1).alias("pos"), F.lit(-1).alias("d"))))))
+    net = [F.sum(F.when(F.col("caller") == n, F.col("d")).otherwise(0)).alias(f"__d{i}") for i, n in enumerate(names)]
+    changed = ranges.following(ranges.deal(edges.groupBy(*by, "pos").agg(*net), *by, "pos"), by, ("pos",), "__next", F.col("pos"))
+    for i in range(len(names)):
+        changed = ranges.running(changed, by, ("pos",), f"__n{i}", F.col(f"__d{i}"))
+    held = F.array_compact(F.array(*[F.when(F.col(f"__n{i}") > 0, n) for i, n in enumerate(names)]))
+    pieces = changed.withColumn("__held", held).where(F.size("__held") > 0)
+    return pieces.select(*by, F.col("pos").alias("start"), (F.col("__next") - 1).alias("end"), F.array_join(F.array_sort("__held"), ",").alias("callers"), F.size("__held").alias("n_callers"))
+
+
 def callers_by_region(segments: DataFrame, panel: DataFrame, width: int) -> DataFrame:
     """Segments with the names of the panel regions that they overlap, sorted and comma-joined, and their number."""
     met = overlaps(segments, panel, width)

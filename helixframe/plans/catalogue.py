@@ -212,6 +212,13 @@ def weighted_mean_sd(s, d):
     return rounded(normalize.weighted_moments(rows, normalize.sample_correlation(rows, 0.0)), "w_mean", "w_sd", digits=5)
 
 
+@query
+def panel_moments_with_holes(s, d):
+    """Moments over similar samples where samples lack regions, which then count as 0."""
+    rows = _plain(s, d).where("(start div 86400 + cast(substring(sample, 2) as int)) % 7 != 0")
+    return rounded(normalize.weighted_moments(rows, normalize.sample_correlation(rows, 0.0)), "w_mean", "w_sd", digits=4)
+
+
 @query
 def nb_likelihood(s, d):
     return _long(_nb(s, d), "sample", "chr", "start")
@@ -458,6 +465,19 @@ def sv_population_frequency(s, d):
     return variants.population_frequency(rows.where("p_size % 3 != 0").drop("p_size"), database, 2_000)
 
 
+@query
+def unified_caller_segments(s, d):
+    """Three callers' changed segments as disjoint pieces with the callers that support each."""
+    part = views.table(s, d, "part")
+    n = F.col("p_partkey")
+    start = n % 200 * 50
+    calls = part.select(
+        F.col("p_brand").alias("chr"), F.when(F.col("p_size") % 2 == 0, "DEL").otherwise("DUP").alias("svtype"), F.element_at(F.array(*map(F.lit, ("alpha", "beta", "gamma"))), (1 + n % 3).cast("int")).alias("caller"),
+        start.alias("start"), (start + F.col("p_size") * 20).alias("end"), (F.col("p_size") % 12).alias("cn"), F.when(n % 3 == 0, n % 60).alias("probes"), (n % 9).alias("weight"), F.when(n % 3 == 1, n % 10).alias("norm_weight"),
+    )
+    return variants.unified_segments(variants.unified_calls(calls))
+
+
 @query
 def multi_caller_regions(s, d):
     panel = _svs(s, d, 25).join(views.table(s, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("region_name")), "id")

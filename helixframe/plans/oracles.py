@@ -192,7 +192,7 @@ SQL = {
       FROM implied JOIN mean USING (sample) JOIN genome USING (sample) WHERE x IS NOT NULL GROUP BY sample, m, total, genome_size""",
     "named_segments_with_snps": _RUNS + ", " + _ALLELES.removeprefix("WITH ") + """, named AS (SELECT *, 'r' || start // 86400 // 2 AS region_name FROM runs),
       names AS (SELECT sample, chr, cn_id, string_agg(region_name, ',' ORDER BY start) AS region_names FROM (SELECT sample, chr, cn_id, region_name, min(start) AS start FROM named GROUP BY ALL) GROUP BY ALL),
-      spots AS (SELECT r.sample, r.chr, r.cn_id, alt_count / nullif(ref_count, 0)::DOUBLE AS x, 2 * baf * (1 - baf) AS w FROM runs r JOIN counted c ON c.sample = r.sample AND c.chr = r.chr AND c.pos // 86400 = r.start // 86400),
+      spots AS (SELECT r.sample, r.chr, r.cn_id, alt_count / nullif(alt_count + ref_count, 0)::DOUBLE AS x, 2 * baf * (1 - baf) AS w FROM runs r JOIN counted c ON c.sample = r.sample AND c.chr = r.chr AND c.pos // 86400 = r.start // 86400),
       snps AS (SELECT sample, chr, cn_id, sum(x * w) / nullif(sum(w) FILTER (x IS NOT NULL), 0) AS snp_baf, sum(w) AS snp_weight FROM spots GROUP BY ALL)
       SELECT sample, chr, cn_id, cn_pred, start, "end", length, region_names, round(snp_baf, 6) AS snp_baf, round(snp_weight, 6) AS snp_weight FROM rolled JOIN names USING (sample, chr, cn_id) LEFT JOIN snps USING (sample, chr, cn_id)""",
     "rolling_mean_10": V("g_calls") + """ SELECT sample, chr, start, round(CASE WHEN count(*) OVER w = 10 THEN avg(cov) OVER w ELSE 0 END, 6) AS roll_mean, CASE WHEN count(*) OVER w = 10 THEN sum(cov) OVER w ELSE 0 END AS roll_sum
@@ -490,3 +490,21 @@ SQL["cnv_caller_somatic"] = _recursive(
   SELECT sample, chr, arg_min(cn_pred, start) AS cn_pred, min(start) AS start, max("end") AS "end", max("end") - min(start) AS length, count(*) AS n_regions, round(median(cov), 4) AS median_cov, round(median(sd_distance), 4) AS median_sd_distance
   FROM runs GROUP BY sample, chr, cn_id HAVING arg_min(cn_pred, start) <> '2'"""
 )
+
+SQL["panel_moments_with_holes"] = V("g_cov") + """, k AS (SELECT sample, chr, start, cov_raw FROM g_cov WHERE (start // 86400 + substr(sample, 2)::INT) % 7 <> 0),
+      x AS (SELECT s.sample, p.chr, p.start, coalesce(k.cov_raw, 0) AS x FROM (SELECT DISTINCT sample FROM k) s CROSS JOIN (SELECT DISTINCT chr, start FROM k) p LEFT JOIN k ON k.sample = s.sample AND k.chr = p.chr AND k.start = p.start),
+      r AS (SELECT y.sample AS a, z.sample AS b, corr(y.x, z.x) AS r FROM x y JOIN x z USING (chr, start) GROUP BY ALL),
+      w AS (SELECT a, b, CASE WHEN a = b THEN 1.0 ELSE greatest(0, coalesce(r, 0)) END AS w FROM r),
+      m AS (SELECT a, chr, start, x, w, sum(x * w) OVER (PARTITION BY a, chr, start) / sum(w) OVER (PARTITION BY a, chr, start) AS wm FROM w JOIN x ON x.sample = b WHERE w > 0),
+      s AS (SELECT a, chr, start, min(wm) AS wm, sqrt(sum(w * (x - wm) * (x - wm)) / nullif((count(*) - 1) / count(*)::DOUBLE * sum(w), 0)) AS sd FROM m GROUP BY ALL)
+      SELECT a AS sample, chr, start, round(wm, 4) AS w_mean, round(CASE WHEN sd IS NULL OR isnan(sd) THEN 1.0 ELSE sd END, 4) AS w_sd FROM s"""
+SQL["unified_caller_segments"] = """WITH every AS (
+        SELECT p_brand AS chr, CASE WHEN p_size % 2 = 0 THEN 'DEL' ELSE 'DUP' END AS svtype, ['alpha', 'beta', 'gamma'][(1 + p_partkey % 3)::INT] AS caller, p_partkey % 200 * 50 AS start, p_partkey % 200 * 50 + p_size * 20 AS "end",
+               p_size % 12 AS cn, CASE WHEN p_partkey % 3 = 0 THEN p_partkey % 60 END AS probes, p_partkey % 9 AS weight, CASE WHEN p_partkey % 3 = 1 THEN p_partkey % 10 END AS norm_weight FROM part),
+      calls AS (SELECT * FROM every WHERE NOT coalesce(norm_weight <= weight, false) AND cn <> 2 AND (cn < 10 OR probes IS NULL OR probes > 25)),
+      edges AS (SELECT chr, svtype, start AS pos FROM calls UNION SELECT chr, svtype, "end" + 1 FROM calls),
+      spans AS (SELECT chr, svtype, pos AS start, lead(pos) OVER (PARTITION BY chr, svtype ORDER BY pos) - 1 AS "end" FROM edges),
+      held AS (SELECT s.chr, s.svtype, s.start, s."end", string_agg(DISTINCT caller, ',' ORDER BY caller) AS callers, count(DISTINCT caller) AS n FROM spans s JOIN calls c ON c.chr = s.chr AND c.svtype = s.svtype AND c.start <= s.start AND c."end" >= s."end" GROUP BY ALL),
+      marked AS (SELECT *, CASE WHEN lag(callers) OVER w = callers AND lag("end") OVER w = start - 1 THEN 0 ELSE 1 END AS fresh FROM held WINDOW w AS (PARTITION BY chr, svtype ORDER BY start)),
+      pieces AS (SELECT *, sum(fresh) OVER (PARTITION BY chr, svtype ORDER BY start) AS piece FROM marked)
+      SELECT chr, svtype, min(start) AS start, max("end") AS "end", callers, n::INT AS n_callers FROM pieces GROUP BY chr, svtype, piece, callers, n"""

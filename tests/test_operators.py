@@ -466,3 +466,69 @@ def test_greedy_groups_and_axis_limits_hold_no_group_in_a_row(spark):
     assert {r["contig"]: r["axis_limit"] for r in limits.collect()} == {"x": round(deviations[198], 6), "y": 0.1, "z": 0.1}
     for made in (groups, limits):
         assert "collect_list" not in made._jdf.queryExecution().toString()
+
+
+def _one_table(a, b, c, d):
+    """The test and the odds ratio of one table by the sums themselves and bisection."""
+    row, column, total = a + b, a + c, a + b + c + d
+    low, high = max(0, column - (total - row)), min(row, column)
+    support = range(low, high + 1)
+    ways = [math.comb(row, x) * math.comb(total - row, column - x) for x in support]
+    seen = ways[a - low]
+    p = sum(w for w in ways if w <= seen * (1 + 1e-7)) / sum(ways)
+    if low == high:
+        return p, math.nan
+    if a in (low, high):
+        return p, 0.0 if a == low else math.inf
+    lo, hi = -60.0, 60.0
+    for _ in range(120):
+        t = (lo + hi) / 2
+        top = max(math.log(k) + (x - a) * t for x, k in zip(support, ways))
+        w = [math.exp(math.log(k) + (x - a) * t - top) for x, k in zip(support, ways)]
+        lo, hi = (t, hi) if sum(x * y for x, y in zip(support, w)) < a * sum(w) else (lo, t)
+    return p, math.exp((lo + hi) / 2)
+
+
+def test_fisher_tables_at_once(monkeypatch):
+    rng = random.Random(3)
+    tables = [[rng.randrange(rng.choice([2, 9, 60])) for _ in range(4)] for _ in range(150)] + [[0, 0, 0, 0], [500, 3, 4, 700], [1, 900, 2, 5]]
+    for cells in (1 << 20, 50):
+        monkeypatch.setattr(fit, "SUPPORT_CELLS", cells)
+        for t, p, odds in zip(tables, *fit.fisher_tables(np.array(tables))):
+            want = _one_table(*t)
+            assert p == pytest.approx(want[0], rel=1e-9) and odds == pytest.approx(want[1], rel=1e-8, nan_ok=True)
+    assert fit.log_factorial(np.array([0, 1, 5, 8, 9, 100, 10**6])) == pytest.approx([math.lgamma(n + 1) for n in (0, 1, 5, 8, 9, 100, 10**6)], rel=1e-13)
+
+
+def test_panel_products_on_a_grid_with_holes(spark, monkeypatch):
+    """Against plain sums, in one block and in many, of one tile and of several; absent regions are 0."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(100, 30, 40)
+    full = {f"s{i}": base * (i % 3 != 2) + rng.normal(50, 12, 40) for i in range(6)}
+    rows = [(s, f"c{k % 2}", k * 10, float(v)) for s, x in full.items() for k, v in enumerate(x) if rng.random() < 0.8] + [("flat", "c0", 0, 0.0), ("flat", "c1", 10, None)]
+    df = spark.createDataFrame(rows, "sample string, chr string, start long, cov double")
+    regions = sorted({(c, p) for _, c, p, _ in rows})
+    names = sorted({r[0] for r in rows})
+    at = {(s, c, p): v or 0.0 for s, c, p, v in rows}
+    x = np.array([[at.get((s, *r), 0.0) for s in names] for r in regions])
+    with np.errstate(invalid="ignore", divide="ignore"):
+        want = np.corrcoef(x.T)
+    for cells, tile in ((1 << 21, 1024), (25, 2), (7, 1)):
+        monkeypatch.setattr(normalize, "BLOCK_CELLS", cells)
+        monkeypatch.setattr(normalize, "TILE", tile)
+        found = normalize.sample_correlation(df, 0.2)
+        got = {(r["a"], r["b"]): (r["r"], r["weight"]) for r in found.collect()}
+        assert len(got) == len(names) ** 2
+        for i, a in enumerate(names):
+            for j, b in enumerate(names):
+                r, w = got[a, b]
+                assert (r is None and math.isnan(want[i, j])) or r == pytest.approx(want[i, j], abs=1e-9)
+                assert w == pytest.approx(1.0 if i == j else max(0.0, (0 if math.isnan(want[i, j]) else want[i, j] - 0.2) / 0.8), abs=1e-9)
+        w = np.array([[got[a, b][1] for b in names] for a in names])
+        rows_found = normalize.weighted_moments(df, found).collect()
+        assert sorted((r["sample"], r["chr"], r["start"]) for r in rows_found) == sorted((s, *r) for s in names for r in regions)
+        for r in rows_found:
+            own, values = w[names.index(r["sample"])], x[regions.index((r["chr"], r["start"]))]
+            mean, n = (own * values).sum() / own.sum(), (own > 0).sum()
+            sd = math.sqrt((own * (values - mean) ** 2).sum() / ((n - 1) / n * own.sum())) if n > 1 else 1.0
+            assert r["w_mean"] == pytest.approx(mean, abs=1e-8) and r["w_sd"] == pytest.approx(sd, abs=1e-5)
