@@ -16,6 +16,7 @@ which may let others through; they cost time only, as the sums are by the phrase
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
 import numpy as np
@@ -40,10 +41,11 @@ _ENDS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(bytes(range(65, 91)) + _ENDS, bytes(range(97, 123)) + b"\n" * len(_ENDS))
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 32]] = True
-#: Characters that are parsed at once, words of a task's vocabulary between shards, pairs or triples that a task holds, rows given out at once.
+#: Characters that are parsed at once, words of a task's vocabulary between shards, pairs or triples and longer phrases that a task sums, rows given out at once.
 GROUP = 1 << 20
 KNOWN_WORDS = 300_000
 HELD_KEYS = 1 << 22
+HELD_PHRASES = 1 << 18
 BATCH = 1 << 16
 #: Up to so many places are followed one by one; a bitmap of them saves nothing.
 FEW = 32
@@ -294,7 +296,7 @@ def phrases(line: np.ndarray, may: np.ndarray, width: int, longest: int):
             bitmaps[w] = Bitmap.of(by_word[first[w] : first[w + 1]])
         return bitmaps[w]
 
-    on, at_place = goes_on.tobytes(), line.tolist()
+    on, at_place = goes_on.tobytes(), memoryview(line)
 
     def few(phrase: list[int], ends: list[int]):
         """A phrase found a few times goes on from each place."""
@@ -337,24 +339,24 @@ def _long_counts(words, pairs, triples, longest: int):
 
     def run(batches):
         two, three = (np.frombuffer(b.value, np.uint8) for b in (pairs, triples))
+        counts: Counter = Counter()
         for lang, vocabulary, line in shards(batches, SHARD, words.value):
             h = np.array(vocabulary.hashes, np.uint64)
             may = may_be_frequent(line, h, three, 3, may_be_frequent(line, h, two, 2))
-            out = []
             for phrase, n in phrases(line, may, 3, longest):
-                out.append((b" ".join([vocabulary.words[w] for w in phrase]).decode("utf-8", "surrogatepass"), n))
-                if len(out) == BATCH:
-                    yield _named(lang, out)
-                    out = []
-            if out:
-                yield _named(lang, out)
+                counts[lang, b" ".join([vocabulary.words[w] for w in phrase])] += n
+                if len(counts) >= HELD_PHRASES:
+                    yield _named(counts)
+                    counts.clear()
+        if counts:
+            yield _named(counts)
 
     return run
 
 
-def _named(lang: str, rows: list) -> pa.RecordBatch:
-    phrase, n = zip(*rows)
-    return _counts([pa.array([lang] * len(rows), pa.string()), pa.array(phrase, pa.string()), pa.array(n, pa.int64())], ["lang", "phrase", "n"])
+def _named(counts: Counter) -> pa.RecordBatch:
+    lang, phrase = zip(*counts)
+    return _counts([pa.array(lang, pa.string()), pa.array([p.decode("utf-8", "surrogatepass") for p in phrase], pa.string()), pa.array(list(counts.values()), pa.int64())], ["lang", "phrase", "n"])
 
 
 def _spelled(keys: DataFrame, words: DataFrame) -> DataFrame:
