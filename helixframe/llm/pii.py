@@ -8,12 +8,15 @@ its patterns together make it. Any token in the place of a seed is an instance,
 confidence discover identifiers of unseen forms. Tokens of letters alone are words: they count
 against a pattern but are never added.
 
-Texts are read three times. The first finds the seeds and their patterns. The second counts, for
-patterns that hold SUPPORT distinct seeds and one part in SEED_PARTS of all, the distinct instances
-of each document; patterns of which seeds are under SEED_SHARE of them go no further, which spares
-the graph what surrounds everything, such as frequent words. The third gives the instances of what is
-left. Patterns travel as 64-bit hashes; what tasks get to tell patterns of interest is a bitmap of
-fixed size that may let others through, which joins then sort out, so the size costs time at most.
+What is discovered is known from then on: a round looks its instances up in all texts, and their other
+occurrences induce patterns as seeds do, which discover more. Rounds end when one discovers nothing.
+
+A pattern takes part once SUPPORT distinct known instances stand in it, and once the known ones are
+SEED_SHARE of all, counted by document. Frequent words have that many but not that share; a pattern
+that the documents of one hash in SIFT already refute (counts only grow) is not counted over the rest,
+which changes no result. Both tests are repeated as more instances are known. Patterns travel as
+64-bit hashes; what tells tasks of patterns and instances of interest is a bitmap of fixed size that
+may let others through, which joins then sort out, so the size costs time at most.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,9 +37,10 @@ ROUNDS = 3
 #: A pattern counts from this confidence, with so many distinct known instances at least.
 CONFIDENCE = 0.8
 SUPPORT = 4
-#: A pattern takes part if it holds one part in so many of all distinct seeds, and they are this share of its instances, counted by document.
-SEED_PARTS = 500
+#: A pattern takes part if known instances are this share of its instances, counted by document.
 SEED_SHARE = 0.2
+#: Documents of one hash in so many sift patterns before the others count them.
+SIFT = 16
 #: Words whose hashes a task keeps between texts.
 KNOWN_WORDS = 200_000
 
@@ -273,12 +278,57 @@ def pattern_confidence(edges: DataFrame, rounds: int = ROUNDS, confidence: float
     return trusted
 
 
-def seed_counts(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((pattern, instance, kind) of all seeds, (pattern, seeds, n_seed): distinct seeds, and distinct seeds of each document summed)."""
-    each = parsed.select("doc", "text_key", F.inline("seeds")).select("doc", "text_key", "kind", "instance", F.explode("patterns").alias("pattern"))
-    within = each.groupBy("pattern", "instance", "kind", "doc", "text_key").agg(F.lit(1).alias("one"))
-    seeds = within.groupBy("pattern", "instance", "kind").agg(F.count("*").alias("docs"))
-    return each.select("pattern", "instance", "kind"), seeds.groupBy("pattern").agg(F.count_distinct("instance").alias("seeds"), F.sum("docs").alias("n_seed"))
+def _sighted(shared):
+    """(text_key, instance, patterns) of the tokens, outside base spans, that the bitmap of instances lets through."""
+
+    def make():
+        bits, words = np.frombuffer(shared.value, np.uint8), Words()
+
+        def group(rows):
+            words.forget()
+            for doc, text in rows:
+                ids = words(_bytes(text).split())
+                if not in_bitmap(bits, words.table[ids, 1]).any():
+                    continue
+                start, end, core, _, patterns = places(text, personal(text), words)
+                key = xxhash.xxh3_64_intdigest(_bytes(text)) - (1 << 63)
+                for i in np.flatnonzero(in_bitmap(bits, core)).tolist():
+                    yield doc, key, text[start[i] : end[i]].lower(), [p for p in _signed(patterns[i]) if p]
+
+        return group
+
+    return make
+
+
+def _instance_hashes(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(np.array([_hash(_bytes(w)) for w in batch.column(0).to_pylist()], np.uint64).view(np.int64))], names=["hash"])
+
+
+def known_counts(known: DataFrame) -> DataFrame:
+    """(pattern, instances, n_known, n_seed): distinct known instances, and those of each document summed, of all and of base seeds."""
+    within = known.groupBy("pattern", "instance", "doc", "text_key").agg(F.max("seed").alias("seed"))
+    each = within.groupBy("pattern", "instance").agg(F.count("*").alias("docs"), F.sum("seed").alias("seeds"))
+    return each.groupBy("pattern").agg(F.count("*").alias("instances"), F.sum("docs").alias("n_known"), F.sum("seeds").alias("n_seed"))
+
+
+def _active(rows: DataFrame, candidates: DataFrame, share: float) -> DataFrame:
+    """(pattern) of those whose known instances are ``share`` of all, counted by document.
+
+    ``rows`` is (doc, text), ``candidates`` (pattern, instances, n_known, n_seed). What is counted are
+    tokens outside base spans, known ones included.
+    """
+    context = rows.sparkSession.sparkContext
+
+    def counted(part: DataFrame, patterns: DataFrame) -> DataFrame:
+        bits = context.broadcast(bitmap(patterns.select(F.col("pattern").alias("hash"))))
+        found = map_text_groups(part, "doc", "text", "pattern long, n long", _counted(bits), chars=1 << 20)
+        n = F.coalesce("n_token", F.lit(0))
+        met = patterns.join(found.groupBy("pattern").agg(F.sum("n").alias("n_token")), "pattern", "left")
+        return met.where(F.col("n_known") >= share * (F.col("n_seed") + n)).drop("n_token")
+
+    sieve = rows.where(F.pmod(F.xxhash64("text"), F.lit(SIFT)) == 0)
+    return materialize(counted(rows, materialize(counted(sieve, candidates))).select("pattern"))
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: int = SUPPORT, seed_share: float = SEED_SHARE) -> DataFrame:
@@ -288,23 +338,38 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     those that patterns discovered, which overlap none of base, in the same order. Counts are of
     base spans. Positions are code points, ends exclusive. Null and empty texts have no spans; texts
     of any length are read whole; null or repeated ids give a row each; ids keep their type. Other
-    columns are ignored, whatever their names; an empty table gives an empty table.
+    columns are ignored, whatever their names; an empty table gives an empty table. ``rounds`` bounds
+    how often discoveries teach patterns, and the rounds of a scoring.
     """
     context = docs.sparkSession.sparkContext
     rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     kind_of_id = rows.schema["doc"].dataType.simpleString()
     counts = ", ".join(f"n_{k} long" for k in PERSONAL)
     parsed = materialize(map_text_groups(rows, "doc", "text", f"doc {kind_of_id}, {counts}, base array<{SPAN}>, seeds array<{SEED}>, text_key long", _parsed))
-    seeds, seeded = seed_counts(parsed.where("size(seeds) > 0"))
-    every = seeds.agg(F.count_distinct("instance")).first()[0]
-    seeded = materialize(seeded.where((F.col("seeds") >= support) & (F.col("seeds") * SEED_PARTS >= every)))
-    counted = map_text_groups(rows, "doc", "text", "pattern long, n long", _counted(context.broadcast(bitmap(seeded.withColumnRenamed("pattern", "hash")))), chars=1 << 20)
-    others = counted.groupBy("pattern").agg(F.sum("n").alias("n_other"))
-    active = materialize(seeded.join(others, "pattern", "left").where(F.col("n_seed") >= seed_share * (F.col("n_seed") + F.coalesce("n_other", F.lit(0)))).select("pattern"))
-    near = map_text_groups(rows, "doc", "text", f"doc {kind_of_id}, text_key long, near array<{OCCURRENCE}>", _occurrences(context.broadcast(bitmap(active.withColumnRenamed("pattern", "hash")))), chars=1 << 18)
-    seen = materialize(near.select("doc", "text_key", F.inline("near")).join(active, "pattern"))
-    edges = seen.select("pattern", "instance", F.lit(None).cast("string").alias("kind")).unionByName(seeds.join(active, "pattern").select("pattern", "instance", "kind"))
-    trusted = pattern_confidence(edges, rounds, confidence, support)
+    seeds = parsed.where("size(seeds) > 0").select("doc", "text_key", F.inline("seeds"))
+    known = materialize(seeds.select("doc", "text_key", "kind", "instance", F.lit(1).alias("seed"), F.explode("patterns").alias("pattern")))
+    labelled = known.select("pattern", "instance", "kind").distinct()
+    active = seen = trusted = looked_up = None
+    for i in range(rounds):
+        candidates = known_counts(known).where(F.col("instances") >= support)
+        candidates = materialize(candidates if active is None else candidates.join(active, "pattern", "left_anti"))
+        fresh = candidates.select("pattern") if candidates.isEmpty() else _active(rows, candidates, seed_share)
+        if i and fresh.isEmpty():
+            break
+        near = map_text_groups(rows, "doc", "text", f"doc {kind_of_id}, text_key long, near array<{OCCURRENCE}>", _occurrences(context.broadcast(bitmap(fresh.withColumnRenamed("pattern", "hash")))), chars=1 << 18)
+        found = materialize(near.select("doc", "text_key", F.inline("near")).join(fresh, "pattern"))
+        active, seen = (fresh, found) if active is None else (materialize(active.unionByName(fresh)), seen.unionByName(found))
+        edges = seen.select("pattern", "instance", F.lit(None).cast("string").alias("kind")).unionByName(labelled.join(active, "pattern").select("pattern", "instance", "kind"))
+        trusted = pattern_confidence(edges, rounds, confidence, support)
+        reached = seen.where("not plain").join(trusted, "pattern").groupBy("instance").agg(F.max_by("kind", F.struct("confidence", "kind")).alias("kind"))
+        reached = materialize(reached if looked_up is None else reached.join(looked_up, "instance", "left_anti"))
+        if i + 1 == rounds or reached.isEmpty():
+            break
+        looked_up = reached.select("instance") if looked_up is None else materialize(looked_up.unionByName(reached.select("instance")))
+        bits = context.broadcast(bitmap(reached.select("instance").mapInArrow(_instance_hashes, "hash long")))
+        sighted = map_text_groups(rows, "doc", "text", f"doc {kind_of_id}, text_key long, instance string, patterns array<long>", _sighted(bits)).join(reached, "instance")
+        more = sighted.select("doc", "text_key", "kind", "instance", F.lit(0).alias("seed"), F.explode("patterns").alias("pattern"))
+        known = materialize(known.unionByName(more))
     kinds = F.array(*map(F.lit, PERSONAL))
     hits = seen.where("not plain").join(trusted, "pattern").groupBy("doc", "text_key", "start", "end").agg(F.max_by("kind", F.struct("confidence", F.negative(F.array_position(kinds, F.col("kind"))))).alias("kind"))
     place = F.array_position(kinds, F.col("kind"))
