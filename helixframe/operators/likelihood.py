@@ -135,7 +135,6 @@ def nb_copy_states(coverage: DataFrame, mean: Column, size: Column, copies: int
 
 def path_cost(likelihoods: DataFrame) -> DataFrame:
     """(sample, cost): the decoder's cost alone, summed over a sample's chromosomes."""
-    from .hmm import decode
+    from .hmm import path_costs
 
-    by_chr = decode(likelihoods).groupBy("sample", "chr").agg(F.first("chr_cost").alias("chr_cost"))
-    return by_chr.groupBy("sample").agg(F.sum("chr_cost").alias("cost"))
+    return path_costs(likelihoods).groupBy("sample").agg(F.sum("chr_cost").alias("cost"))
