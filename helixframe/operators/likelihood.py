@@ -68,7 +68,22 @@ def _log_share(count: Column, share: Column) -> Column:
     return F.when(share.isNotNull(), F.when(count == 0, 0.0).when(share > 0, count * F.ln(share)).otherwise(NEVER))
 
 
-def snp_states(snps: DataFrame, load: float | str = 1.0) -> DataFrame:
+def homozygote_tails(sites: DataFrame) -> DataFrame:
+    """(alt_count, ref_count, hom): how well a homozygous site explains each distinct pair of counts."""
+    pairs = sites.select("alt_count", "ref_count").distinct()
+    tail = F.greatest(beta_cdf(0.1, F.col("alt_count"), F.col("ref_count")), beta_cdf(0.1, F.col("ref_count"), F.col("alt_count")))
+    return pairs.withColumn("hom", tail)
+
+
+def _shares(df: DataFrame, values: list[Column], name: str) -> DataFrame:
+    """Columns ``name``0, ...: values over their sum; unknown ones are 0. Plain columns, so Spark compiles them."""
+    n = range(len(values))
+    clean = df.withColumns({f"__v{i}": F.coalesce(F.when(F.isnan(v), 0.0).otherwise(v), F.lit(0.0)) for i, v in enumerate(values)})
+    total = clean.withColumn("__sum", sum((F.col(f"__v{i}") for i in n), F.lit(0.0)))
+    return total.withColumns({f"{name}{i}": F.coalesce(F.try_divide(f"__v{i}", "__sum"), F.lit(0.0)) for i in n}).drop("__sum", *[f"__v{i}" for i in n])
+
+
+def snp_states(snps: DataFrame, load: float | str = 1.0, tails: DataFrame | None = None) -> DataFrame:
     """``nll``: costs of the states for a SNP with alt_count, ref_count and the heterozygote share pop_het.
 
     Each genotype expects an alternative share; a state is as likely as its likeliest genotype, mixed
@@ -76,30 +91,37 @@ def snp_states(snps: DataFrame, load: float | str = 1.0) -> DataFrame:
     largest, so deep sites tell states apart. In a sample that is all tumour, the state without
     copies has no expectation and gets the share 1/K. ``load`` is the tumour's share or a column's
     name. Counts repeat far more often than not, so each distinct (load, alt_count, ref_count) is
-    scored once.
+    scored once; ``tails`` are those of ``homozygote_tails``, where they are known.
     """
     given = snps if isinstance(load, str) else snps.withColumn("__load", F.lit(float(load)))
     keys = [load if isinstance(load, str) else "__load", "alt_count", "ref_count"]
     tl, alt, ref = F.col(keys[0]), F.col("alt_count").cast("double"), F.col("ref_count").cast("double")
-    genotypes: dict[str, list] = {s: [] for s in STATES}
-    for state, copies, variant, weight in GENOTYPES:
-        expected = F.try_divide((1 - tl) + tl * variant, 2 * (1 - tl) + tl * copies)
-        genotypes[state].append(F.struct(expected.alias("e"), F.lit(math.log(weight)).alias("w")))
-    sites = F.array(*[F.array(*g) for g in genotypes.values()])
+    states = range(len(STATES))
+    tables = given.select(*keys).distinct()
+    expected = tables.withColumns({f"__e{g}": F.try_divide((1 - tl) + tl * variant, 2 * (1 - tl) + tl * copies) for g, (_, copies, variant, _) in enumerate(GENOTYPES)})
     # The binomial coefficient is the same for all genotypes and leaves with the normalisation.
-    scores = F.transform(sites, lambda g: F.array_max(F.transform(g, lambda x: x["w"] + _log_share(alt, x["e"]) + _log_share(ref, 1 - x["e"]))))
-    best = let(scores, lambda s: let(F.array_max(s), lambda top: F.transform(s, lambda x: F.exp(x - top))))
+    score = lambda g: math.log(GENOTYPES[g][3]) + _log_share(alt, F.col(f"__e{g}")) + _log_share(ref, 1 - F.col(f"__e{g}"))
+    of = [[g for g, row in enumerate(GENOTYPES) if row[0] == s] for s in STATES]
+    best = expected.withColumns({f"__s{i}": F.greatest(*map(score, own)) if len(own) > 1 else score(own[0]) for i, own in enumerate(of)})
+    top = best.withColumn("__top", F.greatest(*[f"__s{i}" for i in states]))
     floor = false_positive()
-    raised = F.zip_with(_normalised(best), scores, lambda x, s: F.when(s.isNotNull(), x + floor))
-    homozygous = F.greatest(beta_cdf(0.1, F.col("alt_count"), F.col("ref_count")), beta_cdf(0.1, F.col("ref_count"), F.col("alt_count")))
-    tables = given.select(*keys).distinct().withColumn("__known", scores).withColumn("__likely", _normalised(raised)).withColumn("__hom", homozygous)
-    tables = tables.withColumn("__likely", F.zip_with("__likely", "__known", lambda x, s: F.when(s.isNotNull(), x))).drop("__known")
-    met = given.join(tables, keys)
-    mixed = _normalised(F.transform("__likely", lambda x: F.col("pop_het") * x + (1 - F.col("pop_het")) * F.col("__hom")))
+    likely = _shares(top, [F.exp(F.col(f"__s{i}") - F.col("__top")) for i in states], "__q")
+    raised = _shares(likely, [F.when(F.col(f"__s{i}").isNotNull(), F.col(f"__q{i}") + floor) for i in states], "__r")
+    shown = raised.select(*keys, *[F.when(F.col(f"__s{i}").isNotNull(), F.col(f"__r{i}")).alias(f"__l{i}") for i in states])
+    known = homozygote_tails(tables) if tails is None else tails
+    scored = shown.join(known.withColumnRenamed("hom", "__hom"), ["alt_count", "ref_count"])
+    mixed = _shares(given.join(scored, keys), [F.col("pop_het") * F.col(f"__l{i}") + (1 - F.col("pop_het")) * F.col("__hom") for i in states], "__p")
+    k = len(STATES)
+    final = [F.when(tl == 1.0, F.lit(1 / k) if i == 0 else F.col(f"__p{i}") * (1 - 1 / k)).otherwise(F.col(f"__p{i}")) for i in states]
+    return mixed.withColumn("nll", F.array(*map(neg_log, final))).drop("__load", "__hom", *[f"__{c}{i}" for c in "lp" for i in states])
+
+
+def add_site_costs(covered: DataFrame, sites: DataFrame, by: tuple = ("sample", "chr", "start", "end")) -> DataFrame:
+    """``covered`` with the costs of each region's sites added to ``nll``: one sum for each state, made where the sites' rows are first."""
     k = len(STATES)
-    pure = let(mixed, lambda p: F.transform(p, lambda x, i: F.when(i == 0, F.lit(1 / k)).otherwise(x * (1 - 1 / k))))
-    final = F.when(tl == 1.0, pure).otherwise(mixed)
-    return met.withColumn("nll", F.transform(final, neg_log)).drop("__load", "__likely", "__hom")
+    sums = sites.groupBy(*by).agg(*[F.sum(F.get("nll", F.lit(i))).alias(f"__s{i}") for i in range(k)])
+    both = F.array(*[F.get("nll", F.lit(i)) + F.coalesce(f"__s{i}", F.lit(0.0)) for i in range(k)])
+    return covered.join(sums, list(by), "left").withColumn("nll", both).drop(*[f"__s{i}" for i in range(k)])
 
 
 def combine(*parts: DataFrame, by: tuple = ("sample", "chr", "start", "end")) -> DataFrame:

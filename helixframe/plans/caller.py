@@ -101,15 +101,13 @@ def sites_at_regions(sites: DataFrame, rows: DataFrame, config: CallerConfig) ->
     return sites.join(owned, ["chr", "pos"])
 
 
-def _costs(rows: DataFrame, sites: DataFrame | None, config: CallerConfig, states: tuple) -> DataFrame:
+def _costs(rows: DataFrame, sites: DataFrame | None, tails: DataFrame | None, config: CallerConfig, states: tuple) -> DataFrame:
     mean, spread = F.col("m"), F.col("v")
     score = likelihood.normal_coverage if config.library == "panel" else likelihood.nb_coverage
     covered = score(rows, mean, spread, F.col("load"), states)
     if sites is None:
         return covered
-    marked = likelihood.snp_states(sites, "load")
-    summed = likelihood.as_arrays(likelihood.combine(covered, marked, by=REGION), REGION)
-    return covered.drop("nll").join(summed, list(REGION))
+    return likelihood.add_site_costs(covered, likelihood.snp_states(sites, "load", tails), REGION)
 
 
 def call(
@@ -127,6 +125,8 @@ def call(
     prepared_rows = materialize(prepared(coverage, config, regions, gc, bands, cohort))
     rows = materialize(with_distribution(prepared_rows, config).where("type = 'call'"))
     spots = None if sites is None else materialize(sites_at_regions(sites, prepared_rows, config))
+    # What does not depend on the tumour's share is scored once for all rounds.
+    tails = None if sites is None else materialize(likelihood.homozygote_tails(spots))
     states = STATES if sites is not None else tuple(s for s in STATES if s != "LOH")
     samples = rows.select("sample").distinct()
     loads = samples.withColumn("load", F.lit(config.initial_load))
@@ -137,7 +137,7 @@ def call(
     for i in range(config.iterations):
         # One row for each sample; Spark broadcasts them by their size.
         known = None if spots is None else spots.join(loads, "sample")
-        decoded = materialize(hmm.decode(_costs(rows.join(loads, "sample"), known, config, states), states, config.isolate))
+        decoded = materialize(hmm.decode(_costs(rows.join(loads, "sample"), known, tails, config, states), states, config.isolate))
         if config.isolate:
             decoded, errors = hmm.without_failures(decoded)
             failed.append(errors)
