@@ -107,7 +107,8 @@ def hard_filters(v: DataFrame, least_af: float = 0.05, most_nm: float = 7.0) ->
     """
     amplicon = F.col("ampflag").isNotNull() if "ampflag" in v.columns else F.lit(False)
     flagged = F.col("ampflag").isin("", "0") == F.lit(False) if "ampflag" in v.columns else F.lit(False)
-    missed = F.col("gamp") < F.col("tamp") - F.col("ncamp") if "ampflag" in v.columns else F.lit(False)
+    amplicons = lambda c: F.col(c).cast("string").try_cast("long")
+    missed = amplicons("gamp") < amplicons("tamp") - amplicons("ncamp") if "ampflag" in v.columns else F.lit(False)
     weak = F.col("hicnt") * F.col("hiaf") < 0.5
     length = F.abs(F.length("ref") - F.length("alt"))
     ratio = F.col("oddratio")
@@ -167,24 +168,34 @@ SMALL_INFO = (
     ("MSILEN", "msilen"), ("NM", "nm"), ("HICNT", "hicnt"), ("HICOV", "hicov"), ("LSEQ", "lseq"), ("RSEQ", "rseq"),
 )
 AMPLICON_INFO = (("GDAMP", "gamp"), ("TLAMP", "tamp"), ("NCAMP", "ncamp"), ("AMPFLAG", "ampflag"))
+#: The same columns where there are no amplicons: duplication rate, and reads of genome editing.
+PLAIN_INFO = (("DUPRATE", "gamp"), ("CRISPR", "ncamp"))
+STRUCTURAL_INFO = ("SVTYPE", "SVLEN", "SPLITREAD", "SPANPAIR")
 
 
 def small_variant_header(least_af: float = 0.05, most_nm: float = 7.0, within: int = 1) -> list[str]:
     """Header lines of a VCF 4.1 file of small variants."""
-    fields = [(i, "1", "String", f"from {c}") for i, c in (("SAMPLE", "sample"), *SMALL_INFO, *AMPLICON_INFO)]
+    fields = [(i, "1", "String", f"from {c}") for i, c in (("SAMPLE", "sample"), *SMALL_INFO, *AMPLICON_INFO, *PLAIN_INFO, *((i, "alt, tamp") for i in STRUCTURAL_INFO))]
     form = [("GT", "1", "String", "Genotype"), *[(i, n, "Integer", d) for i, n, d in (("DP", "1", "Depth"), ("VD", "1", "Variant depth"), ("AD", ".", "Depth of each allele"))]]
     form += [("AF", "1", "Float", "Allele frequency"), ("RD", "2", "Integer", "Reference reads by strand"), ("ALD", "2", "Integer", "Variant reads by strand")]
     tags = ("d3", "v2", f"f{least_af:g}", "p8", "pSTD", "q22.5", "Q10", "SN1.5", f"NM{most_nm:g}", "MSI12", "Bias", "LongMSI", f"Cluster{within}bp", "AMPBIAS")
     return vcf_header(tuple(fields), tuple(form), "4.1", tuple((t, f"fails {t}") for t in tags))
 
 
-def small_variant_lines(v: DataFrame) -> DataFrame:
+def small_variant_lines(v: DataFrame, least_split: int = 1) -> DataFrame:
     """(value) VCF 4.1 data lines of small variants with filter, gt and qual_vcf.
 
     Columns that the table lacks or that are null give no INFO field; blanks in a sample's name become underscores.
+    Rows without an amplicon flag are not of amplicons: their tamp is "split reads-spanning pairs-cluster",
+    and an alternative in angle brackets, a structural one, needs ``least_split`` split reads to be written.
     """
     has = set(v.columns)
     text = lambda c: F.col(c).cast("string")
+    whole = ~F.col("ampflag").isNotNull() if "ampflag" in has else F.lit(True)
+    tamp = text("tamp") if "tamp" in has else F.lit(None).cast("string")
+    reads = lambda i: F.coalesce(F.when(tamp.contains("-"), F.get(F.split(tamp, "-"), F.lit(i)).try_cast("long")), F.lit(0).cast("long"))
+    structural = whole & F.col("alt").contains("<")
+    v = v.where(~F.coalesce(structural, F.lit(False)) | (reads(0) >= least_split))
 
     def value(source: str):
         parts = source.split(":")
@@ -200,6 +211,10 @@ def small_variant_lines(v: DataFrame) -> DataFrame:
         if shown is not None:
             shown = F.when(F.col("ampflag").isNotNull(), shown) if (name, source) in AMPLICON_INFO else shown
             info.append(F.concat(F.lit(f"{name}="), shown))
+    info += [F.when(whole, F.concat(F.lit(f"{name}="), text(source))) for name, source in PLAIN_INFO if source in has]
+    length = F.col("end") - F.col("start") + F.when(F.col("alt").contains("INV"), 1).otherwise(0)
+    info.append(F.when(structural, F.concat(F.lit("SVTYPE="), F.regexp_replace("alt", "[<>]", ""), F.lit(";SVLEN="), length.cast("string"))))
+    info.append(F.when(whole & tamp.isNotNull(), F.concat(F.lit("SPLITREAD="), reads(0).cast("string"), F.lit(";SPANPAIR="), reads(1).cast("string"))))
     rd, ald = F.concat_ws(",", text("rfwd"), text("rrev")), F.concat_ws(",", text("vfwd"), text("vrev"))
     ad = F.concat_ws(",", (F.col("rfwd") + F.col("rrev")).cast("string"), text("vd"))
     sample = F.concat_ws(":", "gt", text("dp"), text("vd"), ad, text("af"), rd, ald)

@@ -418,6 +418,16 @@ def small_variant_vcf(s, d):
     return variants.small_variant_lines(variants.hard_filters(_small(s, d)))
 
 
+@query
+def structural_variant_vcf(s, d):
+    """Records with structural alternatives among them, those without split reads left out."""
+    i, key, other = F.col("ampflag").isNull(), F.col("l_orderkey"), F.col("l_partkey")
+    alt = F.when(i & (key % 3 == 0), F.when(other % 2 == 0, "<DEL>").otherwise("<INV>")).otherwise(F.col("alt"))
+    reads = F.concat_ws("-", (F.col("l_suppkey") % 3).cast("string"), (other % 5).cast("string"), F.lit("1"))
+    found = variants.hard_filters(_small(s, d)).withColumn("alt", alt)
+    return variants.small_variant_lines(found.withColumn("tamp", F.when(i & (other % 7 != 0), reads).otherwise(F.col("tamp").cast("string"))))
+
+
 @query
 def every_variant_once(s, d):
     rows = _small(s, d)

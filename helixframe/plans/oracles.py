@@ -230,7 +230,7 @@ SQL = {
     "small_variant_vcf": _FILTERED + """ SELECT concat_ws(chr(9), chr, pos, '.', ref, alt, qual_vcf, filter,
       concat_ws(';', 'SAMPLE=s_' || l_suppkey % 10, 'TYPE=' || type, 'DP=' || dp, 'END=' || (pos + span), 'VD=' || vd, 'AF=' || af, 'BIAS=' || replace(bias, ';', ':'), 'REFBIAS=' || rfwd || ':' || rrev, 'VARBIAS=' || vfwd || ':' || vrev,
         'PMEAN=' || pmean, 'PSTD=' || pstd, 'QUAL=' || qual, 'SBF=' || sbf, 'ODDRATIO=' || odds0, 'MQ=' || mapq, 'SN=' || sn, 'HIAF=' || hiaf, 'MSI=' || msi, 'MSILEN=' || msilen, 'NM=' || nm, 'HICNT=' || hicnt,
-        CASE WHEN ampflag IS NOT NULL THEN 'GDAMP=' || gamp || ';TLAMP=' || tamp || ';NCAMP=' || ncamp || ';AMPFLAG=' || ampflag END),
+        CASE WHEN ampflag IS NOT NULL THEN 'GDAMP=' || gamp || ';TLAMP=' || tamp || ';NCAMP=' || ncamp || ';AMPFLAG=' || ampflag ELSE 'DUPRATE=' || gamp || ';CRISPR=' || ncamp || ';SPLITREAD=0;SPANPAIR=0' END),
       'GT:DP:VD:AD:AF:RD:ALD', concat_ws(':', gt, dp, vd, (rfwd + rrev) || ',' || vd, af, rfwd || ',' || rrev, vfwd || ',' || vrev)) AS value FROM called""",
     "every_variant_once": _SMALL + """ SELECT chr, pos AS start, pos + span AS "end", ref, alt, af, l_partkey, l_suppkey, l_linenumber FROM w
       QUALIFY row_number() OVER (PARTITION BY chr, pos, span, ref, alt ORDER BY af DESC, l_partkey, l_suppkey, l_linenumber, l_extendedprice) = 1""",
@@ -508,3 +508,8 @@ SQL["unified_caller_segments"] = """WITH every AS (
       marked AS (SELECT *, CASE WHEN lag(callers) OVER w = callers AND lag("end") OVER w = start - 1 THEN 0 ELSE 1 END AS fresh FROM held WINDOW w AS (PARTITION BY chr, svtype ORDER BY start)),
       pieces AS (SELECT *, sum(fresh) OVER (PARTITION BY chr, svtype ORDER BY start) AS piece FROM marked)
       SELECT chr, svtype, min(start) AS start, max("end") AS "end", callers, n::INT AS n_callers FROM pieces GROUP BY chr, svtype, piece, callers, n"""
+
+SQL["structural_variant_vcf"] = SQL["small_variant_vcf"].replace("alt, qual_vcf", "shown_alt, qual_vcf").replace("';SPLITREAD=0;SPANPAIR=0'", """CASE WHEN shown_alt LIKE '<%' THEN ';SVTYPE=' || replace(replace(shown_alt, '<', ''), '>', '') || ';SVLEN=' || (span + CASE WHEN shown_alt = '<INV>' THEN 1 ELSE 0 END) ELSE '' END
+          || ';SPLITREAD=' || split || ';SPANPAIR=' || pairs""").replace(" AS value FROM called", """ AS value FROM (
+      SELECT *, CASE WHEN ampflag IS NULL AND l_orderkey % 3 = 0 THEN CASE WHEN l_partkey % 2 = 0 THEN '<DEL>' ELSE '<INV>' END ELSE alt END AS shown_alt,
+             CASE WHEN l_partkey % 7 <> 0 THEN l_suppkey % 3 ELSE 0 END AS split, CASE WHEN l_partkey % 7 <> 0 THEN l_partkey % 5 ELSE 0 END AS pairs FROM called) WHERE shown_alt NOT LIKE '<%' OR split >= 1""")

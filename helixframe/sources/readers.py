@@ -163,12 +163,16 @@ VARIANT_COLUMNS = (
     "sample gene chr start end ref alt dp vd rfwd rrev vfwd vrev genotype af bias pmean pstd qual qstd sbf oddratio mapq sn hiaf adjaf "
     "shift3 msi msilen nm hicnt hicov lseq rseq seg type gamp tamp ncamp ampflag"
 ).split()
-_WHOLE = set("start end dp vd rfwd rrev vfwd vrev shift3 hicnt hicov gamp tamp ncamp".split())
-_TEXT = set("sample gene chr ref alt genotype bias lseq rseq seg type ampflag".split())
+_WHOLE = set("start end dp vd rfwd rrev vfwd vrev shift3 hicnt hicov".split())
+_TEXT = set("sample gene chr ref alt genotype bias lseq rseq seg type gamp tamp ncamp ampflag".split())
 
 
 def small_variants(spark: SparkSession, path) -> DataFrame:
-    """Rows of 36 to 40 columns; lines of the statistics package's warnings are skipped."""
+    """Rows of 36 to 40 columns; lines of the statistics package's warnings are skipped.
+
+    gamp, tamp and ncamp are text: counts of amplicons, or for whole genomes and exomes a duplication
+    rate, "split reads-spanning pairs-cluster" and reads of genome editing.
+    """
     c = F.split("value", "\t")
     rows = spark.read.text(path).where(~F.col("value").contains("R_HOME")).select(c.alias("c")).where(F.size("c") >= 36)
     kind = lambda n: "string" if n in _TEXT else "long" if n in _WHOLE else "double"
