@@ -76,18 +76,32 @@ def _fraction(value, least: float = 1e-300) -> float:
     return 1 / found if found else math.inf
 
 
-def beta_share(x: float, a: float, b: float) -> float:
-    """The regularised incomplete beta function I_x(a, b)."""
-    if x <= 0 or x >= 1:
-        return float(x >= 1)
+#: From here on logarithms of gamma functions are taken together, by Stirling's series, as their difference is far smaller than they are.
+LARGE = 1e5
+
+
+def _log_gamma_ratio(a: float, b: float) -> float:
+    """ln(gamma(a + b) / gamma(b))."""
+    if b < LARGE:
+        return math.lgamma(a + b) - math.lgamma(b)
+    return (b - 0.5) * math.log1p(a / b) + a * math.log(a + b) - a + 1 / (12 * (a + b)) - 1 / (12 * b)
+
+
+def beta_share(x: float, a: float, b: float, y: float | None = None) -> float:
+    """The regularised incomplete beta function I_x(a, b); ``y`` is 1 - x, where it is known more closely."""
+    y = 1 - x if y is None else y
+    if x <= 0 or y <= 0:
+        return float(y <= 0)
     if x > (a + 1) / (a + b + 2):
-        return 1 - beta_share(1 - x, b, a)
+        return 1 - beta_share(y, b, a, x)
 
     def value(j: int) -> float:
         m = j // 2
         return m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)) if j % 2 == 0 else -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
 
-    front = math.exp(a * math.log(x) + b * math.log1p(-x) + math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)) / a
+    log_x, log_y = (math.log(v) if v < 0.5 else math.log1p(-w) for v, w in ((x, y), (y, x)))
+    small, large = min(a, b), max(a, b)
+    front = math.exp(a * log_x + b * log_y + _log_gamma_ratio(small, large) - math.lgamma(small)) / a
     return min(1.0, front * _fraction(value))
 
 
@@ -95,7 +109,8 @@ def gamma_rest(a: float, x: float) -> float:
     """The regularised upper incomplete gamma function Q(a, x)."""
     if x <= 0:
         return 1.0
-    front = math.exp(a * math.log(x) - x - math.lgamma(a))
+    off = (x - a) / a
+    front = math.exp(a * math.log(x) - x - math.lgamma(a) if a < LARGE else a * (math.log1p(off) - off) + 0.5 * math.log(a / (2 * math.pi)) - 1 / (12 * a))
     if x < a + 1:
         term = total = 1 / a
         k = a
@@ -121,7 +136,7 @@ def nb_share(k: int, size: float, mean: float) -> float:
         return 0.0
     if mean <= 0:
         return 1.0
-    return gamma_rest(k + 1, mean) if math.isinf(size) else beta_share(size / (size + mean), size, k + 1)
+    return gamma_rest(k + 1, mean) if math.isinf(size) else beta_share(size / (size + mean), size, k + 1, mean / (size + mean))
 
 
 def nb_quantile(p: float, size: float, mean: float) -> int:
