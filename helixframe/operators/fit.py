@@ -6,8 +6,10 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 #: Distinct whole numbers that a histogram has at most; a wider range is counted in equal steps.
@@ -197,14 +199,70 @@ def outlier_regions(coverage: DataFrame, column: str, p: float, rounds: int = 2)
     return rows.withColumn("outlier", ~((F.col("__median") > low) & (F.col("__median") < high))).drop("__median")
 
 
-def weighted_nb_fit(rows: DataFrame) -> DataFrame:
-    """(chr, start, size, mean) of each region's counts (cov) with weights (weight), one region in a task at a time."""
+#: Counts of whole regions that are fitted together.
+FIT_ROWS = 1 << 17
+
+
+def fit_nb_groups(values: np.ndarray, n: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sizes, means) of ``fit_nb`` of each group (0, 1, ...): the sizes of all groups are bracketed and halved together."""
+    total = np.bincount(group, n)
+    mean = np.bincount(group, values * n) / total
+    variance = np.bincount(group, n * (values - mean[group]) ** 2) / total
+    size = np.full(len(total), np.inf)
+    going = np.flatnonzero((variance > mean) & (mean > 0))
+    if not len(going):
+        return size, mean
+    place = np.full(len(total), -1)
+    place[going] = np.arange(len(going))
+    kept = place[group] >= 0
+    values, n, group, level, total = values[kept], n[kept], place[group][kept], mean[going], total[going]
+    low, high = np.full(len(going), -12.0), np.full(len(going), 20.0)
+    for _ in range(60):  # 32 halved so often is beyond a double's digits
+        middle = (low + high) / 2
+        r = np.exp(middle)
+        slope = np.bincount(group, n * _digamma(values + r[group])) + total * (np.log(r / (r + level)) - _digamma(r))
+        low, high = np.where(slope > 0, middle, low), np.where(slope > 0, high, middle)
+    size[going] = np.exp((low + high) / 2)
+    return size, mean
+
 
-    def run(region: pd.DataFrame) -> pd.DataFrame:
-        size, mean = fit_nb(region["cov"].to_numpy(float), region["weight"].to_numpy(float))
-        return pd.DataFrame({"chr": region["chr"].iloc[:1], "start": region["start"].iloc[:1], "size": [size], "mean": [mean]})
+def weighted_nb_fit(rows: DataFrame, by: tuple = ("chr", "start")) -> DataFrame:
+    """(``by``, size, mean) of each region's counts (cov) with weights (weight).
+
+    A task reads its regions in order and fits as many whole ones together as FIT_ROWS counts hold.
+    """
+    named = rows.select(*by, F.col("cov").cast("double").alias("cov"), F.col("weight").cast("double").alias("weight"))
 
-    return rows.groupBy("chr", "start").applyInPandas(run, "chr string, start long, size double, mean double")
+    def fitted(table: pa.Table, first: np.ndarray) -> pa.RecordBatch:
+        group = np.zeros(table.num_rows, np.int64)
+        group[first[1:]] = 1
+        size, mean = fit_nb_groups(*(table.column(c).to_numpy() for c in ("cov", "weight")), np.cumsum(group))
+        keys = table.select(list(by)).take(pa.array(first))
+        return pa.RecordBatch.from_arrays([*(keys.column(c).combine_chunks() for c in by), pa.array(size), pa.array(mean)], names=[*by, "size", "mean"])
+
+    def begins(table: pa.Table) -> np.ndarray:
+        keys = list(zip(*(table.column(c).to_pylist() for c in by)))
+        return np.array([i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]], np.int64)
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n < FIT_ROWS:
+                continue
+            table = pa.Table.from_batches(held)
+            first = begins(table)
+            if len(first) > 1:  # the last region may go on
+                yield fitted(table.slice(0, int(first[-1])), first[:-1])
+                table = table.slice(int(first[-1]))
+            held, n = table.to_batches(), table.num_rows
+        if n:
+            table = pa.Table.from_batches(held)
+            yield fitted(table, begins(table))
+
+    schema = StructType([*[named.schema[c] for c in by], StructField("size", DoubleType()), StructField("mean", DoubleType())])
+    return named.where("cov is not null and weight > 0").repartition(*by).sortWithinPartitions(*by).mapInArrow(run, schema)
 
 
 def mixture(x: np.ndarray, most: int = 6, seed: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

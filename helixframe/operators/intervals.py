@@ -70,18 +70,32 @@ def region_depth(reads: DataFrame, regions: DataFrame, width: int = 100_000) ->
     return grid.join(counted, ["sample", "chr", "start", "end"], "left").select("sample", "chr", "start", "end", F.coalesce("n_reads", F.lit(0).cast("long")).alias("n_reads"))
 
 
+#: Each level of cuts is so many times as wide as the one below; the widest cut holds a whole chromosome.
+LEVEL_FACTOR, WIDEST = 8, 1 << 32
+
+
+#: The same for points, which are looked up at every level.
+POINT_FACTOR = 64
+
+
 def points_in_regions(points: DataFrame, regions: DataFrame, width: int, pos: str = "pos") -> DataFrame:
     """Inner join of (chr, pos) with the (chr, start, end) that hold it, ends included.
 
-    Regions are cut at multiples of ``width`` and joined on (chr, cut), which plans as an equi-join.
+    A region lies in one or two cuts of the narrowest level that holds its length, whatever that is
+    (``width`` is the narrowest cut), and a point in one cut of every level: an equi-join on chromosome,
+    level and cut.
     """
-    cut = regions.withColumn("__cut", F.explode(F.sequence(F.expr(f"start div {width}"), F.expr(f"end div {width}"))))
-    placed = points.withColumn("__cut", F.expr(f"{pos} div {width}"))
-    return placed.join(cut, ["chr", "__cut"]).where((F.col(pos) >= F.col("start")) & (F.col(pos) <= F.col("end"))).drop("__cut")
-
-
-#: Each level of cuts is so many times as wide as the one below; the widest cut holds a whole chromosome.
-LEVEL_FACTOR, WIDEST = 8, 1 << 32
+    widths = [width]
+    while widths[-1] < WIDEST:
+        widths.append(widths[-1] * POINT_FACTOR)
+    cut = lambda x, w: F.floor(F.col(x) / w).cast("long")
+    at = lambda level, x, w: F.struct(F.lit(level).alias("__at"), cut(x, w).alias("__cut"))
+    own = F.array_distinct(F.array(at(len(widths) - 1, "start", widths[-1]), at(len(widths) - 1, "end", widths[-1])))
+    for i in reversed(range(len(widths) - 1)):
+        own = F.when(F.col("end") - F.col("start") < widths[i], F.array_distinct(F.array(at(i, "start", widths[i]), at(i, "end", widths[i])))).otherwise(own)
+    placed = points.select("*", F.inline(F.array(*[at(i, pos, w) for i, w in enumerate(widths)])))
+    met = placed.join(regions.select("*", F.inline(own)), ["chr", "__at", "__cut"])
+    return met.where((F.col(pos) >= F.col("start")) & (F.col(pos) <= F.col("end"))).drop("__at", "__cut")
 
 
 def _cuts(rows: DataFrame, prefix: str, width: int) -> DataFrame:

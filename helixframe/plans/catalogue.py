@@ -206,6 +206,14 @@ def similarity_weights(s, d):
     return fit.similarity_weights(rows, r).select("target", "sample", "chr", "start", F.col("weight").cast("long").alias("weight"), "n")
 
 
+@query
+def similar_samples_fit(s, d):
+    """The likeliest negative binomial of each target and region, over samples weighted by their similarity."""
+    rows = _plain(s, d)
+    r = normalize.sample_correlation(rows).withColumn("r", 0.5 + F.col("r") / 2)
+    return rounded(fit.weighted_nb_fit(fit.similarity_weights(rows, r), ("target", "chr", "start")), "size", "mean", digits=4)
+
+
 @query
 def weighted_mean_sd(s, d):
     rows = _plain(s, d)

@@ -58,3 +58,57 @@ def test_two_thousand_samples_take_seconds():
     for g in np.unique(found):
         own = np.flatnonzero(found == g)
         assert far[np.ix_(own, own)].max() <= 1.0
+
+
+def test_fits_of_all_regions_at_once(spark, monkeypatch):
+    """Every region's fit is that of its own counts, however many are taken together."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for k in range(40):
+        size, mean = rng.uniform(0.5, 40), rng.uniform(1, 300)
+        x = rng.negative_binomial(size, size / (size + mean), rng.integers(1, 60)) if k % 5 else np.full(4, 7)
+        rows += [(f"c{k % 3}", k * 10, float(v), float(rng.integers(0, 50))) for v in x]
+    df = spark.createDataFrame(rows, "chr string, start long, cov double, weight double")
+    want = {}
+    for key in {r[:2] for r in rows}:
+        own = np.array([r[2:] for r in rows if r[:2] == key and r[3] > 0])
+        if len(own):
+            want[key] = fit.fit_nb(own[:, 0], own[:, 1])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
+    try:
+        for most in (1, 100, 1 << 17):
+            monkeypatch.setattr(fit, "FIT_ROWS", most)
+            got = {(r["chr"], r["start"]): (r["size"], r["mean"]) for r in fit.weighted_nb_fit(df).collect()}
+            assert set(got) == set(want)
+            for key, (size, mean) in want.items():
+                assert got[key] == (pytest.approx(size, rel=1e-9), pytest.approx(mean, rel=1e-12))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_registered_fit_of_similar_samples(spark):
+    from helixframe.operators import normalize
+    from helixframe.plans import catalogue
+
+    folder = "/root/testdata/sf0.001"
+    rows = catalogue._plain(spark, folder)
+    weighted = fit.similarity_weights(rows, normalize.sample_correlation(rows).selectExpr("a", "b", "0.5 + r / 2 AS r"))
+    own = {}
+    for r in weighted.select("target", "chr", "start", "cov", "weight").collect():
+        own.setdefault((r["target"], r["chr"], r["start"]), []).append((r["cov"], float(r["weight"])))
+    got = {(r["target"], r["chr"], r["start"]): (r["size"], r["mean"]) for r in catalogue.queries()["similar_samples_fit"](spark, folder).collect()}
+    assert set(got) == set(own) and got
+    for key, counts in own.items():
+        x = np.array(counts)
+        size, mean = fit.fit_nb(x[:, 0], x[:, 1])
+        assert got[key] == (pytest.approx(size, abs=1e-4, rel=1e-6), pytest.approx(mean, abs=1e-4))
+
+
+def test_points_in_long_regions_are_few_rows(spark):
+    from helixframe.operators import intervals
+
+    rng = np.random.default_rng(3)
+    regions = [(f"c{k % 2}", a := int(rng.integers(0, 4_000_000)), a + int(10 ** rng.uniform(0, 9)), k) for k in range(200)]
+    points = [(k, f"c{k % 2}", int(10 ** rng.uniform(0, 9))) for k in range(300)]
+    met = intervals.points_in_regions(spark.createDataFrame(points, "site long, chr string, pos long"), spark.createDataFrame(regions, "chr string, start long, end long, id long"), 100)
+    assert sorted((r["site"], r["id"]) for r in met.collect()) == sorted((s, k) for s, c, p in points for d, a, b, k in regions if c == d and a <= p <= b)
