@@ -17,15 +17,17 @@ MOST_VALUES = 1 << 17
 
 
 def histogram(counts: DataFrame, column: str, most: int = MOST_VALUES) -> DataFrame:
-    """(value, n): how often each whole number occurs, at most ``most`` of them.
+    """(value, n, part): how often each whole number occurs, at most ``most`` of them, and how often as part of a number above it.
 
-    Where the range is wider, numbers are counted in steps, and a step's value is its mean.
+    Numbers are cut off to whole ones. Where the range is wider, they are counted in steps, and a
+    step's value is its mean.
     """
-    whole = counts.where(F.col(column).isNotNull()).select(F.col(column).cast("long").alias("value"))
+    known = counts.where(F.col(column).isNotNull())
+    whole = known.select(F.col(column).cast("long").alias("value"), (F.col(column) > F.col(column).cast("long")).cast("long").alias("part"))
     ends = whole.agg(F.min("value").alias("low"), F.max("value").alias("high")).first()
     step = 1 if ends["low"] is None else -(-(ends["high"] - ends["low"] + 1) // most)
     grouped = whole.groupBy(F.floor(F.col("value") / step).alias("at"))
-    return grouped.agg(F.round(F.avg("value")).cast("long").alias("value"), F.count("*").alias("n")).drop("at")
+    return grouped.agg(F.round(F.avg("value")).cast("long").alias("value"), F.count("*").alias("n"), F.sum("part").alias("part")).drop("at")
 
 
 def _digamma(x: np.ndarray) -> np.ndarray:
@@ -152,28 +154,30 @@ def nb_quantile(p: float, size: float, mean: float) -> int:
     return high
 
 
-def _columns(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """A histogram's values and counts; its rows are bounded (MOST_VALUES)."""
+def _columns(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A histogram's values, counts and counts of parts; its rows are bounded (MOST_VALUES)."""
     found = rows.toPandas().sort_values("value")
-    return found["value"].to_numpy(float), found["n"].to_numpy(float)
+    return tuple(found[c].to_numpy(float) for c in ("value", "n", "part"))
 
 
 def trimmed_fit(counts: DataFrame, column: str, p: float = 0.1, rounds: int = 6) -> tuple[float, float, int]:
-    """(size, mean, rows used): the fit repeated without values outside the p and 1 - p quantiles, ends out.
+    """(size, mean, rows used): the fit repeated without numbers outside the p and 1 - p quantiles, ends out.
 
-    One aggregate over the data; the rounds work on its histogram of whole numbers. Without counts
+    What is compared is the number itself, what is fitted its whole part. One aggregate over the data; the rounds work on its histogram of whole numbers. Without counts
     all is unknown (NaN, NaN, 0).
     """
-    values, n = _columns(histogram(counts, column))
+    values, n, part = _columns(histogram(counts, column))
     if not len(values):
         return math.nan, math.nan, 0
     for _ in range(rounds):
         size, mean = fit_nb(values, n)
         low, high = nb_quantile(p, size, mean), nb_quantile(1 - p, size, mean)
-        keep = (values > low) & (values < high)
+        # Of the numbers with the lower end as their whole part, those above it are inside.
+        inside = np.where(values == low, part, n)
+        keep = (values >= low) & (values < high) & (inside > 0)
         if not keep.any():
             break
-        values, n = values[keep], n[keep]
+        values, n, part = values[keep], inside[keep], part[keep]
     size, mean = fit_nb(values, n)
     return size, mean, int(n.sum())
 
@@ -191,7 +195,7 @@ def outlier_regions(coverage: DataFrame, column: str, p: float, rounds: int = 2)
     rows = coverage.join(medians, keys)
     low, high = -math.inf, math.inf
     for _ in range(rounds):
-        values, n = _columns(histogram(rows.where((F.col("__median") > low) & (F.col("__median") < high)), column))
+        values, n, _ = _columns(histogram(rows.where((F.col("__median") > low) & (F.col("__median") < high)), column))
         if not len(values):
             break
         size, mean = fit_nb(values, n)

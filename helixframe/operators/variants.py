@@ -100,6 +100,12 @@ def vcf_info(line: Column) -> Column:
     return F.str_to_map(F.split_part(line, F.lit("\t"), F.lit(8)), F.lit(";"), F.lit("="))
 
 
+def keep_annotated(v: DataFrame, info: str = "info", least_depth: int = 50, least_af: float = 0.001) -> DataFrame:
+    """Variants whose INFO map has a DP above ``least_depth`` and a MAX_AF of ``least_af`` or more; without either a variant goes."""
+    number = lambda key: F.get(F.array(F.col(info)[key]), F.lit(0)).try_cast("double")
+    return v.where((number("DP") > least_depth) & (number("MAX_AF") >= least_af))
+
+
 def hard_filters(v: DataFrame, least_af: float = 0.05, most_nm: float = 7.0) -> DataFrame:
     """``filter``: tags of the hard filters that a small variant fails, joined by ;, PASS if none; with gt and qual_vcf.
 

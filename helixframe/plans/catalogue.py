@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixframe.functions.genome import logistic
-from helixframe.functions.model import STATES, transition_costs, transitions
+from helixframe.functions.model import DISTANCE, DISTANCE_SCALE, STATES, prior, transitions
 from helixframe.operators import cohort, fit, hmm, intervals, likelihood, normalize, segments, variants
 from helixframe.plans import oracles, views
 from helixframe.plans.caller import CallerConfig, call
@@ -460,8 +460,15 @@ def cluster_filter(s, d):
 def annotation_filter(s, d):
     info = F.concat(F.lit("DP="), F.col("l_quantity").cast("int").cast("string"), F.lit(";MAX_AF="), F.col("l_discount").cast("string"))
     rows = views.table(s, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", F.str_to_map(info, F.lit(";"), F.lit("=")).alias("info"))
-    kept = rows.where((F.col("info")["DP"].cast("int") > 40) & (F.col("info")["MAX_AF"].cast("double") >= 0.05))
-    return kept.select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice")
+    return variants.keep_annotated(rows, least_depth=40, least_af=0.05).select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice")
+
+
+@query
+def annotation_filter_defaults(s, d):
+    """The same with the thresholds that are the default."""
+    info = F.concat(F.lit("DP="), (F.col("l_quantity") * 2).cast("int").cast("string"), F.lit(";MAX_AF="), (F.col("l_discount") / 50).cast("string"))
+    rows = views.table(s, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", F.str_to_map(info, F.lit(";"), F.lit("=")).alias("info"))
+    return variants.keep_annotated(rows).select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
 @query
@@ -511,9 +518,13 @@ def genotype_class_posterior(s, d):
 
 @query
 def transition_cost_table(s, d):
-    m, near = transitions(), transition_costs(60_000.0)
-    rows = [(a, b, float(m[i, j]), float(near[i, j])) for i, a in enumerate(STATES) for j, b in enumerate(STATES)]
-    return rounded(s.createDataFrame(rows, "source string, target string, p double, cost double"), "p", "cost")
+    """What each change of state costs over each distance between neighbouring regions of the panel."""
+    m, p = transitions(), prior()
+    states = [F.struct(F.lit(a).alias("source"), F.lit(b).alias("target"), F.lit(float(m[i, j])).alias("p"), F.lit(float(p[j])).alias("prior")) for i, a in enumerate(STATES) for j, b in enumerate(STATES)]
+    far = intervals.distances(views.panel(s, d)).where("dist is not null").select("dist").distinct()
+    t = 1 - logistic(F.col("dist").cast("double"), DISTANCE, DISTANCE_SCALE)
+    costs = far.select("dist", t.alias("t"), F.inline(F.array(*states))).withColumn("cost", -F.ln(F.col("t") * F.col("p") + (1 - F.col("t")) * F.col("prior")))
+    return rounded(costs.select("dist", "source", "target", "p", "cost"), "p", "cost")
 
 
 @query

@@ -263,8 +263,9 @@ SQL = {
       SELECT sample, site, round(alt_count / nullif(cov, 0)::DOUBLE, 6) AS vaf, round(hom, 6) AS hom_prob, round(p - 2 * het * 0.005::DOUBLE / 3, 6) AS het_prob, round(tri, 6) AS tri_prob, round(4 * het * 0.005::DOUBLE / 3, 6) AS quad_prob FROM g JOIN h USING (sample, site)""",
     "transition_cost_table": f"""WITH w(i, s, w) AS (VALUES {_W}), p AS (SELECT i, s, w / (SELECT sum(w) FROM w) AS p FROM w), top AS (SELECT max(p) AS top FROM p),
       raw AS (SELECT f.s AS source, t.s AS target, t.p AS prior, CASE WHEN f.s = '2' THEN t.p WHEN f.s = t.s THEN top WHEN t.s = '2' THEN 1 / 7.0::DOUBLE ELSE t.p END AS m FROM p f, p t, top),
-      normed AS (SELECT source, target, prior, m / sum(m) OVER (PARTITION BY source) AS p FROM raw), near AS (SELECT 1 - 1 / (1 + exp(-(60000.0::DOUBLE - 50000) / 10000)) AS t)
-      SELECT source, target, round(p, 6) AS p, round(-ln(t * p + (1 - t) * prior), 6) AS cost FROM normed, near""",
+      normed AS (SELECT source, target, prior, m / sum(m) OVER (PARTITION BY source) AS p FROM raw), near AS (SELECT DISTINCT dist, 1 - 1 / (1 + exp(-(dist::DOUBLE - 50000) / 10000)) AS t FROM (
+        SELECT p_partkey * 1000 - lag(p_partkey * 1000 + p_size * 100) OVER (PARTITION BY p_brand ORDER BY p_partkey * 1000, p_partkey * 1000 + p_size * 100) AS dist FROM part) WHERE dist IS NOT NULL)
+      SELECT dist, source, target, round(p, 6) AS p, round(-ln(t * p + (1 - t) * prior), 6) AS cost FROM normed, near""",
     "axis_percentile": _PURE + " SELECT contig, round(greatest(0.1, list_extract(list_sort(list(abs(cn - 2))), (1 + floor(count(*) * 0.99::DOUBLE))::INT)), 6) AS axis_limit FROM seg GROUP BY contig",
 }
 SQL["evidence_sum"] = (
@@ -513,3 +514,5 @@ SQL["structural_variant_vcf"] = SQL["small_variant_vcf"].replace("alt, qual_vcf"
           || ';SPLITREAD=' || split || ';SPANPAIR=' || pairs""").replace(" AS value FROM called", """ AS value FROM (
       SELECT *, CASE WHEN ampflag IS NULL AND l_orderkey % 3 = 0 THEN CASE WHEN l_partkey % 2 = 0 THEN '<DEL>' ELSE '<INV>' END ELSE alt END AS shown_alt,
              CASE WHEN l_partkey % 7 <> 0 THEN l_suppkey % 3 ELSE 0 END AS split, CASE WHEN l_partkey % 7 <> 0 THEN l_partkey % 5 ELSE 0 END AS pairs FROM called) WHERE shown_alt NOT LIKE '<%' OR split >= 1""")
+
+SQL["annotation_filter_defaults"] = "SELECT l_orderkey, l_partkey, l_suppkey, l_extendedprice FROM lineitem WHERE (l_quantity * 2)::INT > 50 AND l_discount / 50 >= 0.001"

@@ -112,3 +112,19 @@ def test_points_in_long_regions_are_few_rows(spark):
     points = [(k, f"c{k % 2}", int(10 ** rng.uniform(0, 9))) for k in range(300)]
     met = intervals.points_in_regions(spark.createDataFrame(points, "site long, chr string, pos long"), spark.createDataFrame(regions, "chr string, start long, end long, id long"), 100)
     assert sorted((r["site"], r["id"]) for r in met.collect()) == sorted((s, k) for s, c, p in points for d, a, b, k in regions if c == d and a <= p <= b)
+
+
+def test_trimming_compares_the_number_itself(spark):
+    """5.7 is inside a limit of 5, 5 is not, though both are counted as 5."""
+    found = {r["value"]: (r["n"], r["part"]) for r in fit.histogram(spark.createDataFrame([(5.7,), (5.0,), (5.2,), (7.0,), (None,)], "c double"), "c").collect()}
+    assert found == {5: (3, 2), 7: (1, 0)}
+    rng = np.random.default_rng(6)
+    x = rng.gamma(20, 5, 800).round(1)
+    inside = x
+    for _ in range(6):
+        size, mean = fit.fit_nb(*np.unique(np.floor(inside), return_counts=True))
+        low, high = fit.nb_quantile(0.1, size, mean), fit.nb_quantile(0.9, size, mean)
+        inside = inside[(inside > low) & (inside < high)]
+    want = fit.fit_nb(*np.unique(np.floor(inside), return_counts=True))
+    got = fit.trimmed_fit(spark.createDataFrame([(float(v),) for v in x], "c double"), "c")
+    assert got == (pytest.approx(want[0], rel=1e-9), pytest.approx(want[1]), len(inside))
