@@ -36,7 +36,7 @@ def tables(spark, tmp_path_factory):
     return str(folder), {i: r[1] or "" for i, r in rows.items()}, con
 
 
-@pytest.mark.parametrize("name", ["op1_line_dedup", "op2_source_mix", "op10_superminhash"])
+@pytest.mark.parametrize("name", ["op1_line_dedup", "op2_source_mix", "op10_superminhash", "op11_merkle_manifest", "op12_phrase_collocations"])
 def test_query_matches_sql(spark, tables, name):
     folder, _, con = tables
     found = queries.queries()[name](spark, folder)
