@@ -269,47 +269,63 @@ def weighted_nb_fit(rows: DataFrame, by: tuple = ("chr", "start")) -> DataFrame:
     return named.where("cov is not null and weight > 0").repartition(*by).sortWithinPartitions(*by).mapInArrow(run, schema)
 
 
-def mixture(x: np.ndarray, most: int = 6, seed: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(weights, means, sds) of the Gaussian mixture with the best Bayesian information criterion."""
-    best = None
-    for k in range(1, min(most, max(1, len(x) // 4)) + 1):
-        mean = np.quantile(x, (np.arange(k) + 0.5) / k)
-        sd, weight = np.full(k, max(x.std() / k, 1e-6)), np.full(k, 1 / k)
-        log_like = -np.inf
-        for _ in range(200):
-            log_p = np.log(weight) - np.log(sd) - 0.5 * ((x[:, None] - mean) / sd) ** 2 - 0.5 * np.log(2 * np.pi)
-            top = log_p.max(1, keepdims=True)
-            sums = top[:, 0] + np.log(np.exp(log_p - top).sum(1))
-            share = np.exp(log_p - sums[:, None])
-            size = share.sum(0) + 1e-9
-            mean = (share * x[:, None]).sum(0) / size
-            sd = np.maximum(np.sqrt((share * (x[:, None] - mean) ** 2).sum(0) / size), 1e-3 * (x.std() + 1e-9))
-            weight = size / size.sum()
-            if sums.sum() - log_like < 1e-6 * abs(sums.sum()):
-                break
-            log_like = sums.sum()
-        bic = -2 * sums.sum() + (3 * k - 1) * np.log(len(x))
-        if best is None or bic < best[0]:
-            best = bic, weight, mean, sd
+def mixture(x: np.ndarray, n: np.ndarray | None = None, most: int = 6) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(weights, means, sds) of the Gaussian mixture of values ``x`` that occur ``n`` times with the best Bayesian information criterion.
+
+    Each number of parts is tried with a deviation for each part and with one for all.
+    """
+    order = np.argsort(x, kind="stable")
+    x, n = x[order], (np.ones(len(x)) if n is None else np.asarray(n, float)[order])
+    total, until, best = n.sum(), np.cumsum(n), None
+    centre = (x * n).sum() / total
+    overall = math.sqrt((n * (x - centre) ** 2).sum() / total)
+    for k in range(1, min(most, max(1, int(total) // 4), len(x)) + 1):
+        for equal in (False, True) if k > 1 else (False,):
+            mean = x[np.minimum(np.searchsorted(until, total * (np.arange(k) + 0.5) / k), len(x) - 1)]
+            sd, weight = np.full(k, max(overall / k, 1e-6)), np.full(k, 1 / k)
+            log_like = -np.inf
+            for _ in range(200):
+                log_p = np.log(weight) - np.log(sd) - 0.5 * ((x[:, None] - mean) / sd) ** 2 - 0.5 * np.log(2 * np.pi)
+                top = log_p.max(1, keepdims=True)
+                sums = top[:, 0] + np.log(np.exp(log_p - top).sum(1))
+                share = np.exp(log_p - sums[:, None]) * n[:, None]
+                size = share.sum(0) + 1e-9
+                mean = (share * x[:, None]).sum(0) / size
+                off = (share * (x[:, None] - mean) ** 2).sum(0)
+                sd = np.maximum(np.sqrt(np.full(k, off.sum() / total) if equal else off / size), 1e-3 * (overall + 1e-9))
+                weight = size / size.sum()
+                now = float((n * sums).sum())
+                if now - log_like < 1e-6 * abs(now):
+                    break
+                log_like = now
+            bic = -2 * now + (2 * k if equal else 3 * k - 1) * math.log(total)
+            if best is None or bic < best[0]:
+                best = bic, weight, mean, sd
     return best[1:]
 
 
+#: Steps between a sample's least and largest coverage in which it is counted for the mixture.
+MIXTURE_STEPS = 4096
+
+
 def purity_prior(coverage: DataFrame) -> DataFrame:
     """(sample, purity, score) from the peaks of a sample's coverage.
 
-    The mode of a 200-bin histogram between half and twice the mean is the normal level n; purities
-    TL from 0.02 to 1 are scored by each peak's distance to the levels TL * {1/2, 1, 3/2} * n + (1 - TL) * n.
-    Peaks count between 1/4 and 7/4 n if their weight is within a deviation of the mean weight; a
-    sample without such peaks has no estimate.
+    Coverage is counted in MIXTURE_STEPS steps of its range, each with the mean of its values, so a
+    sample is a few rows however many regions it has. The mode of a 200-bin histogram between half and
+    twice the mean is the normal level n; purities TL from 0.02 to 1 are scored by each peak's distance
+    to the levels TL * {1/2, 1, 3/2} * n + (1 - TL) * n. Peaks of the mixture count between 1/4 and 7/4 n
+    if their weight is within a deviation of the mean weight; a sample without such peaks has no estimate.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        x = rows["cov"].to_numpy(float)
-        mean = x.mean()
-        inside = x[(x > mean / 2) & (x < 2 * mean)]
-        count, edge = np.histogram(inside if len(inside) else x, 200)
+        x, n = rows["x"].to_numpy(float), rows["n"].to_numpy(float)
+        mean = (x * n).sum() / n.sum()
+        inside = (x > mean / 2) & (x < 2 * mean)
+        inside = inside if inside.any() else np.ones(len(x), bool)
+        count, edge = np.histogram(x[inside], 200, weights=n[inside])
         normal = (edge[count.argmax()] + edge[count.argmax() + 1]) / 2
-        weight, peak, _ = mixture(x)
+        weight, peak, _ = mixture(x, n)
         spread = weight.std(ddof=1) if len(weight) > 1 else np.nan
         usual = np.abs(weight - weight.mean()) < spread
         peak = peak[(peak > 0.25 * normal) & (peak < 1.75 * normal) & usual]
@@ -319,7 +335,11 @@ def purity_prior(coverage: DataFrame) -> DataFrame:
         at = int(score.argmin())
         return pd.DataFrame({"sample": rows["sample"].iloc[:1], "purity": [grid[at] if len(peak) else np.nan], "score": [score[at]]})
 
-    return coverage.select("sample", "cov").groupBy("sample").applyInPandas(run, "sample string, purity double, score double")
+    known = coverage.where("cov is not null").select("sample", F.col("cov").cast("double").alias("cov"))
+    ends = known.groupBy("sample").agg(F.min("cov").alias("low"), F.max("cov").alias("high"))
+    step = F.floor(F.coalesce(F.try_divide(F.col("cov") - F.col("low"), F.col("high") - F.col("low")), F.lit(0.0)) * MIXTURE_STEPS)
+    counted = known.join(ends, "sample").groupBy("sample", step.alias("step")).agg(F.avg("cov").alias("x"), F.count("*").alias("n"))
+    return counted.groupBy("sample").applyInPandas(run, "sample string, purity double, score double")
 
 
 def log_factorial(n: np.ndarray) -> np.ndarray:

@@ -128,3 +128,41 @@ def test_trimming_compares_the_number_itself(spark):
     want = fit.fit_nb(*np.unique(np.floor(inside), return_counts=True))
     got = fit.trimmed_fit(spark.createDataFrame([(float(v),) for v in x], "c double"), "c")
     assert got == (pytest.approx(want[0], rel=1e-9), pytest.approx(want[1]), len(inside))
+
+
+def test_mixture_of_counts_and_equal_deviations():
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.normal(100, 4, 900), rng.normal(70, 4, 300), rng.normal(130, 4, 300)])
+    values, n = np.unique(x.round(), return_counts=True)
+    for found in (fit.mixture(x), fit.mixture(values, n)):
+        weight, mean, sd = found
+        order = np.argsort(mean)
+        assert mean[order] == pytest.approx([70, 100, 130], abs=1) and weight[order] == pytest.approx([0.2, 0.6, 0.2], abs=0.03)
+        assert np.ptp(sd) < 1e-9  # one deviation for all explains as much with fewer numbers
+    uneven = np.concatenate([rng.normal(100, 12, 900), rng.normal(40, 1, 900)])
+    assert np.ptp(fit.mixture(uneven)[2]) > 5
+    twice = fit.mixture(np.repeat(values, n))
+    assert all(np.allclose(a, b, rtol=1e-6) for a, b in zip(twice, fit.mixture(values, n)))
+
+
+def test_registered_purity_against_its_rows(spark):
+    """The query's estimates are those of each sample's own coverage, taken whole."""
+    from helixframe.plans import catalogue
+
+    folder = "/root/testdata/sf0.001"
+    own = {}
+    for r in catalogue._plain(spark, folder).select("sample", "cov").collect():
+        own.setdefault(r["sample"], []).append(r["cov"])
+    found = {r["sample"]: (r["purity"], r["score"]) for r in catalogue.queries()["purity_mixture"](spark, folder).collect()}
+    assert set(found) == set(own)
+    for sample, x in own.items():
+        x = np.array(x)
+        inside = x[(x > x.mean() / 2) & (x < 2 * x.mean())]
+        count, edge = np.histogram(inside if len(inside) else x, 200)
+        normal = (edge[count.argmax()] + edge[count.argmax() + 1]) / 2
+        weight, peak, _ = fit.mixture(*np.unique(x, return_counts=True))
+        usual = np.abs(weight - weight.mean()) < (weight.std(ddof=1) if len(weight) > 1 else math.nan)
+        peak = peak[(peak > 0.25 * normal) & (peak < 1.75 * normal) & usual]
+        best = min(((sum(min(abs(t * c * normal + (1 - t) * normal - p) for c in (0.5, 1, 1.5)) for p in peak), t) for t in np.round(np.arange(0.02, 1.001, 0.01), 2)))
+        purity, score = found[sample]
+        assert (purity is None and not len(peak)) or (score == pytest.approx(best[0], abs=1e-3) and len(peak))
