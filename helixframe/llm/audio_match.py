@@ -1,10 +1,11 @@
 """Media columns: chroma fingerprints of an audio column, and recordings aligned by them.
 
 Recordings with equal fingerprints are one class. A stated set of queries is matched against all
-classes in blocks: each block of queries meets each part of the classes in one task, so a task holds
-one block and streams one part. Every offset of a recording over a query is bounded from below, and
-those within the bound are verified by the share of differing bits: the matches are those of a search
-over all offsets.
+classes by an inverted index and offset histograms (``audio_index``). Classes that the index can't
+tell apart, and all of them if asked, are searched in blocks: each block of queries meets each part of
+the classes in one task, so a task holds one block and streams one part. Every offset of a recording
+over a query is bounded from below, and those within the bound are verified by the share of differing
+bits: these matches are those of a search over all offsets.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import chroma
+from . import audio_index, chroma
 from .common import materialize
 
 #: Bytes of the queries' fingerprints that a block holds, about; four for each hop of audio.
@@ -210,7 +211,19 @@ def _met(batches):
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
-def match_recordings(prints: DataFrame, is_query, block_bytes: int = BLOCK_BYTES, part_classes: int = PART_CLASSES) -> tuple[DataFrame, DataFrame]:
+def search_all(asked: DataFrame, classes: DataFrame, block_bytes: int = BLOCK_BYTES, part_classes: int = PART_CLASSES) -> DataFrame:
+    """(class_id, match_id, offset, bit_error) of each asked class and each other one, both (class_id, fingerprint), at every offset."""
+    held = asked.agg(F.coalesce(F.sum(F.octet_length("fingerprint")), F.lit(0))).first()[0]
+    blocks, parts = max(1, -(-held // block_bytes)), max(1, -(-classes.count() // part_classes))
+    number = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), "class_id"), F.lit(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    asked = asked.select(number(1, blocks).alias("block"), every(parts).alias("part"), F.lit(0).alias("side"), "class_id", "fingerprint")
+    classes = classes.select(every(blocks).alias("block"), number(2, parts).alias("part"), F.lit(1).alias("side"), "class_id", "fingerprint")
+    dealt = asked.unionByName(classes).repartition("block", "part").sortWithinPartitions("block", "part", "side", "class_id")
+    return dealt.mapInArrow(_met, "class_id long, match_id long, offset long, bit_error double")
+
+
+def match_recordings(prints: DataFrame, is_query, block_bytes: int = BLOCK_BYTES, part_classes: int = PART_CLASSES, exact: bool = False) -> tuple[DataFrame, DataFrame]:
     """(members, matches) of a fingerprint table.
 
     members: (id, n_ints, class_id) for each row, class_id the smallest id with the same integers,
@@ -218,9 +231,13 @@ def match_recordings(prints: DataFrame, is_query, block_bytes: int = BLOCK_BYTES
     each class that holds a query (rows where ``is_query``, a column of id) and each other class it
     aligns with, ``offset`` the place in the query where the match begins. Of equal errors the
     offset nearest 0 wins, and of two as near the negative one. Rows that repeat an id with other
-    integers are members of their own classes. Silent or null recordings match nothing. Every offset
-    is looked at, so no match is lost, and work grows with queries times classes. An empty table
-    gives empty tables.
+    integers are members of their own classes. Silent or null recordings match nothing. An empty
+    table gives empty tables.
+
+    Offsets that two integers or more agree on, up to a bit, are looked at with their neighbours, and
+    all offsets of classes that are plain to the index (loops, held tones, recordings like a large
+    share of all). ``exact`` looks at every offset of every pair, so no match is lost, and work grows
+    with queries times classes.
     """
     prints = materialize(prints)
     known = prints.where("k1 is not null and id is not null")
@@ -235,14 +252,16 @@ def match_recordings(prints: DataFrame, is_query, block_bytes: int = BLOCK_BYTES
     members = named.select("id", "n_ints", "class_id")
     leaders = named.where("fingerprint is not null").select("class_id", "fingerprint").join(classes.select("class_id", "asked"), "class_id")
     leaders = materialize(leaders.dropDuplicates(["class_id"]))
-    n, held = leaders.agg(F.count("*"), F.coalesce(F.sum(F.when(F.col("asked") == 1, F.octet_length("fingerprint"))), F.lit(0))).first()
-    blocks, parts = max(1, -(-held // block_bytes)), max(1, -(-n // part_classes))
-    number = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), "class_id"), F.lit(count)).cast("int")
-    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    asked = leaders.where("asked = 1").select(number(1, blocks).alias("block"), every(parts).alias("part"), F.lit(0).alias("side"), "class_id", "fingerprint")
-    all_classes = leaders.select(every(blocks).alias("block"), number(2, parts).alias("part"), F.lit(1).alias("side"), "class_id", "fingerprint")
-    dealt = asked.unionByName(all_classes).repartition("block", "part").sortWithinPartitions("block", "part", "side", "class_id")
-    return members, dealt.mapInArrow(_met, "class_id long, match_id long, offset long, bit_error double")
+    if exact:
+        return members, search_all(leaders.where("asked = 1").select("class_id", "fingerprint"), leaders.select("class_id", "fingerprint"), block_bytes, part_classes)
+    marked, found = audio_index.candidates(leaders)
+    matches = audio_index.verified(marked, found, LARGEST_ERROR, LEAST_OVERLAP)
+    pick = lambda rows: marked.where(rows).select("class_id", "fingerprint")
+    plain = pick("plain")
+    if not plain.isEmpty():
+        matches = matches.unionByName(search_all(pick("asked = 1 and plain"), pick("true"), block_bytes, part_classes))
+        matches = matches.unionByName(search_all(pick("asked = 1 and not plain"), plain, block_bytes, part_classes))
+    return members, matches
 
 
 NOTE_SAMPLES = 200
