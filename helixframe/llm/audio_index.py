@@ -1,10 +1,10 @@
-"""An inverted index of fingerprints' integers, and offset histograms of what queries find in it.
+"""An inverted index of the integers of some recordings, and offset histograms of what others find in it, in numpy.
 
-A recording is filed under its integers. A query asks for each of its own and for those that differ
-in a few bits; what it finds is counted by recording and offset, and offsets that several integers
-agree on are verified, with their neighbours, by the share of differing bits. Integers that a fixed
-share of all recordings hold tell little and are left out; recordings that hardly have others are
-``plain``, and the caller searches those without the index.
+Each recording of a block is filed under its integers. Another asks for each of its own and for those
+that differ in a few bits; what it finds is counted by recording and offset, and offsets that several
+integers agree on are verified, with their neighbours, by the share of differing bits. Integers that
+a fixed share of the block holds tell little and are left out; recordings that hardly have others are
+``plain``, and the caller searches those at every offset.
 """
 
 from __future__ import annotations
@@ -12,29 +12,21 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import materialize
-
-#: Bits in which an integer that is asked for may differ from the query's.
+#: Bits in which an integer that is asked for may differ.
 FLIPS = 1
-#: An integer is frequent if more than one in FREQUENT recordings hold it, and more than LEAST_FREQUENT.
+#: An integer is frequent if more than one in FREQUENT recordings of a block hold it, and more than LEAST_FREQUENT.
 FREQUENT, LEAST_FREQUENT = 50, 16
-#: An integer that a recording has in more runs than this, as in a loop, does not file it.
+#: An integer that a recording has in more runs than this, as in a loop, does not count for it.
 REPEATS = 64
-#: A recording is plain if fewer than one in LEAST_RARE of its integers are filed and not frequent.
+#: A recording is plain if fewer than one in LEAST_RARE of its integers count and are not frequent.
 LEAST_RARE = 4
 #: Integers that must agree on an offset.
 LEAST_HITS = 2
-#: Postings of one integer are split into parts of about one in SPLIT of all postings.
-SPLIT = 5000
-#: A query's candidates are spread over so many groups while they meet its fingerprint.
-SALTS = 16
-#: Bytes of fingerprints that are verified together, about, and integers that are compared at once.
-HELD_BYTES = 8 << 20
-COMPARED = 1 << 20
+#: Integers that are asked for at once, places that are counted at once and integers that are compared at once, about.
+ASKED, COUNTED, COMPARED = 1 << 20, 1 << 21, 1 << 20
+#: Bits of the filter that most integers stop at.
+FILTER_BITS = 24
 
 
 def filed_places(ints: np.ndarray) -> np.ndarray:
@@ -44,133 +36,124 @@ def filed_places(ints: np.ndarray) -> np.ndarray:
     return first[runs[which] <= REPEATS]
 
 
-def _postings(batches):
-    """Rows (v, class_id, place, first) of recordings (class_id, fingerprint); ``first`` marks an integer's first place."""
-    for batch in batches:
-        for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ints = np.frombuffer(raw, "<u4")
-            place = filed_places(ints)
-            first = np.zeros(len(place), bool)
-            first[np.unique(ints[place], return_index=True)[1]] = True
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ints[place].view("<i4")), pa.array(np.full(len(place), key, np.int64)), pa.array(place.astype(np.int32)), pa.array(first)],
-                names=["v", "class_id", "place", "first"],
-            )
-
-
-def _probes(flips: int):
-    """Rows (v, query, place): a query's integers and all that differ from them in at most ``flips`` bits."""
-    masks = np.array([sum(1 << b for b in bits) for n in range(flips + 1) for bits in combinations(range(32), n)], np.uint32)
-
-    def run(batches):
-        for batch in batches:
-            for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ints = np.frombuffer(raw, "<u4")
-                step = max(1, (1 << 16) // len(masks))
-                for at in range(0, len(ints), step):
-                    part = ints[at : at + step]
-                    place = np.repeat(np.arange(at, at + len(part), dtype=np.int32), len(masks))
-                    v = (part[:, None] ^ masks).ravel().view(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(np.full(len(v), key, np.int64)), pa.array(place)], names=["v", "query", "place"])
-
-    return run
-
-
-def _measured(batches):
-    """Adds n_ints and n_filed to (class_id, asked, fingerprint)."""
-    for batch in batches:
-        ints = [np.frombuffer(x, "<u4") for x in batch.column(2).to_pylist()]
-        more = [pa.array([len(x) for x in ints], pa.int64()), pa.array([len(filed_places(x)) for x in ints], pa.int64())]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=["class_id", "asked", "fingerprint", "n_ints", "n_filed"])
-
-
-def errors_at(a: list, b: list, pair: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bit error, places) where b of each ``pair`` is laid over its a from ``offset``; error 1 where they don't meet."""
+def errors_at(a: list, b: list, i: np.ndarray, j: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bit error, places) where b[j] is laid over a[i] from ``offset``; error 1 where they don't meet."""
     m, n = np.array([len(x) for x in a], np.int64), np.array([len(x) for x in b], np.int64)
     flat_a, flat_b = np.concatenate(a), np.concatenate(b)
-    start_a, start_b = np.cumsum(m) - m, np.cumsum(n) - n
     low = np.maximum(0, offset)
-    places = np.maximum(np.minimum(m[pair], offset + n[pair]) - low, 0)
-    error = np.ones(len(pair))
+    places = np.maximum(np.minimum(m[i], offset + n[j]) - low, 0)
+    from_a, from_b = (np.cumsum(m) - m)[i] + low, (np.cumsum(n) - n)[j] + low - offset
+    error, until = np.ones(len(i)), np.cumsum(places)
     at = 0
-    while at < len(pair):
-        until = at + max(1, int(np.searchsorted(np.cumsum(places[at:]), COMPARED, "right")))
-        some = at + np.flatnonzero(places[at:until])
+    while at < len(i):
+        stop = max(at + 1, int(np.searchsorted(until, (until[at - 1] if at else 0) + COMPARED, "right")))
+        some = at + np.flatnonzero(places[at:stop])
         if len(some):
             size = places[some]
             begin = np.cumsum(size) - size
             step = np.arange(size.sum()) - np.repeat(begin, size)
-            x = flat_a[np.repeat(start_a[pair[some]] + low[some], size) + step]
-            y = flat_b[np.repeat(start_b[pair[some]] + low[some] - offset[some], size) + step]
-            error[some] = np.add.reduceat(np.bitwise_count(x ^ y), begin, dtype=np.int64) / (32 * size)
-        at = until
+            differ = flat_a[np.repeat(from_a[some], size) + step] ^ flat_b[np.repeat(from_b[some], size) + step]
+            error[some] = np.add.reduceat(np.bitwise_count(differ), begin, dtype=np.int64) / (32 * size)
+        at = stop
     return error, places
 
 
-def _verified(largest_error: float, least_overlap: float):
-    """Rows (class_id, match_id, offset, bit_error) of the candidates (query, match, offsets, two fingerprints) that align."""
-
-    def align(queries, matches, offsets, a, b):
-        tried = [np.unique(np.array(x)[:, None] + np.array([-1, 0, 1])) for x in offsets]
-        pair, offset = np.repeat(np.arange(len(a)), [len(x) for x in tried]), np.concatenate(tried)
-        error, places = errors_at(a, b, pair, offset)
-        shorter = np.minimum([len(x) for x in a], [len(x) for x in b])
-        good = np.flatnonzero((places > 0) & (places >= least_overlap * shorter[pair]) & (error <= largest_error))
-        # The nearer offset wins among equal errors, the negative one among equally near ones.
-        order = good[np.lexsort((offset[good], np.abs(offset[good]), error[good], pair[good]))]
-        best = order[np.unique(pair[order], return_index=True)[1]]
-        ids = [pa.array([of[i] for i in pair[best].tolist()], pa.int64()) for of in (queries, matches)]
-        return pa.RecordBatch.from_arrays([*ids, pa.array(offset[best], pa.int64()), pa.array(error[best])], names=["class_id", "match_id", "offset", "bit_error"])
-
-    def run(batches):
-        for batch in batches:
-            bytes_until = sum(np.cumsum([len(x) for x in batch.column(i).to_pylist()]) for i in (3, 4)) if batch.num_rows else np.empty(0)
-            for part in np.unique(bytes_until // HELD_BYTES):
-                first, last = np.searchsorted(bytes_until // HELD_BYTES, [part, part + 1])
-                *ids, a, b = (c.to_pylist() for c in batch.slice(first, last - first).columns)
-                yield align(*ids, *([np.frombuffer(x, "<u4") for x in side] for side in (a, b)))
-
-    return run
-
-
-def candidates(leaders: DataFrame, flips: int = FLIPS) -> tuple[DataFrame, DataFrame]:
-    """(leaders with ``plain``, candidates) of (class_id, asked, fingerprint), one row for each class.
-
-    candidates: (query, match, offsets) for each asked class that is not plain and each other class:
-    the offsets that LEAST_HITS integers or more agree on. What an integer finds grows with the
-    integers' shares of the recordings, each at most one in FREQUENT, not with their lengths' product.
-    """
-    size = leaders.count()
-    measured = leaders.select("class_id", "asked", "fingerprint").mapInArrow(_measured, "class_id long, asked int, fingerprint binary, n_ints long, n_filed long")
-    index = materialize(leaders.select("class_id", "fingerprint").mapInArrow(_postings, "v int, class_id long, place int, first boolean"))
-    counts = index.groupBy("v").agg(F.sum(F.col("first").cast("long")).alias("held"), F.count("*").alias("n"))
-    total = index.count()
-    frequent = F.col("held") > F.greatest(F.lit(LEAST_FREQUENT), F.lit(size / FREQUENT))
-    counts = counts.select("v", frequent.alias("frequent"), F.ceil(F.col("n") * SPLIT / max(1, total)).cast("int").alias("parts"))
-    # At most SPLIT integers have several parts; frequent ones are at most FREQUENT for each distinct integer of a mean recording.
-    common = materialize(counts.where("frequent or parts > 1"))
-    lost = index.join(common.where("frequent"), "v").groupBy("class_id").agg(F.count("*").alias("lost"))
-    rare = F.col("n_filed") - F.coalesce(F.col("lost"), F.lit(0))
-    marked = measured.join(lost, "class_id", "left").withColumn("plain", rare * LEAST_RARE < F.col("n_ints"))
-    marked = materialize(marked.select("class_id", "asked", "fingerprint", "plain"))
-
-    parts = F.coalesce(F.col("parts"), F.lit(1))
-    usual = ~F.coalesce(F.col("frequent"), F.lit(False))
-    asked = marked.where("asked = 1 and not plain").select("class_id", "fingerprint")
-    probes = asked.mapInArrow(_probes(flips), "v int, query long, place int").join(common, "v", "left").where(usual)
-    probes = probes.select("v", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), "query", F.col("place").alias("here"))
-    filed = index.join(common, "v", "left").where(usual).select("v", F.pmod(F.xxhash64("class_id"), parts).cast("int").alias("part"), F.col("class_id").alias("match"), "place")
-    hits = probes.join(filed, ["v", "part"]).where("query != match").select("query", "match", (F.col("here") - F.col("place")).alias("offset"))
-    # Dealt by pair once: the histogram and the list of its offsets use the same partitions.
-    agreed = hits.repartition("query", "match").groupBy("query", "match", "offset").count().where(F.col("count") >= LEAST_HITS)
-    return marked, agreed.groupBy("query", "match").agg(F.collect_list("offset").alias("offsets"))
-
-
-def verified(marked: DataFrame, found: DataFrame, largest_error: float, least_overlap: float) -> DataFrame:
-    """(class_id, match_id, offset, bit_error) of the candidates' best offsets, both classes not plain."""
-    prints = marked.where("not plain").select("class_id", "fingerprint")
-    salted = found.withColumn("salt", F.pmod(F.xxhash64("match"), F.lit(SALTS)).cast("int"))
-    queries = prints.join(marked.where("asked = 1").select("class_id"), "class_id", "left_semi")
-    queries = queries.select(F.col("class_id").alias("query"), F.col("fingerprint").alias("a"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    both = salted.join(prints.select(F.col("class_id").alias("match"), F.col("fingerprint").alias("b")), "match").join(queries, ["query", "salt"])
-    return both.select("query", "match", "offsets", "a", "b").mapInArrow(_verified(largest_error, least_overlap), "class_id long, match_id long, offset long, bit_error double")
+class Index:
+    """Recordings (arrays of integers) filed under their integers; ``plain`` marks those that are not."""
+
+    def __init__(self, prints: list, flips: int = FLIPS):
+        self.prints = prints
+        self.masks = np.array([sum(1 << b for b in bits) for n in range(flips + 1) for bits in combinations(range(32), n)], np.uint32)
+        held, count = np.unique(np.concatenate([np.unique(p) for p in prints] or [np.empty(0, np.uint32)]), return_counts=True)
+        self.frequent = held[count > max(LEAST_FREQUENT, len(prints) / FREQUENT)]
+        places = [self._rare_places(p) for p in prints]
+        self.plain = np.array([self._is_plain(p, x) for p, x in zip(prints, places)], bool)
+        places = [x[:0] if plain else x for x, plain in zip(places, self.plain)]
+        v = np.concatenate([p[x] for p, x in zip(prints, places)] or [np.empty(0, np.uint32)])
+        order = np.argsort(v, kind="stable")
+        self.owner = np.repeat(np.arange(len(prints)), [len(x) for x in places])[order]
+        self.place = (np.concatenate(places) if places else np.empty(0, np.int64))[order]
+        self.keys, self.first, self.size = np.unique(v[order], return_index=True, return_counts=True)
+        self.filter = np.zeros(1 << FILTER_BITS, bool)
+        self.filter[self._spot(self.keys)] = True
+
+    @staticmethod
+    def _spot(v: np.ndarray) -> np.ndarray:
+        return v * np.uint32(0x9E3779B1) >> np.uint32(32 - FILTER_BITS)
+
+    def _rare_places(self, ints: np.ndarray) -> np.ndarray:
+        place = filed_places(ints)
+        return place[~np.isin(ints[place], self.frequent)] if len(self.frequent) else place
+
+    @staticmethod
+    def _is_plain(ints: np.ndarray, rare: np.ndarray) -> bool:
+        return len(rare) * LEAST_RARE < len(ints)
+
+    def is_plain(self, ints: np.ndarray) -> bool:
+        """Whether another recording is plain to this index."""
+        return self._is_plain(ints, self._rare_places(ints))
+
+    def agreed(self, found: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(filed recording, place in ``found``, offset) wherever LEAST_HITS integers or more agree."""
+        lengths = np.array([len(f) for f in found], np.int64)
+        at, parts = 0, [(np.empty(0, np.int64),) * 3]
+        until = np.cumsum(lengths)
+        while at < len(found):
+            stop = max(at + 1, int(np.searchsorted(until, (until[at - 1] if at else 0) + ASKED // len(self.masks), "right")))
+            parts += self._histogram(found[at:stop], lengths[at:stop], at)
+            at = stop
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
+    def _histogram(self, found: list, lengths: np.ndarray, base: int):
+        flat = np.concatenate(found)
+        # A mask at a time, so that a long recording holds one copy of its integers.
+        asks, keys = [], []
+        for mask in self.masks:
+            v = flat ^ mask
+            some = np.flatnonzero(self.filter[self._spot(v)])
+            key = np.searchsorted(self.keys, v[some])
+            real = (key < len(self.keys)) & (self.keys[np.minimum(key, len(self.keys) - 1)] == v[some]) if len(self.keys) else np.zeros(len(some), bool)
+            asks.append(some[real]), keys.append(key[real])
+        ask, key = np.concatenate(asks), np.concatenate(keys)
+        order = np.argsort(ask, kind="stable")
+        ask, key = ask[order], key[order]
+        of = np.repeat(np.arange(len(found)), lengths)
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        span, hits = int(lengths.max(initial=0)), np.cumsum(self.size[key])
+        # Whole recordings at a time, as all their places belong to one histogram.
+        ends = np.searchsorted(of[ask], np.arange(len(found)), "right")
+        at = 0
+        while at < len(found):
+            low = ends[at - 1] if at else 0
+            done = hits[low - 1] if low else 0
+            stop = at + 1
+            while stop < len(found) and (hits[ends[stop] - 1] if ends[stop] else 0) - done <= COUNTED:
+                stop += 1
+            a, k = ask[low : ends[stop - 1]], key[low : ends[stop - 1]]
+            size = self.size[k]
+            where = np.repeat(self.first[k] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            asked = np.repeat(a, size)
+            offset = self.place[where] - place[asked]
+            wide = span + int(self.place.max(initial=0)) + 1
+            cell, n = np.unique((self.owner[where] * len(found) + of[asked]) * wide + offset + span, return_counts=True)
+            pair, offset = np.divmod(cell[n >= LEAST_HITS], wide)
+            yield pair // len(found), pair % len(found) + base, offset - span
+            at = stop
+
+    def matches(self, found: list, largest_error: float, least_overlap: float) -> list:
+        """(filed recording, place in ``found``, offset, bit error) of the best agreed offset of each pair that aligns.
+
+        The nearer offset wins among equal errors, the negative one among equally near ones.
+        """
+        mine, other, offset = self.agreed(found)
+        if not len(mine):
+            return []
+        tried = np.unique(np.stack([np.tile(mine, 3), np.tile(other, 3), np.concatenate([offset - 1, offset, offset + 1])]), axis=1)
+        mine, other, offset = tried
+        error, places = errors_at(self.prints, found, mine, other, offset)
+        shorter = np.minimum(np.array([len(x) for x in self.prints])[mine], np.array([len(x) for x in found])[other])
+        good = np.flatnonzero((places > 0) & (places >= least_overlap * shorter) & (error <= largest_error))
+        order = good[np.lexsort((offset[good], np.abs(offset[good]), error[good], other[good], mine[good]))]
+        pair = mine[order] * len(found) + other[order]
+        best = order[np.unique(pair, return_index=True)[1]]
+        return list(zip(mine[best].tolist(), other[best].tolist(), offset[best].tolist(), error[best].tolist()))

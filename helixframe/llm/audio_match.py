@@ -1,17 +1,18 @@
 """Media columns: chroma fingerprints of an audio column, and recordings aligned by them.
 
 Recordings with equal fingerprints are one class. A stated set of queries is matched against all
-classes by an inverted index and offset histograms (``audio_index``). Classes that the index can't
-tell apart, and all of them if asked, are searched in blocks: each block of queries meets each part of
-the classes in one task, so a task holds one block and streams one part. Every offset of a recording
-over a query is bounded from below, and those within the bound are verified by the share of differing
-bits: these matches are those of a search over all offsets.
+classes in blocks: each block of queries meets each part of the classes in one task, so a task holds
+one block and streams one part. A block's queries are filed in an inverted index, and what a recording
+finds in it is counted by offset (``audio_index``). Those that the index can't tell apart, and all of
+them if asked, are searched at every offset: it is bounded from below, and what lies within the bound
+is verified by the share of differing bits, so these matches are those of a search over all offsets.
 """
 
 from __future__ import annotations
 
 import io
 import wave
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -184,8 +185,30 @@ class _Block:
             yield q, r, int(where[q, r]), float(best[q, r])
 
 
-def _met(batches):
-    """Rows (block, part, side, class_id, fingerprint), sorted: a block's queries, then a part's classes."""
+class _Indexed:
+    """Queries filed in an index; plain queries and plain recordings meet at every offset."""
+
+    def __init__(self, ids: list, prints: list):
+        self.ids, self.prints = ids, prints
+        self.index = audio_index.Index([np.frombuffer(p, "<u4") for p in prints])
+
+    def _block(self, plain: bool) -> _Block:
+        at = np.flatnonzero(self.index.plain == plain).tolist()
+        return _Block([self.ids[i] for i in at], [self.prints[i] for i in at])
+
+    def all_matches(self, found: list) -> list:
+        """As ``_Block.all_matches``."""
+        plain = np.array([self.index.is_plain(f) for f in found], bool)
+        usual, special = np.flatnonzero(~plain).tolist(), np.flatnonzero(plain).tolist()
+        result = [(usual[j], self.ids[i], offset, error) for i, j, offset, error in self.index.matches([found[j] for j in usual], LARGEST_ERROR, LEAST_OVERLAP)]
+        if self.index.plain.any():
+            result += self._block(True).all_matches(found)
+        if special and not self.index.plain.all():
+            result += [(special[j], *hit) for j, *hit in self._block(False).all_matches([found[j] for j in special])]
+        return result
+
+
+def _met(batches, kind=_Indexed):
     schema = pa.schema([("class_id", pa.int64()), ("match_id", pa.int64()), ("offset", pa.int64()), ("bit_error", pa.float64())])
     key, ids, prints, index = None, [], [], None
     for batch in batches:
@@ -205,24 +228,12 @@ def _met(batches):
                 continue
             if not ids:
                 continue
-            index = index or _Block(ids, prints)
+            index = index or kind(ids, prints)
             held.append(np.frombuffer(raw, "<u4")), classes.append(class_id)
         close()
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
-def search_all(asked: DataFrame, classes: DataFrame, block_bytes: int = BLOCK_BYTES, part_classes: int = PART_CLASSES) -> DataFrame:
-    """(class_id, match_id, offset, bit_error) of each asked class and each other one, both (class_id, fingerprint), at every offset."""
-    held = asked.agg(F.coalesce(F.sum(F.octet_length("fingerprint")), F.lit(0))).first()[0]
-    blocks, parts = max(1, -(-held // block_bytes)), max(1, -(-classes.count() // part_classes))
-    number = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), "class_id"), F.lit(count)).cast("int")
-    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    asked = asked.select(number(1, blocks).alias("block"), every(parts).alias("part"), F.lit(0).alias("side"), "class_id", "fingerprint")
-    classes = classes.select(every(blocks).alias("block"), number(2, parts).alias("part"), F.lit(1).alias("side"), "class_id", "fingerprint")
-    dealt = asked.unionByName(classes).repartition("block", "part").sortWithinPartitions("block", "part", "side", "class_id")
-    return dealt.mapInArrow(_met, "class_id long, match_id long, offset long, bit_error double")
-
-
 def match_recordings(prints: DataFrame, is_query, block_bytes: int = BLOCK_BYTES, part_classes: int = PART_CLASSES, exact: bool = False) -> tuple[DataFrame, DataFrame]:
     """(members, matches) of a fingerprint table.
 
@@ -235,9 +246,9 @@ def match_recordings(prints: DataFrame, is_query, block_bytes: int = BLOCK_BYTES
     table gives empty tables.
 
     Offsets that two integers or more agree on, up to a bit, are looked at with their neighbours, and
-    all offsets of classes that are plain to the index (loops, held tones, recordings like a large
-    share of all). ``exact`` looks at every offset of every pair, so no match is lost, and work grows
-    with queries times classes.
+    all offsets of recordings that are plain to the index of a block (loops, held tones, what a fixed
+    share of its queries is like). ``exact`` looks at every offset of every pair, so no match is lost
+    and each costs time; without, time goes to the integers that are looked up in each block.
     """
     prints = materialize(prints)
     known = prints.where("k1 is not null and id is not null")
@@ -252,16 +263,14 @@ def match_recordings(prints: DataFrame, is_query, block_bytes: int = BLOCK_BYTES
     members = named.select("id", "n_ints", "class_id")
     leaders = named.where("fingerprint is not null").select("class_id", "fingerprint").join(classes.select("class_id", "asked"), "class_id")
     leaders = materialize(leaders.dropDuplicates(["class_id"]))
-    if exact:
-        return members, search_all(leaders.where("asked = 1").select("class_id", "fingerprint"), leaders.select("class_id", "fingerprint"), block_bytes, part_classes)
-    marked, found = audio_index.candidates(leaders)
-    matches = audio_index.verified(marked, found, LARGEST_ERROR, LEAST_OVERLAP)
-    pick = lambda rows: marked.where(rows).select("class_id", "fingerprint")
-    plain = pick("plain")
-    if not plain.isEmpty():
-        matches = matches.unionByName(search_all(pick("asked = 1 and plain"), pick("true"), block_bytes, part_classes))
-        matches = matches.unionByName(search_all(pick("asked = 1 and not plain"), plain, block_bytes, part_classes))
-    return members, matches
+    n, held = leaders.agg(F.count("*"), F.coalesce(F.sum(F.when(F.col("asked") == 1, F.octet_length("fingerprint"))), F.lit(0))).first()
+    blocks, parts = max(1, -(-held // block_bytes)), max(1, -(-n // part_classes))
+    number = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), "class_id"), F.lit(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    asked = leaders.where("asked = 1").select(number(1, blocks).alias("block"), every(parts).alias("part"), F.lit(0).alias("side"), "class_id", "fingerprint")
+    all_classes = leaders.select(every(blocks).alias("block"), number(2, parts).alias("part"), F.lit(1).alias("side"), "class_id", "fingerprint")
+    dealt = asked.unionByName(all_classes).repartition("block", "part").sortWithinPartitions("block", "part", "side", "class_id")
+    return members, dealt.mapInArrow(partial(_met, kind=_Block if exact else _Indexed), "class_id long, match_id long, offset long, bit_error double")
 
 
 NOTE_SAMPLES = 200

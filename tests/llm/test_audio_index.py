@@ -28,7 +28,7 @@ def test_errors_of_many_offsets_are_those_of_each(monkeypatch):
     a = [rng.integers(0, 2**32, n, dtype=np.uint32) for n in (5, 40, 1)]
     b = [rng.integers(0, 2**32, n, dtype=np.uint32) for n in (30, 7, 1)]
     pair, offset = (x.ravel() for x in np.meshgrid(np.arange(3), np.arange(-45, 46), indexing="ij"))
-    error, places = audio_index.errors_at(a, b, pair, offset)
+    error, places = audio_index.errors_at(a, b, pair, pair, offset)
     for i, (p, d) in enumerate(zip(pair, offset)):
         want, n = chroma.bit_error(a[p], b[p], int(d))
         assert places[i] == n and error[i] == pytest.approx(want)
@@ -42,8 +42,9 @@ def test_filed_places_leave_runs_and_loops_out():
 
 
 def test_index_finds_what_the_full_search_finds(spark, monkeypatch):
-    """Shifted, cut and noisy copies, loops and held tones; many integers in parts."""
-    monkeypatch.setattr(audio_index, "HELD_BYTES", 2000)
+    """Shifted, cut and noisy copies, loops and held tones, in small slices."""
+    for limit in ("ASKED", "COUNTED", "COMPARED"):
+        monkeypatch.setattr(audio_index, limit, 3000)
     rng = np.random.default_rng(2)
     base = [rng.integers(0, 2**32, n, dtype=np.uint32) for n in (74, 74, 60, 900)]
     prints = [*base]
@@ -66,22 +67,33 @@ def test_index_finds_what_the_full_search_finds(spark, monkeypatch):
     assert once == got
 
 
-def test_frequent_integers_are_searched_without_the_index(spark, monkeypatch):
-    """Recordings that share most integers with a third of all; one integer split into parts."""
+def test_frequent_integers_are_searched_without_the_index(monkeypatch):
+    """Recordings that share most integers with a third of all."""
     monkeypatch.setattr(audio_index, "LEAST_FREQUENT", 3)
-    monkeypatch.setattr(audio_index, "SPLIT", 200)
     rng = np.random.default_rng(3)
     theme = rng.integers(0, 2**32, 60, dtype=np.uint32)
     prints = [noisy(rng, theme, 0.002) for _ in range(20)] + [rng.integers(0, 2**32, 60, dtype=np.uint32) for _ in range(38)]
     prints += [noisy(rng, prints[30], 0.02), np.append(prints[31][:40], prints[32][:20])]
-    shown = table(spark, list(enumerate(prints)))
-    asked = F.col("id") % 10 == 0
-    got = pairs(audio_match.match_recordings(shown, asked)[1])
-    want = pairs(audio_match.match_recordings(shown, asked, exact=True)[1])
-    assert got == want and (0, 19) in want and (30, 58) in want
-    marked, found = audio_index.candidates(shown.select(F.col("id").alias("class_id"), (F.col("id") % 10 == 0).cast("int").alias("asked"), "fingerprint"))
-    assert {r["class_id"] for r in marked.where("plain").collect()} == set(range(20))
-    assert {(r["query"], r["match"]) for r in found.collect()} >= {(30, 58)}
+    raw = [p.astype("<u4").tobytes() for p in prints]
+    indexed = audio_match._Indexed(list(range(len(raw))), raw)
+    assert np.flatnonzero(indexed.index.plain).tolist() == list(range(20))
+    got, want = set(indexed.all_matches(prints)), set(audio_match._Block(list(range(len(raw))), raw).all_matches(prints))
+    assert {x[:3] for x in got} == {x[:3] for x in want} and len(got) == len(want) and {(0, 19), (30, 58)} <= {x[:2] for x in want}
+
+
+def test_histogram_counts_each_offset():
+    """Against a count by hand, up to one and two differing bits, with repeated integers."""
+    rng = np.random.default_rng(5)
+    filed = [rng.integers(0, 8, n, dtype=np.uint32) * np.uint32(3) for n in (30, 9, 50)]
+    found = [rng.integers(0, 8, n, dtype=np.uint32) * np.uint32(3) for n in (20, 1, 40)]
+    for flips in (0, 1, 2):
+        index = audio_index.Index(filed, flips)
+        want = set()
+        for i, a in enumerate(filed):
+            for j, b in enumerate(found):
+                hits = [int(x) - y for x in audio_index.filed_places(a) for y in range(len(b)) if int(a[x] ^ b[y]).bit_count() <= flips]
+                want |= {(i, j, d) for d in set(hits) if hits.count(d) >= audio_index.LEAST_HITS}
+        assert not index.plain.any() and set(zip(*(x.tolist() for x in index.agreed(found)))) == want and want
 
 
 def test_registered_query_against_all_offsets(spark, tmp_path):
