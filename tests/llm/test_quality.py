@@ -91,6 +91,34 @@ def test_bands_reject_repetition_and_noise(spark):
     assert kept == {1: True, 2: False, 3: False}
 
 
+def test_whole_text_shows_what_chunks_do_not():
+    """A passage longer than a chunk comes again and again, a quarter of its words changed: each chunk is usual."""
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("etaoinshrdlucmfwyp"), rng.integers(2, 9))) for _ in range(2000)]
+    passage, parts = rng.choice(words, 900), []
+    for _ in range(10):
+        copy = passage.copy()
+        copy[rng.integers(0, 4) :: 4] = rng.choice(words, len(copy[0::4]))
+        parts.append(" ".join(copy))
+    raw = " ".join(parts).encode()
+    compressor = zstandard.ZstdCompressor(level=quality_rules.LEVEL, write_content_size=False)
+    n_bytes, ratio, n, off = quality_rules.compression(raw, compressor)
+    assert off == 0 and n > 10 and ratio < quality_rules.band(n_bytes, quality_rules.DOCUMENT_BANDS)[0]
+    assert not quality_rules.verdict_of((0, *quality_rules.text_statistics(raw.decode()), n_bytes, ratio, n, off))
+
+
+def test_one_odd_chunk_of_many_is_kept(spark):
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("etaoinshrdlucmfwyp"), rng.integers(2, 9))) for _ in range(2000)]
+    clean = " ".join(rng.choice(words, 30_000)).encode()
+    text = lambda chunks, odd: (clean[: 4096 * (chunks - odd)] + b"-" * (4096 * odd)).decode()
+    rows = [(1, text(19, 1)), (2, text(20, 1)), (3, text(39, 2)), (4, text(40, 2)), (5, text(20, 0))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc"]: (r["n_chunks"], r["n_chunks_off"], r["kept"]) for r in quality_rules.quality_statistics(docs).collect()}
+    assert found == {1: (19, 1, False), 2: (20, 1, True), 3: (39, 2, False), 4: (40, 2, True), 5: (20, 0, True)}
+    assert sorted(r["doc_id"] for r in quality_rules.keep_quality(docs).collect()) == [2, 4, 5]
+
+
 def test_keep_quality_agrees(spark):
     docs = table(spark)
     kept = quality_rules.keep_quality(docs)
