@@ -132,14 +132,15 @@ def central_depth(rows: DataFrame, by: tuple, order: str, value: str, width: int
     return placed.groupBy(*by).agg(F.avg(F.when((F.col("n") <= more_than) | middle, F.col(value))).alias("depth"), F.max("n").alias("n"))
 
 
-def axis_limits(segments: DataFrame, floor: float = 0.1) -> DataFrame:
-    """(contig, axis_limit): the value at rank int(0.99 n) of the deviations from 2 copies, at least ``floor``.
+def axis_limits(segments: DataFrame, floors: tuple = (0, 15)) -> DataFrame:
+    """(contig, axis_limit_F for each floor F): the int(0.99 n)-th smallest deviation from 2 copies, at least F, rounded up.
 
-    Copy numbers have two decimals, so equal deviations are counted before they meet.
+    A contig with one segment has no such deviation and takes the floor; null copy numbers don't
+    count. Copy numbers have two decimals, so equal deviations are counted before they meet.
     """
     counts = segments.groupBy("contig", F.abs(F.col("cn") - 2).alias("v")).agg(F.count("cn").alias("k"))
     contig = Window.partitionBy("contig")
-    until, n = F.sum("k").over(contig.orderBy("v")), F.sum("k").over(contig)
-    ranked = counts.select("contig", "v", (until > F.floor(n * 0.99)).alias("reached"))
+    until, rank = F.sum("k").over(contig.orderBy("v")), F.floor(F.sum("k").over(contig) * 0.99)
+    ranked = counts.select("contig", "v", ((rank >= 1) & (until >= rank)).alias("reached"))
     value = F.min(F.when(F.col("reached"), F.col("v")))
-    return ranked.groupBy("contig").agg(F.round(F.greatest(F.lit(float(floor)), value), 6).alias("axis_limit"))
+    return ranked.groupBy("contig").agg(*(F.ceil(F.greatest(F.lit(float(f)), value)).cast("long").alias(f"axis_limit_{f}") for f in floors))

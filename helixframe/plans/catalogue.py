@@ -529,7 +529,7 @@ def transition_cost_table(s, d):
 
 @query
 def axis_percentile(s, d):
-    """The value at rank int(0.99 n) of the absolute deviations from 2 copies, at least 0.1."""
+    """The int(0.99 n)-th smallest deviation from 2 copies, at least 0 and at least 15, rounded up."""
     return segments.axis_limits(variants.segment_copy_numbers(views.segments(s, d)))
 
 

@@ -266,7 +266,8 @@ SQL = {
       normed AS (SELECT source, target, prior, m / sum(m) OVER (PARTITION BY source) AS p FROM raw), near AS (SELECT DISTINCT dist, 1 - 1 / (1 + exp(-(dist::DOUBLE - 50000) / 10000)) AS t FROM (
         SELECT p_partkey * 1000 - lag(p_partkey * 1000 + p_size * 100) OVER (PARTITION BY p_brand ORDER BY p_partkey * 1000, p_partkey * 1000 + p_size * 100) AS dist FROM part) WHERE dist IS NOT NULL)
       SELECT dist, source, target, round(p, 6) AS p, round(-ln(t * p + (1 - t) * prior), 6) AS cost FROM normed, near""",
-    "axis_percentile": _PURE + " SELECT contig, round(greatest(0.1, list_extract(list_sort(list(abs(cn - 2))), (1 + floor(count(*) * 0.99::DOUBLE))::INT)), 6) AS axis_limit FROM seg GROUP BY contig",
+    "axis_percentile": _PURE + """, ranked AS (SELECT contig, list_extract(list_sort(list(abs(cn - 2)) FILTER (cn IS NOT NULL)), floor(count(cn) * 0.99::DOUBLE)::INT) AS v FROM seg GROUP BY contig)
+      SELECT contig, ceil(greatest(0, v))::BIGINT AS axis_limit_0, ceil(greatest(15, v))::BIGINT AS axis_limit_15 FROM ranked""",
 }
 SQL["evidence_sum"] = (
     _NB

@@ -463,7 +463,7 @@ def test_greedy_groups_and_axis_limits_hold_no_group_in_a_row(spark):
     groups = intervals.greedy_groups(regions, 100)
     assert [(r["chr"], r["group"]) for r in groups.orderBy("chr", "start").collect()] == [(c, 1 + s // 100) for c in "ab" for s in range(0, 300, 10)]
     deviations = sorted(abs(v - 2) for c, v in cn if c == "x" and v is not None)
-    assert {r["contig"]: r["axis_limit"] for r in limits.collect()} == {"x": round(deviations[198], 6), "y": 0.1, "z": 0.1}
+    assert {r["contig"]: r["axis_limit_0"] for r in limits.collect()} == {"x": math.ceil(deviations[197]), "y": 0, "z": 0}  # the 198th of 200
     for made in (groups, limits):
         assert "collect_list" not in made._jdf.queryExecution().toString()
 
@@ -532,3 +532,11 @@ def test_panel_products_on_a_grid_with_holes(spark, monkeypatch):
             mean, n = (own * values).sum() / own.sum(), (own > 0).sum()
             sd = math.sqrt((own * (values - mean) ** 2).sum() / ((n - 1) / n * own.sum())) if n > 1 else 1.0
             assert r["w_mean"] == pytest.approx(mean, abs=1e-8) and r["w_sd"] == pytest.approx(sd, abs=1e-5)
+
+
+def test_axis_limits_by_hand(spark):
+    """a: the 99th of 100 deviations; b: the first of two; c: one deviation is none; d: no copy numbers."""
+    rows = [("a", 2 + (i if i % 2 else -i) / 4) for i in range(1, 101)] + [("b", 2.5), ("b", 40.0), ("b", None), ("c", 90.0), ("d", None)]
+    found = segments.axis_limits(spark.createDataFrame(rows, "contig string, cn double"))
+    assert {r["contig"]: (r["axis_limit_0"], r["axis_limit_15"]) for r in found.collect()} == {"a": (25, 25), "b": (1, 15), "c": (0, 15), "d": (0, 15)}
+    assert segments.axis_limits(spark.createDataFrame([], "contig string, cn double"), (3,)).columns == ["contig", "axis_limit_3"]

@@ -120,3 +120,11 @@ def test_caller_config(spark):
 def test_event_kind(spark):
     paths = spark.createDataFrame([("a/x_INV",), ("a/x_TD",), ("a/x.vcf",)], "p string")
     assert [r[0] for r in paths.select(readers.event_kind(paths["p"])).collect()] == ["INV", "TD", None]
+
+
+def test_freec_calls_of_several_samples(spark, write):
+    write("freec/s1/run_CNVs", "1\t100\t5000\t3\tgain\nX\t7\t9\t0\tloss\n")
+    path = write("freec/s2/run_CNVs", "2\t1\t2\t1\tloss\n").replace("s2", "*")
+    found = readers.freec_calls(spark, path, r"/freec/([^/]+)/")
+    assert found.columns[:5] == ["chr", "start", "end", "copy_number", "kind"]
+    assert rows(found) == [("1", 100, 5000, 3, "gain", "s1"), ("2", 1, 2, 1, "loss", "s2"), ("X", 7, 9, 0, "loss", "s1")]
