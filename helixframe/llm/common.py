@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from helixframe.operators.shared import materialize, shared_dir, write_shared
 
-__all__ = ["ascii_lower", "bitmap", "in_bitmap", "map_text_groups", "map_texts", "materialize", "shared_dir", "unused", "word_count", "write_shared"]
+__all__ = ["arrow_schema", "ascii_lower", "bitmap", "in_bitmap", "map_text_groups", "map_texts", "materialize", "shared_dir", "unused", "word_count", "write_shared"]
 
 #: White space everywhere in this subpackage: the space and the code points 9 to 13.
 SPACES = " \t\n\x0b\x0c\r"
@@ -64,7 +64,7 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str, make, extr
     ``make`` is called once in each task, so that a model is unpacked once. Null texts come as "".
     Output leaves in batches of bounded size whatever the texts' lengths.
     """
-    arrow = pa.schema([(f.name, _arrow_type(f.dataType)) for f in _struct(schema).fields])
+    arrow = arrow_schema(schema)
 
     def run(batches):
         row = make()
@@ -91,7 +91,7 @@ def map_text_groups(df: DataFrame, id_col: str, text_col: str, schema: str, make
 
     A longer text is a group of its own, so what a group holds is bounded by the longest text.
     """
-    arrow = pa.schema([(f.name, _arrow_type(f.dataType)) for f in _struct(schema).fields])
+    arrow = arrow_schema(schema)
 
     def run(batches):
         group = make()
@@ -116,6 +116,10 @@ def _batch(rows: list, arrow: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
 
+def arrow_schema(schema: str) -> pa.Schema:
+    return pa.schema([(f.name, _arrow_type(f.dataType)) for f in _struct(schema).fields])
+
+
 def _struct(schema: str):
     from pyspark.sql.types import StructType
 

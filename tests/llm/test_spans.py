@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -290,3 +291,58 @@ def test_candidates_match_brute_force(text):
         if not met or any(m.start() < b <= m.end() for _, _, b in base):
             want.append((*m.span(), 1 if met else 2 if not re.search("[A-Za-z]", m[0]) or any(a < m.end() and m.start() < b for _, a, b in spans.personal(text)) else 0))
     assert [tuple(map(int, t)) for t in zip(*secret_scan.runs(char_cnn.classes(text), base, spans.personal(text)))] == want
+
+
+def test_frequent_forms_of_few_texts_are_learned(spark):
+    """Codes that fill two texts, one of either half, are read by the fit one and all, so the networks don't take them for secrets."""
+    rng = np.random.default_rng(8)
+    draw = lambda n: "".join(rng.choice(list("abcdefghijkmnpqrstuvwxyz23456789"), n))
+    words = ["winter", "garden", "reading", "mountain", "station", "of", "the", "and", "evening", "morning", "page12", "www.site7.org/index.html"]
+    prose = lambda: " ".join(rng.choice(words, 6))
+    rows = [f"{prose()} {['token', 'secret', 'password'][i % 3]}{[': ', ' = '][i // 3 % 2]}{draw(9 + i % 9)} {prose()}" for i in range(300)] + [prose() for _ in range(300)]
+    halves = {}
+    while len(halves) < 2:
+        text = " ".join(f"part {draw(4)}-{draw(4)}-{draw(4)} of" for _ in range(400))
+        halves[xxhash.xxh3_64_intdigest(text.encode()) & 1] = text
+    unlisted = [f"{prose()} {['pwd: ', 'passphrase = '][i % 2]}{draw(9 + i % 9)} {prose()}" for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate([*rows, *halves.values(), *unlisted])), "doc_id long, text string")
+    got = {r["doc"]: [t[1:] for t in map(tuple, r["added"])] for r in secret_scan.scan_secrets(docs).collect()}
+    assert sum(len(got[600 + i]) for i in range(2)) <= 16  # of 800
+    assert sum(re.search(r"(?:pwd: |passphrase = )(\S+)", t).span(1) in got[602 + i] for i, t in enumerate(unlisted)) >= 16
+
+
+def test_every_candidate_reaches_the_fit(spark, monkeypatch):
+    """Thousands of findings in many units, counted by brute force, give the same models however the table is stored."""
+    rng = np.random.default_rng(9)
+    draw = lambda n: "".join(rng.choice(list("abcdefghijkmnpqrstuvwxyz23456789"), n))
+    texts = [f"winter garden{i} on 2024-01-{i % 28:02d} and 10.0.0.{i % 250} token = {draw(9 + i % 9)} mountain station" for i in range(3400)] + [None, ""] + ["copy of a text, token: abc123def"] * 3
+    monkeypatch.setattr(secret_scan, "UNIT_CHARS", 40_000)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc long, text string")
+    models = secret_scan.train(rows)
+    want = np.zeros((2, 3), int)
+    for text in filter(None, texts):
+        labels = secret_scan.runs(char_cnn.classes(text), brute_secrets(text), brute_personal(text))[2]
+        want[secret_scan.half(text)] += np.bincount(labels, minlength=3)
+    assert [[m["open"], m["findings"], m["negatives"]] for m in models] == want.tolist() and want[:, 1].sum() > 3000
+    assert all(m["recall"] >= 0.95 for m in models)
+    again = secret_scan.train(rows.repartition(7))
+    assert all(np.array_equal(a["network"][k], b["network"][k]) for a, b in zip(models, again) for k in a["network"])
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab1+= .\"é", max_size=90), min_size=1, max_size=4))
+def test_windows_match_snippets(texts):
+    x, starts, ends, _, offsets = secret_scan.joined(texts, [[] for _ in texts])
+    got, inside = char_cnn.windows(x, starts, ends)
+    for a, b, row, n in zip(starts.tolist(), ends.tolist(), got, inside.tolist()):
+        i = int(np.searchsorted(offsets, a, "right")) - 1
+        snippet, length = char_cnn.snippet(char_cnn.classes(texts[i]), a - offsets[i], b - offsets[i])
+        assert bytes(row) == bytes(char_cnn.stacked([snippet])[0]) and n == length
+
+
+def test_nth_largest_matches_sorting(spark):
+    rng = np.random.default_rng(10)
+    for values in (rng.normal(0, 3, 500).round(2), rng.normal(0, 1e-7, 300) + 5, np.array([1.5] * 9), np.array([-1e30, 0.0, 1e-30, 2e-30, 1e30])):
+        z = spark.createDataFrame([(float(v),) for v in values], "z double")
+        for n in {1, 2, len(values) // 2, len(values)}:
+            assert secret_scan.nth_largest(z, n) == np.sort(values)[-n]
