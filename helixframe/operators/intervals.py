@@ -65,8 +65,8 @@ def region_depth(reads: DataFrame, regions: DataFrame, width: int = 100_000) ->
     distinct = regions.select("chr", "start", "end").distinct()
     met = overlaps(reads.select("sample", "chr", "start", "end"), distinct, width)
     counted = met.groupBy(F.col("a_sample").alias("sample"), F.col("b_chr").alias("chr"), F.col("b_start").alias("start"), F.col("b_end").alias("end")).agg(F.count("*").alias("n_reads"))
-    # Every region for every sample; samples are as few as their files, and AQE broadcasts them by their size.
-    grid = distinct.crossJoin(reads.select("sample").distinct())
+    # Every region for every sample; samples are one row each, and without the hint Spark may pair all partitions of both tables.
+    grid = distinct.crossJoin(F.broadcast(reads.select("sample").distinct()))
     return grid.join(counted, ["sample", "chr", "start", "end"], "left").select("sample", "chr", "start", "end", F.coalesce("n_reads", F.lit(0).cast("long")).alias("n_reads"))
 
 
@@ -98,19 +98,34 @@ def points_in_regions(points: DataFrame, regions: DataFrame, width: int, pos: st
     return met.where((F.col(pos) >= F.col("start")) & (F.col(pos) <= F.col("end"))).drop("__at", "__cut")
 
 
-def _cuts(rows: DataFrame, prefix: str, width: int) -> DataFrame:
-    """Rows with __level, of the narrowest cuts that hold their length, and a row for each (__at, __cut) of that and wider levels."""
-    start, end = F.col(f"{prefix}_start"), F.col(f"{prefix}_end")
+def _widths(width: int) -> list[int]:
     widths = [width]
     while widths[-1] < WIDEST:
         widths.append(widths[-1] * LEVEL_FACTOR)
+    return widths
+
+
+def _level(prefix: str, width: int) -> Column:
+    """The level of the narrowest cuts that hold an interval's length."""
+    widths = _widths(width)
     level = F.lit(len(widths) - 1)
     for i in reversed(range(len(widths) - 1)):
-        level = F.when(end - start < widths[i], i).otherwise(level)
+        level = F.when(F.col(f"{prefix}_end") - F.col(f"{prefix}_start") < widths[i], i).otherwise(level)
+    return level
+
+
+def _cuts(rows: DataFrame, prefix: str, width: int, met: DataFrame | None = None) -> DataFrame:
+    """Rows with __own, the level of the narrowest cuts that hold their length, and a row for each (__at, __cut) of that and wider levels.
+
+    Of the wider levels only those in ``met``, one row with an array of them, if it is given.
+    """
+    start, end = F.col(f"{prefix}_start"), F.col(f"{prefix}_end")
     div = lambda x, w: F.floor(x / w).cast("long")
-    at = [F.when(F.col("__own") <= i, F.array_distinct(F.array(*[F.struct(F.lit(i).alias("__at"), div(x, w).alias("__cut")) for x in (start, end)]))) for i, w in enumerate(widths)]
-    placed = rows.withColumn("__own", level)
-    return placed.select("*", F.inline(F.flatten(F.array_compact(F.array(*at)))))
+    wanted = lambda i: F.lit(True) if met is None else (F.col("__own") == i) | F.array_contains("__met", i)
+    at = [F.when((F.col("__own") <= i) & wanted(i), F.array_distinct(F.array(*[F.struct(F.lit(i).alias("__at"), div(x, w).alias("__cut")) for x in (start, end)]))) for i, w in enumerate(_widths(width))]
+    placed = rows.withColumn("__own", _level(prefix, width))
+    placed = placed if met is None else placed.crossJoin(F.broadcast(met))
+    return placed.select("*", F.inline(F.flatten(F.array_compact(F.array(*at))))).drop("__met")
 
 
 def overlaps(a: DataFrame, b: DataFrame, width: int, chr_a: str = "chr", chr_b: str = "chr") -> DataFrame:
@@ -118,15 +133,19 @@ def overlaps(a: DataFrame, b: DataFrame, width: int, chr_a: str = "chr", chr_b:
 
     An interval lies in one or two cuts of the narrowest level that holds its length, and meets
     longer ones at their level, so it has a few rows whatever its length (``width`` is the
-    narrowest cut). The join is an equi-join on chromosome, level and cut; a pair is kept only at
-    the level of the longer interval and in the first cut that both have.
+    narrowest cut). The join is an equi-join on chromosome, level, cut and which of the two is longer,
+    so a pair meets only at the level of the longer interval, and is kept in the first cut that both have.
     """
-    left = _cuts(a.select(*[F.col(c).alias(f"a_{c}") for c in a.columns]), "a", width).withColumnRenamed("__own", "__own_a").withColumn("__chr", F.col(f"a_{chr_a}"))
-    right = _cuts(b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns]), "b", width).withColumnRenamed("__own", "__own_b").withColumn("__chr", F.col(f"b_{chr_b}"))
-    met = left.join(right, ["__chr", "__at", "__cut"])
+    levels = lambda rows, prefix: rows.agg(F.collect_set(_level(prefix, width)).alias("__met"))
+    left, right = (df.select(*[F.col(c).alias(f"{p}_{c}") for c in df.columns]) for df, p in ((a, "a"), (b, "b")))
+    # Of b longer: a at the wider levels, b at its own. Else: a at its own, b there and at the wider ones.
+    at_left = _cuts(left, "a", width, levels(right, "b")).withColumn("__longer", F.col("__at") > F.col("__own"))
+    sides = F.when(F.col("__at") == F.col("__own"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    at_right = _cuts(right, "b", width, levels(left, "a")).withColumn("__longer", F.explode(sides))
+    met = at_left.drop("__own").withColumn("__chr", F.col(f"a_{chr_a}")).join(at_right.drop("__own").withColumn("__chr", F.col(f"b_{chr_b}")), ["__chr", "__at", "__cut", "__longer"])
     wide = F.lit(float(width)) * F.pow(F.lit(float(LEVEL_FACTOR)), F.col("__at"))
     first = F.floor(F.greatest("a_start", "b_start") / wide) == F.col("__cut")
-    return met.where((F.col("a_start") <= F.col("b_end")) & (F.col("b_start") <= F.col("a_end")) & (F.col("__at") == F.greatest("__own_a", "__own_b")) & first).drop("__chr", "__at", "__cut", "__own_a", "__own_b")
+    return met.where((F.col("a_start") <= F.col("b_end")) & (F.col("b_start") <= F.col("a_end")) & first).drop("__chr", "__at", "__cut", "__longer")
 
 
 def shared_length() -> Column:

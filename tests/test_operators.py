@@ -129,6 +129,22 @@ def test_depth_of_regions_counts_every_overlap(spark):
     assert got == {(s, *r): sum(x[0] == s and x[1] == r[0] and x[2] <= r[2] and r[1] <= x[3] for x in reads) for s in "st" for r in regions}
 
 
+def test_pairs_meet_at_the_longer_ones_level_alone(spark):
+    """Short intervals far apart are no pairs of the wide levels' joins, and samples don't make partitions meet all partitions."""
+    short = spark.createDataFrame([(i, "a", i * 10_000, i * 10_000 + 50) for i in range(400)], "id long, chr string, start long, end long")
+    met = intervals.overlaps(short, short, 100)
+    assert met.count() == 400
+    keys = lambda p: intervals._cuts(short.selectExpr(f"chr {p}_chr", f"start {p}_start", f"end {p}_end"), p, 100, spark.sql("SELECT array(0) __met"))
+    assert {r["__at"] for r in keys("a").collect()} == {0}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = short.withColumn("sample", F.lit("s")).select("sample", "chr", "start", "end")
+        plan = intervals.region_depth(rows, short, 100)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "CartesianProduct" not in plan
+
+
 def test_greedy_groups_match_a_loop(spark):
     rows = sorted({(s, e) for _, _, s, e in random_regions(5, 30)})
     got = [(r["start"], r["group"]) for r in intervals.greedy_groups(spark.createDataFrame([("a", s, e) for s, e in rows], "chr string, start long, end long"), 100).orderBy("start", "end").collect()]
