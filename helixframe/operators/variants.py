@@ -289,10 +289,51 @@ def unified_segments(calls: DataFrame, by: tuple = ("chr", "svtype"), callers: t
     return pieces.select(*by, F.col("pos").alias("start"), (F.col("__next") - 1).alias("end"), F.array_join(F.array_sort("__held"), ",").alias("callers"), F.size("__held").alias("n_callers"))
 
 
+def _region_counts(at: DataFrame, regions: DataFrame) -> DataFrame:
+    """``at`` with n, how many of the regions (chr, start, end, n) each row overlaps: those that start until its end less those that end before its start."""
+    zero = F.lit(0).cast("long")
+    bounds = regions.select("chr", F.inline(F.array(F.struct(F.col("start").alias("pos"), F.col("n").alias("starts"), zero.alias("ends")), F.struct(F.col("end").alias("pos"), zero.alias("starts"), F.col("n").alias("ends")))))
+    asked = at.select("chr", F.explode(F.array("start", "end")).alias("pos"), zero.alias("starts"), zero.alias("ends"))
+    summed = bounds.unionByName(asked).groupBy("chr", "pos").agg(F.sum("starts").alias("starts"), F.sum("ends").alias("ends"))
+    dealt = ranges.running(ranges.deal(summed, "chr", "pos"), ("chr",), ("pos",), "__started", F.col("starts"))
+    along = materialize(ranges.running(dealt, ("chr",), ("pos",), "__ended", F.col("ends"), itself=False).select("chr", "pos", "__started", F.coalesce("__ended", zero).alias("__ended")))
+    until = at.join(along.select("chr", F.col("pos").alias("end"), "__started"), ["chr", "end"])
+    return until.join(along.select("chr", F.col("pos").alias("start"), "__ended"), ["chr", "start"]).withColumn("n", F.col("__started") - F.col("__ended")).select(*at.columns, "n")
+
+
+def _fused_by_name(regions: DataFrame) -> DataFrame:
+    """(chr, region_name, start, end): regions (start <= end) of a chromosome and name, each once, as one where they overlap."""
+    keys, order = ("chr", "region_name"), ("start", "end")
+    own = ranges.running(ranges.deal(regions.select(*keys, *order), *keys, *order), keys, order, "__before", F.col("end"), F.max, itself=False)
+    own = own.withColumn("__fresh", F.coalesce(F.col("start") > F.col("__before"), F.lit(True)).cast("long")).drop("__before")
+    return ranges.running(materialize(own), keys, order, "__island", F.col("__fresh")).groupBy(*keys, "__island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("__island")
+
+
 def callers_by_region(segments: DataFrame, panel: DataFrame, width: int) -> DataFrame:
-    """Segments with the names of the panel regions that they overlap, sorted and comma-joined, and their number."""
-    met = overlaps(segments, panel, width)
-    return met.groupBy(F.col("a_id").alias("id")).agg(F.array_join(F.array_sort(F.collect_set("b_region_name")), ",").alias("region_names"), F.count("*").alias("n_regions"))
+    """Segments with the names of the panel regions that they overlap, sorted and comma-joined, and their number.
+
+    Pairs are not made: segments of the same places are looked at once, the number of regions comes from
+    sums along the positions, and the names from the fused regions of each name. Only intervals that end
+    before they start meet in pairs.
+    """
+    known = lambda df: df.where("chr is not null and start is not null and end is not null")
+    straight = F.col("start") <= F.col("end")
+    placed = known(segments).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("chr", "start", "end"))).alias("__places"))
+    looked = materialize(placed.select("__places").distinct().withColumn("__set", F.monotonically_increasing_id()))
+    at = looked.select("__set", F.inline("__places"))
+    each = materialize(known(panel).groupBy("chr", "start", "end", "region_name").agg(F.count("*").alias("n")))
+    flat = at.where(straight)
+    counts = _region_counts(flat, each.where(straight).groupBy("chr", "start", "end").agg(F.sum("n").alias("n"))).select("__set", "n")
+    named = overlaps(flat, _fused_by_name(each.where(straight & F.col("region_name").isNotNull())), width).select(F.col("a___set").alias("__set"), F.col("b_region_name").alias("region_name"))
+    for left, right in ((at.where(~straight), each), (flat, each.where(~straight))):
+        if not left.isEmpty() and not right.isEmpty():
+            odd = overlaps(left, right, width)
+            counts = counts.unionByName(odd.select(F.col("a___set").alias("__set"), F.col("b_n").alias("n")))
+            named = named.unionByName(odd.select(F.col("a___set").alias("__set"), F.col("b_region_name").alias("region_name")))
+    names = named.groupBy("__set").agg(F.array_join(F.array_sort(F.collect_set("region_name")), ",").alias("region_names"))
+    total = counts.groupBy("__set").agg(F.sum("n").alias("n_regions")).where("n_regions > 0")
+    found = looked.join(total, "__set").join(names, "__set", "left").select("__places", F.coalesce("region_names", F.lit("")).alias("region_names"), "n_regions")
+    return placed.join(found, "__places").select("id", "region_names", "n_regions")
 
 
 #: Expected allele frequencies of the genotype classes.

@@ -145,6 +145,23 @@ def test_pairs_meet_at_the_longer_ones_level_alone(spark):
     assert "CartesianProduct" not in plan
 
 
+def test_callers_by_region_make_no_pairs(spark):
+    """Against nested loops: repeated ids, places and regions, regions without a name, a segment that ends before it starts; a pile takes rows, not pairs."""
+    a = [*((i % 50, c, s, e) for i, c, s, e in random_regions(3, 60)), (70, "a", 30, 20), (71, None, 1, 5), (72, "a", 10**6, 10**6 + 5)]
+    b = [(c, s, e, f"n{i % 5}" if i % 7 else None) for i, c, s, e in random_regions(4, 60)]
+    b += [*b[:9], ("a", 0, 90, "whole"), ("b", 9, 4, "back")]
+    found = variants.callers_by_region(spark.createDataFrame(a, "id long, chr string, start long, end long"), spark.createDataFrame(b, "chr string, start long, end long, region_name string"), 50)
+    want = {}
+    for i, c, s, e in a:
+        for d, t, f, n in b:
+            if c == d and s <= f and t <= e:
+                want.setdefault(i, []).append(n)
+    assert {r["id"]: (r["region_names"], r["n_regions"]) for r in found.collect()} == {i: (",".join(sorted({n for n in v if n})), len(v)) for i, v in want.items()}
+    pile = spark.range(60_000).selectExpr("id", "'a' AS chr", "id % 50 AS start", "id % 50 + 900 AS end")
+    piled = variants.callers_by_region(pile, pile.selectExpr("chr", "start", "end", "concat('n', id % 3) AS region_name"), 100)  # 3.6e9 pairs
+    assert [tuple(r) for r in piled.select("region_names", "n_regions").distinct().collect()] == [("n0,n1,n2", 60_000)] and piled.count() == 60_000
+
+
 def test_greedy_groups_match_a_loop(spark):
     rows = sorted({(s, e) for _, _, s, e in random_regions(5, 30)})
     got = [(r["start"], r["group"]) for r in intervals.greedy_groups(spark.createDataFrame([("a", s, e) for s, e in rows], "chr string, start long, end long"), 100).orderBy("start", "end").collect()]
