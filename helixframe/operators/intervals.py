@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -157,6 +159,41 @@ def reciprocal_overlap(share: float) -> Column:
     return (shared_length() >= share * (F.col("a_end") - F.col("a_start") + 1)) & (shared_length() >= share * (F.col("b_end") - F.col("b_start") + 1))
 
 
+def _reciprocal_keys(rows: DataFrame, prefix: str, share: float, wide: bool) -> DataFrame:
+    """Rows with the keys (__at, __cut, __longer) at which pairs of a ``share`` meet: of one row for each key on one side and three neighbours on the ``wide`` side."""
+    start, end = F.col(f"{prefix}_start"), F.col(f"{prefix}_end")
+    # Lengths of such a pair are in one class or in neighbouring ones, a little wider than the share asks.
+    ratio = max(1.01 / share, 1.5)
+    own = F.floor(F.log((end - start + 1).cast("double")) / math.log(ratio)).cast("int")
+    # Starts of such a pair are no farther apart than the part of the longer one that is not shared.
+    reach = lambda level: F.pow(F.lit(ratio), level + 1) * max(1 - share, 0.0) + 1
+    steps = (-1, 0, 1) if wide else (0,)
+    key = lambda level, longer: [F.struct(level.alias("__at"), (F.floor(start / reach(level)) + i).cast("long").alias("__cut"), F.lit(longer).alias("__longer")) for i in steps]
+    at = F.col("__own")
+    # Of b in the higher class: a at the class above its own, b at its own. Else: a at its own, b at its own and above.
+    keys = [*key(at, False), *key(at, True), *key(at + 1, False)] if wide else [*key(at, False), *key(at + 1, True)]
+    return rows.where(start <= end).withColumn("__own", own).select("*", F.inline(F.array(*keys))).drop("__own")
+
+
+def reciprocal_pairs(a: DataFrame, b: DataFrame, share: float, by: tuple = ("chr",), group: str | None = None) -> DataFrame:
+    """Pairs of intervals, equal in ``by``, that share a ``share`` (above 0) of either: columns of ``a`` with prefix a_, of ``b`` with b_.
+
+    An equi-join on classes of length and on cuts as wide as the starts may differ. If ``group`` names a
+    column of both, pairs of one group are left out, and cuts that hold one group only are not joined.
+    """
+    left, right = (df.select(*[F.col(c).alias(f"{p}_{c}") for c in df.columns], *[F.col(c).alias(f"__by{i}") for i, c in enumerate(by)]) for df, p in ((a, "a"), (b, "b")))
+    left, right = _reciprocal_keys(left, "a", share, False), _reciprocal_keys(right, "b", share, True)
+    keys = [*[f"__by{i}" for i in range(len(by))], "__at", "__cut", "__longer"]
+    if group:
+        ends = lambda df, p: df.groupBy(*keys).agg(F.min(f"{p}_{group}").alias(f"__{p}_low"), F.max(f"{p}_{group}").alias(f"__{p}_high"))
+        mixed = ends(left, "a").join(ends(right, "b"), keys).where((F.col("__a_low") != F.col("__b_high")) | (F.col("__b_low") != F.col("__a_high")))
+        mixed = materialize(mixed.select(*keys))
+        left, right = left.join(mixed, keys, "left_semi"), right.join(mixed, keys, "left_semi")
+    met = left.join(right, keys)
+    met = met.where(F.col(f"a_{group}") != F.col(f"b_{group}")) if group else met
+    return met.where((F.col("a_start") <= F.col("b_end")) & (F.col("b_start") <= F.col("a_end")) & reciprocal_overlap(share)).drop(*keys)
+
+
 def trim_overlaps(regions: DataFrame, by: tuple = ("chr",), least: int = 20) -> DataFrame:
     """Start each region after the end of the one before it; drop what is not longer than ``least``."""
     before = F.lag("end").over(Window.partitionBy(*by).orderBy("start", "end"))

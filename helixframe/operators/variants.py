@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from helixframe.functions.genome import let
 
 from . import ranges
-from .intervals import overlaps, reciprocal_overlap, shared_length
+from .intervals import overlaps, reciprocal_overlap, reciprocal_pairs, shared_length
 from .shared import materialize
 
 
@@ -238,11 +238,23 @@ def merge_overlapping(calls: DataFrame, width: int, share: float = 0.6) -> DataF
     return smallest_reachable(calls.select("id"), met.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")))
 
 
+def _same_type_pairs(a: DataFrame, b: DataFrame, width: int, share: float) -> DataFrame:
+    """Pairs of a chromosome and type that overlap reciprocally; of no share, all that overlap."""
+    if share > 0:
+        return reciprocal_pairs(a, b, share, ("chr", "svtype"))
+    return overlaps(a, b, width).where((F.col("a_svtype") == F.col("b_svtype")) & reciprocal_overlap(share))
+
+
 def population_frequency(calls: DataFrame, database: DataFrame, width: int, share: float = 0.6) -> DataFrame:
-    """Calls with the count and frequency of the database entry that they overlap best, null if none overlaps enough."""
-    met = overlaps(calls, database, width).where((F.col("a_svtype") == F.col("b_svtype")) & reciprocal_overlap(share))
-    best = met.groupBy(F.col("a_id").alias("id")).agg(F.max_by(F.struct("b_ac", "b_af"), F.struct(shared_length(), F.negative("b_id"))).alias("hit"))
-    return calls.join(best, "id", "left").select(*calls.columns, F.col("hit.b_ac").alias("ac"), F.col("hit.b_af").alias("freq"))
+    """Calls with the count and frequency of the database entry that they overlap best, null if none overlaps enough.
+
+    Calls of the same place and type are looked up once; of such entries the one of the smallest id counts.
+    """
+    same = ["chr", "svtype", "start", "end"]
+    entries = database.groupBy(*same).agg(F.min("id").alias("id"), F.min_by(F.struct("ac", "af"), "id").alias("hit"))
+    met = _same_type_pairs(calls.select(*same).distinct(), entries, width, share)
+    best = met.groupBy(*[F.col(f"a_{c}").alias(c) for c in same]).agg(F.max_by("b_hit", F.struct(shared_length(), F.negative("b_id"))).alias("hit"))
+    return calls.join(best, same, "left").select(*calls.columns, F.col("hit.ac").alias("ac"), F.col("hit.af").alias("freq"))
 
 
 def called_segments(calls: DataFrame, least_freq: float = 0.0, kinds: tuple = ()) -> DataFrame:

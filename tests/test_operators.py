@@ -162,6 +162,34 @@ def test_callers_by_region_make_no_pairs(spark):
     assert [tuple(r) for r in piled.select("region_names", "n_regions").distinct().collect()] == [("n0,n1,n2", 60_000)] and piled.count() == 60_000
 
 
+def reciprocal(x, y, share):
+    shared = min(x[3], y[3]) - max(x[2], y[2]) + 1
+    return x[1] == y[1] and x[2] <= y[3] and y[2] <= x[3] and shared >= share * (x[3] - x[2] + 1) and shared >= share * (y[3] - y[2] + 1)
+
+
+@pytest.mark.parametrize("share", [0.05, 0.6, 1.0])
+def test_reciprocal_pairs_match_nested_loops(spark, share):
+    a, b = [*random_regions(6, 80), (90, "a", 100, 102), (91, "a", 9, 5)], [*random_regions(7, 80), (90, "a", 100, 104), (91, None, 1, 4)]
+    df = lambda rows: spark.createDataFrame(rows, "id long, chr string, start long, end long")
+    got = sorted((r["a_id"], r["b_id"]) for r in intervals.reciprocal_pairs(df(a), df(b), share).collect())
+    assert got == sorted((x[0], y[0]) for x in a for y in b if reciprocal(x, y, share))
+    odd = lambda rows: df(rows).withColumn("g", F.col("id") % 3)
+    got = sorted((r["a_id"], r["b_id"]) for r in intervals.reciprocal_pairs(odd(a), odd(b), share, group="g").collect())
+    assert got == sorted((x[0], y[0]) for x in a for y in b if x[0] % 3 != y[0] % 3 and reciprocal(x, y, share))
+
+
+def test_population_frequency_of_piles(spark):
+    """The best entry against nested loops; calls and entries of few places take no pair each."""
+    a, b = random_regions(8, 70), random_regions(9, 70)
+    df = lambda rows: spark.createDataFrame([(*r, "DEL" if r[0] % 2 else "DUP") for r in rows], "id long, chr string, start long, end long, svtype string")
+    entries = df(b).unionByName(df(b).withColumn("id", F.col("id") + 200)).withColumns({"ac": F.col("id"), "af": F.col("id") / 1000})
+    best = {x[0]: min(((-(min(x[3], y[3]) - max(x[2], y[2])), y[0]) for y in b if x[0] % 2 == y[0] % 2 and reciprocal(x, y, 0.6)), default=(0, None))[1] for x in a}
+    assert {r["id"]: r["ac"] for r in variants.population_frequency(df(a), entries, 50).collect()} == best
+    pile = spark.range(60_000).selectExpr("id", "'a' AS chr", "id % 50 AS start", "id % 50 + 900 AS end", "'DEL' AS svtype")
+    found = variants.population_frequency(pile, pile.withColumns({"ac": F.col("id"), "af": F.lit(0.5)}), 100)  # 3.6e9 pairs
+    assert found.where("ac = id % 50").count() == 60_000
+
+
 def test_greedy_groups_match_a_loop(spark):
     rows = sorted({(s, e) for _, _, s, e in random_regions(5, 30)})
     got = [(r["start"], r["group"]) for r in intervals.greedy_groups(spark.createDataFrame([("a", s, e) for s, e in rows], "chr string, start long, end long"), 100).orderBy("start", "end").collect()]
