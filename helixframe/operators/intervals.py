@@ -175,6 +175,18 @@ def _reciprocal_keys(rows: DataFrame, prefix: str, share: float, wide: bool) ->
     return rows.where(start <= end).withColumn("__own", own).select("*", F.inline(F.array(*keys))).drop("__own")
 
 
+def reciprocal_neighbours(rows: DataFrame, share: float, by: tuple = ("chr",)) -> DataFrame:
+    """Some of the pairs of ``reciprocal_pairs`` of a table with itself: each row with those before it by start, and by length, among the rows that meet at a key."""
+    b = rows.select(*[F.col(c).alias(f"b_{c}") for c in rows.columns])
+    keyed = _reciprocal_keys(b, "b", share, False).where(~F.col("__longer"))
+    keys = [*[f"b_{c}" for c in by], "__at", "__cut"]
+    length = F.col("b_end") - F.col("b_start")
+    before = lambda *order: F.lag(F.struct(*[F.col(f"b_{c}").alias(f"a_{c}") for c in rows.columns])).over(Window.partitionBy(*keys).orderBy(*order))
+    lagged = keyed.withColumns({"__by_start": before("b_start", "b_end"), "__by_length": before(length, "b_start")})
+    found = lagged.select(*b.columns, F.explode(F.array("__by_start", "__by_length")).alias("__a")).select(*b.columns, "__a.*")
+    return found.where((F.col("a_start") <= F.col("b_end")) & (F.col("b_start") <= F.col("a_end")) & reciprocal_overlap(share))
+
+
 def reciprocal_pairs(a: DataFrame, b: DataFrame, share: float, by: tuple = ("chr",), group: str | None = None) -> DataFrame:
     """Pairs of intervals, equal in ``by``, that share a ``share`` (above 0) of either: columns of ``a`` with prefix a_, of ``b`` with b_.
 

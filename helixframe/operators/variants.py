@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from helixframe.functions.genome import let
 
 from . import ranges
-from .intervals import overlaps, reciprocal_overlap, reciprocal_pairs, shared_length
+from .intervals import overlaps, reciprocal_neighbours, reciprocal_overlap, reciprocal_pairs, shared_length
 from .shared import materialize
 
 
@@ -230,12 +230,35 @@ def small_variant_lines(v: DataFrame, least_split: int = 1) -> DataFrame:
 def merge_overlapping(calls: DataFrame, width: int, share: float = 0.6) -> DataFrame:
     """(id, group): calls of a chromosome and type that overlap reciprocally, directly or over others; group is the smallest id.
 
-    Pairs come from an equi-join on cuts; groups are found by letting the smallest id spread along pairs.
+    Calls of the same place and type are one node. Nodes are first linked to the one before them in the order of
+    their starts among those of like length, which joins piles; only nodes that this leaves in different groups
+    then meet in pairs.
     """
-    from helixframe.operators.graph import smallest_reachable
+    from helixframe.operators.graph import connected_components
 
-    met = overlaps(calls, calls, width).where((F.col("a_svtype") == F.col("b_svtype")) & (F.col("a_id") > F.col("b_id")) & reciprocal_overlap(share))
-    return smallest_reachable(calls.select("id"), met.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")))
+    same = ["chr", "svtype", "start", "end"]
+    straight = calls.where((F.col("start") <= F.col("end")) & F.col("id").isNotNull())
+    nodes = materialize(straight.groupBy(*same).agg(F.min("id").alias("node")))
+    own = calls.join(nodes, same, "left").groupBy("id").agg(F.min("node").alias("node"), F.collect_set("node").alias("__nodes"))
+    own = materialize(own.withColumn("node", F.when(F.col("id").isNotNull(), F.col("node"))))
+    # An id of several places links them.
+    links = own.where(F.size("__nodes") > 1).select("node", F.explode("__nodes").alias("b"))
+    if share > 0:
+        near = reciprocal_neighbours(nodes, share, ("chr", "svtype"))
+        first = connected_components(near.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).unionByName(links.select(F.col("node").alias("a"), "b")))
+        grouped = materialize(_renamed(nodes, "node", first, "group"))
+        met = reciprocal_pairs(grouped, grouped, share, ("chr", "svtype"), "group").select(F.col("a_group").alias("a"), F.col("b_group").alias("b"))
+    else:
+        grouped = nodes.withColumn("group", F.col("node"))
+        met = _same_type_pairs(nodes, nodes, width, share).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).unionByName(links.select(F.col("node").alias("a"), "b"))
+    found = _renamed(grouped.select("node", "group"), "group", connected_components(met), "group").select("node", "group").distinct()  # an id may be the smallest of several places
+    return own.select("id", "node").join(found, "node", "left").select("id", F.coalesce("group", "id").alias("group"))
+
+
+def _renamed(rows: DataFrame, column: str, components: DataFrame, name: str) -> DataFrame:
+    """``name``: the component of a column's node, or the node itself."""
+    joined = rows.join(components.withColumnRenamed("node", "__node"), F.col(column) == F.col("__node"), "left")
+    return joined.withColumn(name, F.coalesce("component", column)).drop("__node", "component")
 
 
 def _same_type_pairs(a: DataFrame, b: DataFrame, width: int, share: float) -> DataFrame:

@@ -190,6 +190,27 @@ def test_population_frequency_of_piles(spark):
     assert found.where("ac = id % 50").count() == 60_000
 
 
+@pytest.mark.parametrize("seed, share", [(21, 0.6), (22, 0.9), (23, 0.0)])
+def test_merged_calls_match_a_loop(spark, seed, share):
+    """Repeated places and ids, calls that end before they start or lack a chromosome."""
+    rows = [*random_regions(seed, 90), *[(i + 100, *r[1:]) for i, r in enumerate(random_regions(seed, 9))], (3, "b", 480, 600), (120, "a", 50, 40), (121, None, 3, 9), (122, None, 3, 9)]
+    rows = [(*r, "DEL" if r[2] % 3 else "DUP") for r in rows]
+    group = {r[0]: r[0] for r in rows}
+    for _ in rows:
+        for x in rows:
+            for y in rows:
+                if x[4] == y[4] and x[1] is not None and reciprocal(x, y, share):
+                    group[x[0]] = group[y[0]] = min(group[x[0]], group[y[0]])
+    got = variants.merge_overlapping(spark.createDataFrame(rows, "id long, chr string, start long, end long, svtype string"), 50, share)
+    assert {r["id"]: r["group"] for r in got.collect()} == group and got.count() == len(group)
+
+
+def test_piles_are_merged_without_their_pairs(spark):
+    pile = spark.range(60_000).selectExpr("id", "'a' AS chr", "id % 300 AS start", "id % 300 + 900 + id % 40 AS end", "'DEL' AS svtype")
+    found = variants.merge_overlapping(pile, 100)  # 1.8e9 pairs
+    assert found.where("group = 0").count() == 60_000
+
+
 def test_greedy_groups_match_a_loop(spark):
     rows = sorted({(s, e) for _, _, s, e in random_regions(5, 30)})
     got = [(r["start"], r["group"]) for r in intervals.greedy_groups(spark.createDataFrame([("a", s, e) for s, e in rows], "chr string, start long, end long"), 100).orderBy("start", "end").collect()]
