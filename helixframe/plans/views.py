@@ -53,8 +53,10 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start = F.col("o_orderkey") * 1000
-    return table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("contig"), start.alias("start"), (start + 999).alias("end"), F.round(F.col("o_totalprice") / 250000 - 1, 6).alias("log2"))
+    start, log2 = F.col("o_orderkey") * 1000, F.col("o_totalprice") / 250000 - 1
+    # What is rounded to 0 from below keeps its sign, which Spark drops and text shows.
+    rounded = F.when((log2 < 0) & (F.round(log2, 6) == 0), F.lit(-0.0)).otherwise(F.round(log2, 6))
+    return table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("contig"), start.alias("start"), (start + 999).alias("end"), rounded.alias("log2"))
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:

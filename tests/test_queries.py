@@ -46,3 +46,18 @@ def near(a, b):
 @pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(SQL)))
 def test_query_without_sql_runs(spark, name):
     assert catalogue.QUERIES[name](spark, DATA).count() > 0
+
+
+def prices_near_no_change(spark, tmp_path):
+    """Orders whose log2 is rounded to 0 from below and above, and one of exactly 0."""
+    orders = [(i, "F", p) for i, p in enumerate((249_999.9, 250_000.0, 250_000.1, 249_999.8, 1234.5))]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderstatus string, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    return con
+
+
+def test_vcf_records_keep_the_sign_of_zero(spark, tmp_path):
+    want = sorted(prices_near_no_change(spark, tmp_path).execute(SQL["vcf_records"]).fetchall())
+    assert sorted(map(tuple, catalogue.QUERIES["vcf_records"](spark, str(tmp_path)).collect())) == want
+    assert sum("LOG_ODDS_RATIO=-0.000000;" in r[0] for r in want) == 1
