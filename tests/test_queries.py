@@ -61,3 +61,8 @@ def test_vcf_records_keep_the_sign_of_zero(spark, tmp_path):
     want = sorted(prices_near_no_change(spark, tmp_path).execute(SQL["vcf_records"]).fetchall())
     assert sorted(map(tuple, catalogue.QUERIES["vcf_records"](spark, str(tmp_path)).collect())) == want
     assert sum("LOG_ODDS_RATIO=-0.000000;" in r[0] for r in want) == 1
+
+
+def test_vcf_records_of_depths_keep_the_sign_of_zero(spark, tmp_path):
+    want = sorted(prices_near_no_change(spark, tmp_path).execute(SQL["vcf_records_of_depths"]).fetchall())
+    assert sorted(map(tuple, catalogue.QUERIES["vcf_records_of_depths"](spark, str(tmp_path)).collect())) == want
