@@ -12,20 +12,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 
-#: Distinct whole numbers that a histogram has at most; a wider range is counted in equal steps.
+#: Distinct whole numbers that a histogram has at most; more of them are counted in equal steps of their range.
 MOST_VALUES = 1 << 17
 
 
 def histogram(counts: DataFrame, column: str, most: int = MOST_VALUES) -> DataFrame:
     """(value, n, part): how often each whole number occurs, at most ``most`` of them, and how often as part of a number above it.
 
-    Numbers are cut off to whole ones. Where the range is wider, they are counted in steps, and a
-    step's value is its mean.
+    Numbers are cut off to whole ones, however wide their range. Only where more than ``most`` different
+    ones occur, they are counted in steps, and a step's value is its mean.
     """
     known = counts.where(F.col(column).isNotNull())
     whole = known.select(F.col(column).cast("long").alias("value"), (F.col(column) > F.col(column).cast("long")).cast("long").alias("part"))
-    ends = whole.agg(F.min("value").alias("low"), F.max("value").alias("high")).first()
-    step = 1 if ends["low"] is None else -(-(ends["high"] - ends["low"] + 1) // most)
+    each = whole.groupBy("value").agg(F.count("*").alias("n"), F.sum("part").alias("part"))
+    ends = each.agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count("*").alias("different")).first()
+    if ends["different"] <= most:
+        return each
+    step = -(-(ends["high"] - ends["low"] + 1) // most)
     grouped = whole.groupBy(F.floor(F.col("value") / step).alias("at"))
     return grouped.agg(F.round(F.avg("value")).cast("long").alias("value"), F.count("*").alias("n"), F.sum("part").alias("part")).drop("at")
 

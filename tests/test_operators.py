@@ -538,6 +538,13 @@ def test_histograms_are_bounded(spark):
     assert fit.histogram(rows, "c").count() == 5000 and math.isnan(fit.trimmed_fit(rows.where("c < 0"), "c")[0])
 
 
+def test_few_values_of_a_wide_range_are_exact(spark):
+    """Neighbouring counts and one far above them, as deep coverage has, are not counted in steps."""
+    rows = spark.range(3000).select(F.when(F.col("id") == 0, 5_000_000).otherwise(190_000 + F.col("id") % 1000).alias("c"))
+    got = {r["value"]: r["n"] for r in fit.histogram(rows, "c").collect()}
+    assert got == {5_000_000: 1, **{190_000 + i: 3 if i else 2 for i in range(1000)}}
+
+
 def test_greedy_groups_and_axis_limits_hold_no_group_in_a_row(spark):
     regions = spark.createDataFrame([(c, s, s + 5) for c in "ab" for s in range(0, 300, 10)], "chr string, start long, end long")
     cn = [("x", round(2 + (i * 37 % 100) / 100, 2)) for i in range(200)] + [("x", None), ("y", 2.01), ("z", None)]
