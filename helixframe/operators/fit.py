@@ -430,9 +430,9 @@ def _log_odds(seen: np.ndarray, log_h: np.ndarray, step: np.ndarray) -> np.ndarr
 
 
 def strand_bias(rows: DataFrame, id_col: str) -> DataFrame:
-    """(id, p, odds_ratio) of the strand counts rfwd, rrev, vfwd, vrev, both to 5 decimals; tables that repeat are tested once."""
+    """(id, p, odds_ratio) of the strand counts rfwd, rrev, vfwd, vrev, both to 5 decimals; tables that repeat are tested once, rows that lack a count are left out."""
     names = ["rfwd", "rrev", "vfwd", "vrev"]
-    tables = rows.select(*[F.col(c).cast("long").alias(c) for c in names]).distinct()
+    tables = rows.select(*[F.col(c).cast("long").alias(c) for c in names]).dropna().distinct()
 
     def run(batches):
         for t in batches:

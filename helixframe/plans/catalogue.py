@@ -547,7 +547,7 @@ def nb_fit(s, d):
 @query
 def fisher_strand_bias(s, d):
     i = views.table(s, d, "lineitem")
-    counts = [(F.col("l_quantity").cast("long") % 13).alias("rfwd"), (F.col("l_partkey") % 11).alias("rrev"), F.col("l_linenumber").cast("long").alias("vfwd"), (F.col("l_suppkey") % 7).alias("vrev")]
+    counts = [(F.rint("l_quantity").cast("long") % 13).alias("rfwd"), (F.col("l_partkey") % 11).alias("rrev"), F.col("l_linenumber").cast("long").alias("vfwd"), (F.col("l_suppkey") % 7).alias("vrev")]
     found = fit.strand_bias(i.select("l_orderkey", *counts), "l_orderkey")
     return found.withColumn("odds_ratio", F.when(~F.isnan("odds_ratio"), F.col("odds_ratio")))
 

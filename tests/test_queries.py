@@ -66,3 +66,15 @@ def test_vcf_records_keep_the_sign_of_zero(spark, tmp_path):
 def test_vcf_records_of_depths_keep_the_sign_of_zero(spark, tmp_path):
     want = sorted(prices_near_no_change(spark, tmp_path).execute(SQL["vcf_records_of_depths"]).fetchall())
     assert sorted(map(tuple, catalogue.QUERIES["vcf_records_of_depths"](spark, str(tmp_path)).collect())) == want
+
+
+def test_strand_bias_of_odd_quantities(spark, tmp_path):
+    """Quantities that are no whole numbers, or missing."""
+    rows = [(i, q, i * 7, i * 3, 1 + i % 7) for i, q in enumerate((2.5, 3.5, 7.7, 9.2, 4.0, None, 12.6, 30.0))]
+    spark.createDataFrame(rows, "l_orderkey long, l_quantity double, l_partkey long, l_suppkey long, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    cursor = con.execute(SQL["fisher_strand_bias"])
+    columns = [c[0] for c in cursor.description]
+    df = catalogue.QUERIES["fisher_strand_bias"](spark, str(tmp_path))
+    assert plain(df.collect(), df.columns) == plain(cursor.fetchall(), columns)
